@@ -22,7 +22,9 @@ def rank_within(df: DataFrame, keys: list[str], order: list, name: str = "rank")
     local = Window.partitionBy(*keys, "_pid").orderBy(*order_cols)
     s = s.withColumn("_lr", F.row_number().over(local))
     counts = s.groupBy(*keys, "_pid").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # small table: one row per (key, partition) piece
+    before = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     return (
         s.join(offs, [*keys, "_pid"])
