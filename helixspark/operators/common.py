@@ -18,13 +18,12 @@ def rank_within(df: DataFrame, keys: list[str], order: list, name: str = "rank")
     table: one row per key and partition it spans).
     """
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    s = df.repartitionByRange(*[F.col(k) for k in keys], *order_cols).withColumn("_pid", F.spark_partition_id())
+    s = _pieces(df, keys, order_cols)
     local = Window.partitionBy(*keys, "_pid").orderBy(*order_cols)
     s = s.withColumn("_lr", F.row_number().over(local))
     counts = s.groupBy(*keys, "_pid").agg(F.count("*").alias("_n"))
     # small table: one row per (key, partition) piece
-    before = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)
+    before = _key_window(keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     return (
         s.join(offs, [*keys, "_pid"])
@@ -33,6 +32,60 @@ def rank_within(df: DataFrame, keys: list[str], order: list, name: str = "rank")
     )
 
 
+def _pieces(df: DataFrame, keys: list[str], order_cols: list[Column]) -> DataFrame:
+    """Range-partition on (keys, order) and tag each row with its partition id."""
+    return df.repartitionByRange(*[F.col(k) for k in keys], *order_cols).withColumn("_pid", F.spark_partition_id())
+
+
+def _key_window(keys: list[str]) -> Window:
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+
+
+def prefix_sum(df: DataFrame, keys: list[str], order: list, value: str, name: str = "cum",
+               inclusive: bool = True) -> DataFrame:
+    """Running sum of ``value`` within ``keys`` in ``order`` without a per-key window
+    over the whole key: local running sums per range piece plus the totals of the
+    earlier pieces of the same key (the same scheme as ``rank_within``).
+    ``inclusive=False`` gives the sum of the rows strictly before."""
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    s = _pieces(df, keys, order_cols)
+    local = Window.partitionBy(*keys, "_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("_ls", F.sum(value).over(local))
+    tot = s.groupBy(*keys, "_pid").agg(F.sum(value).alias("_t"))
+    before = _key_window(keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
+    out = s.join(offs, [*keys, "_pid"]).withColumn(name, F.col("_ls") + F.col("_off"))
+    if not inclusive:
+        out = out.withColumn(name, F.col(name) - F.col(value))
+    return out.drop("_pid", "_ls", "_off")
+
+
+def neighbours(df: DataFrame, keys: list[str], order: list, cols: list[str], prefix_prev: str = "prev_",
+               prefix_next: str = "next_") -> DataFrame:
+    """``lag`` and ``lead`` of ``cols`` within ``keys`` in ``order``, computed per
+    range piece; the first (last) row of a piece takes its neighbour from the last
+    (first) row of the adjacent non-empty piece of the same key, found in a small
+    per-piece table."""
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    s = _pieces(df, keys, order_cols)
+    w = Window.partitionBy(*keys, "_pid").orderBy(*order_cols)
+    for c in cols:
+        s = s.withColumn(prefix_prev + c, F.lag(c).over(w)).withColumn(prefix_next + c, F.lead(c).over(w))
+    s = s.withColumn("_first", F.row_number().over(w) == 1).withColumn(
+        "_last", F.row_number().over(w.orderBy(*[o.desc() for o in order_cols])) == 1)
+    edge = s.groupBy(*keys, "_pid").agg(
+        F.max_by(F.struct(*cols), F.struct(*order_cols)).alias("_lastrow"),
+        F.min_by(F.struct(*cols), F.struct(*order_cols)).alias("_firstrow"))
+    kw = _key_window(keys).orderBy("_pid")
+    edge = edge.withColumn("_prevpiece", F.lag("_lastrow").over(kw)).withColumn(
+        "_nextpiece", F.lead("_firstrow").over(kw)).drop("_lastrow", "_firstrow")
+    s = s.join(edge, [*keys, "_pid"])
+    for c in cols:
+        s = s.withColumn(prefix_prev + c, F.when(F.col("_first"), F.col("_prevpiece")[c]).otherwise(F.col(prefix_prev + c)))
+        s = s.withColumn(prefix_next + c, F.when(F.col("_last"), F.col("_nextpiece")[c]).otherwise(F.col(prefix_next + c)))
+    return s.drop("_pid", "_first", "_last", "_prevpiece", "_nextpiece")
+
+
 def first_true(rules: list[tuple[str, Column]]) -> Column:
     """Name of the first rule whose condition holds (null when none does)."""
     out = F.lit(None).cast("string")
