@@ -39,7 +39,7 @@ def register(name: str, oracle: str | None = None, bench: bool = True):
 
 MODULES = (
     "q_variants", "q_vcf_text", "q_runs", "q_validation", "q_expression", "q_taxonomy",
-    "q_msa", "q_structure", "q_alignments", "q_streaming",
+    "q_msa", "q_structure", "q_alignments", "q_catalog", "q_sources", "q_stats", "q_streaming",
 )
 
 
