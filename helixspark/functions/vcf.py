@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EMPTY_MAP = F.create_map().cast("map<string,string>")
+
+
+def _empty_map() -> Column:
+    return F.create_map().cast("map<string,string>")
 
 
 def _c(c) -> Column:
@@ -27,7 +30,7 @@ def info_map(info) -> Column:
             F.when(F.instr(e, "=") > 0, F.substr(e, F.instr(e, "=") + 1)).otherwise(F.lit("true")).alias("value"),
         ),
     )
-    return F.when(info.isNull() | (info == "."), EMPTY_MAP).otherwise(F.map_from_entries(entries))
+    return F.when(info.isNull() | (info == "."), _empty_map()).otherwise(F.map_from_entries(entries))
 
 
 def format_map(fmt, value) -> Column:
@@ -40,7 +43,7 @@ def format_map(fmt, value) -> Column:
     vals = F.split(value, ":")
     padded = F.transform(keys, lambda k, i: F.coalesce(F.get(vals, i), F.lit(".")))
     return F.when(
-        fmt.isNull() | value.isNull() | (fmt == ".") | (value == "."), EMPTY_MAP
+        fmt.isNull() | value.isNull() | (fmt == ".") | (value == "."), _empty_map()
     ).otherwise(F.map_from_arrays(keys, padded))
 
 
