@@ -107,7 +107,7 @@ def coverage(reads: DataFrame, by_strand: bool = False, bin_size: int = 1_000_00
         *keys, F.col("pos").alias("start"), F.col("next_pos").alias("end"), "depth")
 
 
-def count_features(reads: DataFrame, exons: DataFrame, group: str = "gene_id", bin_size: int = 1000,
+def count_features(reads: DataFrame, exons: DataFrame, group: str = "gene_id", bin_size: int = 128,
                    feature_type: str | None = None, type_col: str = "biotype") -> DataFrame:
     """featureCounts-style: a mapped read counts for a group when it overlaps
     features of exactly one group (features 1-based closed, reads 0-based half
@@ -229,7 +229,7 @@ def pair_mates(reads: DataFrame, tags: list[str] = ("umi",)):
     return pairs, stats, no_mate
 
 
-def dup_rates(reads_marked: DataFrame, exons: DataFrame, group: str = "gene_id", bin_size: int = 1000,
+def dup_rates(reads_marked: DataFrame, exons: DataFrame, group: str = "gene_id", bin_size: int = 128,
               feature_type: str | None = None, type_col: str = "biotype") -> DataFrame:
     """Per gene: all reads, reads after removing duplicates, duplication rate and
     reads per kilobase of exon length (dupRadar table)."""

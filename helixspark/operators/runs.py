@@ -28,24 +28,24 @@ def _secs(df: DataFrame, c: str) -> Column:
 def pick_instance(cpus, memory) -> Column:
     """Smallest instance with vcpu >= cpus and memory >= memory ('' when none fits).
 
-    A closed form over the 8 sizes (no join): for each family the first size with
-    ``vcpu >= max(cpus, memory / gib_per_vcpu)``; the smallest size wins, ties go
-    to c, then m, then r.
+    A closed form over the 8 sizes (no join, codegen friendly): for each family the
+    first size with ``vcpu >= max(cpus, memory / gib_per_vcpu)`` (a CASE chain);
+    the smallest size wins, ties go to c, then m, then r (``least`` of structs).
     """
     cpus = F.col(cpus) if isinstance(cpus, str) else cpus
     memory = F.col(memory) if isinstance(memory, str) else memory
-    vcpus = F.array(*[F.lit(v) for _, v in SIZES])
-    names = F.create_map(*[x for s, v in SIZES for x in (F.lit(v), F.lit(s))])
-    best = None
-    for fam, mult in FAMILIES:  # later families only win on a strictly smaller size
+    cands = []
+    for rank, (fam, mult) in enumerate(FAMILIES):
         need = F.greatest(cpus.cast("double"), memory.cast("double") / F.lit(float(mult)))
-        v = F.get(F.filter(vcpus, lambda x: x >= need), 0)
-        cand = F.struct(v.alias("v"), F.lit(fam).alias("f"))
-        best = cand if best is None else F.when(
-            cand["v"].isNotNull() & (best["v"].isNull() | (cand["v"] < best["v"])), cand).otherwise(best)
-    return F.when(
-        best["v"].isNull(), F.lit("")
-    ).otherwise(F.concat(F.lit("omics."), best["f"], F.lit("."), names[best["v"]], F.lit("large")))
+        size = None
+        for rank_s, (suffix, v) in enumerate(SIZES):
+            cond = need <= F.lit(float(v))
+            pick = F.struct(F.lit(rank_s).alias("s"), F.lit(rank).alias("f"),
+                            F.lit(f"omics.{fam}.{suffix}large").alias("name"))
+            size = F.when(cond, pick) if size is None else size.when(cond, pick)
+        cands.append(size)
+    best = F.least(*cands)
+    return F.coalesce(best["name"], F.lit(""))
 
 
 def instance_catalog(spark: SparkSession) -> DataFrame:

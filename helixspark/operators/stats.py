@@ -28,14 +28,25 @@ def sample_pca(log_counts: DataFrame, n_top: int = 500, k: int = 2, feature: str
     a = x.select(feature, F.col(sample).alias("s1"), F.col("_x").alias("x1"))
     b = x.select(feature, F.col(sample).alias("s2"), F.col("_x").alias("x2"))
     gram = a.join(b, feature).groupBy("s1", "s2").agg(F.sum(F.col("x1") * F.col("x2")).alias("g")).collect()
+    names, idx, w, scores = _eig_scores([(r["s1"], r["s2"], r["g"]) for r in gram], k)
+    k = min(k, len(names))
+    rows = [(s, *[float(scores[i, j]) for j in range(k)]) for s, i in idx.items()]
+    cols = ", ".join(f"PC{j + 1} double" for j in range(k))
+    pct = [(f"PC{j + 1}", float(100 * w[j] / w.sum()) if w.sum() > 0 else 0.0) for j in range(k)]
+    return (spark.createDataFrame(rows, f"{sample} string, {cols}"),
+            spark.createDataFrame(pct, "component string, percent_variance double"))
 
+
+def _eig_scores(pairs, k: int):
+    """Scores U * sqrt(w) of a small symmetric matrix given as (i, j, value) rows;
+    each component's largest-magnitude score made positive."""
     import numpy as np
 
-    names = sorted({r["s1"] for r in gram})
+    names = sorted({r[0] for r in pairs})
     idx = {s: i for i, s in enumerate(names)}
     K = np.zeros((len(names), len(names)))
-    for r in gram:
-        K[idx[r["s1"]], idx[r["s2"]]] = r["g"]
+    for i, j, v in pairs:
+        K[idx[i], idx[j]] = v
     w, U = np.linalg.eigh(K)
     order = np.argsort(w)[::-1]
     w, U = np.clip(w[order], 0, None), U[:, order]
@@ -43,31 +54,55 @@ def sample_pca(log_counts: DataFrame, n_top: int = 500, k: int = 2, feature: str
     for j in range(scores.shape[1]):
         if scores[np.argmax(np.abs(scores[:, j])), j] < 0:
             scores[:, j] = -scores[:, j]
-    k = min(k, len(names))
-    rows = [(s, *[float(scores[i, j]) for j in range(k)]) for s, i in idx.items()]
-    cols = ", ".join(f"PC{j + 1} double" for j in range(k))
-    pct = [(f"PC{j + 1}", float(100 * w[j] / w.sum()) if w.sum() > 0 else 0.0) for j in range(k)]
-    return (spark.createDataFrame(rows, f"{sample} string, {cols}"),
-            spark.createDataFrame(pct, "component string, percent_variance double"))
+    return names, idx, w, scores
 
 
 def scale_pca(norm: DataFrame, genes: DataFrame, k: int = 10, feature: str = "feature", cell: str = "cell",
               value: str = "norm") -> DataFrame:
-    """Per-cell PCA on z-scaled genes (MLlib ``StandardScaler`` + ``PCA``).
+    """Per-cell PCA on z-scaled genes (moments include the cells where a gene is 0).
+
+    Exact either way, the smaller side decides the method:
+
+    * cells <= genes: the cell x cell Gram matrix of the scaled data is assembled
+      from the sparse values, K = A - b_i - b_j + c with A = sum x_i x_j / sd^2
+      (self join on gene of the non-zero entries), b = sum mean x / sd^2 and
+      c = sum mean^2 / sd^2, so no dense matrix is built; the small K is
+      eigen-decomposed on the driver.
+    * genes < cells: each cell becomes a dense vector over the genes and MLlib's
+      ``StandardScaler`` + ``PCA`` compute the genes x genes covariance.
+    """
+    spark = norm.sparkSession
+    g = genes.select(feature).distinct()
+    x = norm.join(g, feature, "left_semi").select(feature, cell, F.col(value).cast("double").alias("_x"))
+    n_cells = norm.select(cell).distinct().count()  # scalars
+    n_genes = g.count()
+    if n_cells <= n_genes:
+        n = float(n_cells)
+        mom = x.groupBy(feature).agg(F.sum("_x").alias("_s1"), F.sum(F.col("_x") * F.col("_x")).alias("_s2"))
+        mom = mom.withColumn("_mu", F.col("_s1") / n).withColumn(
+            "_var", (F.col("_s2") - n * F.col("_mu") * F.col("_mu")) / (n - 1)).filter(F.col("_var") > 0)
+        xm = x.join(mom.select(feature, "_mu", "_var"), feature)
+        a = xm.select(feature, F.col(cell).alias("c1"), (F.col("_x") / F.col("_var")).alias("x1"))
+        b = xm.select(feature, F.col(cell).alias("c2"), F.col("_x").alias("x2"))
+        A = a.join(b, feature).groupBy("c1", "c2").agg(F.sum(F.col("x1") * F.col("x2")).alias("a")).collect()
+        bv = {r[0]: r[1] for r in xm.groupBy(cell).agg(F.sum(F.col("_mu") * F.col("_x") / F.col("_var"))).collect()}
+        c = mom.agg(F.sum(F.col("_mu") * F.col("_mu") / F.col("_var"))).first()[0] or 0.0
+        cells = [r[0] for r in norm.select(cell).distinct().collect()]  # n_cells <= n_genes: a small list
+        av = {(r[0], r[1]): r[2] for r in A}
+        pairs = [(i, j, av.get((i, j), 0.0) - bv.get(i, 0.0) - bv.get(j, 0.0) + c) for i in cells for j in cells]
+        names, idx, _w, scores = _eig_scores(pairs, k)
+        k = min(k, len(names))
+        rows = [(s, *[float(scores[idx[s], j]) for j in range(k)]) for s in names]
+        return spark.createDataFrame(rows, f"{cell} string, " + ", ".join(f"PC{j + 1} double" for j in range(k)))
 
-    Each cell becomes a dense vector over the selected genes (gene order = rank of
-    the gene id; missing = 0), so the vector width is the number of selected
-    genes, not the number of cells."""
     from pyspark.ml.feature import PCA, StandardScaler
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    g = rank_within(genes.select(feature).distinct(), [], [feature], "_gi")
-    n_genes = g.count()  # a scalar
-    x = norm.join(g, feature)
-    cells = norm.select(cell).distinct()
-    vec = x.groupBy(cell).agg(F.map_from_entries(F.collect_list(F.struct("_gi", F.col(value).cast("double")))).alias("_m"))
+    gi = rank_within(g, [], [feature], "_gi")
+    xg = x.join(gi, feature)
+    vec = xg.groupBy(cell).agg(F.map_from_entries(F.collect_list(F.struct("_gi", "_x"))).alias("_m"))
     dense = F.transform(F.sequence(F.lit(1), F.lit(n_genes)), lambda i: F.coalesce(F.col("_m")[i.cast("long")], F.lit(0.0)))
-    v = cells.join(vec, cell, "left").select(cell, array_to_vector(dense).alias("features"))
+    v = norm.select(cell).distinct().join(vec, cell, "left").select(cell, array_to_vector(dense).alias("features"))
     scaled = StandardScaler(inputCol="features", outputCol="z", withMean=True, withStd=True).fit(v).transform(v)
     model = PCA(k=k, inputCol="z", outputCol="pcs").fit(scaled)
     out = model.transform(scaled).select(cell, vector_to_array("pcs").alias("_p"))

@@ -233,24 +233,29 @@ def mean_pool(tokens: DataFrame, trunc: int, seq: str = "seq_id", tok: str = "to
     return e.groupBy(seq, "dim").agg(F.avg(F.col("_v").cast("double")).alias("mean"))
 
 
-def _softmax(arr: Column) -> Column:
-    a = F.transform(arr, lambda x: x.cast("double"))
-    m = F.array_max(a)
-    ex = F.transform(a, lambda x: F.exp(x - m))
-    tot = F.aggregate(ex, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(ex, lambda x: x / tot)
+def _with_softmax(df: DataFrame, logits: str, out: str) -> DataFrame:
+    """Softmax of an array column, staged in separate projections so the max and
+    the normaliser are computed once per row (Catalyst keeps projections apart
+    when an expensive expression is used more than once)."""
+    return (
+        df.withColumn("_sa", F.transform(F.col(logits), lambda x: x.cast("double")))
+        .withColumn("_sm", F.array_max("_sa"))
+        .withColumn("_se", F.transform("_sa", lambda x: F.exp(x - F.col("_sm"))))
+        .withColumn("_st", F.aggregate("_se", F.lit(0.0), lambda acc, x: acc + x))
+        .withColumn(out, F.transform("_se", lambda x: x / F.col("_st")))
+        .drop("_sa", "_sm", "_se", "_st")
+    )
 
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def plddt(logits) -> Column:
+def with_plddt(df: DataFrame, logits: str = "logits", out: str = "plddt") -> DataFrame:
     """Per residue: softmax over bins x bin centres, times 100."""
-    lg = F.col(logits) if isinstance(logits, str) else logits
-    n = F.size(lg)
+    n = F.size(logits)
     centers = F.transform(F.sequence(F.lit(0), n - 1), lambda i: (i + 0.5) / n)
-    return _dot(_softmax(lg), centers) * 100.0
+    return _with_softmax(df, logits, "_p").withColumn(out, _dot(F.col("_p"), centers) * 100.0).drop("_p")
 
 
 def bin_centers(breaks: list[float]) -> list[float]:
@@ -269,7 +274,7 @@ def pae_ptm(pairs: DataFrame, breaks: list[float], structure: str = "structure",
     """
     centers = bin_centers(breaks)
     c_arr = F.array(*[F.lit(float(c)) for c in centers])
-    p = pairs.withColumn("_p", _softmax(F.col(logits))).withColumn("pae", _dot(F.col("_p"), c_arr))
+    p = _with_softmax(pairs, logits, "_p").withColumn("pae", _dot(F.col("_p"), c_arr))
     n = p.groupBy(structure).agg(F.count_distinct(i).alias("_n"))
     p = p.join(n, structure)
     d0 = F.lit(1.24) * F.pow(F.greatest(F.col("_n"), F.lit(19)) - 15, 1.0 / 3) - 1.8

@@ -211,7 +211,7 @@ _SOFTMAX_SQL = """list_transform(embedding::double[], lambda x: exp(x - list_max
 from embeddings""")
 def q_plddt(spark, sf):
     register_tables(spark, sf)
-    return spark.table("embeddings").select("vec_id", F.round(ST.plddt("embedding"), 6).alias("plddt"))
+    return ST.with_plddt(spark.table("embeddings"), "embedding").select("vec_id", F.round("plddt", 6).alias("plddt"))
 
 
 BREAKS = [i * 0.5 for i in range(63)]  # 63 edges from 0 to 31 A (64 bins)
