@@ -89,10 +89,21 @@ TABLES = (
 ).split()
 
 
+_REGISTERED: dict[tuple[int, str], str] = {}
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register the driver parquet tables as temp views (lazy; nothing is read yet)."""
+    """Register the driver parquet tables as temp views (lazy; nothing is read yet).
+
+    Registration is remembered per session, so repeated queries on the same
+    folder do not list the files again."""
+    key = (id(spark), sf_dir)
+    if _REGISTERED.get(key) == sf_dir and all(spark.catalog.tableExists(t) for t in ("lineitem",)):
+        return
     for t in names:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+    _REGISTERED.clear()
+    _REGISTERED[key] = sf_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
