@@ -114,12 +114,14 @@ def count_features(reads: DataFrame, exons: DataFrame, group: str = "gene_id", b
     open); ``feature_type`` keeps only features of that type (``-t``)."""
     if feature_type is not None:
         exons = exons.filter(F.col(type_col) == feature_type)
-    r = reads.filter(~has("flag", UNMAPPED) & ~has("flag", SECONDARY)).select(
-        "read_id", "contig", (F.col("start0") + 1).alias("rs"), F.col("end0").alias("re"))
+    # a read's outcome depends only on its interval: reads with the same interval are
+    # counted once (partial aggregation) and carry their multiplicity through the join
+    r = reads.filter(~has("flag", UNMAPPED) & ~has("flag", SECONDARY)).groupBy(
+        "contig", (F.col("start0") + 1).alias("rs"), F.col("end0").alias("re")).agg(F.count("*").alias("_w"))
     e = exons.select("contig", F.col("start1").alias("es"), F.col("end1").alias("ee"), group)
     j = overlap_join(r, e, "contig", "rs", "re", "es", "ee", bin_size=bin_size)
-    per_read = j.groupBy("read_id").agg(F.count_distinct(group).alias("_n"), F.min(group).alias(group))
-    return per_read.filter(F.col("_n") == 1).groupBy(group).agg(F.count("*").alias("count"))
+    per_iv = j.groupBy("contig", "rs", "re", "_w").agg(F.count_distinct(group).alias("_n"), F.min(group).alias(group))
+    return per_iv.filter(F.col("_n") == 1).groupBy(group).agg(F.sum("_w").alias("count"))
 
 
 def clip_intervals(bed: DataFrame, sizes: DataFrame) -> DataFrame:
