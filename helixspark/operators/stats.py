@@ -73,9 +73,12 @@ def scale_pca(norm: DataFrame, genes: DataFrame, k: int = 10, feature: str = "fe
     """
     spark = norm.sparkSession
     g = genes.select(feature).distinct()
-    x = norm.join(g, feature, "left_semi").select(feature, cell, F.col(value).cast("double").alias("_x"))
-    n_cells = norm.select(cell).distinct().count()  # scalars
-    n_genes = g.count()
+    # the selected entries feed several small actions below: keep them once
+    # (memory and disk; recomputed from lineage if an executor is lost)
+    x = norm.join(g, feature, "left_semi").select(feature, cell, F.col(value).cast("double").alias("_x")).persist()
+    cells_df = norm.select(cell).distinct().persist()
+    n_cells = cells_df.count()  # scalars
+    n_genes = x.select(feature).distinct().count()
     if n_cells <= n_genes:
         n = float(n_cells)
         mom = x.groupBy(feature).agg(F.sum("_x").alias("_s1"), F.sum(F.col("_x") * F.col("_x")).alias("_s2"))
@@ -87,7 +90,9 @@ def scale_pca(norm: DataFrame, genes: DataFrame, k: int = 10, feature: str = "fe
         A = a.join(b, feature).groupBy("c1", "c2").agg(F.sum(F.col("x1") * F.col("x2")).alias("a")).collect()
         bv = {r[0]: r[1] for r in xm.groupBy(cell).agg(F.sum(F.col("_mu") * F.col("_x") / F.col("_var"))).collect()}
         c = mom.agg(F.sum(F.col("_mu") * F.col("_mu") / F.col("_var"))).first()[0] or 0.0
-        cells = [r[0] for r in norm.select(cell).distinct().collect()]  # n_cells <= n_genes: a small list
+        cells = [r[0] for r in cells_df.collect()]  # n_cells <= n_genes: a small list
+        x.unpersist()
+        cells_df.unpersist()
         av = {(r[0], r[1]): r[2] for r in A}
         pairs = [(i, j, av.get((i, j), 0.0) - bv.get(i, 0.0) - bv.get(j, 0.0) + c) for i in cells for j in cells]
         names, idx, _w, scores = _eig_scores(pairs, k)
