@@ -104,7 +104,7 @@ def q_mtx_scan(spark, sf):
 
 
 @register("sheet_scan", with_views("""
-select cast(ord as varchar) as ord, replace(sample, ' ', ' ') as sample, fastq_1, fastq_2, strandedness from f11_sheet""",
+select cast(ord as varchar) as ord, sample, fastq_1, fastq_2, strandedness from f11_sheet""",
                                     "f11_sheet"))
 def q_sheet_scan(spark, sf):
     path = X.export_sheet(fixture(spark, sf, "f11_sheet"), X.fresh_dir(spark, "sheet"))
