@@ -79,6 +79,9 @@ def scale_pca(norm: DataFrame, genes: DataFrame, k: int = 10, feature: str = "fe
     cells_df = norm.select(cell).distinct().persist()
     n_cells = cells_df.count()  # scalars
     n_genes = x.select(feature).distinct().count()
+    if n_genes == 0:  # nothing selected: every component is undefined
+        x.unpersist()
+        return cells_df.select(cell, *[F.lit(None).cast("double").alias(f"PC{j + 1}") for j in range(k)])
     if n_cells <= n_genes:
         n = float(n_cells)
         mom = x.groupBy(feature).agg(F.sum("_x").alias("_s1"), F.sum(F.col("_x") * F.col("_x")).alias("_s2"))
@@ -96,8 +99,8 @@ def scale_pca(norm: DataFrame, genes: DataFrame, k: int = 10, feature: str = "fe
         av = {(r[0], r[1]): r[2] for r in A}
         pairs = [(i, j, av.get((i, j), 0.0) - bv.get(i, 0.0) - bv.get(j, 0.0) + c) for i in cells for j in cells]
         names, idx, _w, scores = _eig_scores(pairs, k)
-        k = min(k, len(names))
-        rows = [(s, *[float(scores[idx[s], j]) for j in range(k)]) for s in names]
+        kk = min(k, len(names))  # components beyond the matrix rank stay null (stable schema)
+        rows = [(s, *[float(scores[idx[s], j]) if j < kk else None for j in range(k)]) for s in names]
         return spark.createDataFrame(rows, f"{cell} string, " + ", ".join(f"PC{j + 1} double" for j in range(k)))
 
     from pyspark.ml.feature import PCA, StandardScaler
@@ -109,9 +112,10 @@ def scale_pca(norm: DataFrame, genes: DataFrame, k: int = 10, feature: str = "fe
     dense = F.transform(F.sequence(F.lit(1), F.lit(n_genes)), lambda i: F.coalesce(F.col("_m")[i.cast("long")], F.lit(0.0)))
     v = norm.select(cell).distinct().join(vec, cell, "left").select(cell, array_to_vector(dense).alias("features"))
     scaled = StandardScaler(inputCol="features", outputCol="z", withMean=True, withStd=True).fit(v).transform(v)
-    model = PCA(k=k, inputCol="z", outputCol="pcs").fit(scaled)
+    kk = min(k, n_genes)  # PCA needs k <= vector size; missing components stay null
+    model = PCA(k=kk, inputCol="z", outputCol="pcs").fit(scaled)
     out = model.transform(scaled).select(cell, vector_to_array("pcs").alias("_p"))
-    return out.select(cell, *[F.col("_p")[j].alias(f"PC{j + 1}") for j in range(k)])
+    return out.select(cell, *[F.get(F.col("_p"), j).alias(f"PC{j + 1}") for j in range(k)])
 
 
 def fit_dup_rate(rates: DataFrame):

@@ -196,7 +196,7 @@ def q_token_batches(spark, sf):
 @register("mean_pool", with_views("""
 , r as (select *, row_number() over (partition by seq_id order by tok) as rk from f10_tokens),
 e as (select seq_id, unnest(range(0, len(embedding))) as dim, unnest(embedding) as v from r where rk <= 5)
-select seq_id, cast(dim as int) as dim, round(avg(cast(v as double)), 6) as mean from e group by 1, 2""", "f10_tokens"))
+select seq_id, cast(dim as int) as dim, round(avg(cast(v as double)), 6) + 0.0 as mean from e group by 1, 2""", "f10_tokens"))
 def q_mean_pool(spark, sf):
     r = ST.mean_pool(fixture(spark, sf, "f10_tokens"), 5)
     return r.select("seq_id", "dim", F.round("mean", 6).alias("mean"))
