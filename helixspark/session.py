@@ -56,12 +56,15 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from the session; only when it is unset (local tests) a fresh scratch
-    folder is made and set.
+    Read from the session. Only a local master may run without one (tests): a fresh
+    scratch folder is then made and set. On a cluster an unset folder is an error, as
+    executors do not share the driver's local folders.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="helix-ckpt-")
         sc.setCheckpointDir(d)
     elif not sc.getCheckpointDir():
