@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from helixspark.llm.quality import op7_quality_rules
+from helixspark.llm.secrets import op3_secret_scan
+from helixspark.llm.toxicity import op9_toxicity
 from helixspark.plans.registry import Query
 
 
 def llm_queries() -> dict[str, Query]:
-    fns = [op7_quality_rules]
+    fns = [op3_secret_scan, op7_quality_rules, op9_toxicity]
     return {f.__name__: Query(f.__name__, f, None) for f in fns}
