@@ -97,7 +97,7 @@ def _rows(vectors: list[dict[int, float]], index: dict[int, int]) -> tuple[np.nd
 
 
 def fit(xs: list[dict[int, float]], diffs: list[dict[int, float]], y: np.ndarray, steps: int = 150,
-        sparsity: float = 3e-4, fairness: float = 1.0, positive: float = 6.0, min_rows: int = 4,
+        sparsity: float = 2e-3, fairness: float = 1.0, positive: float = 8.0, min_rows: int = 4,
         max_features: int = 20_000) -> ToxicModel:
     """Proximal logistic regression on the sparse rows ``xs`` with the penalty
     ``fairness * mean((w . diff) ** 2)``; features are those of ``min_rows`` rows or more that
