@@ -7,10 +7,11 @@ from helixspark.llm.lexicon import op4_bpe_lexicon
 from helixspark.llm.packing import op1_mixture_packing
 from helixspark.llm.quality import op7_quality_rules
 from helixspark.llm.secrets import op3_secret_scan
+from helixspark.llm.setsketch import op2_setsketch_dedup
 from helixspark.llm.toxicity import op9_toxicity
 from helixspark.plans.registry import Query
 
 
 def llm_queries() -> dict[str, Query]:
-    fns = [op1_mixture_packing, op3_secret_scan, op4_bpe_lexicon, op7_quality_rules, op9_toxicity, op10_chat_format]
+    fns = [op1_mixture_packing, op2_setsketch_dedup, op3_secret_scan, op4_bpe_lexicon, op7_quality_rules, op9_toxicity, op10_chat_format]
     return {f.__name__: Query(f.__name__, f, None) for f in fns}
