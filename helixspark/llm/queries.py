@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from helixspark.llm.chat import op10_chat_format
+from helixspark.llm.embeddings import op6_embedding_dedup
 from helixspark.llm.lexicon import op4_bpe_lexicon
 from helixspark.llm.packing import op1_mixture_packing
 from helixspark.llm.quality import op7_quality_rules
@@ -13,5 +14,5 @@ from helixspark.plans.registry import Query
 
 
 def llm_queries() -> dict[str, Query]:
-    fns = [op1_mixture_packing, op2_setsketch_dedup, op3_secret_scan, op4_bpe_lexicon, op7_quality_rules, op9_toxicity, op10_chat_format]
+    fns = [op1_mixture_packing, op2_setsketch_dedup, op3_secret_scan, op4_bpe_lexicon, op6_embedding_dedup, op7_quality_rules, op9_toxicity, op10_chat_format]
     return {f.__name__: Query(f.__name__, f, None) for f in fns}
