@@ -1,11 +1,12 @@
 """Near-duplicate vectors by spherical k-means cells and blocked cosine products.
 
-Unit vectors go to their nearest of about sqrt(n) centroids, fitted on a bounded sample.
+Vectors go to the nearest of about 2 * cbrt(n) unit centroids, fitted on a bounded sample (few
+cells, as each vector is lent to a share of them).
 A vector is also lent to each cell whose border it is close to, so a pair that straddles a
 border meets in one cell (the lower-numbered of its two). With ``reach`` at the sine of the
-threshold angle (0.368 at cosine 0.93) no pair can be missed; at the default 0.25 a pair is
-missed only if its difference points within some 50 degrees of the normal of the border, which in
-64 dimensions is five standard deviations off (see the README for measured recall).
+threshold angle (0.368 at cosine 0.93) no pair can be missed; at the default 0.2 a pair of
+cosine 0.93 is missed only if its difference points within some 60 degrees of the border's normal,
+four standard deviations off in 64 dimensions (the README has the measured recall).
 
 Cells are cut into blocks and block pairs are multiplied, whatever a cell's size. A block
 reports link counts and a spanning forest of its links, never all pairs. Equal vectors of one
@@ -45,6 +46,13 @@ def unit(v) -> np.ndarray | None:
     return a / math.sqrt(float(a @ a))
 
 
+def stacked(raw: list[bytes], kind: str) -> np.ndarray:
+    """Unit rows from stored vectors of one length."""
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     """Unit centroids of the unit rows ``x``: nearest by cosine, mean, renormalised; an empty
     cell keeps its centroid."""
@@ -89,11 +97,11 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def block_links(group: list[tuple], threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+def block_links(group: list[tuple], threshold: float, kind: str = "<f8") -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Links of one block pair. Rows: (x, y, g, home, mult, vector). Left and right rows are
     compared if one of them is at home here; returns weighted counts and a spanning forest."""
     x, y = group[0][:2]
-    v = np.stack([np.frombuffer(r[5], np.float64) for r in group])
+    v = stacked([r[5] for r in group], kind)
     g, home, mult = (np.array([r[i] for r in group]) for i in (2, 3, 4))
     hit = v @ v.T >= threshold
     hit &= home[:, None] | home[None, :]
@@ -103,16 +111,17 @@ def block_links(group: list[tuple], threshold: float) -> tuple[np.ndarray, list[
     return hit @ mult, forest(hit)
 
 
-def link_vectors(df: DataFrame, threshold: float = 0.93, reach: float = 0.25, sample: int = 20_000, max_cells: int = 4096,
+def link_vectors(df: DataFrame, threshold: float = 0.93, reach: float = 0.2, sample: int = 20_000, max_cells: int = 2048,
                  block: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Per input row: id, ``n_links``, ``component_id``, ``kept``. ``sample`` rows at most reach the
     driver for the fit; every row is assigned and compared."""
     kinds = {c: df.schema[c].dataType.simpleString() for c in (id_col, label_col)}
+    kind = "<f4" if df.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"
     d = df.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vec_col).alias("v"))
 
     def prepare(c):
         vec = [unit(v) if lab is not None else None for v, lab in zip(c["v"].to_pylist(), c["label"].to_pylist())]
-        raw = [None if a is None else a.tobytes() for a in vec]
+        raw = [None if a is None else np.array(v, kind).tobytes() for a, v in zip(vec, c["v"].to_pylist())]
         key = [None if b is None else xxhash.xxh3_128_digest(f"{lab}:".encode() + b) for b, lab in zip(raw, c["label"].to_pylist())]
         return {"id": c["id"], "label": c["label"], "key": key, "v": raw}
 
@@ -120,31 +129,30 @@ def link_vectors(df: DataFrame, threshold: float = 0.93, reach: float = 0.25, sa
     valid = rows.where("key is not null")
     sizes = valid.groupBy("key").agg(F.count("*").alias("mult"), F.min("id").alias("first"))
     classes = written(valid.dropDuplicates(["key"]).select("key", "label", "v").join(sizes, "key"), "classes")
-    k = min(max_cells, math.ceil(math.sqrt(classes.count())))
+    k = min(max_cells, math.ceil(2 * classes.count() ** (1 / 3)))
     drawn = classes.select("v", F.xxhash64("key").alias("h")).orderBy("h").limit(sample).collect()
     by_dim: dict[int, list[bytes]] = {}
     for r in drawn:
         by_dim.setdefault(len(r["v"]), []).append(bytes(r["v"]))
-    centres = {n: spherical_kmeans(np.stack([np.frombuffer(b, np.float64) for b in v]), k) for n, v in by_dim.items()}
+    centres = {n: spherical_kmeans(stacked(v, kind), k) for n, v in by_dim.items()}
 
     def place(c):
         v = c["v"].to_pylist()
         out = {"row": [], "cell": [], "home": []}
         for n in sorted({len(b) for b in v}):
             at = [i for i, b in enumerate(v) if len(b) == n]
-            x = np.stack([np.frombuffer(v[i], np.float64) for i in at])
+            x = stacked([v[i] for i in at], kind)
             home, lent = cells_of(x, centres[n], reach) if n in centres else (np.zeros(len(at), int), [()] * len(at))
             for i, h, more in zip(at, home.tolist(), lent):
                 out["row"] += [i] * (1 + len(more))
                 out["cell"] += [h, *map(int, more)]
                 out["home"] += [True] + [False] * len(more)
         take = pa.array(out["row"], pa.int64())
-        return {x: c[x].take(take) for x in ("key", "label", "mult", "v")} | {"dim": [len(v[i]) // 8 for i in out["row"]], "cell": out["cell"], "home": out["home"]}
+        return {x: c[x].take(take) for x in ("key", "label", "mult", "v")} | {"dim": [len(v[i]) for i in out["row"]], "cell": out["cell"], "home": out["home"]}
 
     at = ["dim", "label", "cell"]
     placed = map_batches(classes.select("key", "label", "mult", "v"), place,
                          f"key binary, label {kinds[label_col]}, mult long, v binary, dim int, cell int, home boolean")
-    placed = written(placed, "cells")
     blocks = placed.groupBy(*at).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     m = placed.join(blocks, at).withColumn("g", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -155,7 +163,7 @@ def link_vectors(df: DataFrame, threshold: float = 0.93, reach: float = 0.25, sa
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(group):
-            n, edges = block_links([r[3:9] for r in group], threshold)
+            n, edges = block_links([r[3:9] for r in group], threshold, kind)
             keys = [r[9] for r in group]
             out = [(keys[i], int(n[i]), None) for i in np.flatnonzero(n)] + [(keys[i], 0, keys[j]) for i, j in edges]
             return to_batch(dict(zip(("a", "n", "b"), map(list, zip(*out)))) if out else {"a": [], "n": [], "b": []}, arrow)
