@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,29 +39,64 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHash(dict):
-    def __missing__(self, w: bytes) -> int:
-        h = self[w] = xxhash.xxh3_64_intdigest(w)
-        return h
+_ODD = 0x9E3779B97F4A7C15
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _C)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-_WORDS = _WordHash()
+@lru_cache(maxsize=16)
+def _powers(base: int, bits: int) -> np.ndarray:
+    """The first 2 ** bits powers of an odd number, modulo 2 ** 64."""
+    out = np.ones(1, np.uint64)
+    while len(out) < 1 << bits:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
+    return out
+
+
+def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its ``k``-word shingles; A-Z is lower-cased,
+    words are runs without space or U+0009..U+000D. Fewer words: the whole sequence; none:
+    empty. Word hashes are differences of one running polynomial over all bytes."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    b = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
+    space = _SPACE[b]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    begin, end = edge[::2], edge[1::2]
+    bits = max(16, len(b).bit_length())
+    run = np.cumsum(_BYTES[_LOWER[b]] * _powers(_ODD, bits)[:len(b)])
+    words = mix((run[end - 1] - run[begin - 1]) * _powers(pow(_ODD, -1, 1 << 64), bits)[begin] + (end - begin).astype(np.uint64))
+    first = np.searchsorted(begin, np.cumsum([1] + [len(r) + 1 for r in raw]))
+    out = []
+    for lo, hi in zip(first, first[1:]):
+        w = words[lo:hi]
+        n = min(k, len(w))
+        h = np.zeros(len(w) - n + 1 if n else 0, np.uint64)
+        for j in range(n):
+            h = h * _C + w[j:len(w) - n + 1 + j]
+        h = mix(h + np.uint64(n))
+        h.sort()
+        out.append(h[np.concatenate(([True], h[1:] != h[:-1]))] if n else h)
+    return out
+
+
+def blocks(texts: list[str], size: int = 1 << 18, most: int = 128) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``most`` texts and about ``size`` characters; a longer text stands alone."""
+    lo = total = 0
+    for i, t in enumerate(texts):
+        if i > lo and (total + len(t) > size or i - lo >= most):
+            yield lo, i
+            lo, total = i, 0
+        total += len(t)
+    if lo < len(texts):
+        yield lo, len(texts)
 
 
-def shingles(text: str, k: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``k``-word shingles; A-Z is lower-cased, words are
-    runs without space or U+0009..U+000D. Fewer words: the whole sequence; none: empty."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_WORDS) > 1_000_000:
-        _WORDS.clear()
-    w = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    n = min(k, len(w))
-    h = np.zeros(len(w) - n + 1, np.uint64)
-    for j in range(n):
-        h = h * _C + w[j:len(w) - n + 1 + j]
-    return np.unique(mix(h + np.uint64(n)))
+def all_sets(texts: list[str], k: int) -> Iterator[np.ndarray]:
+    for lo, hi in blocks(texts):
+        yield from shingle_sets(texts[lo:hi], k)
 
 
 def set_key(s: np.ndarray) -> bytes:
@@ -100,12 +136,12 @@ def minima(sets: list[np.ndarray], m: int) -> np.ndarray:
     return out
 
 
-def signatures(texts: list[str], p: Banding, block: int = 128) -> tuple[list, list, list, list]:
+def signatures(texts: list[str], p: Banding) -> tuple[list, list, list, list]:
     """Per text: the size and key of its set, its registers as bytes and its band hashes;
     nulls for a text without words."""
     size, key, regs, bands = [], [], [], []
-    for lo in range(0, len(texts), block):
-        sets = [shingles(t, p.k) for t in texts[lo:lo + block]]
+    for lo, hi in blocks(texts):
+        sets = shingle_sets(texts[lo:hi], p.k)
         some = [s for s in sets if len(s)]
         if some:
             r = p.sketch(minima(some, p.m)).astype(p.kind)
@@ -133,13 +169,12 @@ def first_texts(df: DataFrame, k: int, cut: Callable[[str], list[str]] = lambda
         seen: set[bytes] = set()
         for b in batches:
             keys, texts = [], []
-            for t in b.column(0).to_pylist():
-                for part in cut(t or ""):
-                    s = shingles(part, k)
-                    if len(s) and (key := set_key(s)) not in seen:
-                        seen.add(key)
-                        keys.append(key)
-                        texts.append(part)
+            parts = [part for t in b.column(0).to_pylist() for part in cut(t or "")]
+            for part, s in zip(parts, all_sets(parts, k)):
+                if len(s) and (key := set_key(s)) not in seen:
+                    seen.add(key)
+                    keys.append(key)
+                    texts.append(part)
             yield to_batch({"key": keys, "text": texts}, arrow)
 
     return df.select("text").mapInArrow(run, st)
@@ -159,8 +194,14 @@ def likely(pairs: DataFrame, classes: DataFrame, p: Banding) -> DataFrame:
     return map_batches(j.select("a", "b", "na", "nb", "ra", "rb"), run, "a binary, b binary")
 
 
+def _dealt(df: DataFrame, *cols: str) -> DataFrame:
+    """Dealt by ``cols`` over all shuffle partitions: the rows are few but costly, so they are
+    not gathered into fewer tasks by size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, p: Banding, share: int = 128) -> DataFrame:
-    """Those of ``pairs`` whose full sets reach the threshold.
+    """Those of ``pairs`` whose full sets reach the threshold; ``texts``: (key, text).
 
     Pairs are dealt by (a, part): a class with many partners is split into parts of about
     ``share`` of them. A task reads the rows of a part in order, the text of ``a`` first, and
@@ -168,12 +209,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: Banding, share: int = 128)
     pairs = written(pairs, "pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / share).alias("parts"))
     dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
-    need = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    have = written(texts.join(need, "key").dropDuplicates(["key"]), "texts")
-    lead = dealt.select("a", "part").distinct().join(have.withColumnRenamed("key", "a"), "a").select(
+    lead = dealt.select("a", "part").distinct().join(texts.withColumnRenamed("key", "a"), "a").select(
         "a", "part", F.lit(None).cast("binary").alias("b"), "text")
-    rest = dealt.join(have.withColumnRenamed("key", "b"), "b").select("a", "part", "b", "text")
-    rows = lead.unionByName(rest).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    rest = dealt.join(texts.withColumnRenamed("key", "b"), "b").select("a", "part", "b", "text")
+    rows = _dealt(lead.unionByName(rest), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
     st = StructType.fromDDL("a binary, b binary")
     arrow = to_arrow_schema(st)
 
@@ -181,14 +220,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: Banding, share: int = 128)
         mine = np.zeros(0, np.uint64)
         for batch in batches:
             out = {"a": [], "b": []}
-            for i in range(batch.num_rows):
-                s, b = shingles(batch.column(3)[i].as_py(), p.k), batch.column(2)[i].as_py()
+            sides = zip(*[c.to_pylist() for c in batch.columns[:3]])
+            for (a, _, b), s in zip(sides, all_sets(batch.column(3).to_pylist(), p.k)):
                 if b is None:
                     mine = s
                     continue
                 both = len(np.intersect1d(mine, s, assume_unique=True))
                 if 100 * both >= p.threshold * (len(mine) + len(s) - both):
-                    out["a"].append(batch.column(0)[i].as_py())
+                    out["a"].append(a)
                     out["b"].append(b)
             yield to_batch(out, arrow)
 
@@ -204,29 +243,32 @@ def across(members: DataFrame, p: Banding, block: int = 512) -> DataFrame:
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     m = m.select("band", F.least("g", "o").alias("x"), F.greatest("g", "o").alias("y"), "g", "key", "n", "regs", "comp")
     names = ["band", "x", "y"]
-    rows = m.repartition(*names).sortWithinPartitions(*names)
+    rows = _dealt(m, *names).sortWithinPartitions(*names)
     st = StructType.fromDDL("a binary, b binary")
     arrow = to_arrow_schema(st)
 
     def close(group: list[tuple]) -> dict:
-        out = {"a": [], "b": []}
         x, y = group[0][1:3]
         left = [r for r in group if r[3] == x]
         right = left if x == y else [r for r in group if r[3] == y]
         if not left or not right:
-            return out
+            return {"a": [], "b": []}
         regs = [np.frombuffer(b"".join(r[6] for r in s), p.kind).reshape(-1, p.m) for s in (left, right)]
         n = [np.array([r[5] for r in s]) for s in (left, right)]
-        for i, r in enumerate(left):
-            j = np.flatnonzero((np.minimum(n[1], r[5]) * 100 >= np.maximum(n[1], r[5]) * p.threshold))
-            j = np.array([v for v in j if right[v][7] != r[7] and (x != y or right[v][4] > r[4])], np.int64)
-            if len(j):
-                est = p.estimate(np.repeat(regs[0][i:i + 1], len(j), 0), regs[1][j], np.full(len(j), r[5]), n[1][j])
-                for v in j[est >= p.doubt]:
-                    a, b = sorted((r[4], right[v][4]))
-                    out["a"].append(a)
-                    out["b"].append(b)
-        return out
+        code = {c: i for i, c in enumerate({r[7] for r in group})}
+        comp = [np.array([code[r[7]] for r in s]) for s in (left, right)]
+        same = np.zeros((len(left), len(right)), np.int32)
+        for i in range(p.m):
+            same += regs[0][:, i, None] == regs[1][None, :, i]
+        # the share of equal registers is the plain estimate; the joint one follows where it is near
+        ok = (same >= p.m * (p.doubt - 0.15)) & (comp[0][:, None] != comp[1][None, :])
+        ok &= np.minimum.outer(n[0], n[1]) * 100 >= np.maximum.outer(n[0], n[1]) * p.threshold
+        i, j = np.nonzero(np.triu(ok, 1) if x == y else ok)
+        if len(i):
+            near = p.estimate(regs[0][i], regs[1][j], n[0][i], n[1][j]) >= p.doubt
+            i, j = i[near], j[near]
+        pairs = [sorted((left[u][4], right[v][4])) for u, v in zip(i.tolist(), j.tolist())]
+        return {"a": [a for a, _ in pairs], "b": [b for _, b in pairs]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
@@ -249,7 +291,10 @@ def near_classes(classes: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
     star = spread.groupBy("band").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select("band", "a")
     buckets = written(spread.join(star, "band"), "buckets")
     pairs = buckets.where("key != a").select("a", F.col("key").alias("b")).distinct()
-    edges = written(confirmed(likely(pairs, classes, p), texts, p), "links")
+    # the texts of all that share a bucket with another class are read once, for both searches
+    some = buckets.select("key").distinct()
+    have = written(texts.join(some, "key").dropDuplicates(["key"]), "texts")
+    edges = written(confirmed(likely(pairs, classes, p), have, p), "links")
     comp = components(edges)
     placed = (buckets.select("band", "key").join(comp.withColumnRenamed("node", "key"), "key", "left")
               .select("band", "key", F.coalesce("root", "key").alias("comp")))
@@ -258,5 +303,5 @@ def near_classes(classes: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
     more = buckets.groupBy("band").agg(F.count("*").alias("c")).where("c > 2").select("band")
     rest = (placed.join(split, "band").join(more, "band").join(classes.select("key", "n", "regs"), "key"))
     again = across(rest.select("band", "key", "n", "regs", "comp"), p).join(pairs, ["a", "b"], "left_anti")
-    late = written(confirmed(again, texts, p), "links")
+    late = written(confirmed(again, have, p), "links")
     return comp if late.isEmpty() else components(comp.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))

@@ -8,6 +8,7 @@ from helixspark.llm.embeddings import op6_embedding_dedup
 from helixspark.llm.lexicon import op4_bpe_lexicon
 from helixspark.llm.packing import op1_mixture_packing
 from helixspark.llm.paragraphs import op5_paragraph_dedup
+from helixspark.llm.pii import op8_pii_crf
 from helixspark.llm.quality import op7_quality_rules
 from helixspark.llm.secrets import op3_secret_scan
 from helixspark.llm.setsketch import op2_setsketch_dedup
@@ -18,6 +19,6 @@ from helixspark.plans.registry import Query
 def llm_queries() -> dict[str, Query]:
     fns = {f.__name__: f for f in (
         op1_mixture_packing, op2_setsketch_dedup, op3_secret_scan, op4_bpe_lexicon, op5_paragraph_dedup,
-        op6_embedding_dedup, op7_quality_rules, op9_toxicity, op10_chat_format)}
+        op6_embedding_dedup, op7_quality_rules, op8_pii_crf, op9_toxicity, op10_chat_format)}
     fns["pipeline"] = corpus_pipeline.run
     return {name: Query(name, f, corpus_pipeline.ORACLE_SQL if name == "pipeline" else None) for name, f in fns.items()}

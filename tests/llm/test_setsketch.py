@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from helixspark.llm.graph import components
-from helixspark.llm.neardup import minima, shingles
+from helixspark.llm.neardup import minima, shingle_sets
 from helixspark.llm.setsketch import joint_similarity, merged, near_duplicates, registers
 
 
@@ -75,8 +75,17 @@ def test_sketch_merges_and_estimates():
 
 
 def test_words():
-    assert len(shingles("A b\x0bC d", 4)) == 1 and (shingles("A b\x0bC d", 4) == shingles("a B c D", 4)).all()
-    assert len(shingles("a\xa0b c d", 4)) == 1 and not (shingles("É b c d", 4) == shingles("é b c d", 4)).any()
+    def one(t, k=4):
+        return shingle_sets([t], k)[0]
+
+    assert len(one("A b\x0bC d")) == 1 and (one("A b\x0bC d") == one("a B c D")).all()
+    assert len(one("a\xa0b c d")) == 1 and not (one("É b c d") == one("é b c d")).any()
+    texts = ["", "a", "a b c d e", " \n", "a b c d e a b c d e", "x " * 5000, "é 語 x y z"]
+    for k in (1, 4, 5):
+        for t, s in zip(texts, shingle_sets(texts, k)):
+            w = t.split()
+            want = len({tuple(w[i:i + k]) for i in range(len(w) - k + 1)} or ({tuple(w)} if w else ()))
+            assert len(s) == want and (s == one(t, k)).all()
 
 
 def test_components(spark):
