@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixspark.session import written_once
+
 
 def rank_within(df: DataFrame, keys: list[str], order: list, name: str = "rank") -> DataFrame:
     """1-based ``row_number`` within ``keys`` by ``order`` that does not put a whole
@@ -12,29 +14,47 @@ def rank_within(df: DataFrame, keys: list[str], order: list, name: str = "rank")
 
     A plain ``Window.partitionBy(keys)`` sends every row of a key to one task, so a key
     holding a third of the data is sorted by a single core. Here the rows are first
-    range-partitioned on (keys, order) by a global sort, which splits a hot key over
-    many partitions; ranks are taken inside each (key, partition) piece, and each
-    piece is shifted by the row counts of the earlier pieces of its key (a small
-    table: one row per key and partition it spans).
+    range-partitioned on (keys, order), which splits a hot key over many pieces; ranks
+    are taken inside each (key, piece), written once, and shifted by the row counts of
+    the earlier pieces of the key (a small table: one row per key and piece).
+    Null keys are a group of their own.
     """
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    s = _pieces(df, keys, order_cols)
-    local = Window.partitionBy(*keys, "_pid").orderBy(*order_cols)
-    s = s.withColumn("_lr", F.row_number().over(local))
-    counts = s.groupBy(*keys, "_pid").agg(F.count("*").alias("_n"))
-    # small table: one row per (key, partition) piece
-    before = _key_window(keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return (
-        s.join(offs, [*keys, "_pid"])
-        .withColumn(name, (F.col("_lr") + F.col("_off")).cast("long"))
-        .drop("_pid", "_lr", "_off")
-    )
+    order_cols = _columns(order)
+    local = Window.partitionBy(*keys, PIECE).orderBy(*order_cols)
+    s = written_once(_pieces(df, keys, order_cols).withColumn("_lr", F.row_number().over(local)), "ranks")
+    offs = _offsets(s, keys, F.count("*"))
+    return _shifted(s, offs, keys).withColumn(name, (F.col("_lr") + F.col("_off")).cast("long")).drop("_lr", "_off")
+
+
+#: Column with the number of a row's range piece. It is data of a written table: it is computed
+#: once, as a second range partitioning would draw other borders.
+PIECE = "_piece"
+
+
+def _columns(order: list) -> list[Column]:
+    return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
 def _pieces(df: DataFrame, keys: list[str], order_cols: list[Column]) -> DataFrame:
-    """Range-partition on (keys, order) and tag each row with its partition id."""
-    return df.repartitionByRange(*[F.col(k) for k in keys], *order_cols).withColumn("_pid", F.spark_partition_id())
+    """Range-partitioned on (keys, order), each row with its piece."""
+    return df.repartitionByRange(*[F.col(k) for k in keys], *order_cols).withColumn(PIECE, F.spark_partition_id())
+
+
+def _offsets(s: DataFrame, keys: list[str], total: Column) -> DataFrame:
+    """Per key and piece of a written table the ``total`` over the key's earlier pieces."""
+    before = _key_window(keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    t = s.groupBy(*keys, PIECE).agg(total.alias("_t"))
+    return t.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
+
+
+def _shifted(s: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """``s`` joined to the per-piece table on piece and keys, nulls equal; drops the piece."""
+    names = [*keys, PIECE]
+    right = small.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(names)], *[c for c in small.columns if c not in names])
+    cond = F.lit(True)
+    for i, k in enumerate(names):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r{i}"))
+    return s.join(right, cond).drop(PIECE, *[f"_r{i}" for i in range(len(names))])
 
 
 def _key_window(keys: list[str]) -> Window:
@@ -47,17 +67,14 @@ def prefix_sum(df: DataFrame, keys: list[str], order: list, value: str, name: st
     over the whole key: local running sums per range piece plus the totals of the
     earlier pieces of the same key (the same scheme as ``rank_within``).
     ``inclusive=False`` gives the sum of the rows strictly before."""
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    s = _pieces(df, keys, order_cols)
-    local = Window.partitionBy(*keys, "_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn("_ls", F.sum(value).over(local))
-    tot = s.groupBy(*keys, "_pid").agg(F.sum(value).alias("_t"))
-    before = _key_window(keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
-    out = s.join(offs, [*keys, "_pid"]).withColumn(name, F.col("_ls") + F.col("_off"))
+    order_cols = _columns(order)
+    local = Window.partitionBy(*keys, PIECE).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    s = written_once(_pieces(df, keys, order_cols).withColumn("_ls", F.sum(value).over(local)), "sums")
+    offs = _offsets(s, keys, F.coalesce(F.sum(value), F.lit(0)))
+    out = _shifted(s, offs, keys).withColumn(name, F.col("_ls") + F.col("_off"))
     if not inclusive:
         out = out.withColumn(name, F.col(name) - F.col(value))
-    return out.drop("_pid", "_ls", "_off")
+    return out.drop("_ls", "_off")
 
 
 def neighbours(df: DataFrame, keys: list[str], order: list, cols: list[str], prefix_prev: str = "prev_",
@@ -66,24 +83,24 @@ def neighbours(df: DataFrame, keys: list[str], order: list, cols: list[str], pre
     range piece; the first (last) row of a piece takes its neighbour from the last
     (first) row of the adjacent non-empty piece of the same key, found in a small
     per-piece table."""
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    order_cols = _columns(order)
+    w = Window.partitionBy(*keys, PIECE).orderBy(*order_cols)
     s = _pieces(df, keys, order_cols)
-    w = Window.partitionBy(*keys, "_pid").orderBy(*order_cols)
     for c in cols:
         s = s.withColumn(prefix_prev + c, F.lag(c).over(w)).withColumn(prefix_next + c, F.lead(c).over(w))
-    s = s.withColumn("_first", F.row_number().over(w) == 1).withColumn(
-        "_last", F.row_number().over(w.orderBy(*[o.desc() for o in order_cols])) == 1)
-    edge = s.groupBy(*keys, "_pid").agg(
-        F.max_by(F.struct(*cols), F.struct(*order_cols)).alias("_lastrow"),
-        F.min_by(F.struct(*cols), F.struct(*order_cols)).alias("_firstrow"))
-    kw = _key_window(keys).orderBy("_pid")
+    s = s.withColumn("_first", F.row_number().over(w) == 1).withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    s = written_once(s, "neighbours")
+    edge = s.groupBy(*keys, PIECE).agg(
+        F.max(F.when(F.col("_last"), F.struct(*cols))).alias("_lastrow"),
+        F.max(F.when(F.col("_first"), F.struct(*cols))).alias("_firstrow"))
+    kw = _key_window(keys).orderBy(PIECE)
     edge = edge.withColumn("_prevpiece", F.lag("_lastrow").over(kw)).withColumn(
         "_nextpiece", F.lead("_firstrow").over(kw)).drop("_lastrow", "_firstrow")
-    s = s.join(edge, [*keys, "_pid"])
+    s = _shifted(s, edge, keys)
     for c in cols:
         s = s.withColumn(prefix_prev + c, F.when(F.col("_first"), F.col("_prevpiece")[c]).otherwise(F.col(prefix_prev + c)))
         s = s.withColumn(prefix_next + c, F.when(F.col("_last"), F.col("_nextpiece")[c]).otherwise(F.col(prefix_next + c)))
-    return s.drop("_pid", "_first", "_last", "_prevpiece", "_nextpiece")
+    return s.drop("_first", "_last", "_prevpiece", "_nextpiece")
 
 
 def first_true(rules: list[tuple[str, Column]]) -> Column:

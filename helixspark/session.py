@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,10 +47,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def apply_conf(spark: SparkSession) -> SparkSession:
     """Apply the settings the library needs to an existing session."""
     for k, v in CORE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings on some clusters
-            pass
+    if spark.conf.get("spark.sql.mapKeyDedupPolicy") != "LAST_WIN":
+        raise RuntimeError("spark.sql.mapKeyDedupPolicy must be LAST_WIN: the last of two equal INFO keys wins")
     return spark
 
 
@@ -78,6 +79,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a fresh table in the shared checkpoint folder, read back. Every reader sees the
+    same rows, so a column that depends on partitioning can be joined on."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)

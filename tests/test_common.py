@@ -33,6 +33,32 @@ def test_rank_prefix_neighbours(spark, skewed, parts):
     assert {r["id"]: (r["rk"], r["cum"], r["prev_v"], r["next_v"]) for r in got.collect()} == exp
 
 
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_helpers_over_many_partitions(spark, coalesce):
+    """200,000 rows with a payload and null keys, kept in many shuffle partitions."""
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": coalesce, "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(200_000).select(
+            F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 0, F.concat(F.lit("k"), F.col("id") % 5)).alias("k"),
+            (F.xxhash64("id") % 1000).alias("o"), "id", (F.col("id") % 9).alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        w = Window.partitionBy("k").orderBy("o", "id")
+        want = df.select("id", F.row_number().over(w).alias("rk"), F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
+                         F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n"))
+        a = rank_within(df, ["k"], ["o", "id"], "rk").select("id", "rk", "payload")
+        b = prefix_sum(df, ["k"], ["o", "id"], "v", "cum").select("id", "cum")
+        c = neighbours(df, ["k"], ["o", "id"], ["v"]).select("id", F.col("prev_v").alias("p"), F.col("next_v").alias("n"))
+        got = a.where("payload = sha2(cast(id as string), 256)").join(b, "id").join(c, "id").select("id", "rk", "cum", "p", "n")
+        assert got.count() == 200_000
+        assert got.exceptAll(want.select(got.columns)).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_interval_and_overlap_joins_match_brute_force(spark):
     rnd = random.Random(2)
     pts = [(i, "c1", rnd.randint(0, 5000)) for i in range(400)]
