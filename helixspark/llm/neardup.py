@@ -8,8 +8,8 @@ falls into one bucket per band. Work never grows with the square of a bucket:
 3. only buckets that still hold several components are searched further, in blocks of
    classes, and only for pairs across components, so no link is lost.
 
-Candidate pairs are first judged by the sketch estimate, then confirmed on the full shingle
-sets of the whole texts.
+Candidate pairs are first judged by a finer sketch, taken of the classes that share a bucket,
+then confirmed on the full shingle sets of the whole texts.
 """
 
 from __future__ import annotations
@@ -114,13 +114,19 @@ class Banding:
     estimate: Callable = field(repr=False)  # registers and sizes of both sides to similarities
     kind: str = "<u2"
     threshold: int = 80
-    #: Pairs estimated below it are not confirmed: five standard errors of 0.8 at 63 registers.
-    doubt: float = 0.55
+    #: Registers of the fine sketch, taken only of texts that share a bucket with another.
+    fine: int = 512
 
     @property
     def m(self) -> int:
         return self.rows * self.bands
 
+    def doubt(self, m: int) -> float:
+        """Pairs estimated below it from ``m`` registers are not confirmed: five standard errors
+        under the threshold."""
+        t = self.threshold / 100
+        return t - 5 * (t * (1 - t) / m) ** 0.5
+
 
 def multipliers(m: int) -> np.ndarray:
     return mix(np.arange(1, m + 1, dtype=np.uint64) * _C) | np.uint64(1)
@@ -180,15 +186,30 @@ def first_texts(df: DataFrame, k: int, cut: Callable[[str], list[str]] = lambda
     return df.select("text").mapInArrow(run, st)
 
 
-def likely(pairs: DataFrame, classes: DataFrame, p: Banding) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sizes allow the threshold and whose sketches agree."""
-    side = classes.select("key", "n", "regs")
+def candidates(buckets: DataFrame, classes: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
+    """(key, text, n, fine) of each class that shares a bucket, with its fine sketch; written, as
+    it is all that the searches read."""
+    some = buckets.select("key").distinct().join(classes.select("key", "n"), "key")
+    have = texts.join(some, "key").dropDuplicates(["key"]).select("key", "text", "n")
+
+    def run(c):
+        fine = []
+        for lo, hi in blocks(t := c["text"].to_pylist()):
+            fine += [r.tobytes() for r in p.sketch(minima(shingle_sets(t[lo:hi], p.k), p.fine)).astype(p.kind)]
+        return c | {"fine": fine}
+
+    return written(map_batches(have, run, "key binary, text string, n long, fine binary"), "candidates")
+
+
+def likely(pairs: DataFrame, have: DataFrame, p: Banding) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sizes allow the threshold and whose fine sketches agree."""
+    side = have.select("key", "n", "fine")
     j = (pairs.join(side.toDF("a", "na", "ra"), "a").join(side.toDF("b", "nb", "rb"), "b")
          .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * p.threshold))
 
     def run(c):
-        ra, rb = (np.frombuffer(b"".join(c[x].to_pylist()), p.kind).reshape(-1, p.m) for x in ("ra", "rb"))
-        ok = p.estimate(ra, rb, c["na"].to_numpy(), c["nb"].to_numpy()) >= p.doubt
+        ra, rb = (np.frombuffer(b"".join(c[x].to_pylist()), p.kind).reshape(-1, p.fine) for x in ("ra", "rb"))
+        ok = p.estimate(ra, rb, c["na"].to_numpy(), c["nb"].to_numpy()) >= p.doubt(p.fine)
         return {x: c[x].filter(pa.array(ok)) for x in ("a", "b")}
 
     return map_batches(j.select("a", "b", "na", "nb", "ra", "rb"), run, "a binary, b binary")
@@ -235,17 +256,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: Banding, share: int = 128)
 
 
 def across(members: DataFrame, p: Banding, block: int = 512) -> DataFrame:
-    """Likely pairs of one bucket that lie in different components. ``members``: band, key, n,
-    regs, comp of buckets with several components. Buckets are cut into blocks; each pair
-    of blocks is one group, compared by array operations."""
+    """Likely pairs that share a bucket but lie in different components, each given once.
+
+    ``members``: band, key, n, regs, fine, comp of buckets with several components. Buckets are
+    cut into blocks; each pair of blocks is one group, compared by array operations: first all
+    pairs by the banded registers (of a pair that meets in several bands only the first counts),
+    then the rest by the fine sketch."""
     sizes = members.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     m = members.join(sizes, "band").withColumn("g", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("band", F.least("g", "o").alias("x"), F.greatest("g", "o").alias("y"), "g", "key", "n", "regs", "comp")
+    m = m.select("band", F.least("g", "o").alias("x"), F.greatest("g", "o").alias("y"), "g", "key", "n", "regs", "fine", "comp", "nth")
     names = ["band", "x", "y"]
     rows = _dealt(m, *names).sortWithinPartitions(*names)
     st = StructType.fromDDL("a binary, b binary")
     arrow = to_arrow_schema(st)
+    coarse, sharp = p.doubt(p.m) - 0.1, p.doubt(p.fine)
 
     def close(group: list[tuple]) -> dict:
         x, y = group[0][1:3]
@@ -253,21 +278,25 @@ def across(members: DataFrame, p: Banding, block: int = 512) -> DataFrame:
         right = left if x == y else [r for r in group if r[3] == y]
         if not left or not right:
             return {"a": [], "b": []}
-        regs = [np.frombuffer(b"".join(r[6] for r in s), p.kind).reshape(-1, p.m) for s in (left, right)]
+        regs, fine = ([np.frombuffer(b"".join(r[c] for r in s), p.kind).reshape(len(s), -1) for s in (left, right)] for c in (6, 7))
         n = [np.array([r[5] for r in s]) for s in (left, right)]
-        code = {c: i for i, c in enumerate({r[7] for r in group})}
-        comp = [np.array([code[r[7]] for r in s]) for s in (left, right)]
+        code = {c: i for i, c in enumerate({r[8] for r in group})}
+        comp = [np.array([code[r[8]] for r in s]) for s in (left, right)]
         same = np.zeros((len(left), len(right)), np.int32)
         for i in range(p.m):
             same += regs[0][:, i, None] == regs[1][None, :, i]
-        # the share of equal registers is the plain estimate; the joint one follows where it is near
-        ok = (same >= p.m * (p.doubt - 0.15)) & (comp[0][:, None] != comp[1][None, :])
+        ok = (same >= p.m * coarse) & (comp[0][:, None] != comp[1][None, :])
         ok &= np.minimum.outer(n[0], n[1]) * 100 >= np.maximum.outer(n[0], n[1]) * p.threshold
         i, j = np.nonzero(np.triu(ok, 1) if x == y else ok)
-        if len(i):
-            near = p.estimate(regs[0][i], regs[1][j], n[0][i], n[1][j]) >= p.doubt
-            i, j = i[near], j[near]
-        pairs = [sorted((left[u][4], right[v][4])) for u, v in zip(i.tolist(), j.tolist())]
+        keep = []
+        for lo in range(0, len(i), 8192):
+            u, v = i[lo:lo + 8192], j[lo:lo + 8192]
+            meet = (regs[0][u] == regs[1][v]).reshape(len(u), p.bands, p.rows).all(2).argmax(1)
+            u, v = u[meet == group[0][9]], v[meet == group[0][9]]
+            if len(u):
+                near = p.estimate(fine[0][u], fine[1][v], n[0][u], n[1][v]) >= sharp
+                keep += zip(u[near].tolist(), v[near].tolist())
+        pairs = [sorted((left[u][4], right[v][4])) for u, v in keep]
         return {"a": [a for a, _ in pairs], "b": [b for _, b in pairs]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,27 +310,25 @@ def across(members: DataFrame, p: Banding, block: int = 512) -> DataFrame:
         if group:
             yield to_batch(close(group), arrow)
 
-    return rows.mapInArrow(run, st).distinct()
+    return rows.mapInArrow(run, st)
 
 
 def near_classes(classes: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
     """(node, root) of classes that are linked. ``classes``: one row per key with n, regs, bands;
     ``texts``: (key, text), read only for candidates."""
-    spread = classes.select("key", F.explode("bands").alias("band"))
+    spread = classes.select("key", F.posexplode("bands").alias("nth", "band"))
     star = spread.groupBy("band").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select("band", "a")
     buckets = written(spread.join(star, "band"), "buckets")
     pairs = buckets.where("key != a").select("a", F.col("key").alias("b")).distinct()
-    # the texts of all that share a bucket with another class are read once, for both searches
-    some = buckets.select("key").distinct()
-    have = written(texts.join(some, "key").dropDuplicates(["key"]), "texts")
-    edges = written(confirmed(likely(pairs, classes, p), have, p), "links")
+    have = candidates(buckets, classes, texts, p)
+    edges = written(confirmed(likely(pairs, have, p), have.select("key", "text"), p), "links")
     comp = components(edges)
-    placed = (buckets.select("band", "key").join(comp.withColumnRenamed("node", "key"), "key", "left")
-              .select("band", "key", F.coalesce("root", "key").alias("comp")))
-    split = placed.groupBy("band").agg(F.min("comp").alias("u"), F.max("comp").alias("v")).where("u < v").select("band")
+    placed = (buckets.select("band", "nth", "key").join(comp.withColumnRenamed("node", "key"), "key", "left")
+              .select("band", "nth", "key", F.coalesce("root", "key").alias("comp")))
     # a bucket of two has had its only pair compared
-    more = buckets.groupBy("band").agg(F.count("*").alias("c")).where("c > 2").select("band")
-    rest = (placed.join(split, "band").join(more, "band").join(classes.select("key", "n", "regs"), "key"))
-    again = across(rest.select("band", "key", "n", "regs", "comp"), p).join(pairs, ["a", "b"], "left_anti")
-    late = written(confirmed(again, have, p), "links")
+    split = (placed.groupBy("band").agg(F.min("comp").alias("u"), F.max("comp").alias("v"), F.count("*").alias("c"))
+             .where("u < v and c > 2").select("band"))
+    rest = placed.join(split, "band").join(classes.select("key", "regs"), "key").join(have.select("key", "n", "fine"), "key")
+    again = across(rest, p).join(pairs, ["a", "b"], "left_anti")
+    late = written(confirmed(again, have.select("key", "text"), p), "links")
     return comp if late.isEmpty() else components(comp.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))

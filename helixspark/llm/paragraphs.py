@@ -48,8 +48,7 @@ def minhash_banding(k: int = 5, threshold: int = 80, recall: float = 0.9999) ->
     def share(ra, rb, na, nb):
         return (ra == rb).mean(1)
 
-    return Banding(k, rows, bands, lambda m: m >> np.uint64(32), share, "<u4", threshold,
-                   doubt=threshold / 100 - 5 * (0.16 / (rows * bands)) ** 0.5)
+    return Banding(k, rows, bands, lambda m: m >> np.uint64(32), share, "<u4", threshold)
 
 
 def spans_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
