@@ -194,7 +194,8 @@ def pair_mates(reads: DataFrame, tags: list[str] = ("umi",)):
     read's, the second those with the same status (the order the source
     lookup keys produce). Among candidates, the last one (template order) whose own
     mate pointer points back at the read wins, else the first. A secondary read
-    makes its mate secondary; the read-1 side's tags are copied to read 2.
+    makes its mate secondary; a tag that read 1 has is copied to read 2,
+    one that it lacks leaves read 2 its own.
     Returns (pairs, stats).
     """
     r = reads.withColumn("_r1", has("flag", READ1)).withColumn("_r2", has("flag", READ2)).withColumn(
@@ -219,11 +220,11 @@ def pair_mates(reads: DataFrame, tags: list[str] = ("umi",)):
     p1 = ok.filter("_r1").select(
         "name", F.col("read_id").alias("read1_id"), F.col("_m.c_id").alias("read2_id"),
         mate_sec.alias("read2_secondary"), F.col("_sec").alias("read1_secondary"),
-        *[F.col(t).alias(f"read2_{t}") for t in tags])
+        *[F.coalesce(F.col(t), F.col(f"_m.c_{t}")).alias(f"read2_{t}") for t in tags])
     p2 = ok.filter(~F.col("_r1")).select(
         "name", F.col("_m.c_id").alias("read1_id"), F.col("read_id").alias("read2_id"),
         F.col("_sec").alias("read2_secondary"), mate_sec.alias("read1_secondary"),
-        *[F.col(f"_m.c_{t}").alias(f"read2_{t}") for t in tags])
+        *[F.coalesce(F.col(f"_m.c_{t}"), F.col(t)).alias(f"read2_{t}") for t in tags])
     pairs = p1.unionByName(p2).distinct()
     stats = rr.agg(
         F.count(F.when(F.col("_m").isNull(), 1)).alias("no_mate"),

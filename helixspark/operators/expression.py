@@ -63,11 +63,14 @@ def to_bed12(exons: DataFrame, tx: str = "tx", contig: str = "contig", start: st
 
 
 def fasta_to_gtf(seqs: DataFrame, biotype: str | None = None) -> DataFrame:
-    """One exon row per sequence (id, seq) covering its length, fixed attributes."""
-    attrs = F.format_string('exon_id "%s.1"; exon_number "1"; gene_id "%s_gene"; gene_name "%s_gene"; '
-                            'gene_type "%s"; transcript_id "%s_gene"; transcript_name "%s_gene"; transcript_type "%s";',
-                            F.col("id"), F.col("id"), F.col("id"), F.lit(biotype or "transgene"), F.col("id"),
-                            F.col("id"), F.lit(biotype or "transgene"))
+    """One exon row per sequence (id, seq) covering its length. ``biotype`` is the name of an
+    attribute, whose value is ``transgene``; without one it is left out."""
+    name = F.col("id")
+    kind = f' {biotype} "transgene";' if biotype else ""
+    # Fixed value: the attribute text of added sequences.
+    attrs = F.format_string(
+        'exon_id "%s.1"; exon_number "1";' + kind + ' gene_id "%s_gene"; gene_name "%s_gene"; gene_source "custom";'
+        ' transcript_id "%s_gene"; transcript_name "%s_gene";', name, name, name, name, name)
     return seqs.select(
         F.col("id").alias("seqname"), F.lit("transgene").alias("source"), F.lit("exon").alias("feature"),
         F.lit(1).alias("start"), F.length("seq").alias("end"), F.lit(".").alias("score"),
@@ -248,16 +251,23 @@ def top_variance(log_counts: DataFrame, n: int = 500, feature: str = "gene_id",
 
 def sample_distance(log_counts: DataFrame, feature: str = "gene_id", sample: str = "sample",
                     value: str = "v") -> DataFrame:
-    """Euclidean distance of every pair of samples over genes (missing -> 0).
+    """Euclidean distance of every pair of samples over genes; a gene that a sample lacks is 0.
 
-    Samples are few (a design matrix), genes many: the self join is on the gene, so
-    its size is genes x samples^2 and it shuffles by gene.
+    Samples are few (a design matrix), genes many: the self join is on the gene, and genes of
+    one sample only enter through its sum of squares. Every pair of samples is an answer, so
+    pairs without a common gene are listed from the samples.
     """
     a = log_counts.select(F.col(feature), F.col(sample).alias("s1"), F.col(value).alias("v1"))
     b = log_counts.select(F.col(feature), F.col(sample).alias("s2"), F.col(value).alias("v2"))
-    j = a.join(b, feature, "full_outer").filter(F.col("s1").isNotNull() & F.col("s2").isNotNull())
-    d = j.groupBy("s1", "s2").agg(F.sqrt(F.sum((F.col("v1") - F.col("v2")) ** 2)).alias("distance"))
-    return d
+    both = a.join(b, feature).groupBy("s1", "s2").agg(
+        F.sum((F.col("v1") - F.col("v2")) ** 2).alias("gap"), F.sum(F.col("v1") ** 2).alias("q1"), F.sum(F.col("v2") ** 2).alias("q2"))
+    own = log_counts.groupBy(F.col(sample).alias("s")).agg(F.sum(F.col(value) ** 2).alias("q"))
+    pairs = (own.agg(F.collect_list(F.struct("s", "q")).alias("x")).select(F.explode("x").alias("a"), "x")
+             .select("a", F.explode("x").alias("b")).select(
+                 F.col("a.s").alias("s1"), F.col("a.q").alias("t1"), F.col("b.s").alias("s2"), F.col("b.q").alias("t2")))
+    rest = F.col("t1") - F.coalesce("q1", F.lit(0.0)) + F.col("t2") - F.coalesce("q2", F.lit(0.0))
+    return pairs.join(both, ["s1", "s2"], "left").select(
+        "s1", "s2", F.sqrt(F.coalesce("gap", F.lit(0.0)) + F.greatest(rest, F.lit(0.0))).alias("distance"))
 
 
 def name_factors(samples: DataFrame, col: str = "sample") -> DataFrame:

@@ -36,7 +36,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, key: str, point_col:
 
 
 def overlap_join(left: DataFrame, right: DataFrame, key: str, l_start: str, l_end: str,
-                 r_start: str, r_end: str, bin_size: int = 10_000, how: str = "inner") -> DataFrame:
+                 r_start: str, r_end: str, bin_size: int = 10_000) -> DataFrame:
     """Pairs of intervals on the same ``key`` that overlap (closed ends).
 
     Both sides explode to their bins; a pair that shares several bins is kept only
@@ -52,4 +52,4 @@ def overlap_join(left: DataFrame, right: DataFrame, key: str, l_start: str, l_en
         & (lb[l_start] <= rb[r_end]) & (rb[r_start] <= lb[l_end])
         & (lb["_bin"] == F.greatest(lb["_lb0"], rb["_rb0"]))
     )
-    return lb.join(rb, cond, how).drop("_bin", "_lb0", "_rb0", "_rkey")
+    return lb.join(rb, cond).drop("_bin", "_lb0", "_rb0", "_rkey")

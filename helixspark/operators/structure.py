@@ -114,16 +114,14 @@ def mix(datasets: list[DataFrame], probs: list[float], n: int, seed: int, key: s
 
 
 def entity_label(n) -> Column:
-    """1 -> A, 26 -> Z, 27 -> AA, 28 -> BA (reverse spreadsheet naming, up to 3 letters)."""
-    n = F.col(n) if isinstance(n, str) else n
-    m0 = n - 1
-    d0 = F.pmod(m0, 26)
-    m1 = F.floor(m0 / 26) - 1
-    d1 = F.pmod(m1, 26)
-    m2 = F.floor(m1 / 26) - 1
-    d2 = F.pmod(m2, 26)
-    ch = lambda d: F.char((d + 65).cast("int"))
-    return F.concat(ch(d0), F.when(m1 >= 0, ch(d1)).otherwise(""), F.when(m2 >= 0, ch(d2)).otherwise(""))
+    """1 -> A, 26 -> Z, 27 -> AA, 28 -> BA (reverse spreadsheet naming). The 14 steps name any
+    positive long; other numbers raise."""
+    n = F.col(n).cast("long") if isinstance(n, str) else n.cast("long")
+    left, letters = n - 1, []
+    for _ in range(14):
+        letters.append(F.when(left >= 0, F.char((F.pmod(left, F.lit(26)) + 65).cast("int"))).otherwise(""))
+        left = F.when(left >= 0, F.floor(left / 26) - 1).otherwise(F.lit(-1).cast("long"))
+    return F.when(n > 0, F.concat(*letters)).otherwise(F.raise_error(F.lit("an entity number is positive")))
 
 
 def entity_ids(chains: DataFrame, group: str = "complex", order: str = "ord") -> DataFrame:

@@ -3,40 +3,37 @@ databases, gates, run merging, profile merging, clade roll-up and report cleanup
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixspark.operators.common import first_true, rank_within
 from helixspark.session import cut_lineage
 
-# Profilers and the read platforms each accepts (long reads only
-# go to tools that take them; bracken runs on kraken2 output).
-TOOLS = ["bracken", "centrifuge", "diamond", "kaiju", "kraken2", "krakenuniq", "malt", "metaphlan", "motus",
-         "ganon", "kmcp"]
-SHORT_ONLY = ["bracken", "centrifuge", "krakenuniq", "malt", "metaphlan", "motus", "ganon", "kmcp"]
+# The profilers a database may belong to.
+TOOLS = ["bracken", "centrifuge", "diamond", "kaiju", "kraken2", "krakenuniq", "malt", "metaphlan3", "motus"]
 RANK_PREFIXES = ["d", "k", "p", "c", "o", "f", "g", "s"]
 
 
-def reads_with_databases(reads: DataFrame, dbs: DataFrame, platform: str = "instrument_platform") -> DataFrame:
-    """Every read set paired with every database of a tool that accepts its platform.
+def reads_with_databases(reads: DataFrame, dbs: DataFrame) -> DataFrame:
+    """Every read set paired with every database of a known tool, whatever its platform.
 
     Written as an equi-join on ``tool`` (each read set explodes to the fixed list of
-    tools it may use), not as a cartesian product; a bracken database also routes
+    tools), not as a cartesian product; a bracken database also routes
     the read set to kraken2, which produces bracken's input.
     """
-    long_read = F.col(platform) == "OXFORD_NANOPORE"
-    ok_tools = F.when(long_read, F.array(*[F.lit(t) for t in TOOLS if t not in SHORT_ONLY])).otherwise(
-        F.array(*[F.lit(t) for t in TOOLS]))
-    r = reads.withColumn("tool", F.explode(ok_tools))
+    r = reads.withColumn("tool", F.explode(F.array(*[F.lit(t) for t in TOOLS])))
     d = dbs.withColumn("route", F.when(F.col("tool") == "bracken", F.lit("kraken2")).otherwise(F.col("tool")))
     return r.join(d, "tool")
 
 
 def reports_with_db(reports: DataFrame, dbs: DataFrame) -> DataFrame:
-    """Reports joined to their database on ``db_name``; the bracken step takes the
-    second half of ``;``-separated params; long-read reports are left out."""
+    """Reports joined to their database on tool and ``db_name``; the bracken step takes the
+    second half of ``;``-separated params and is not run on long reads."""
     d = dbs.withColumn("step2_params", F.split_part(F.coalesce("db_params", F.lit("")), F.lit(";"), F.lit(2)))
-    return reports.filter(F.col("instrument_platform") != "OXFORD_NANOPORE").join(d, "db_name")
+    skipped = (F.col("tool") == "bracken") & F.col("instrument_platform").eqNullSafe("OXFORD_NANOPORE")
+    return reports.filter(~skipped).join(d, ["tool", "db_name"])
 
 
 def outer_on_meta(a: DataFrame, b: DataFrame, keys: list[str], how: str = "full_outer") -> DataFrame:
@@ -63,7 +60,11 @@ def merge_runs(reads: DataFrame, meta: list[str], run: str = "run_accession", fi
         F.col("file").isNotNull() & (F.col("file") != ""))
     n = reads.groupBy(*meta).agg(F.count_distinct(run).alias("n_runs"))
     r = rank_within(long, list(meta), [run, "mate"], "file_idx")
-    return r.join(n, list(meta)).withColumn("concatenate", F.col("n_runs") > 1).drop(run)
+    n = n.select(*[F.col(m).alias(f"_m_{m}") for m in meta], "n_runs")
+    same = F.lit(True)
+    for m in meta:  # a null in the metadata is a value like any other
+        same = same & F.col(m).eqNullSafe(F.col(f"_m_{m}"))
+    return r.join(n, same).drop(*[f"_m_{m}" for m in meta]).withColumn("concatenate", F.col("n_runs") > 1).drop(run)
 
 
 def merge_profiles(profiles: DataFrame, samples: list[str], db: str = "db", taxon: str = "taxon",
@@ -73,19 +74,22 @@ def merge_profiles(profiles: DataFrame, samples: list[str], db: str = "db", taxo
     return w.fillna(0, subset=samples)
 
 
-def ancestors(tax: DataFrame, node: str = "id", parent: str = "parent", max_depth: int = 64,
-              checkpoint_every: int = 8) -> DataFrame:
+def ancestors(tax: DataFrame, node: str = "id", parent: str = "parent", checkpoint_every: int = 8) -> DataFrame:
     """(id, anc) for every node and each of its ancestors, itself included.
 
     Breadth-first: each round joins the frontier (id, cur) to the parent table; the
-    loop stops when the frontier is empty (a root is its own parent or has none).
+    loop stops when the frontier is empty (a root is its own parent or has none), whatever
+    the depth; more rounds than nodes mean a cycle, which raises.
     Lineage is cut by a reliable checkpoint every few rounds.
     """
     edges = tax.select(F.col(node).alias("cur"), F.col(parent).alias("nxt")).filter(
         F.col("nxt").isNotNull() & (F.col("nxt") != F.col("cur")))
     closure = tax.select(F.col(node).alias("id"), F.col(node).alias("anc"))
     frontier = closure.select("id", F.col("anc").alias("cur"))
-    for i in range(max_depth):
+    nodes = closure.select("id").distinct().count()
+    for i in itertools.count():
+        if i > nodes:
+            raise ValueError("the taxonomy has a cycle")
         step = frontier.join(edges, "cur").select("id", F.col("nxt").alias("cur"))
         if (i + 1) % checkpoint_every == 0:
             step = cut_lineage(step)

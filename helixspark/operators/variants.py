@@ -14,10 +14,12 @@ a second copy: ``variant_id = md5(file_id:chrom:pos:ref:alt)``, ``sample_id = md
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from helixspark.functions import vcf as V
+from helixspark.session import written_once
 
 # Partition counts of the layouts (fixed values of the table designs).
 LINK_BUCKETS = 32
@@ -195,15 +197,36 @@ def to_layout4(vcf: DataFrame) -> dict[str, DataFrame]:
 
 
 def upsert(old: DataFrame, new: DataFrame, keys=LAYOUT3_KEY, version: str = "version") -> DataFrame:
-    """Keep the newest row per key (highest ``version``; ties broken by all columns).
-
-    Shuffles once on the key; a hot key only costs one partition's sort.
-    """
+    """Keep the newest row per key (highest ``version``; ties broken by all other columns that
+    can be ordered). A grouped ``max_by``: rows of a key are reduced before the shuffle."""
     u = old.unionByName(new)
-    tie = [F.col(c).desc_nulls_last() for c in u.columns if c not in keys and c != version
-           and not str(u.schema[c].dataType).startswith("Map")]
-    w = Window.partitionBy(*keys).orderBy(F.col(version).desc(), *tie)
-    return u.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    rest = [c for c in u.columns if c not in keys]
+    tie = [c for c in rest if c != version and not isinstance(u.schema[c].dataType, MapType)]
+    g = u.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(version, *tie)).alias("_r"))
+    return g.select(*keys, "_r.*").select(*u.columns)
+
+
+def upsert_layout3(spark: SparkSession, path: str, new: DataFrame, version: str = "version") -> None:
+    """Merge ``new`` rows into the stored layout 3 under ``path``: only the (bucket, chromosome)
+    folders that the new rows touch are read and overwritten."""
+    parts = ["sample_bucket", "chrom"]
+    stored = spark.read.parquet(f"{path}/layout3/genomic_variants")
+    touched = new.select(*parts).distinct()
+    old = stored.join(touched, parts, "left_semi").select(*new.columns)
+    merged = written_once(upsert(old, new, version=version), "upsert")  # not read while it is overwritten
+    write_layout(merged, path, 3)
+
+
+def stored_layout(spark: SparkSession, tables: dict[str, DataFrame] | DataFrame, path: str, layout: int) -> dict[str, DataFrame]:
+    """Write a layout and read its tables back with the written column types."""
+    write_layout(tables, path, layout)
+    if isinstance(tables, DataFrame):
+        tables = {"variant_regions" if layout == 2 else "genomic_variants": tables}
+    out = {}
+    for name, df in tables.items():
+        r = spark.read.parquet(f"{path}/layout{layout}/{name}")
+        out[name] = r.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema])
+    return out
 
 
 def write_layout(tables: dict[str, DataFrame] | DataFrame, path: str, layout: int, mode: str = "overwrite") -> None:
@@ -231,7 +254,7 @@ def write_layout(tables: dict[str, DataFrame] | DataFrame, path: str, layout: in
         # or bucket is split over many tasks, each writing files with disjoint,
         # sorted position ranges (tight Parquet min/max for region scans)
         out = df.repartitionByRange(*parts, *order).sortWithinPartitions(*parts, *order)
-        w = out.write.mode(mode).option("maxRecordsPerFile", 5_000_000)
+        w = out.write.mode(mode).option("maxRecordsPerFile", 5_000_000).option("partitionOverwriteMode", "dynamic")
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(f"{path}/layout{layout}/{name}")

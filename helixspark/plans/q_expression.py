@@ -176,7 +176,7 @@ select feats.gene_id, first.symbol from feats left join first on first.gene_id =
 def q_gene_symbol(spark, sf):
     ex = fixture(spark, sf, "f5_exons")
     rows = ex.select("gene_id", F.col("biotype").alias("name"),
-                     (F.col("start1") * 100000 + F.substring("tx", 2, 100).cast("long")).alias("ord"))
+                     (F.col("start1") * 100000 + F.expr("substring(tx, 2)").cast("long")).alias("ord"))
     feats = fixture(spark, sf, "f3_counts").select("gene_id").distinct().unionByName(
         spark.range(1).select(F.lit("g_unknown").alias("gene_id"))).distinct()
     return EX.with_symbols(feats, rows).select("gene_id", "symbol")
@@ -190,7 +190,7 @@ def q_t2g(spark, sf):
     ex = fixture(spark, sf, "f5_exons")
     rows = ex.select(F.concat("tx", F.lit(".2")).alias("tx"), F.concat("gene_id", F.lit(".1")).alias("gene"),
                      F.col("biotype").alias("name"),
-                     (F.col("start1") * 100000 + F.substring("tx", 2, 100).cast("long")).alias("ord"))
+                     (F.col("start1") * 100000 + F.expr("substring(tx, 2)").cast("long")).alias("ord"))
     return EX.t2g(rows)
 
 
@@ -221,12 +221,15 @@ def q_top_var(spark, sf):
 
 
 @register("sample_distance", with_views(f""", {GENES_SQL},
-l as (select gene_id, sample, log2(n + 1) as v from genes)
-select a.sample as s1, b.sample as s2, round(sqrt(sum((a.v - b.v) * (a.v - b.v))), 6) as distance
+g0 as (select * from genes where (length(gene_id) + length(sample) + n) % 7 <> 0),
+l as (select g.gene_id, s.sample, coalesce(log2(g0.n + 1), 0) as v from (select distinct gene_id from g0) g
+  cross join (select distinct sample from g0) s left join g0 on g0.gene_id = g.gene_id and g0.sample = s.sample)
+select a.sample as s1, b.sample as s2, round(sqrt(sum((a.v - b.v) * (a.v - b.v))), 5) as distance
 from l a join l b on a.gene_id = b.gene_id group by 1, 2""", "f3_counts"))
 def q_sample_distance(spark, sf):
-    g = _genes(spark, sf).withColumn("v", F.log2(F.col("n") + 1))
-    return EX.sample_distance(g).select("s1", "s2", F.round("distance", 6).alias("distance"))
+    g = _genes(spark, sf).filter("(length(gene_id) + length(sample) + n) % 7 <> 0")  # genes that some samples lack
+    g = g.withColumn("v", F.log2(F.col("n") + 1))
+    return EX.sample_distance(g).select("s1", "s2", F.round("distance", 5).alias("distance"))
 
 
 @register("name_factors", with_views("""
@@ -259,7 +262,7 @@ def q_chrom_sizes(spark, sf):
 
 @register("fasta_to_gtf", with_views(f""", {SEQS_SQL}
 select id as seqname, 'exon' as feature, 1 as start, cast(length(seq) as int) as "end",
-  format('exon_id "{{}}.1"; exon_number "1"; gene_id "{{}}_gene"; gene_name "{{}}_gene"; gene_type "transgene"; transcript_id "{{}}_gene"; transcript_name "{{}}_gene"; transcript_type "transgene";', id, id, id, id, id) as attribute
+  format('exon_id "{{}}.1"; exon_number "1"; gene_id "{{}}_gene"; gene_name "{{}}_gene"; gene_source "custom"; transcript_id "{{}}_gene"; transcript_name "{{}}_gene";', id, id, id, id, id) as attribute
 from seqs""", "f7_msa"))
 def q_fasta_to_gtf(spark, sf):
     return EX.fasta_to_gtf(_seqs(spark, sf)).select("seqname", "feature", "start", "end", "attribute")
@@ -308,10 +311,10 @@ def q_biotype_guard(spark, sf):
 
 @register("append_reference", with_views(f""", {SEQS_SQL}
 select concat('chr', cast(n_nationkey as string)) as id, n_name as seq from nation
-union all select id, seq from seqs where species = 'SP3'""", "f7_msa"))
+union all select id, seq from seqs""", "f7_msa"))
 def q_append_reference(spark, sf):
     register_tables(spark, sf)
     genome = spark.table("nation").select(F.concat(F.lit("chr"), F.col("n_nationkey").cast("string")).alias("id"),
                                           F.col("n_name").alias("seq"))
-    extra = _seqs(spark, sf).filter(F.col("species") == "SP3").select("id", "seq")
+    extra = _seqs(spark, sf).select("id", "seq")
     return genome.unionByName(extra)

@@ -21,9 +21,9 @@ def q_stream_vcf(spark, sf):
     out, ckpt = X.fresh_dir(spark, "stream-vcf-out"), X.fresh_dir(spark, "stream-vcf-ckpt")
     q = J.append_stream(spark, src, out, ckpt, layout=1)
     q.awaitTermination()
-    vs = spark.read.parquet(f"{out}/batch_id=*/variant_samples")
-    s = spark.read.parquet(f"{out}/batch_id=*/samples").select("sample_id", "sample_name").distinct()
-    return vs.join(s, "sample_id").select("sample_name", "chrom", "pos", "genotype")
+    s = J.loaded(spark, out, 1, "samples").select("sample_id", "sample_name").distinct()
+    v = J.loaded(spark, out, 1, "variants").select("variant_id", "chrom", "pos").dropDuplicates(["variant_id"])
+    return J.loaded(spark, out, 1, "variant_samples").join(s, "sample_id").join(v, "variant_id").select("sample_name", "chrom", "pos", "genotype")
 
 
 def _status_events(spark, sf):
@@ -57,4 +57,4 @@ def q_stream_status(spark, sf):
 select run_id, arg_max({_CASE}, (ts, {_CASE})) as status, max(ts) as last_ts from f9_status group by run_id""", "f9_status"))
 def q_stream_latest(spark, sf):
     out = _run_status(spark, sf)
-    return J.newest(spark, f"{out}/latest", ["run_id"]).select("run_id", "status", "last_ts")
+    return J.latest_status(spark.read.parquet(f"{out}/latest")).select("run_id", "status", "last_ts")

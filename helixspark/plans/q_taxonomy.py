@@ -19,9 +19,9 @@ from f11_sheet where sample <> ''
 
 @register("reads_x_databases", with_views(f""", reads as ({READS_VIEW.strip()}),
 dbs as (select distinct tool, db_name from ({DB_VIEW.strip()}) x),
-tools as (select unnest(['bracken', 'centrifuge', 'diamond', 'kaiju', 'kraken2', 'krakenuniq', 'malt', 'metaphlan', 'motus', 'ganon', 'kmcp']) as tool)
+tools as (select unnest(['bracken', 'centrifuge', 'diamond', 'kaiju', 'kraken2', 'krakenuniq', 'malt', 'metaphlan3', 'motus']) as tool)
 select r.sample, r.instrument_platform, d.tool, d.db_name, case when d.tool = 'bracken' then 'kraken2' else d.tool end as route
-from reads r join tools t on r.instrument_platform <> 'OXFORD_NANOPORE' or t.tool in ('diamond', 'kaiju', 'kraken2')
+from reads r cross join tools t
 join dbs d on d.tool = t.tool""", "f11_sheet"))
 def q_reads_x_dbs(spark, sf):
     register_tables(spark, sf)
@@ -31,9 +31,9 @@ def q_reads_x_dbs(spark, sf):
     return TX.reads_with_databases(reads, dbs).select("sample", "instrument_platform", "tool", "db_name", "route")
 
 
-ROUTE_SQL = """tools as (select unnest(['bracken', 'centrifuge', 'diamond', 'kaiju', 'kraken2', 'krakenuniq', 'malt', 'metaphlan', 'motus', 'ganon', 'kmcp']) as tool),
+ROUTE_SQL = """tools as (select unnest(['bracken', 'centrifuge', 'diamond', 'kaiju', 'kraken2', 'krakenuniq', 'malt', 'metaphlan3', 'motus']) as tool),
 routed as (select r.sample, r.instrument_platform, d.tool, d.db_name, case when d.tool = 'bracken' then 'kraken2' else d.tool end as route
-  from reads r join tools t on r.instrument_platform <> 'OXFORD_NANOPORE' or t.tool in ('diamond', 'kaiju', 'kraken2')
+  from reads r cross join tools t
   join dbs d on d.tool = t.tool)"""
 
 
@@ -41,17 +41,18 @@ routed as (select r.sample, r.instrument_platform, d.tool, d.db_name, case when
 dball as ({DB_VIEW.strip()}),
 dbs as (select distinct tool, db_name from dball),
 {ROUTE_SQL},
-reports as (select distinct sample, instrument_platform, db_name from routed)
+reports as (select distinct sample, instrument_platform, tool, db_name from routed)
 select rp.sample, rp.db_name, d.ord, split_part(coalesce(d.db_params, ''), ';', 2) as step2_params
-from reports rp join dball d on d.db_name = rp.db_name where rp.instrument_platform <> 'OXFORD_NANOPORE'""", "f11_sheet"))
+from reports rp join dball d on d.db_name = rp.db_name and d.tool = rp.tool
+where not (rp.tool = 'bracken' and rp.instrument_platform = 'OXFORD_NANOPORE')""", "f11_sheet"))
 def q_report_with_db(spark, sf):
     register_tables(spark, sf)
     fixture(spark, sf, "f11_sheet").createOrReplaceTempView("f11_sheet")
     reads = spark.sql(READS_VIEW)
     dbs = spark.sql(DB_VIEW)
     reports = TX.reads_with_databases(reads, dbs.select("tool", "db_name").distinct()).select(
-        "sample", "instrument_platform", "db_name").distinct()
-    d = dbs.select("db_name", "ord", "db_params")
+        "sample", "instrument_platform", "tool", "db_name").distinct()
+    d = dbs.select("tool", "db_name", "ord", "db_params")
     r = TX.reports_with_db(reports, d)
     return r.select("sample", "db_name", "ord", F.coalesce("step2_params", F.lit("")).alias("step2_params"))
 
@@ -152,14 +153,14 @@ def q_kraken_cols(spark, sf):
 
 
 @register("branch_route", f"""select ord, tool, case when tool in ('kraken2', 'bracken') then 'kraken2'
-  when tool = 'centrifuge' then 'centrifuge' when tool in ('metaphlan', 'motus') then 'marker'
+  when tool = 'centrifuge' then 'centrifuge' when tool in ('metaphlan3', 'motus') then 'marker'
   when tool in ('diamond', 'kaiju', 'malt') then 'protein' else 'unknown' end as branch
 from ({DB_VIEW.strip()}) x""")
 def q_branch_route(spark, sf):
     register_tables(spark, sf)
     t = F.col("tool")
     rules = [("kraken2", t.isin("kraken2", "bracken")), ("centrifuge", t == "centrifuge"),
-             ("marker", t.isin("metaphlan", "motus")), ("protein", t.isin("diamond", "kaiju", "malt"))]
+             ("marker", t.isin("metaphlan3", "motus")), ("protein", t.isin("diamond", "kaiju", "malt"))]
     return TX.route(spark.sql(DB_VIEW), rules).select("ord", "tool", "branch")
 
 

@@ -97,7 +97,7 @@ def q_sheet_fastqc(spark, sf):
 DB_VIEW = """
 select p_partkey as ord,
   case p_partkey % 12 when 0 then 'kraken2' when 1 then 'bracken' when 2 then 'centrifuge' when 3 then 'kaiju'
-    when 4 then 'metaphlan' when 5 then 'malt' when 6 then 'diamond' when 7 then 'motus' when 8 then 'krakenuniq'
+    when 4 then 'metaphlan3' when 5 then 'malt' when 6 then 'diamond' when 7 then 'motus' when 8 then 'krakenuniq'
     when 9 then 'ganon' when 10 then 'kmcp' else 'blast' end as tool,
   concat('db_', p_brand) as db_name,
   case when p_partkey % 5 = 0 then concat(p_type, ';', cast(p_size as string)) when p_partkey % 7 = 0 then concat('"', p_type, '"') else p_type end as db_params,
@@ -108,7 +108,7 @@ from part
 
 @register("db_sheet", f"""with dbs as ({DB_VIEW.strip()}),
 r as (select *, case
-    when tool not in ('bracken', 'centrifuge', 'diamond', 'kaiju', 'kraken2', 'krakenuniq', 'malt', 'metaphlan', 'motus', 'ganon', 'kmcp') then 'unknown_tool'
+    when tool not in ('bracken', 'centrifuge', 'diamond', 'kaiju', 'kraken2', 'krakenuniq', 'malt', 'metaphlan3', 'motus') then 'unknown_tool'
     when regexp_matches(coalesce(db_params, ''), '["'']') then 'quoted_params'
     when tool = 'bracken' and coalesce(db_params, '') <> '' and not contains(db_params, ';') then 'bracken_params'
     end as rule0,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helixspark.functions import vcf as V
 from helixspark.operators import variants as VA
 from helixspark.operators.rangejoin import interval_join
+from helixspark.plans import exports as X
 from helixspark.plans.fixtures import fixture, register_tables, with_views
 from helixspark.plans.registry import register
 
@@ -24,7 +25,7 @@ def f1_records(spark: SparkSession, sf: str) -> DataFrame:
 
 # Fixed annotation view (ClinVar-like) derived from lineitem; same text in both engines.
 ANN_VIEW = """
-select cast(l_partkey % 22 + 1 as string) as contigname, l_orderkey * 8 + l_linenumber as start,
+select cast(l_partkey % 22 + 1 as string) as contigname, l_orderkey * 8 + l_linenumber + case when l_linenumber % 3 = 0 then 4 else 0 end as start,
   substr('ACGT', cast(l_partkey % 4 + 1 as int), 1) as referenceallele,
   case when l_orderkey % 10 = 0 then concat(substr('CGTA', cast(l_suppkey % 4 + 1 as int), 1), ',', substr('GTAC', cast(l_orderkey % 4 + 1 as int), 1))
        else substr('CGTA', cast(l_orderkey % 4 + 1 as int), 1) end as alts,
@@ -32,7 +33,7 @@ select cast(l_partkey % 22 + 1 as string) as contigname, l_orderkey * 8 + l_line
   case when l_suppkey % 3 = 0 then 'drug_response' when l_suppkey % 3 = 1 then 'Pathogenic' else 'Benign' end as clnsig,
   concat('MedGen:C', cast(l_partkey as string), '|SNOMED_CT:', cast(254637000 + l_suppkey % 10 as string), ',SNOMED_CT:', cast(l_suppkey as string)) as clndisdb,
   concat('disease_', cast(l_suppkey % 7 as string)) as clndn
-from lineitem where l_shipdate < timestamp '1996-01-01 00:00:00'
+from lineitem
 """
 
 
@@ -184,8 +185,9 @@ select md5(concat_ws(':', 'f1', chrom, cast(pos as varchar), ref, alt)) as varia
   split_part(sample, ':', 1) as genotype, regexp_matches(info, '(^|;)END=') as is_reference_block
 from f1_calls""", "f1_calls"))
 def q_layout1(spark, sf):
-    t = VA.to_layout1(f1_records(spark, sf))
-    return t["variant_samples"].select("variant_id", "sample_id", "genotype", "is_reference_block")
+    t = VA.stored_layout(spark, VA.to_layout1(f1_records(spark, sf)), X.fresh_dir(spark, "layout1"), 1)
+    links = t["variant_samples"].join(t["samples"], "sample_id")  # every link has its sample
+    return links.select("variant_id", "sample_id", "genotype", "is_reference_block")
 
 
 @register("layout2_write", with_views("""
@@ -194,7 +196,7 @@ select chrom, pos, ref, alt, nullif(filter, '.') as filter, md5(sampleid) as sam
   regexp_matches(info, '(^|;)END=') as is_reference_block
 from f1_calls""", "f1_calls"))
 def q_layout2(spark, sf):
-    r = VA.to_layout2(f1_records(spark, sf))
+    r = VA.stored_layout(spark, VA.to_layout2(f1_records(spark, sf)), X.fresh_dir(spark, "layout2"), 2)["variant_regions"]
     e = r.select("*", F.explode("sample_ids").alias("sample_id", "sample_name"))
     return e.select(
         "chrom", "pos", "ref", "alt", "filter", "sample_id", "sample_name",
@@ -208,7 +210,7 @@ select md5(sampleid) as sample_id, '.' as variant_name, chrom, pos, ref, alt as
   nullif(filter, '.') as filter
 from f1_calls""", "f1_calls"))
 def q_layout3(spark, sf):
-    r = VA.to_layout3(f1_records(spark, sf))
+    r = VA.stored_layout(spark, VA.to_layout3(f1_records(spark, sf)), X.fresh_dir(spark, "layout3"), 3)["genomic_variants"]
     return r.select(
         "sample_id", "variant_name", "chrom", "pos", "ref", F.array_join("alt", ",").alias("alt_list"),
         F.size("alt").alias("n_alts"), "genotype", "filter",
@@ -220,7 +222,7 @@ select md5(concat_ws(':', 'f1', chrom, cast(pos as varchar), ref, a)) as variant
   chrom, pos, a as alt, split_part(sample, ':', 1) as genotype
 from (select *, unnest(string_split(alt, ',')) as a from f1_calls)""", "f1_calls"))
 def q_layout4(spark, sf):
-    t = VA.to_layout4(f1_records(spark, sf))
+    t = VA.stored_layout(spark, VA.to_layout4(f1_records(spark, sf)), X.fresh_dir(spark, "layout4"), 4)
     v = t["variants"].dropDuplicates(["variant_id"]).select("variant_id", "alt")
     links = t["variant_samples"]
     return links.join(v, "variant_id").select("variant_id", "sample_id", "chrom", "pos", "alt", "genotype")
@@ -235,11 +237,12 @@ r as (select *, row_number() over (partition by sample_id, chrom, pos order by v
 select sample_id, chrom, pos, genotype, version from r where rn = 1""", "f1_calls"))
 def q_upsert(spark, sf):
     rec = f1_records(spark, sf)
-    old = VA.to_layout3(rec).withColumn("version", F.lit(1))
+    path = X.fresh_dir(spark, "layout3")
+    VA.write_layout(VA.to_layout3(rec).withColumn("version", F.lit(1)), path, 3)
     new = VA.to_layout3(rec.filter(F.col("filter") == ".")).withColumn("genotype", F.lit("./.")).withColumn(
         "version", F.lit(2))
-    cols = ["sample_id", "variant_name", "chrom", "pos", "genotype", "version"]
-    up = VA.upsert(old.select(*cols), new.select(*cols))
+    VA.upsert_layout3(spark, path, new)
+    up = spark.read.parquet(f"{path}/layout3/genomic_variants")
     return up.select("sample_id", "chrom", "pos", "genotype", "version")
 
 

@@ -19,26 +19,25 @@ class Query:
     name: str
     fn: QueryFn
     oracle: str | None
-    bench: bool = True
 
 
 _QUERIES: dict[str, Query] = {}
 
 
-def register(name: str, oracle: str | None = None, bench: bool = True):
+def register(name: str, oracle: str | None = None):
     """Decorator: register ``fn(spark, sf_dir)`` under ``name`` with its oracle SQL."""
 
     def deco(fn: QueryFn) -> QueryFn:
         if name in _QUERIES:
             raise ValueError(f"query {name} registered twice")
-        _QUERIES[name] = Query(name, fn, oracle, bench)
+        _QUERIES[name] = Query(name, fn, oracle)
         return fn
 
     return deco
 
 
 MODULES = (
-    "q_variants", "q_vcf_text", "q_runs", "q_validation", "q_expression", "q_taxonomy",
+    "q_variants", "q_runs", "q_validation", "q_expression", "q_taxonomy",
     "q_msa", "q_structure", "q_alignments", "q_catalog", "q_sources", "q_stats", "q_streaming",
 )
 
@@ -46,12 +45,9 @@ MODULES = (
 def _load_all() -> None:
     # Importing the modules fills the registry.
     import importlib
-    import importlib.util
 
     for m in MODULES:
-        name = f"helixspark.plans.{m}"
-        if importlib.util.find_spec(name) is not None:
-            importlib.import_module(name)
+        importlib.import_module(f"helixspark.plans.{m}")
 
 
 def all_queries() -> dict[str, Query]:

@@ -6,22 +6,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixspark.operators.common import prefix_sum
 from helixspark.operators.expression import gtf_attributes
 
 
 def read_fasta(spark: SparkSession, paths):
     """(records, rejects): one row per FASTA record (file_id, id, description, seq).
 
-    Records are split on ``>`` by the text reader itself (``lineSep``), so a
-    record never straddles two rows and large files split across tasks; wrapped
-    sequence lines are joined. Labels seen twice in a file go to ``rejects``.
+    Records are split by the text reader itself at a ``>`` that begins a line (``lineSep``), so
+    a record never straddles two rows and large files split across tasks; wrapped
+    sequence lines are joined and carriage returns dropped. An empty header becomes
+    ``seqnum`` with its 0-based line in nine digits. Labels seen twice in a file go to
+    ``rejects``.
     """
-    raw = spark.read.option("lineSep", ">").option("recursiveFileLookup", "true").text(paths)
-    r = raw.select(F.col("_metadata.file_path").alias("file_id"), F.col("value").alias("rec")).filter(
-        F.length(F.trim("rec")) > 0)
+    raw = spark.read.option("lineSep", "\n>").option("recursiveFileLookup", "true").text(paths)
+    r = raw.select(F.col("_metadata.file_path").alias("file_id"), F.monotonically_increasing_id().alias("_at"),
+                   F.col("value").alias("rec"))
+    nameless = r.filter(F.col("rec").rlike(r"^>?\s*(\n|$)") & F.col("rec").rlike(r"\S"))
+    r = r.withColumn("_line", F.lit(None).cast("long"))
+    if not nameless.isEmpty():
+        some = nameless.select("file_id").distinct()
+        n = r.join(some, "file_id", "left_semi").withColumn("_k", F.regexp_count("rec", F.lit("\n")).cast("long") + 1)
+        r = r.join(some, "file_id", "left_anti").unionByName(
+            prefix_sum(n.drop("_line"), ["file_id"], ["_at"], "_k", "_line", inclusive=False).drop("_k"))
+    r = r.withColumn("rec", F.regexp_replace("rec", "^>", "")).filter(F.col("rec").rlike(r"\S"))
     head = F.substring_index("rec", "\n", 1)
     body = F.expr("substring(rec, length(substring_index(rec, '\\n', 1)) + 2)")
-    r = r.select("file_id", F.trim(head).alias("header"), F.regexp_replace(body, r"\s+", "").alias("seq"))
+    r = r.select("file_id", "_line", F.trim(F.regexp_replace(head, "\r", "")).alias("header"), F.regexp_replace(body, r"\s+", "").alias("seq"))
+    r = r.withColumn("header", F.when(F.col("header") == "", F.format_string("seqnum%09d", "_line")).otherwise(F.col("header")))
     r = r.select("file_id", F.split_part("header", F.lit(" "), F.lit(1)).alias("id"),
                  F.trim(F.expr("substring(header, length(split_part(header, ' ', 1)) + 1)")).alias("description"), "seq")
     n = r.groupBy("file_id", "id").agg(F.count("*").alias("_n"))
@@ -61,9 +73,9 @@ def line_index(df: DataFrame, name: str = "idx") -> DataFrame:
 
 
 def write_mtx(triples: DataFrame, path: str, feature: str = "feature", cell: str = "cell", value: str = "n") -> None:
-    """Triples -> MatrixMarket parts: ``matrix/`` (``feature_id cell_id value``
-    lines, many part files), ``header/`` (banner and size line), ``features/`` and
-    ``barcodes/`` (names in id order). Ids are ranks of the sorted names."""
+    """Triples -> MatrixMarket parts: ``matrix/`` (one file with the banner and the size line, many
+    with ``feature_id cell_id value`` lines), ``features/`` and ``barcodes/`` (names in id
+    order). Ids are ranks of the sorted names."""
     from helixspark.operators.expression import mtx_triples
 
     m, c, f = mtx_triples(triples, feature, cell, value)
@@ -74,17 +86,24 @@ def write_mtx(triples: DataFrame, path: str, feature: str = "feature", cell: str
     size = m.agg(F.max("fid"), F.max("cid"), F.count("*")).first()
     spark = triples.sparkSession
     spark.createDataFrame([("%%MatrixMarket matrix coordinate integer general",),
-                           (f"{size[0]} {size[1]} {size[2]}",)], "v string").coalesce(1).write.mode(
-        "overwrite").text(f"{path}/header")
+                           (f"{size[0] or 0} {size[1] or 0} {size[2]}",)], "v string").coalesce(1).write.mode(
+        "append").text(f"{path}/matrix")
 
 
 def read_mtx(spark: SparkSession, matrix, barcodes, features, transpose: bool = False) -> DataFrame:
     """MatrixMarket coordinate lines + axis files -> (feature, cell, value) triples.
 
     ``transpose``: the matrix is stored cells x features (some aligners write it
-    that way). Comment (``%``) lines and the size line are skipped; axis ids are
-    line positions of the axis files."""
-    lines = spark.read.text(matrix).filter(~F.col("value").startswith("%"))
+    that way). Comment (``%``) lines are skipped, and the size line: the first other line of each
+    file that begins with a banner; axis ids are line positions of the axis files."""
+    lines = spark.read.text(matrix).select(
+        F.trim("value").alias("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    banner = lines.filter(F.col("value").startswith("%%MatrixMarket")).select("file").distinct()
+    lines = lines.filter(~F.col("value").startswith("%") & (F.col("value") != ""))
+    size = lines.join(banner, "file", "left_semi").groupBy("file").agg(F.min_by("value", "at").alias("value"))
+    # an entry may read like the size line: one line of that text goes, a second one is an entry
+    alike = lines.join(size, ["file", "value"], "left_semi").groupBy("file", "value").agg(F.count("*").alias("n")).filter("n > 1")
+    lines = lines.join(size, ["file", "value"], "left_anti").select("value").unionByName(alike.select("value"))
     parts = F.split(F.trim("value"), r"\s+")
     t = lines.select(parts[0].cast("long").alias("a"), parts[1].cast("long").alias("b"),
                      F.get(parts, 2).cast("double").alias("value")).filter(F.col("value").isNotNull())

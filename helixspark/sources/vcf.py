@@ -9,14 +9,40 @@ records to their file's ``#CHROM`` sample list.
 
 from __future__ import annotations
 
+import gzip
+import io
+import itertools
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, paths) -> DataFrame:
-    """All lines of the VCF files with their file path (sub folders included)."""
+    """All lines of the VCF files with their file path (sub folders included).
+
+    Spark's text reader knows ``.gz`` but not the block-gzip ending ``.bgz``; those files are
+    read as binary (2 GB a file at most, else Spark raises) and unpacked block by block."""
     df = spark.read.option("recursiveFileLookup", "true").text(paths)
-    return df.select(F.col("_metadata.file_path").alias("file_id"), F.col("value").alias("line"))
+    text = df.select(F.col("_metadata.file_path").alias("file_id"), F.col("value").alias("line")).filter(
+        ~F.col("file_id").endswith(".bgz"))
+    packed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.bgz").load(paths)
+    return text.unionByName(packed.select("path", "content").mapInArrow(_unpack, "file_id string, line string"))
+
+
+def _unpack(batches: Iterator[pa.RecordBatch], rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Lines of gzip members, in batches of ``rows``."""
+    for b in batches:
+        for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+            with gzip.open(io.BytesIO(content.as_buffer()), "rt", encoding="utf-8", errors="replace", newline="\n") as f:
+                while lines := [x.rstrip("\r\n") for x in itertools.islice(f, rows)]:
+                    yield pa.RecordBatch.from_pydict({"file_id": [path] * len(lines), "line": lines})
+
+
+def _from(arr, first: int):
+    """The array from its ``first`` element (1-based) to its end."""
+    return F.slice(arr, F.lit(first), F.greatest(F.size(arr) - (first - 1), F.lit(0)))
 
 
 def read_vcf(spark: SparkSession, paths, repartition: int | None = None, lines: DataFrame | None = None):
@@ -32,7 +58,7 @@ def read_vcf(spark: SparkSession, paths, repartition: int | None = None, lines:
     good = f.filter(F.size("f") >= 8)
     rejects = f.filter(F.size("f") < 8).select("file_id", "line", F.lit("fewer than 8 fields").alias("reason"))
     hdr = ln.filter(F.col("line").startswith("#CHROM")).select(
-        "file_id", F.slice(F.split(F.regexp_replace("line", r"[\r\n]+$", ""), "\t"), 10, 1_000_000).alias("sample_names"))
+        "file_id", _from(F.split(F.regexp_replace("line", r"[\r\n]+$", ""), "\t"), 10).alias("sample_names"))
     rec = good.select(
         "file_id",
         F.col("f")[0].alias("chrom"),
@@ -44,7 +70,7 @@ def read_vcf(spark: SparkSession, paths, repartition: int | None = None, lines:
         F.col("f")[6].alias("filter"),
         F.col("f")[7].alias("info"),
         F.get(F.col("f"), 8).alias("format"),
-        F.slice("f", 10, 1_000_000).alias("sample_values"),
+        _from(F.col("f"), 10).alias("sample_values"),
     )
     # one header row per file: a small side, broadcast when AQE measures it small
     rec = rec.join(hdr, "file_id", "left").withColumn(
@@ -67,7 +93,7 @@ def vcf_header(lines: DataFrame):
     """(samples, info_fields, format_fields) of each file from its header lines."""
     h = lines.filter(F.col("line").startswith("#"))
     samples = h.filter(F.col("line").startswith("#CHROM")).select(
-        "file_id", F.posexplode(F.slice(F.split("line", "\t"), 10, 1_000_000)).alias("position", "sample_name"))
+        "file_id", F.posexplode(_from(F.split(F.regexp_replace("line", r"[\r\n]+$", ""), "\t"), 10)).alias("position", "sample_name"))
 
     def defs(prefix: str):
         d = h.filter(F.col("line").startswith(prefix))

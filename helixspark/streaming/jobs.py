@@ -1,12 +1,12 @@
 """Structured Streaming jobs.
 
 * ``append_stream``: VCF files dropped into a folder are loaded into a layout in
-  micro-batches (``foreachBatch``). Every batch writes under ``batch_id=<n>``
-  with overwrite, so a batch replayed after a failure rewrites the same folder
-  instead of appending twice.
+  micro-batches (``foreachBatch``). Every batch writes its tables under ``batch_id=<n>``
+  with overwrite and then one commit marker, so a batch replayed after a failure rewrites
+  the same folder and readers see all tables of a batch or none.
 * ``status_stream``: run-status events -> tumbling-window counts per status
-  (event time, watermark) and the latest status per run, both kept as upserted
-  tables through ``foreachBatch``.
+  (event time, watermark, so its state is bounded) and the latest status per run, reduced
+  per batch without state and merged by the reader.
 
 Checkpoints live in the given folder (the shared checkpoint folder on a cluster).
 """
@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from helixspark.operators import variants as VA
 from helixspark.sources.vcf import read_vcf
 
-# Fixed value: records per micro-batch of the loader (files are never split).
-BATCH_RECORDS = 100_000
+LAYOUTS = {1: VA.to_layout1, 2: VA.to_layout2, 3: VA.to_layout3, 4: VA.to_layout4}
 
 
 def append_stream(spark: SparkSession, src: str, out: str, ckpt: str, layout: int = 1,
@@ -32,50 +31,56 @@ def append_stream(spark: SparkSession, src: str, out: str, ckpt: str, layout: in
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rec, rejects = read_vcf(batch.sparkSession, None, lines=batch)
+        rec = rec.persist()  # read once for all tables of the layout
         target = f"{out}/batch_id={batch_id}"
-        if layout == 1:
-            t = VA.to_layout1(rec)
-            ids = t["variants"].select("variant_id", "chrom", "pos").dropDuplicates(["variant_id"])
-            t["variant_samples"].join(ids, "variant_id").write.mode(
-                "overwrite").option("maxRecordsPerFile", BATCH_RECORDS).parquet(f"{target}/variant_samples")
-            t["variants"].write.mode("overwrite").parquet(f"{target}/variants")
-            t["samples"].write.mode("overwrite").parquet(f"{target}/samples")
-        else:
-            VA.write_layout({2: lambda r: VA.to_layout2(r), 3: lambda r: VA.to_layout3(r),
-                             4: lambda r: VA.to_layout4(r)}[layout](rec), target, layout)
+        VA.write_layout(LAYOUTS[layout](rec), target, layout)
         rejects.write.mode("overwrite").parquet(f"{target}/rejects")
+        rec.unpersist()
+        batch.sparkSession.range(1).write.mode("overwrite").parquet(f"{out}/commits/batch_id={batch_id}")
 
     w = lines.writeStream.foreachBatch(load).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
+def loaded(spark: SparkSession, out: str, layout: int, name: str) -> DataFrame:
+    """A table of the loader: the rows of committed batches."""
+    done = spark.read.parquet(f"{out}/commits").select("batch_id").distinct()
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*/layout{layout}/{name}")
+    return rows.join(done, "batch_id", "left_semi").drop("batch_id")
+
+
 def status_stream(spark: SparkSession, events: DataFrame, out: str, ckpt: str, window: str = "1 hour",
                   watermark: str = "2 hours", available_now: bool = True):
     """``events``: streaming DataFrame (run_id, ts, status). Writes
     ``out/counts/batch_id=<n>`` (window counts changed in the batch) and
     ``out/latest/batch_id=<n>`` (latest status of runs seen in the batch); readers
-    take the newest row per key. Rows later than the watermark are dropped."""
+    take the newest row per key (``newest``, ``latest_status``). Rows later than the watermark are dropped."""
     e = events.withWatermark("ts", watermark)
     counts = e.groupBy(F.window("ts", window).alias("w"), "status").agg(F.count("*").alias("n")).select(
         F.unix_timestamp(F.col("w.start")).alias("window_start"), "status", "n")
-    latest = events.groupBy("run_id").agg(F.max_by("status", F.struct("ts", "status")).alias("status"),
-                                          F.max("ts").alias("last_ts"))
 
     def sink(name):
         def write(batch: DataFrame, batch_id: int) -> None:
+            if name == "latest":
+                batch = latest_status(batch.select("run_id", "status", F.col("ts").alias("last_ts")))
             batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
                 f"{out}/{name}/batch_id={batch_id}")
         return write
 
     qs = []
-    for name, df in (("counts", counts), ("latest", latest)):
-        w = df.writeStream.outputMode("update").foreachBatch(sink(name)).option("checkpointLocation", f"{ckpt}/{name}")
+    for name, df, mode in (("counts", counts, "update"), ("latest", events, "append")):
+        w = df.writeStream.outputMode(mode).foreachBatch(sink(name)).option("checkpointLocation", f"{ckpt}/{name}")
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
         qs.append(w.start())
     return qs
 
 
+def latest_status(rows: DataFrame) -> DataFrame:
+    """Last status per run by event time (ties: the larger status)."""
+    return rows.groupBy("run_id").agg(F.max_by("status", F.struct("last_ts", "status")).alias("status"), F.max("last_ts").alias("last_ts"))
+
+
 def newest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Current table of an upserted stream output: newest batch row per key."""
     d = spark.read.parquet(path)
