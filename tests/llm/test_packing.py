@@ -50,6 +50,16 @@ def test_encoder_equals_the_library():
     assert got == [LIB.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_every_token_encodes_to_itself():
+    # then merging by the rank of joined bytes equals the listed merges for every text
+    model, vocab = LIB.model, LIB.get_vocab(with_added_tokens=False)
+    assert all([x.id for x in model.tokenize(t)] == [i] for t, i in vocab.items())
+    enc = ByteEncoder(PATH)
+    r = random.Random(5)
+    words = ["".join(r.choice("aeinsthorlcdmévß") for _ in range(r.randint(1, 14))) for _ in range(5000)]
+    assert [enc.merge(w) for w in words] == [LIB.encode(w, add_special_tokens=False).ids for w in words]
+
+
 def check(rows, pieces, window):
     want = sorted((i if i is not None else -1, tuple(LIB.encode(t or "", add_special_tokens=False).ids) + (0,)) for i, t, _ in rows)
     docs, seqs = defaultdict(list), defaultdict(list)
