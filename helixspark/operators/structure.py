@@ -117,11 +117,15 @@ def entity_label(n) -> Column:
     """1 -> A, 26 -> Z, 27 -> AA, 28 -> BA (reverse spreadsheet naming). The 14 steps name any
     positive long; other numbers raise."""
     n = F.col(n).cast("long") if isinstance(n, str) else n.cast("long")
-    left, letters = n - 1, []
-    for _ in range(14):
-        letters.append(F.when(left >= 0, F.char((F.pmod(left, F.lit(26)) + 65).cast("int"))).otherwise(""))
-        left = F.when(left >= 0, F.floor(left / 26) - 1).otherwise(F.lit(-1).cast("long"))
-    return F.when(n > 0, F.concat(*letters)).otherwise(F.raise_error(F.lit("an entity number is positive")))
+
+    def step(a, _):
+        left = a["left"]
+        letter = F.when(left >= 0, F.char((F.pmod(left, F.lit(26)) + 65).cast("int"))).otherwise("")
+        return F.struct(F.when(left >= 0, F.floor(left / 26) - 1).otherwise(F.lit(-1).cast("long")).alias("left"),
+                        F.concat(a["name"], letter).alias("name"))
+
+    name = F.aggregate(F.sequence(F.lit(1), F.lit(14)), F.struct((n - 1).alias("left"), F.lit("").alias("name")), step, lambda a: a["name"])
+    return F.when(n > 0, name).otherwise(F.raise_error(F.lit("an entity number is positive")))
 
 
 def entity_ids(chains: DataFrame, group: str = "complex", order: str = "ord") -> DataFrame:

@@ -3,13 +3,11 @@ databases, gates, run merging, profile merging, clade roll-up and report cleanup
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixspark.operators.common import first_true, rank_within
-from helixspark.session import cut_lineage
+from helixspark.session import written_once
 
 # The profilers a database may belong to.
 TOOLS = ["bracken", "centrifuge", "diamond", "kaiju", "kraken2", "krakenuniq", "malt", "metaphlan3", "motus"]
@@ -74,30 +72,24 @@ def merge_profiles(profiles: DataFrame, samples: list[str], db: str = "db", taxo
     return w.fillna(0, subset=samples)
 
 
-def ancestors(tax: DataFrame, node: str = "id", parent: str = "parent", checkpoint_every: int = 8) -> DataFrame:
+def ancestors(tax: DataFrame, node: str = "id", parent: str = "parent") -> DataFrame:
     """(id, anc) for every node and each of its ancestors, itself included.
 
-    Breadth-first: each round joins the frontier (id, cur) to the parent table; the
-    loop stops when the frontier is empty (a root is its own parent or has none), whatever
-    the depth; more rounds than nodes mean a cycle, which raises.
-    Lineage is cut by a reliable checkpoint every few rounds.
+    The table of proper ancestors is joined to itself until it stops growing, so paths double:
+    a tree of depth d takes log2(d) rounds, whatever the depth. Each round is a written
+    table. A node that is its own ancestor is a cycle and raises (a root is its own parent or
+    has none).
     """
-    edges = tax.select(F.col(node).alias("cur"), F.col(parent).alias("nxt")).filter(
-        F.col("nxt").isNotNull() & (F.col("nxt") != F.col("cur")))
-    closure = tax.select(F.col(node).alias("id"), F.col(node).alias("anc"))
-    frontier = closure.select("id", F.col("anc").alias("cur"))
-    nodes = closure.select("id").distinct().count()
-    for i in itertools.count():
-        if i > nodes:
+    up = tax.select(F.col(node).alias("id"), F.col(parent).alias("anc")).filter(
+        F.col("anc").isNotNull() & (F.col("anc") != F.col("id"))).distinct()
+    up, n = written_once(up, "ancestors"), -1
+    while n != (m := up.count()):
+        n = m
+        if not up.filter("id = anc").isEmpty():
             raise ValueError("the taxonomy has a cycle")
-        step = frontier.join(edges, "cur").select("id", F.col("nxt").alias("cur"))
-        if (i + 1) % checkpoint_every == 0:
-            step = cut_lineage(step)
-        if step.isEmpty():
-            break
-        closure = closure.unionByName(step.select("id", F.col("cur").alias("anc")))
-        frontier = step
-    return closure
+        further = up.select("id", F.col("anc").alias("mid")).join(up.select(F.col("id").alias("mid"), "anc"), "mid")
+        up = written_once(up.unionByName(further.select("id", "anc")).distinct(), "ancestors")
+    return tax.select(F.col(node).alias("id"), F.col(node).alias("anc")).unionByName(up)
 
 
 def clade_counts(counts: DataFrame, tax: DataFrame, taxon: str = "taxon", value: str = "n",
