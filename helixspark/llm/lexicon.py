@@ -3,34 +3,35 @@
 The most frequent pre-tokens of the whole corpus are compiled into a shared-suffix
 automaton whose arcs carry token ids, as flat arrays in one file that Spark hands to the
 executors and every Python worker maps into memory. All new words of a batch walk it in
-lockstep; words that it does not hold are merged exactly by rank. Texts outside the plain
+lockstep; words that it does not hold are merged exactly by rank (``Merger``). Texts outside the plain
 alphabet of ``pretoken`` (or with a special token) are encoded by the tokenizers library.
 
 Cases: null text is empty and has no ids; repeated rows give repeated rows; null ids stay
-null; long texts and long words are encoded whole (merging a word of n characters takes
-n log n steps); an empty table compiles an empty automaton.
+null; long texts and long words are encoded whole; an empty table compiles an empty automaton.
 """
 
 from __future__ import annotations
 
-import heapq
 import json
 import os
 import tempfile
+from array import array
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from helixspark.llm.common import map_batches, table, texts_of
+from helixspark.llm.common import map_batches, table, texts_of, to_batch, written
 from helixspark.llm.pretoken import WORDS, plain
 
-END = "</w>"
-
-
 @lru_cache(maxsize=2)
 def byte_letters() -> list[str]:
     """The printable stand-in of each byte: printable Latin-1 as it is, the others from
@@ -41,64 +42,31 @@ def byte_letters() -> list[str]:
 
 
 class Merger:
-    """Exact BPE of one pre-token by merge ranks, from a tokenizers JSON file."""
+    """Exact BPE of one pre-token of a plain text, by the rank of the joined bytes.
+
+    The end-of-word mark is a zero byte, which no plain text holds: joining it to the last byte
+    comes before every merge, then merges follow in the order of the file. Merging by joined
+    bytes could differ from the listed pairs only if some token did not encode to itself; every
+    one does (tested)."""
+
+    END = "\0"
 
     def __init__(self, path: str):
+        import tiktoken
+
         model = json.load(open(path, encoding="utf-8"))["model"]
-        self.vocab = model["vocab"]
-        self.end = model["end_of_word_suffix"] or ""
-        self.pairs = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.pairs.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
-        self.letters = byte_letters()
-
-    def start(self, word: str) -> list[int]:
-        s = [self.letters[b] for b in word.encode("utf-8")]
-        s[-1] += self.end
-        return [self.vocab[c] for c in s]
-
-    def merge(self, word: str) -> list[int]:
-        ids = self.start(word)
-        if len(ids) > 100:
-            return self._merge_long(ids)
-        pairs = self.pairs
-        while len(ids) > 1:
-            best = min((pairs[p] for p in zip(ids, ids[1:]) if p in pairs), default=None)
-            if best is None:
-                break
-            out, i, n = [], 0, len(ids)
-            while i < n:
-                if i + 1 < n and pairs.get((ids[i], ids[i + 1])) == best:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same by a heap of (rank, place) over a linked list."""
-        n, pairs = len(ids), self.pairs
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*pairs[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]
-        heap = [(rank, i, new, p) for rank, new, i, p in heap]
-        heapq.heapify(heap)
-        ids = [*ids, -1]
-        while heap:
-            _, i, new, p = heapq.heappop(heap)
-            j = nxt[i]
-            if ids[i] != p[0] or j >= n or ids[j] != p[1]:
-                continue
-            ids[i], ids[j] = new, -1
-            nxt[i] = nxt[j]
-            if nxt[i] < n:
-                prv[nxt[i]] = i
-            for a in (prv[i], i):
-                if a >= 0 and nxt[a] < n and (q := (ids[a], ids[nxt[a]])) in pairs:
-                    rank, made = pairs[q]
-                    heapq.heappush(heap, (rank, a, made, q))
-        return [x for x in ids[:n] if x >= 0]
+        vocab, end, letters = model["vocab"], model["end_of_word_suffix"], byte_letters()
+        byte = {c: b for b, c in enumerate(letters)}
+        order = [*letters, *[c + end for c in letters], *[a + b for a, b in model["merges"]]]
+        ranks = {}
+        for rank, token in enumerate(order):
+            body = token.removesuffix(end)
+            ranks[bytes(byte[c] for c in body) + self.END.encode() * (body != token)] = rank
+        self.ids = np.array([vocab[t] for t in order], "<u4")
+        self.split = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def merge(self, word: str) -> np.ndarray:
+        return self.ids[self.split(word + self.END)]
 
 
 def compile_lexicon(entries: dict[bytes, list[int]]) -> dict[str, np.ndarray]:
@@ -195,7 +163,7 @@ class Lexicon:
         for k, n in zip(FIELDS, sizes):
             kind = np.int64 if k == "key" else np.int32
             end = at + int(n) * np.dtype(kind).itemsize
-            setattr(self, k, raw[at:end].view(kind))
+            setattr(self, k, np.asarray(raw[at:end]).view(kind))  # still the mapped pages, sliced faster
             at = end
 
     def look_up(self, words: list[bytes]) -> list[list[int] | None]:
@@ -238,7 +206,7 @@ class Lexicon:
 class Encoder:
     """Texts to ids; keeps the ids of words met before (at most ``keep``)."""
 
-    def __init__(self, tokenizer_path: str, lexicon_path: str, keep: int = 400_000):
+    def __init__(self, tokenizer_path: str, lexicon_path: str, keep: int = 300_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_path)
@@ -248,18 +216,22 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) > self.keep:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
+        new = list(words)
         for w, ids in zip(new, self.lexicon.look_up([w.encode("utf-8") for w in new])):
-            self.known[w] = np.array(self.merger.merge(w) if ids is None else ids, "<u4").tobytes()
+            self.known[w] = self.merger.merge(w).tobytes() if ids is None else array("I", ids).tobytes()
 
     def encode(self, texts: list[str], block: int = 256) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         out: list[bytes] = []
         for at in range(0, len(texts), block):
             words = [WORDS.findall(t.lower()) if plain(t) else None for t in texts[at:at + block]]
-            self.learn(set().union(*[w for w in words if w]))
+            if len(self.known) > self.keep:
+                self.known.clear()
+            new: set[str] = set()
+            for w in words:
+                if w:
+                    new.update(filterfalse(self.known.__contains__, w))
+            self.learn(new)
             for t, w in zip(texts[at:at + block], words):
                 if w is None:
                     out.append(np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
@@ -294,36 +266,58 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     return map_batches(df.select(F.col(text_col).alias("text")), run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(df: DataFrame, tokenizer_path: str, size: int = 65_536, text_col: str = "text") -> str:
-    """Compile the ``size`` most frequent words (the bound of what the driver receives) and
-    hand the file to the executors. Returns its name."""
-    top = word_counts(df, text_col).orderBy(F.desc("n"), "word").limit(size).collect()
+def build_lexicon(df: DataFrame, tokenizer_path: str, size: int = 131_072, text_col: str = "text") -> str:
+    """Compile the most frequent words, at most ``size`` (words of about one count are taken or
+    left together), and hand the file to the executors. Returns its name."""
+    words = written(word_counts(df, text_col), "words")
+    # the cut-off comes from a histogram of some thousand steps of the count, so no task and not
+    # the driver sorts more than the words taken
+    step = F.round(F.log2("n") * 64).cast("int")
+    total, least = 0, None
+    for r in words.groupBy(step.alias("step")).agg(F.count("*").alias("words")).orderBy(F.desc("step")).collect():
+        total += r["words"]
+        if total > size:
+            break
+        least = r["step"]
+    top = [] if least is None else words.where(step >= least).select("word").collect()
     merger = Merger(tokenizer_path)
     path = os.path.join(tempfile.mkdtemp(), f"lexicon-{os.urandom(8).hex()}.bin")
-    save(compile_lexicon({r["word"].encode("utf-8"): merger.merge(r["word"]) for r in top}), path)
+    save(compile_lexicon({r["word"].encode("utf-8"): merger.merge(r["word"]).tolist() for r in top}), path)
     df.sparkSession.sparkContext.addFile(path)  # Spark copies it to every executor, lost ones' successors too
     return os.path.basename(path)
 
 
-def encode_texts(df: DataFrame, tokenizer_path: str, lexicon: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id, ``n_tokens`` and ``ids`` (binary, little-endian unsigned 32-bit)."""
+def encode_texts(df: DataFrame, tokenizer_path: str, lexicon: str, id_col: str = "doc_id", text_col: str = "text",
+                 decode: bool = False) -> DataFrame:
+    """The id, ``n_tokens`` and ``ids`` (binary, little-endian unsigned 32-bit); with ``decode`` also
+    ``decoded``, the text made of the ids in the same pass."""
+    kind = df.schema[id_col].dataType.simpleString()
+    st = StructType.fromDDL(f"`{id_col}` {kind}, n_tokens long, ids binary" + ", decoded string" * decode)
+    arrow = to_arrow_schema(st)
 
-    def run(cols):
-        ids = _encoder(tokenizer_path, lexicon).encode(texts_of(cols["text"]))
-        return {id_col: cols["id"], "n_tokens": [len(b) // 4 for b in ids], "ids": ids}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 1024):  # ids and decoded texts take several times the room of the texts
+                c = b.slice(lo, 1024)
+                ids = _encoder(tokenizer_path, lexicon).encode(texts_of(c.column(1)))
+                out = {id_col: c.column(0), "n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+                yield to_batch(out | ({"decoded": decoded_texts(ids, tokenizer_path)} if decode else {}), arrow)
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return map_batches(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run,
-                       f"`{id_col}` {kind}, n_tokens long, ids binary")
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, st)
+
+
+def decoded_texts(ids: list[bytes], tokenizer_path: str) -> list[str]:
+    """The file has no decoder, so tokens are joined by spaces."""
+    piece = _pieces(tokenizer_path).__getitem__
+    return [" ".join(map(piece, np.frombuffer(b, "<u4").tolist())) for b in ids]
 
 
 def decode_ids(df: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> DataFrame:
-    """Adds ``decoded``: the file has no decoder, so tokens are joined by spaces."""
+    """Adds ``decoded`` to rows with ids."""
     names = [c for c in df.columns if c != "decoded"]
 
     def run(cols):
-        piece = _pieces(tokenizer_path).__getitem__
-        return cols | {"decoded": [" ".join(map(piece, np.frombuffer(b, "<u4").tolist())) for b in cols[ids_col].to_pylist()]}
+        return cols | {"decoded": decoded_texts(cols[ids_col].to_pylist(), tokenizer_path)}
 
     return map_batches(df.select(*names), run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in names) + ", decoded string")
 
@@ -332,5 +326,5 @@ def op4_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, docs = public_tokenizers.path("word_bpe_49k.json"), table(spark, sf_dir, "documents")
-    out = decode_ids(encode_texts(docs, path, build_lexicon(docs, path)), path)
+    out = encode_texts(docs, path, build_lexicon(docs, path), decode=True)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

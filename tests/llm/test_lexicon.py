@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -18,7 +19,7 @@ LIB = Tokenizer.from_file(PATH)
 @pytest.fixture(scope="module")
 def encoder(tmp_path_factory):
     m, p = Merger(PATH), str(tmp_path_factory.mktemp("lex") / "l.bin")
-    save(compile_lexicon({w.encode(): m.merge(w) for w in ("the", "then", "thing", "nothing", "à", "s", "größe", "house", "houses")}), p)
+    save(compile_lexicon({w.encode(): m.merge(w).tolist() for w in ("the", "then", "thing", "nothing", "à", "s", "größe", "house", "houses")}), p)
     return Encoder(PATH, p, keep=50)
 
 
@@ -66,7 +67,22 @@ def test_long_words_merge_alike():
     m, r = Merger(PATH), random.Random(3)
     for n in (101, 300, 2000):
         w = "".join(r.choice("aeinsthor") for _ in range(n))
-        assert plain(w) and m.merge(w) == LIB.encode(w, add_special_tokens=False).ids
+        assert plain(w) and m.merge(w).tolist() == LIB.encode(w, add_special_tokens=False).ids
+
+
+def test_every_token_encodes_to_itself():
+    # then merging by joined bytes equals the listed merges for every word
+    vocab, m = LIB.get_vocab(with_added_tokens=False), Merger(PATH)
+    ends = {t: i for t, i in vocab.items() if t.endswith("</w>") and t != "</w>"}
+    assert all([x.id for x in LIB.model.tokenize(t.removesuffix("</w>"))] == [i] for t, i in ends.items())
+    pairs = {p: r for r, p in enumerate(map(tuple, json.loads(LIB.to_str())["model"]["merges"]))}
+    for t in vocab.keys() - ends.keys():
+        s = list(t)
+        while len(s) > 1:
+            _, i = min((pairs.get(p, 1 << 30), i) for i, p in enumerate(zip(s, s[1:])))
+            assert (s[i], s[i + 1]) in pairs, t
+            s[i:i + 2] = [s[i] + s[i + 1]]
+    assert len(vocab) == len(m.ids)
 
 
 def test_rows(spark):
