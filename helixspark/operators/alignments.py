@@ -209,7 +209,8 @@ def pair_mates(reads: DataFrame, tags: list[str] = ("umi",)):
     back = (F.col("c_next_contig") == F.col("contig")) & (F.col("c_next_start") == F.col("start0"))
     lookup = F.when(F.col("c_sec") != F.col("_sec"), 0).otherwise(1)
     pref = F.struct(lookup.alias("l"), F.when(back, 0).otherwise(1).alias("b"),
-                    F.when(back, -F.col("c_id")).otherwise(F.col("c_id")).alias("o"))
+                    F.when(back, -F.col("c_id")).otherwise(F.col("c_id")).alias("o"),
+                    "c_sec", *[x for t in tags for x in (F.col(f"c_{t}").isNull().alias(f"n_{t}"), F.col(f"c_{t}"))])
     cand_cols = ["c_id", "c_sec", *[f"c_{t}" for t in tags]]
     best = j.filter(F.col("c_id").isNotNull()).groupBy("read_id").agg(
         F.min_by(F.struct(*cand_cols), pref).alias("_m"))

@@ -225,7 +225,9 @@ def stored_layout(spark: SparkSession, tables: dict[str, DataFrame] | DataFrame,
     out = {}
     for name, df in tables.items():
         r = spark.read.parquet(f"{path}/layout{layout}/{name}")
-        out[name] = r.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema])
+        # only partition columns come back with a guessed type
+        out[name] = r.select(*[F.col(f.name) if r.schema[f.name].dataType.simpleString() == f.dataType.simpleString()
+                               else F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema])
     return out
 
 

@@ -46,8 +46,9 @@ def append_stream(spark: SparkSession, src: str, out: str, ckpt: str, layout: in
 def loaded(spark: SparkSession, out: str, layout: int, name: str) -> DataFrame:
     """A table of the loader: the rows of committed batches."""
     done = spark.read.parquet(f"{out}/commits").select("batch_id").distinct()
-    rows = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*/layout{layout}/{name}")
-    return rows.join(done, "batch_id", "left_semi").drop("batch_id")
+    rows = spark.read.parquet(f"{out}/batch_id=*/layout{layout}/{name}")
+    batch = F.regexp_extract(F.col("_metadata.file_path"), "/batch_id=([0-9]+)/", 1).cast("long")
+    return rows.withColumn("_batch", batch).join(done.select(F.col("batch_id").cast("long").alias("_batch")), "_batch", "left_semi").drop("_batch")
 
 
 def status_stream(spark: SparkSession, events: DataFrame, out: str, ckpt: str, window: str = "1 hour",
