@@ -43,14 +43,14 @@ from lineitem group by 1, 2, 3
 """,
     "f4_reads": """
 select concat('r', cast(l_orderkey as string)) as name, l_orderkey * 8 + l_linenumber as read_id,
-  concat('chr', cast(l_partkey % 3 + 1 as string)) as contig, l_partkey * 97 % 5000 as start0, l_partkey * 97 % 5000 + 50 as end0,
+  concat('chr', cast(l_partkey % 3 + 1 as string)) as contig, l_partkey * 97 as start0, l_partkey * 97 + 50 as end0,
   case when l_linestatus = 'O' then '+' else '-' end as strand, case when l_returnflag = 'A' then 4 when l_linenumber % 2 = 1 then 67 else 131 end as flag,
   cast(l_quantity as bigint) as qual_sum, substr('ACGTACGT', cast(l_suppkey % 5 + 1 as int), 4) as umi
 from lineitem
 """,
     "f5_exons": """
 select concat('chr', cast(p_partkey % 3 + 1 as string)) as contig, concat('t', cast(p_partkey as string)) as tx,
-  concat('g', cast(p_partkey % 60 as string)) as gene_id, p_partkey * 31 % 5000 + e * 100 + 1 as start1, p_partkey * 31 % 5000 + e * 100 + 40 + p_size as end1,
+  concat('g', cast(p_partkey % 60 as string)) as gene_id, p_partkey * 131 + e * 100 + 1 as start1, p_partkey * 131 + e * 100 + 40 + p_size as end1,
   case when p_partkey % 2 = 0 then '+' else '-' end as strand, p_brand as biotype
 from part cross join (select 0 as e union all select 1 union all select 2) x
 """,

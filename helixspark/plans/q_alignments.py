@@ -18,7 +18,7 @@ window w as (partition by name order by read_id, contig, start0, end0, strand, q
 """
 
 SIZES_VIEW = """
-select concat('chr', cast(r_regionkey + 1 as string)) as contig, 3500 + r_regionkey * 500 as size from region
+select concat('chr', cast(r_regionkey + 1 as string)) as contig, 50000 + r_regionkey * 30000 as size from region
 """
 
 SEQREADS_VIEW = """
@@ -108,15 +108,14 @@ def q_coverage(spark, sf):
 
 FC_SQL = """rr as (select contig, start0 + 1 as rs, end0 as re, count(*) as w from f4_reads
         where (flag & 4) = 0 and (flag & 256) = 0 group by 1, 2, 3),
-ov as (select rr.contig, rr.rs, rr.re, rr.w, e.gene_id from rr join f5_exons e on e.contig = rr.contig and e.start1 <= rr.re and rr.rs <= e.end1
-        where e.biotype = 'Brand#11'),
+ov as (select rr.contig, rr.rs, rr.re, rr.w, e.gene_id from rr join f5_exons e on e.contig = rr.contig and e.start1 <= rr.re and rr.rs <= e.end1),
 pr as (select contig, rs, re, w, count(distinct gene_id) as n, min(gene_id) as gene_id from ov group by 1, 2, 3, 4)"""
 
 
 @register("feature_counts", with_views(f""", {FC_SQL}
 select gene_id, cast(sum(w) as bigint) as count from pr where n = 1 group by gene_id""", "f4_reads", "f5_exons"))
 def q_feature_counts(spark, sf):
-    return AL.count_features(fixture(spark, sf, "f4_reads"), fixture(spark, sf, "f5_exons"), feature_type="Brand#11")
+    return AL.count_features(fixture(spark, sf, "f4_reads"), fixture(spark, sf, "f5_exons"))
 
 
 @register("bed_clip", with_views(f""", sizes as ({SIZES_VIEW.strip()}),
@@ -219,13 +218,13 @@ _FC_DEDUP = (FC_SQL.replace("from f4_reads", "from (select * from marked where n
 @register("dup_rate_genes", with_views(f""", {DUP_SQL}, {_FC_ALL}, {_FC_DEDUP},
 a as (select gene_id, cast(sum(w) as bigint) as all_reads from pr where n = 1 group by gene_id),
 d as (select gene_id, cast(sum(w) as bigint) as dedup_reads from pr2 where n = 1 group by gene_id),
-l as (select gene_id, sum(end1 - start1 + 1) as length from f5_exons where biotype = 'Brand#11' group by gene_id)
+l as (select gene_id, sum(end1 - start1 + 1) as length from f5_exons group by gene_id)
 select l.gene_id, l.length, coalesce(a.all_reads, 0) as all_reads, coalesce(d.dedup_reads, 0) as dedup_reads,
   round((coalesce(a.all_reads, 0) - coalesce(d.dedup_reads, 0)) / nullif(coalesce(a.all_reads, 0), 0), 6) as dup_rate,
   round(coalesce(a.all_reads, 0) / (l.length / 1000.0), 6) as rpk
 from l left join a on a.gene_id = l.gene_id left join d on d.gene_id = l.gene_id""", "f4_reads", "f5_exons"))
 def q_dup_rate_genes(spark, sf):
     marked = AL.mark_duplicates(fixture(spark, sf, "f4_reads"))
-    t = AL.dup_rates(marked, fixture(spark, sf, "f5_exons"), feature_type="Brand#11")
+    t = AL.dup_rates(marked, fixture(spark, sf, "f5_exons"))
     return t.select("gene_id", "length", "all_reads", "dedup_reads", F.round("dup_rate", 6).alias("dup_rate"),
                     F.round("rpk", 6).alias("rpk"))

@@ -36,7 +36,7 @@ def q_cell_pca(spark, sf):
 @register("dup_rate_fit", None)
 def q_dup_rate_fit(spark, sf):
     marked = AL.mark_duplicates(fixture(spark, sf, "f4_reads"))
-    rates = AL.dup_rates(marked, fixture(spark, sf, "f5_exons"), feature_type="Brand#11")
+    rates = AL.dup_rates(marked, fixture(spark, sf, "f5_exons"))
     b0, b1 = STT.fit_dup_rate(rates)
     return spark.createDataFrame([(b0, b1)], "intercept double, slope double")
 
