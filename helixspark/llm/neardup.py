@@ -6,7 +6,9 @@ falls into one bucket per band. Work never grows with the square of a bucket:
 1. every class of a bucket is compared with the bucket's smallest class (a star);
 2. components of the confirmed links are taken;
 3. only buckets that still hold several components are searched further, in blocks of
-   classes, and only for pairs across components, so no link is lost.
+   classes, and only across components: first the likeliest pairs that would join all
+   components of a block, round by round as long as some are joined, then all pairs that are
+   left, so no link is lost.
 
 Candidate pairs are first judged by a finer sketch, taken of the classes that share a bucket,
 then confirmed on the full shingle sets of the whole texts.
@@ -99,8 +101,20 @@ def all_sets(texts: list[str], k: int) -> Iterator[np.ndarray]:
         yield from shingle_sets(texts[lo:hi], k)
 
 
-def set_key(s: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(s.tobytes())
+def set_key(s: np.ndarray) -> int:
+    """The class of a set: a signed 64-bit hash of all of it (two different sets share one with
+    probability 2 ** -64)."""
+    return int.from_bytes(xxhash.xxh3_64_digest(s.tobytes()), "little", signed=True)
+
+
+#: Up to so many rows (some tens of bytes each) a table of bucket or class numbers is broadcast;
+#: beyond, it is joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast only if its counted rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 @dataclass(frozen=True)
@@ -142,37 +156,33 @@ def minima(sets: list[np.ndarray], m: int) -> np.ndarray:
     return out
 
 
-def signatures(texts: list[str], p: Banding) -> tuple[list, list, list, list]:
-    """Per text: the size and key of its set, its registers as bytes and its band hashes;
-    nulls for a text without words."""
-    size, key, regs, bands = [], [], [], []
+def signatures(texts: list[str], p: Banding) -> tuple[list, list, list]:
+    """Per text: the size and key of its set and its band hashes; nulls without words."""
+    size, key, bands = [], [], []
     for lo, hi in blocks(texts):
         sets = shingle_sets(texts[lo:hi], p.k)
         some = [s for s in sets if len(s)]
         if some:
-            r = p.sketch(minima(some, p.m)).astype(p.kind)
-            g = r.reshape(len(some), p.bands, p.rows).astype(np.uint64)
+            g = p.sketch(minima(some, p.m)).astype(p.kind).reshape(len(some), p.bands, p.rows).astype(np.uint64)
             b = np.full((len(some), p.bands), 1, np.uint64) * np.arange(1, p.bands + 1, dtype=np.uint64)
             for j in range(p.rows):
                 b = mix(b * _C + g[:, :, j])
-            rows = iter(zip(r, b.view(np.int64)))
+            rows = iter(b.view(np.int64))
         for s in sets:
             size.append(len(s))
-            r1, b1 = next(rows) if len(s) else (None, None)
             key.append(set_key(s) if len(s) else None)
-            regs.append(None if r1 is None else r1.tobytes())
-            bands.append(b1)
-    return size, key, regs, bands
+            bands.append(next(rows) if len(s) else None)
+    return size, key, bands
 
 
 def first_texts(df: DataFrame, k: int, cut: Callable[[str], list[str]] = lambda t: [t]) -> DataFrame:
     """(key, text) of the parts that ``cut`` makes of each text of column ``text``; within a
     task a key is given once, so a large group of copies leaves one row a task."""
-    st = StructType.fromDDL("key binary, text string")
+    st = StructType.fromDDL("key long, text string")
     arrow = to_arrow_schema(st)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for b in batches:
             keys, texts = [], []
             parts = [part for t in b.column(0).to_pylist() for part in cut(t or "")]
@@ -186,19 +196,21 @@ def first_texts(df: DataFrame, k: int, cut: Callable[[str], list[str]] = lambda
     return df.select("text").mapInArrow(run, st)
 
 
-def candidates(buckets: DataFrame, classes: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
-    """(key, text, n, fine) of each class that shares a bucket, with its fine sketch; written, as
-    it is all that the searches read."""
-    some = buckets.select("key").distinct().join(classes.select("key", "n"), "key")
-    have = texts.join(some, "key").dropDuplicates(["key"]).select("key", "text", "n")
+def candidates(buckets: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
+    """(key, text, n, fine) of each class that shares a bucket: its text, set size and fine sketch,
+    whose first registers are the banded ones; written, as it is all that the searches read."""
+    some = _sized(written(buckets.select("key").distinct(), "keys"))
+    have = texts.join(some, "key").dropDuplicates(["key"]).select("key", "text")
 
     def run(c):
-        fine = []
+        n, fine = [], []
         for lo, hi in blocks(t := c["text"].to_pylist()):
-            fine += [r.tobytes() for r in p.sketch(minima(shingle_sets(t[lo:hi], p.k), p.fine)).astype(p.kind)]
-        return c | {"fine": fine}
+            sets = shingle_sets(t[lo:hi], p.k)
+            n += map(len, sets)
+            fine += [r.tobytes() for r in p.sketch(minima(sets, p.fine)).astype(p.kind)]
+        return c | {"n": n, "fine": fine}
 
-    return written(map_batches(have, run, "key binary, text string, n long, fine binary"), "candidates")
+    return written(map_batches(have, run, "key long, text string, n long, fine binary"), "candidates")
 
 
 def likely(pairs: DataFrame, have: DataFrame, p: Banding) -> DataFrame:
@@ -212,7 +224,7 @@ def likely(pairs: DataFrame, have: DataFrame, p: Banding) -> DataFrame:
         ok = p.estimate(ra, rb, c["na"].to_numpy(), c["nb"].to_numpy()) >= p.doubt(p.fine)
         return {x: c[x].filter(pa.array(ok)) for x in ("a", "b")}
 
-    return map_batches(j.select("a", "b", "na", "nb", "ra", "rb"), run, "a binary, b binary")
+    return map_batches(j.select("a", "b", "na", "nb", "ra", "rb"), run, "a long, b long")
 
 
 def _dealt(df: DataFrame, *cols: str) -> DataFrame:
@@ -231,10 +243,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: Banding, share: int = 128)
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / share).alias("parts"))
     dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
     lead = dealt.select("a", "part").distinct().join(texts.withColumnRenamed("key", "a"), "a").select(
-        "a", "part", F.lit(None).cast("binary").alias("b"), "text")
+        "a", "part", F.lit(None).cast("long").alias("b"), "text")
     rest = dealt.join(texts.withColumnRenamed("key", "b"), "b").select("a", "part", "b", "text")
     rows = _dealt(lead.unionByName(rest), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    st = StructType.fromDDL("a binary, b binary")
+    st = StructType.fromDDL("a long, b long")
     arrow = to_arrow_schema(st)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,20 +267,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: Banding, share: int = 128)
     return rows.mapInArrow(run, st)
 
 
-def across(members: DataFrame, p: Banding, block: int = 512) -> DataFrame:
-    """Likely pairs that share a bucket but lie in different components, each given once.
+def across(members: DataFrame, p: Banding, best: bool, block: int = 512) -> DataFrame:
+    """Likely pairs that share a bucket but lie in different components, each given once; with
+    ``best`` only those that would join the components of a pair of blocks, the likeliest first.
 
-    ``members``: band, key, n, regs, fine, comp of buckets with several components. Buckets are
+    ``members``: band, nth, key, n, fine, comp of buckets with several components. Buckets are
     cut into blocks; each pair of blocks is one group, compared by array operations: first all
     pairs by the banded registers (of a pair that meets in several bands only the first counts),
     then the rest by the fine sketch."""
     sizes = members.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     m = members.join(sizes, "band").withColumn("g", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("band", F.least("g", "o").alias("x"), F.greatest("g", "o").alias("y"), "g", "key", "n", "regs", "fine", "comp", "nth")
+    m = m.select("band", F.least("g", "o").alias("x"), F.greatest("g", "o").alias("y"), "g", "key", "n", "fine", "comp", "nth")
     names = ["band", "x", "y"]
     rows = _dealt(m, *names).sortWithinPartitions(*names)
-    st = StructType.fromDDL("a binary, b binary")
+    st = StructType.fromDDL("a long, b long")
     arrow = to_arrow_schema(st)
     coarse, sharp = p.doubt(p.m) - 0.1, p.doubt(p.fine)
 
@@ -278,24 +291,40 @@ def across(members: DataFrame, p: Banding, block: int = 512) -> DataFrame:
         right = left if x == y else [r for r in group if r[3] == y]
         if not left or not right:
             return {"a": [], "b": []}
-        regs, fine = ([np.frombuffer(b"".join(r[c] for r in s), p.kind).reshape(len(s), -1) for s in (left, right)] for c in (6, 7))
+        fine = [np.frombuffer(b"".join(r[6] for r in s), p.kind).reshape(len(s), -1) for s in (left, right)]
+        regs = [f[:, :p.m] for f in fine]
         n = [np.array([r[5] for r in s]) for s in (left, right)]
-        code = {c: i for i, c in enumerate({r[8] for r in group})}
-        comp = [np.array([code[r[8]] for r in s]) for s in (left, right)]
+        code = {c: i for i, c in enumerate({r[7] for r in group})}
+        comp = [np.array([code[r[7]] for r in s]) for s in (left, right)]
         same = np.zeros((len(left), len(right)), np.int32)
         for i in range(p.m):
             same += regs[0][:, i, None] == regs[1][None, :, i]
         ok = (same >= p.m * coarse) & (comp[0][:, None] != comp[1][None, :])
         ok &= np.minimum.outer(n[0], n[1]) * 100 >= np.maximum.outer(n[0], n[1]) * p.threshold
         i, j = np.nonzero(np.triu(ok, 1) if x == y else ok)
-        keep = []
+        keep, likelihood = [], []
         for lo in range(0, len(i), 8192):
             u, v = i[lo:lo + 8192], j[lo:lo + 8192]
             meet = (regs[0][u] == regs[1][v]).reshape(len(u), p.bands, p.rows).all(2).argmax(1)
-            u, v = u[meet == group[0][9]], v[meet == group[0][9]]
+            u, v = u[meet == group[0][8]], v[meet == group[0][8]]
             if len(u):
-                near = p.estimate(fine[0][u], fine[1][v], n[0][u], n[1][v]) >= sharp
+                est = p.estimate(fine[0][u], fine[1][v], n[0][u], n[1][v])
+                near = est >= sharp
                 keep += zip(u[near].tolist(), v[near].tolist())
+                likelihood += est[near].tolist()
+        if best:
+            root = list(range(len(code)))
+            tree = []
+            for at in sorted(range(len(keep)), key=lambda k: -likelihood[k]):
+                a, b = int(comp[0][keep[at][0]]), int(comp[1][keep[at][1]])
+                while root[a] != a:
+                    root[a] = a = root[root[a]]
+                while root[b] != b:
+                    root[b] = b = root[root[b]]
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    tree.append(keep[at])
+            keep = tree
         pairs = [sorted((left[u][4], right[v][4])) for u, v in keep]
         return {"a": [a for a, _ in pairs], "b": [b for _, b in pairs]}
 
@@ -313,22 +342,29 @@ def across(members: DataFrame, p: Banding, block: int = 512) -> DataFrame:
     return rows.mapInArrow(run, st)
 
 
-def near_classes(classes: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
-    """(node, root) of classes that are linked. ``classes``: one row per key with n, regs, bands;
-    ``texts``: (key, text), read only for candidates."""
-    spread = classes.select("key", F.posexplode("bands").alias("nth", "band"))
+def near_classes(sketches: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
+    """(node, root) of classes that are linked. ``sketches``: (key, bands), keys may repeat;
+    ``texts``: (key, text), read only for classes that share a bucket."""
+    spread = sketches.select("key", F.posexplode("bands").alias("nth", "band"))
     star = spread.groupBy("band").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select("band", "a")
-    buckets = written(spread.join(star, "band"), "buckets")
+    buckets = written(spread.join(_sized(written(star, "stars")), "band").distinct(), "buckets")
     pairs = buckets.where("key != a").select("a", F.col("key").alias("b")).distinct()
-    have = candidates(buckets, classes, texts, p)
-    edges = written(confirmed(likely(pairs, have, p), have.select("key", "text"), p), "links")
-    comp = components(edges)
-    placed = (buckets.select("band", "nth", "key").join(comp.withColumnRenamed("node", "key"), "key", "left")
-              .select("band", "nth", "key", F.coalesce("root", "key").alias("comp")))
-    # a bucket of two has had its only pair compared
-    split = (placed.groupBy("band").agg(F.min("comp").alias("u"), F.max("comp").alias("v"), F.count("*").alias("c"))
-             .where("u < v and c > 2").select("band"))
-    rest = placed.join(split, "band").join(classes.select("key", "regs"), "key").join(have.select("key", "n", "fine"), "key")
-    again = across(rest, p).join(pairs, ["a", "b"], "left_anti")
-    late = written(confirmed(again, have.select("key", "text"), p), "links")
-    return comp if late.isEmpty() else components(comp.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))
+    have = candidates(buckets, texts, p)
+    side = have.select("key", "text")
+    comp = components(written(confirmed(likely(pairs, have, p), side, p), "links"))
+    tested, best = pairs, True
+    while True:
+        placed = (buckets.select("band", "nth", "key").join(comp.withColumnRenamed("node", "key"), "key", "left")
+                  .select("band", "nth", "key", F.coalesce("root", "key").alias("comp")))
+        # a bucket of two has had its only pair compared
+        split = (placed.groupBy("band").agg(F.min("comp").alias("u"), F.max("comp").alias("v"), F.count("*").alias("c"))
+                 .where("u < v and c > 2").select("band"))
+        rest = placed.join(split, "band").join(have.select("key", "n", "fine"), "key")
+        again = written(across(rest, p, best).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        late = written(confirmed(again, side, p), "links")
+        found = not late.isEmpty()
+        if found:
+            comp = components(comp.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))
+        if not best:
+            return comp
+        tested, best = tested.union(again), found

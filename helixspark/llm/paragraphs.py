@@ -42,13 +42,13 @@ def tuned(threshold: float, recall: float, most: int = 128) -> tuple[int, int]:
 
 
 def minhash_banding(k: int = 5, threshold: int = 80, recall: float = 0.9999) -> Banding:
-    """Classical MinHash: the upper halves of the minima, compared by the share of equals."""
+    """Classical MinHash: the upper 16 bits of the minima, compared by the share of equals."""
     rows, bands = tuned(threshold / 100, recall)
 
     def share(ra, rb, na, nb):
         return (ra == rb).mean(1)
 
-    return Banding(k, rows, bands, lambda m: m >> np.uint64(32), share, "<u4", threshold)
+    return Banding(k, rows, bands, lambda m: m >> np.uint64(48), share, "<u2", threshold)
 
 
 def spans_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
@@ -71,23 +71,27 @@ def repeated_paragraphs(df: DataFrame, min_words: int = MIN_WORDS, k: int = 5, t
     n_words, component_id`` (smallest document of the component), ``kept``."""
     p = minhash_banding(k, threshold)
     kind = df.schema["doc_id"].dataType.simpleString()
-    st = StructType.fromDDL(f'doc_id {kind}, start long, "end" long, n_words long, n long, key binary, regs binary, bands array<long>'.replace('"', "`"))
+    st = StructType.fromDDL(f'doc_id {kind}, start long, "end" long, n_words long, key long, bands array<long>'.replace('"', "`"))
     arrow = to_arrow_schema(st)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # bands are given once a task for copies
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 c = b.slice(lo, 256)
                 texts = [t or "" for t in c.column(1).to_pylist()]
                 where = [(i, *s) for i, t in enumerate(texts) for s in spans_of(t, min_words)]
-                n, key, regs, bands = signatures([texts[i][a:z] for i, a, z, _ in where], p)
+                _, key, bands = signatures([texts[i][a:z] for i, a, z, _ in where], p)
+                for at, x in enumerate(key):
+                    if x in seen:
+                        bands[at] = None
+                    seen.add(x)
                 yield to_batch({
                     "doc_id": c.column(0).take(pa.array([w[0] for w in where], pa.int64())), "start": [w[1] for w in where],
-                    "end": [w[2] for w in where], "n_words": [w[3] for w in where], "n": n, "key": key, "regs": regs, "bands": bands}, arrow)
+                    "end": [w[2] for w in where], "n_words": [w[3] for w in where], "key": key, "bands": bands}, arrow)
 
     found = written(df.select("doc_id", "text").mapInArrow(run, st), "paragraphs")
-    classes = written(found.dropDuplicates(["key"]).select("key", "n", "regs", "bands"), "classes")
-    comp = near_classes(classes, first_texts(df, k, lambda t: cut(t, min_words)), p)
+    comp = near_classes(found.where("bands is not null").select("key", "bands"), first_texts(df, k, lambda t: cut(t, min_words)), p)
     place = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("d"), F.col("start").alias("s"))
     per_key = found.groupBy("key").agg(F.count("*").alias("c"), F.min(place).alias("first"))
     placed = per_key.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))

@@ -76,14 +76,13 @@ def near_duplicates(df: DataFrame, k: int = 4, threshold: int = 80, id_col: str
     d = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(c):
-        n, key, regs, bands = signatures(texts_of(c["text"]), p)
-        return {"id": c["id"], "n": n, "key": key, "regs": regs, "bands": bands}
+        n, key, bands = signatures(texts_of(c["text"]), p)
+        return {"id": c["id"], "n": n, "key": key, "bands": bands}
 
-    sig = written(map_batches(d, run, f"id {kind}, n long, key binary, regs binary, bands array<long>"), "sketches")
+    sig = written(map_batches(d, run, f"id {kind}, n long, key long, bands array<long>"), "sketches")
     some = sig.where("n > 0")
     first = some.groupBy("key").agg(F.min("id").alias("first"))
-    classes = some.dropDuplicates(["key"]).select("key", "n", "regs", "bands")
-    comp = near_classes(written(classes, "classes"), first_texts(d, k), p)
+    comp = near_classes(some.select("key", "bands"), first_texts(d, k), p)
     placed = first.join(comp.withColumnRenamed("node", "key"), "key", "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     home = placed.join(least, "root").select("key", "component_id")
