@@ -26,7 +26,6 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +52,18 @@ def byte_ranks(path: str) -> dict[bytes, int]:
 BROADCAST_ROWS = 500_000
 
 
+class _Known(dict):
+    """Ids of pre-tokens as bytes; a new one is merged at its first use."""
+
+    def __init__(self, merge, code: str):
+        super().__init__()
+        self.merge, self.code = merge, code
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = array(self.code, self.merge(word)).tobytes()
+        return ids
+
+
 class ByteEncoder:
     """Byte-level BPE ids of whole texts as the tokenizers library gives them.
 
@@ -71,27 +82,19 @@ class ByteEncoder:
         self.library.no_padding()
         self.merge = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=byte_ranks(path), special_tokens={}).encode_ordinary
         self.kind, self.code = (np.dtype("<u2"), "H") if self.library.get_vocab_size() < 65_536 else (np.dtype("<u4"), "I")
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self.merge, self.code)
         self.keep = keep
 
-    def encode(self, texts: list[str], block: int = 256) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        ids = self.known.__getitem__
         out: list[bytes] = []
-        for at in range(0, len(texts), block):
-            some = texts[at:at + block]
-            words = [BYTE_LEVEL.findall(t) if plain(t) else None for t in some]
+        for t in texts:
             if len(self.known) > self.keep:
                 self.known.clear()
-            new: set[str] = set()
-            for w in words:
-                if w:
-                    new.update(filterfalse(self.known.__contains__, w))
-            for w in new:
-                self.known[w] = array(self.code, self.merge(w)).tobytes()
-            for t, w in zip(some, words):
-                if w is None:
-                    out.append(np.array(self.library.encode(t, add_special_tokens=False).ids, self.kind).tobytes())
-                else:
-                    out.append(b"".join(map(self.known.__getitem__, w)))
+            if plain(t):
+                out.append(b"".join(map(ids, BYTE_LEVEL.findall(t))))
+            else:
+                out.append(np.array(self.library.encode(t, add_special_tokens=False).ids, self.kind).tobytes())
         return out
 
 
