@@ -20,6 +20,8 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,46 +92,66 @@ class ToxicModel:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
 
 
-def _rows(vectors: list[dict[int, float]], index: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    got = [(r, index[f], v) for r, vec in enumerate(vectors) for f, v in sorted(vec.items()) if f in index]
-    r, c, v = zip(*got) if got else ((), (), ())
-    return np.array(r, np.int64), np.array(c, np.int64), np.array(v, np.float64)
-
-
-def fit(xs: list[dict[int, float]], diffs: list[dict[int, float]], y: np.ndarray, steps: int = 150,
-        sparsity: float = 2e-3, fairness: float = 1.0, positive: float = 8.0, min_rows: int = 4,
-        max_features: int = 20_000) -> ToxicModel:
-    """Proximal logistic regression on the sparse rows ``xs`` with the penalty
+@dataclass(frozen=True)
+class Sparse:
+    """Sparse rows as arrays: row number, feature and value of each entry."""
+
+    row: np.ndarray
+    feature: np.ndarray
+    value: np.ndarray
+    n: int
+
+    @staticmethod
+    def of(vectors: list[dict[int, float]]) -> Sparse:
+        flat = [(r, f, v) for r, x in enumerate(vectors) for f, v in x.items()]
+        r, f, v = zip(*flat) if flat else ((), (), ())
+        return Sparse(np.array(r, np.int64), np.array(f, np.int64), np.array(v, np.float64), len(vectors))
+
+    @staticmethod
+    def of_lists(features: pa.ChunkedArray, values: pa.ChunkedArray) -> Sparse:
+        sizes = pc.list_value_length(features).to_numpy()
+        return Sparse(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), pc.list_flatten(features).to_numpy(),
+                      pc.list_flatten(values).to_numpy(), len(sizes))
+
+    def only(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, places in the sorted ``index`` and values of the entries whose feature is in it."""
+        if not len(index):
+            return self.row[:0], self.row[:0], self.value[:0]
+        at = np.minimum(np.searchsorted(index, self.feature), len(index) - 1)
+        ok = index[at] == self.feature
+        return self.row[ok], at[ok], self.value[ok]
+
+
+def fit(x: Sparse, diffs: Sparse, y: np.ndarray, steps: int = 150, sparsity: float = 2e-3, fairness: float = 1.0,
+        positive: float = 8.0, min_rows: int = 4, max_features: int = 20_000) -> ToxicModel:
+    """Proximal logistic regression on the rows ``x`` with the penalty
     ``fairness * mean((w . diff) ** 2)``; features are those of ``min_rows`` rows or more that
     differ most between the classes."""
     if not len(y) or y.min() == y.max():
         return ToxicModel(-60.0 if not len(y) or y.max() == 0 else 60.0, {})
-    seen, toxic = Counter(), Counter()
-    for x, t in zip(xs, y):
-        seen.update(x.keys())
-        if t:
-            toxic.update(x.keys())
     n, n1 = len(y), float(y.sum())
-    gap = {f: abs(toxic[f] / n1 - (c - toxic[f]) / (n - n1)) / math.sqrt(c / n) for f, c in seen.items() if c >= min_rows}
-    chosen = sorted(sorted(gap, key=lambda f: (-gap[f], f))[:max_features])
-    index = {f: i for i, f in enumerate([*chosen, *sorted({f for d in diffs for f in d} - set(chosen))])}
+    names, place, rows = np.unique(x.feature, return_inverse=True, return_counts=True)
+    toxic = np.bincount(place, y[x.row], len(names))
+    gap = np.abs(toxic / n1 - (rows - toxic) / (n - n1)) / np.sqrt(rows / n)
+    gap[rows < min_rows] = -1
+    best = np.lexsort((names, -gap))[:max_features]
+    index = np.union1d(names[best[gap[best] >= 0]], diffs.feature)
     m = len(index)
-    r, c, v = _rows(xs, index)
-    dr, dc, dv = _rows(diffs, index)
+    r, c, v = x.only(index)
+    dr, dc, dv = diffs.only(index)
     w, b, size2 = np.zeros(m), math.log(n1 / (n - n1)), np.zeros(m)
     cost = np.where(y > 0, positive, 1.0) / n
     for k in range(steps):
         z = b + np.bincount(r, w[c] * v, n)
         err = (1 / (1 + np.exp(-z)) - y) * cost
-        change = np.bincount(dr, w[dc] * dv, len(diffs))
-        g = np.bincount(c, err[r] * v, m) + 2 * fairness / max(1, len(diffs)) * np.bincount(dc, change[dr] * dv, m)
+        change = np.bincount(dr, w[dc] * dv, diffs.n)
+        g = np.bincount(c, err[r] * v, m) + 2 * fairness / max(1, diffs.n) * np.bincount(dc, change[dr] * dv, m)
         size2 = np.maximum(size2 * 0.99, g * g)
         rate = 0.06 / (1 + k / 60) / (np.sqrt(size2) + 1e-4)
         w = w - rate * g
         w = np.sign(w) * np.maximum(np.abs(w) - rate * sparsity, 0)
         b -= 0.5 * err.sum()
-    back = {i: f for f, i in index.items()}
-    return ToxicModel(float(b), {back[i]: float(w[i]) for i in np.flatnonzero(w)})
+    return ToxicModel(float(b), {int(index[i]): float(w[i]) for i in np.flatnonzero(w)})
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> ToxicModel:
@@ -154,9 +176,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> ToxicMode
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = map_batches(rows, run, f"doc_id {kind}, toxic int, f array<int>, v array<float>, df array<int>, dv array<float>").toArrow()
     got = got.sort_by("doc_id")
-    f, v, df, dv = (got[k].to_pylist() for k in ("f", "v", "df", "dv"))
-    return fit([dict(zip(*p)) for p in zip(f, v)], [dict(zip(*p)) for p in zip(df, dv)],
-               np.array(got["toxic"].to_pylist(), np.float64))
+    return fit(Sparse.of_lists(got["f"], got["v"]), Sparse.of_lists(got["df"], got["dv"]), got["toxic"].to_numpy().astype(np.float64))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text",

@@ -1,6 +1,6 @@
 import numpy as np
 
-from helixspark.llm.toxicity import PEERS, fit, learn, score_toxicity, swapped, vector, words_of
+from helixspark.llm.toxicity import PEERS, Sparse, fit, learn, score_toxicity, swapped, vector, words_of
 
 
 def corpus(n):
@@ -32,6 +32,7 @@ def test_penalty_removes_group_bias():
         z, x = vector(swapped(w, i)), vector(w)
         diffs.append({f: z.get(f, 0.0) - x.get(f, 0.0) for f in x.keys() | z.keys() if z.get(f) != x.get(f)})
     y = np.array([t for _, t in labels], float)
+    xs, diffs = Sparse.of(xs), Sparse.of(diffs)
 
     def shift(model):
         a = model.score(words_of("w1 w2 w3 muslims"), {})
