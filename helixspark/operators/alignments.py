@@ -85,7 +85,7 @@ def umi_dedup(reads: DataFrame) -> DataFrame:
     return m.join(best, [*key, "read_id"], "left_semi").drop("_5p")
 
 
-def coverage(reads: DataFrame, by_strand: bool = False, bin_size: int = 1_000_000) -> DataFrame:
+def coverage(reads: DataFrame, by_strand: bool = False) -> DataFrame:
     """bedGraph runs of read depth: (contig[, strand], start, end, depth), depth > 0,
     adjacent equal depths merged.
 
@@ -116,12 +116,22 @@ def count_features(reads: DataFrame, exons: DataFrame, group: str = "gene_id", b
         exons = exons.filter(F.col(type_col) == feature_type)
     # a read's outcome depends only on its interval: reads with the same interval are
     # counted once (partial aggregation) and carry their multiplicity through the join
-    r = reads.filter(~has("flag", UNMAPPED) & ~has("flag", SECONDARY)).groupBy(
-        "contig", (F.col("start0") + 1).alias("rs"), F.col("end0").alias("re")).agg(F.count("*").alias("_w"))
+    once = _of_one_group(_intervals(reads), exons, group, bin_size)
+    return once.groupBy(group).agg(F.sum("_w").alias("count"))
+
+
+def _intervals(reads: DataFrame, *counts: Column) -> DataFrame:
+    """Distinct intervals of mapped primary reads with their number ``_w`` and other counts."""
+    r = reads.filter(~has("flag", UNMAPPED) & ~has("flag", SECONDARY))
+    return r.groupBy("contig", (F.col("start0") + 1).alias("rs"), F.col("end0").alias("re")).agg(F.count("*").alias("_w"), *counts)
+
+
+def _of_one_group(intervals: DataFrame, exons: DataFrame, group: str, bin_size: int) -> DataFrame:
+    """Intervals that overlap exons of exactly one group, with that group."""
     e = exons.select("contig", F.col("start1").alias("es"), F.col("end1").alias("ee"), group)
-    j = overlap_join(r, e, "contig", "rs", "re", "es", "ee", bin_size=bin_size)
-    per_iv = j.groupBy("contig", "rs", "re", "_w").agg(F.count_distinct(group).alias("_n"), F.min(group).alias(group))
-    return per_iv.filter(F.col("_n") == 1).groupBy(group).agg(F.sum("_w").alias("count"))
+    j = overlap_join(intervals, e, "contig", "rs", "re", "es", "ee", bin_size=bin_size)
+    per_iv = j.groupBy(*intervals.columns).agg(F.count_distinct(group).alias("_n"), F.min(group).alias(group))
+    return per_iv.filter(F.col("_n") == 1)
 
 
 def clip_intervals(bed: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -239,10 +249,9 @@ def dup_rates(reads_marked: DataFrame, exons: DataFrame, group: str = "gene_id",
     reads per kilobase of exon length (dupRadar table)."""
     if feature_type is not None:
         exons = exons.filter(F.col(type_col) == feature_type)
-    allc = count_features(reads_marked, exons, group, bin_size).withColumnRenamed("count", "all_reads")
-    dedup = count_features(reads_marked.filter(~F.col("is_duplicate")), exons, group, bin_size).withColumnRenamed(
-        "count", "dedup_reads")
+    once = _of_one_group(_intervals(reads_marked, F.count_if(~F.col("is_duplicate")).alias("_kept")), exons, group, bin_size)
+    counts = once.groupBy(group).agg(F.sum("_w").alias("all_reads"), F.sum("_kept").alias("dedup_reads"))
     length = exons.groupBy(group).agg(F.sum(F.col("end1") - F.col("start1") + 1).alias("length"))
-    t = length.join(allc, group, "left").join(dedup, group, "left").fillna(0, ["all_reads", "dedup_reads"])
+    t = length.join(counts, group, "left").fillna(0, ["all_reads", "dedup_reads"])
     return t.withColumn("dup_rate", F.try_divide(F.col("all_reads") - F.col("dedup_reads"), F.col("all_reads"))).withColumn(
         "rpk", F.col("all_reads") / (F.col("length") / 1000.0))

@@ -297,18 +297,6 @@ def with_sample_meta(cells: DataFrame, sheet: DataFrame, key: str = "sample") ->
     return cells.join(coll, key, "left")
 
 
-def dup_rates(reads_per_gene: DataFrame) -> DataFrame:
-    """Per gene duplication rate and reads per kilobase (dupRadar columns).
-
-    ``reads_per_gene``: gene_id, length, all_reads, dedup_reads.
-    """
-    return reads_per_gene.select(
-        "gene_id", "length", "all_reads", "dedup_reads",
-        F.try_divide(F.col("all_reads") - F.col("dedup_reads"), F.col("all_reads")).alias("dup_rate"),
-        (F.col("all_reads") / (F.col("length") / 1000.0)).alias("rpk"),
-    )
-
-
 def mtx_triples(triples: DataFrame, feature: str = "feature", cell: str = "cell", value: str = "n"):
     """Triples -> (matrix rows with 1-based ids, barcodes, features) for MatrixMarket
     files; ids are ranks of the sorted distinct names (range-partitioned, not one task)."""

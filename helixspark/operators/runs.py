@@ -48,16 +48,6 @@ def pick_instance(cpus, memory) -> Column:
     return F.coalesce(best["name"], F.lit(""))
 
 
-def instance_catalog(spark: SparkSession) -> DataFrame:
-    """The 24 catalog rows (name, vcpus, memory_gib, size_rank, family_rank)."""
-    rows = [
-        (f"omics.{f}.{s}large", v, v * m, si, fi)
-        for si, (s, v) in enumerate(SIZES)
-        for fi, (f, m) in enumerate(FAMILIES)
-    ]
-    return spark.createDataFrame(rows, "instance string, vcpus int, memory_gib int, size_rank int, family_rank int")
-
-
 def example_prices(spark: SparkSession, storage_usd_gib_hr: float = 0.0001918) -> DataFrame:
     """A price list in the shape ``read_prices`` returns (resource_type, usd_per_hour).
 

@@ -102,7 +102,7 @@ runs as (select *, lead(pos) over (partition by contig order by pos) as nxt from
 select contig, pos as start, nxt as "end", cast(depth as bigint) as depth from runs where depth > 0 and nxt is not null""",
                                           "f4_reads"))
 def q_coverage(spark, sf):
-    r = AL.coverage(fixture(spark, sf, "f4_reads"), bin_size=1000)
+    r = AL.coverage(fixture(spark, sf, "f4_reads"))
     return r.select("contig", "start", "end", F.col("depth").cast("long").alias("depth"))
 
 

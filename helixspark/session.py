@@ -73,12 +73,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def written_once(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a fresh table in the shared checkpoint folder, read back. Every reader sees the
     same rows, so a column that depends on partitioning can be joined on."""

@@ -40,7 +40,7 @@ def test_coverage_matches_brute_force(spark):
         s = rnd.randint(0, 400)
         rows.append((f"r{i}", i, "c" + str(i % 2), s, s + rnd.randint(1, 60), "+", 0, 1, "A", None, None))
     df = spark.createDataFrame(rows, SCHEMA)
-    got = AL.coverage(df, bin_size=50).collect()
+    got = AL.coverage(df).collect()
     for contig in ("c0", "c1"):
         depth = Counter()
         for r in rows:
