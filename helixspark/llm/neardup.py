@@ -58,10 +58,11 @@ def _powers(base: int, bits: int) -> np.ndarray:
     return out
 
 
-def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
-    """Per text the sorted distinct 64-bit hashes of its ``k``-word shingles; A-Z is lower-cased,
-    words are runs without space or U+0009..U+000D. Fewer words: the whole sequence; none:
-    empty. Word hashes are differences of one running polynomial over all bytes."""
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The 64-bit hashes of all words of ``texts`` in order, their first bytes and ends within the
+    joined bytes (also returned), and the number of each text's first word, with an end mark. A-Z
+    is lower-cased, words are runs without space or U+0009..U+000D. Hashes are differences of one
+    running polynomial over all bytes."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     b = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
     space = _SPACE[b]
@@ -70,7 +71,20 @@ def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
     bits = max(16, len(b).bit_length())
     run = np.cumsum(_BYTES[_LOWER[b]] * _powers(_ODD, bits)[:len(b)])
     words = mix((run[end - 1] - run[begin - 1]) * _powers(pow(_ODD, -1, 1 << 64), bits)[begin] + (end - begin).astype(np.uint64))
-    first = np.searchsorted(begin, np.cumsum([1] + [len(r) + 1 for r in raw]))
+    return words, begin, end, b, np.searchsorted(begin, np.cumsum([1] + [len(r) + 1 for r in raw]))
+
+
+def run_hashes(words: np.ndarray, n: int, base: int = _ODD) -> np.ndarray:
+    """The hash of each ``n`` neighbouring words (as many as there are words, less n - 1)."""
+    bits = max(16, len(words).bit_length())
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers(base, bits)[:len(words)])])
+    return mix((total[n:] - total[:-n]) * _powers(pow(base, -1, 1 << 64), bits)[:max(0, len(words) - n + 1)])
+
+
+def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its ``k``-word shingles. Fewer words: the whole
+    sequence; none: empty."""
+    words, _, _, _, first = word_hashes(texts)
     out = []
     for lo, hi in zip(first, first[1:]):
         w = words[lo:hi]

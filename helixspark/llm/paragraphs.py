@@ -1,13 +1,21 @@
-"""Repeated passages: paragraph MinHash banding, exact Jaccard, removal by components.
+"""Repeated passages: equal runs of words, paragraph MinHash banding, removal by components.
 
-A paragraph is a line of at least ``min_words`` words. ``tuned`` picks the cheapest bands that
-reach a wanted recall at the threshold. Paragraphs that collide in a band are compared on their
-full shingle sets (see ``neardup``); in each component the occurrence of the smallest
-(document, place) stays and the others are removed.
+Two rules find passages. A paragraph is a line of at least ``min_words`` words. ``tuned`` picks
+the cheapest bands that reach a wanted recall at the threshold. Paragraphs that collide in a band
+are compared on their full shingle sets (see ``neardup``); in each component the occurrence of the
+smallest (document, place) stays and the others are removed.
 
-Cases: null text has no paragraph; shorter lines are never touched; repeated lines of one
-document count as repeats; repeated rows of a document repeat its paragraphs, each occurrence is
-listed; null ids come last when the kept occurrence is chosen; an empty table gives no rows.
+Whatever the lines, every run of ``WINDOW`` equal words at two disjoint places is found too.
+A window of that many words is named by the smallest hash of its runs of ``GRAM`` words, so equal
+windows have equal names; only windows of a name that occurs again are hashed whole (128 bits) and
+counted. The first occurrence of a window stays, the words of all others are removed, and
+neighbouring windows of one outcome are joined, which gives the whole repeated run. An occurrence
+that meets a line removed by the other rule is the one that stays only if there is no other.
+
+Cases: null text has no passage; repeated lines or runs of one document count as repeats; each
+input row is a document of its own, whatever its id, so of repeated rows of a document or of
+null ids all but one lose the passage; null ids come last when the kept occurrence is chosen; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,15 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from helixspark.llm.common import table, to_batch, written
-from helixspark.llm.neardup import Banding, first_texts, near_classes, signatures
+from helixspark.llm.common import map_batches, table, to_batch, written
+from helixspark.llm.neardup import Banding, _sized, blocks, first_texts, mix, near_classes, run_hashes, signatures, word_hashes
 
 MIN_WORDS = 40
+#: Words of a window, and of the runs within it that name it.
+WINDOW, GRAM = 50, 12
 
 
 def tuned(threshold: float, recall: float, most: int = 128) -> tuple[int, int]:
@@ -66,12 +77,29 @@ def cut(text: str, min_words: int = MIN_WORDS) -> list[str]:
     return [text[a:b] for a, b, _ in spans_of(text, min_words)]
 
 
-def repeated_paragraphs(df: DataFrame, min_words: int = MIN_WORDS, k: int = 5, threshold: int = 80) -> DataFrame:
-    """One row per occurrence of a paragraph that has another one like it: ``doc_id, start, end,
-    n_words, component_id`` (smallest document of the component), ``kept``."""
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with ``__row``, which names each row for all later reads: file and row of a plain
+    Parquet scan; other frames are written once with a row number."""
+    plan, names = df._jdf.queryExecution().analyzed(), []
+    while plan.children().size() == 1:
+        names.append(plan.nodeName())
+        plan = plan.children().head()
+    if plan.nodeName().startswith("LogicalRelation") and set(names) <= {"Project", "Filter", "SubqueryAlias"}:
+        try:
+            return df.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")).alias("__row"))
+        except AnalysisException:  # no Parquet
+            pass
+    return written(df.withColumn("__row", F.struct(F.lit(0).cast("long").alias("f"), F.monotonically_increasing_id().alias("i"))), "rows")
+
+
+ROW = "struct<f: bigint, i: bigint>"
+
+
+def _paragraphs(df: DataFrame, min_words: int, k: int, threshold: int) -> DataFrame:
+    """``repeated_paragraphs`` of numbered rows, with ``__row``."""
     p = minhash_banding(k, threshold)
     kind = df.schema["doc_id"].dataType.simpleString()
-    st = StructType.fromDDL(f'doc_id {kind}, start long, "end" long, n_words long, key long, bands array<long>'.replace('"', "`"))
+    st = StructType.fromDDL(f"__row {ROW}, doc_id {kind}, start long, `end` long, n_words long, key long, bands array<long>")
     arrow = to_arrow_schema(st)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,35 +107,153 @@ def repeated_paragraphs(df: DataFrame, min_words: int = MIN_WORDS, k: int = 5, t
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 c = b.slice(lo, 256)
-                texts = [t or "" for t in c.column(1).to_pylist()]
+                texts = [t or "" for t in c.column(2).to_pylist()]
                 where = [(i, *s) for i, t in enumerate(texts) for s in spans_of(t, min_words)]
                 _, key, bands = signatures([texts[i][a:z] for i, a, z, _ in where], p)
                 for at, x in enumerate(key):
                     if x in seen:
                         bands[at] = None
                     seen.add(x)
+                take = pa.array([w[0] for w in where], pa.int64())
                 yield to_batch({
-                    "doc_id": c.column(0).take(pa.array([w[0] for w in where], pa.int64())), "start": [w[1] for w in where],
+                    "__row": c.column(0).take(take), "doc_id": c.column(1).take(take), "start": [w[1] for w in where],
                     "end": [w[2] for w in where], "n_words": [w[3] for w in where], "key": key, "bands": bands}, arrow)
 
-    found = written(df.select("doc_id", "text").mapInArrow(run, st), "paragraphs")
+    found = written(df.select("__row", "doc_id", "text").mapInArrow(run, st), "paragraphs")
     comp = near_classes(found.where("bands is not null").select("key", "bands"), first_texts(df, k, lambda t: cut(t, min_words)), p)
-    place = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("d"), F.col("start").alias("s"))
+    place = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("d"), F.col("__row").alias("r"), F.col("start").alias("s"))
     per_key = found.groupBy("key").agg(F.count("*").alias("c"), F.min(place).alias("first"))
     placed = per_key.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     groups = placed.groupBy("root").agg(F.sum("c").alias("c"), F.min("first").alias("first")).where("c > 1")
     home = placed.select("key", "root").join(groups, "root").select("key", "first")
-    out = found.select("doc_id", "start", "end", "n_words", "key").join(home, "key")
-    return out.select("doc_id", "start", "end", "n_words", F.col("first.d").alias("component_id"),
-                      (F.col("doc_id").eqNullSafe(F.col("first.d")) & (F.col("start") == F.col("first.s"))).alias("kept"))
+    out = found.select("__row", "doc_id", "start", "end", "n_words", "key").join(home, "key")
+    return out.select("__row", "doc_id", "start", "end", "n_words", F.col("first.d").alias("component_id"),
+                      ((F.col("__row") == F.col("first.r")) & (F.col("start") == F.col("first.s"))).alias("kept"))
+
+
+def repeated_paragraphs(df: DataFrame, min_words: int = MIN_WORDS, k: int = 5, threshold: int = 80) -> DataFrame:
+    """One row per occurrence of a paragraph that has another one like it: ``doc_id, start, end,
+    n_words, component_id`` (smallest document of the component), ``kept``."""
+    return _paragraphs(numbered(df), min_words, k, threshold).drop("__row")
+
+
+def _slide(x: np.ndarray, n: int, op) -> np.ndarray:
+    """``op`` over each ``n`` neighbours, by doubling."""
+    span = 1
+    while span < n:
+        step = min(span, n - span)
+        x = op(x[:len(x) - step], x[step:])
+        span += step
+    return x
+
+
+def _windows(texts: list[str]) -> Iterator[tuple]:
+    """Per text: the names of its windows in order, and what their places follow from."""
+    for lo, hi in blocks(texts):
+        words, begin, end, b, first = word_hashes(texts[lo:hi])
+        names = _slide(run_hashes(words, GRAM), WINDOW - GRAM + 1, np.minimum).view(np.int64) if len(words) >= WINDOW else np.zeros(0, np.int64)
+        at = np.cumsum((b & 0xC0) != 0x80)  # code points up to a byte
+        left = 1
+        for x, y, t in zip(first, first[1:], texts[lo:hi]):
+            n = max(0, y - x - WINDOW + 1)
+            yield names[x:x + n], words[x:y], at[begin[x:y]] - at[left], at[end[x:y] - 1] - at[left] + 1
+            left += len(t.encode("utf-8", "surrogatepass")) + 1
+
+
+def _named_again(df: DataFrame) -> DataFrame:
+    """(__row, names): the names of windows of each row that occur in another one or at disjoint
+    places of it."""
+
+    def run(c):
+        out: dict = {"at": [], "name": [], "twice": []}
+        for i, (m, *_) in enumerate(_windows([t or "" for t in c["text"].to_pylist()])):
+            if len(m):
+                begin = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
+                end = np.append(begin[1:], len(m)) - 1
+                name, x = np.unique(m[begin], return_index=True)
+                _, y = np.unique(m[begin][::-1], return_index=True)
+                out["at"].append(i)
+                out["name"].append(name)
+                out["twice"].append(end[len(begin) - 1 - y] - begin[x] >= WINDOW)
+        return {"__row": c["__row"].take(pa.array(out["at"], pa.int64())), "name": out["name"], "twice": out["twice"]}
+
+    names = written(map_batches(df.select("__row", "text"), run, f"__row {ROW}, name array<long>, twice array<boolean>"), "names")
+    each = names.select("__row", F.explode(F.arrays_zip("name", "twice")).alias("z")).select("__row", "z.name", "z.twice")
+    again = each.groupBy("name").agg(F.count("*").alias("c"), F.max("twice").alias("t")).where("c > 1 or t").select("name")
+    return written(each.join(_sized(written(again, "again")), "name").groupBy("__row").agg(F.collect_list("name").alias("names")), "hits")
+
+
+def _runs(df: DataFrame, lines: DataFrame) -> DataFrame:
+    """One row per repeated run of numbered rows, as ``_paragraphs`` gives them; ``lines`` is its
+    result, whose spans are not listed again."""
+    kind = df.schema["doc_id"].dataType.simpleString()
+    hits = _named_again(df)
+    spans = lines.groupBy("__row").agg(F.collect_list(F.struct("start", "end", "kept")).alias("spans"))
+    some = df.select("__row", "doc_id", "text").join(_sized(written(hits.select("__row"), "hit-rows")), "__row", "left_semi")
+    some = some.join(hits, "__row").join(spans, "__row", "left")
+    st = f"__row {ROW}, doc_id {kind}, pos int, start long, `end` long, h long, g long, dead boolean, listed int"
+    other = 0xD1342543DE82EF95
+
+    def run(c):
+        out: dict = {k: [] for k in ("at", "pos", "start", "end", "h", "g", "dead", "listed")}
+        names, lists = c["names"].to_pylist(), c["spans"].to_pylist()
+        for i, (m, w, a, z) in enumerate(_windows([t or "" for t in c["text"].to_pylist()])):
+            pos = np.flatnonzero(np.isin(m, np.array(names[i], np.int64)))
+            start, end = a[pos], z[pos + WINDOW - 1]
+            dead, listed = np.zeros(len(pos), bool), np.zeros(len(pos), np.int32)
+            for s in lists[i] or []:
+                # windows start in order, so those that meet a line or lie in it are neighbours
+                x, y = np.searchsorted(end, s["start"], "right"), np.searchsorted(start, s["end"])
+                dead[x:y] |= not s["kept"]
+                x, y = np.searchsorted(start, s["start"]), np.searchsorted(end, s["end"], "right")
+                if x < y:
+                    listed[x:y] = 2 if s["kept"] else 1
+            for k, v in (("at", np.full(len(pos), i)), ("pos", pos), ("start", start), ("end", end), ("dead", dead), ("listed", listed),
+                         ("h", run_hashes(w, WINDOW).view(np.int64)[pos]), ("g", run_hashes(mix(w + np.uint64(other)), WINDOW, other).view(np.int64)[pos])):
+                out[k].append(v)
+        out = {k: np.concatenate(v) for k, v in out.items()}
+        take = pa.array(out.pop("at"), pa.int64())
+        return out | {"__row": c["__row"].take(take), "doc_id": c["doc_id"].take(take)}
+
+    seen = written(map_batches(some, run, st), "windows")
+    place = F.struct("dead", F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("d"), F.col("__row").alias("r"), F.col("pos").alias("p"))
+    first = seen.groupBy("h", "g").agg(F.min(place).alias("first"), F.min("__row").alias("r"), F.max("__row").alias("s"),
+                                       F.min("pos").alias("p"), F.max("pos").alias("q"))
+    first = first.where(f"r != s or first.p - p >= {WINDOW} or q - first.p >= {WINDOW}").select("h", "g", "first")
+    own = F.col("__row") == F.col("first.r")
+    each = seen.join(first, ["h", "g"]).withColumn("kept", own & (F.col("pos") == F.col("first.p")))
+    each = each.where(F.expr("if(kept, not dead and listed != 2, listed != 1)") & (F.col("kept") | ~own | (F.abs(F.col("pos") - F.col("first.p")) >= WINDOW)))
+    each = each.select("__row", "doc_id", "pos", "start", "end", "kept", F.col("first.d").alias("component_id"))
+    same = ["__row", "doc_id", "kept", "component_id"]
+    # neighbours of one outcome; a window function's group is bounded by its text
+    each = each.withColumn("run", F.col("pos") - F.row_number().over(Window.partitionBy(*same).orderBy("pos")))
+    out = each.groupBy(*same, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.count("*") + WINDOW - 1).alias("n_words"))
+    return out.select("__row", "doc_id", "start", "end", "n_words", "component_id", "kept")
+
+
+def _passages(df: DataFrame) -> DataFrame:
+    lines = written(_paragraphs(df, MIN_WORDS, 5, 80), "lines")
+    return lines.unionByName(_runs(df, lines))
+
+
+def repeated_passages(df: DataFrame) -> DataFrame:
+    """The rows of ``repeated_paragraphs`` and one per repeated run of words that they leave open;
+    the ``component_id`` of a run is the document in which its words stay."""
+    return _passages(numbered(df)).drop("__row")
+
+
+def without_repeats(df: DataFrame) -> DataFrame:
+    """``df`` with all but one occurrence of each repeated passage cut, row by row."""
+    rows = numbered(df)
+    return without_spans(rows, _passages(rows).where("not kept"), "__row").drop("__row")
 
 
-def without_spans(df: DataFrame, removals: DataFrame) -> DataFrame:
-    """``df`` (any columns, with doc_id and text) with the spans of ``removals`` (doc_id, start,
-    end) cut from its texts. Spans are gathered per document: their number is bounded by its
-    length. Documents without a span keep their text as it is."""
-    spans = removals.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__spans"))
-    j = df.join(spans.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+def without_spans(df: DataFrame, removals: DataFrame, by: str = "doc_id") -> DataFrame:
+    """``df`` (any columns, with text) with the spans of ``removals`` (start, end and ``by``, which
+    must name one row) cut from its texts; spans may overlap. They are gathered per row: their
+    number is bounded by its length. Rows without a span keep their text as it is."""
+    spans = removals.groupBy(by).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__spans"))
+    j = df.join(spans.withColumnRenamed(by, "__id"), F.col(by).eqNullSafe(F.col("__id")), "left").drop("__id")
     st = StructType([f for f in j.schema if f.name != "__spans"])
     arrow = to_arrow_schema(st)
 
@@ -119,8 +265,11 @@ def without_spans(df: DataFrame, removals: DataFrame) -> DataFrame:
                 if t is not None and s:
                     keep, at = [], 0
                     for x in s:
-                        keep.append(t[at:x["start"]])
-                        at = min(len(t), x["end"] + 1)  # its line break goes too
+                        a, z = x["start"], x["end"]
+                        keep.append(t[at:a])
+                        # the space or line break behind goes too, but no break that ends what stays of a line
+                        whole = a == 0 or t[a - 1] == "\n" or a <= at
+                        at = max(at, min(len(t), z + (whole or t[z:z + 1] != "\n")))
                     t = "".join([*keep, t[at:]]).removesuffix("\n") if at >= len(t) else "".join([*keep, t[at:]])
                 texts.append(t)
             yield to_batch(cols | {"text": texts}, arrow)
@@ -129,4 +278,4 @@ def without_spans(df: DataFrame, removals: DataFrame) -> DataFrame:
 
 
 def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return repeated_passages(table(spark, sf_dir, "documents"))
