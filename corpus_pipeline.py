@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from helixspark.llm.common import map_batches, table, texts_of, written
 from helixspark.llm.packing import pack_mixture
-from helixspark.llm.paragraphs import repeated_paragraphs, without_spans
+from helixspark.llm.paragraphs import without_repeats
 from helixspark.llm.secrets import KINDS, find_secrets
 from helixspark.llm.setsketch import near_duplicates
 from helixspark.llm.spans import replaced
@@ -55,7 +55,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All but one occurrence of each repeated passage are cut; documents stay."""
     docs = _documents(docs)
-    return _counted(without_spans(docs, repeated_paragraphs(docs).where("not kept")))
+    return _counted(without_repeats(docs))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

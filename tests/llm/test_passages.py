@@ -110,6 +110,16 @@ def test_real_rows_leave_no_repeated_window(spark):
     assert cut
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    r = random.Random(7)
+    text = lambda n: " ".join(f"w{r.randint(0, 10**6)}" for _ in range(n))
+    s, clean, other = text(60), text(200), text(80)
+    rows = [(None, s + "\nalpha"), (None, s + "\nbeta"), (None, clean), (5, s + "\nfive"), (5, other), (6, other), (6, other), (None, None)]
+    for df in (frame(spark, rows), spark.createDataFrame(rows, "doc_id long, text string")):
+        out = sorted((x.doc_id or 0, x.text or "") for x in without_repeats(df).collect())
+        assert out == sorted([(0, "alpha"), (0, "beta"), (0, clean), (5, s + "\nfive"), (5, other), (6, ""), (6, ""), (0, "")])
+
+
 def test_row_names_are_stable(spark, tmp_dir):
     spark.range(1000).selectExpr("id % 7 doc_id", "cast(id as string) text").repartition(3).write.parquet(tmp_dir + "/t")
     df = spark.read.parquet(tmp_dir + "/t").select("doc_id", "text")
