@@ -3,10 +3,9 @@
 Vectors go to the nearest of about 2 * cbrt(n) unit centroids, fitted on a bounded sample (few
 cells, as each vector is lent to a share of them).
 A vector is also lent to each cell whose border it is close to, so a pair that straddles a
-border meets in one cell (the lower-numbered of its two). With ``reach`` at the sine of the
-threshold angle (0.368 at cosine 0.93) no pair can be missed; at the default 0.2 a pair of
-cosine 0.93 is missed only if its difference points within some 60 degrees of the border's normal,
-four standard deviations off in 64 dimensions (the README has the measured recall).
+border meets in one cell (the lower-numbered of its two). ``reach`` is the sine of the threshold
+angle (0.368 at cosine 0.93): of a linked pair on either side of a border, no vector is farther from
+it, so no pair can be missed, however the vectors are spread.
 
 Cells are cut into blocks and block pairs are multiplied, whatever a cell's size. A block
 reports link counts and a spanning forest of its links, never all pairs. Equal vectors of one
@@ -111,10 +110,18 @@ def block_links(group: list[tuple], threshold: float, kind: str = "<f8") -> tupl
     return hit @ mult, forest(hit)
 
 
-def link_vectors(df: DataFrame, threshold: float = 0.93, reach: float = 0.2, sample: int = 20_000, max_cells: int = 2048,
+def reach_of(threshold: float) -> float:
+    """The sine of the largest angle of a link, less the rounding of a cosine."""
+    low = threshold - 1e-12
+    return math.sqrt(max(0.0, 1 - low * low)) if low > 0 else 1.0
+
+
+def link_vectors(df: DataFrame, threshold: float = 0.93, reach: float | None = None, sample: int = 20_000, max_cells: int = 2048,
                  block: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Per input row: id, ``n_links``, ``component_id``, ``kept``. ``sample`` rows at most reach the
-    driver for the fit; every row is assigned and compared."""
+    driver for the fit; every row is assigned and compared. ``reach`` is ``reach_of`` the threshold
+    if it is not given; a smaller one may miss links."""
+    reach = reach_of(threshold) if reach is None else reach
     kinds = {c: df.schema[c].dataType.simpleString() for c in (id_col, label_col)}
     kind = "<f4" if df.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"
     d = df.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vec_col).alias("v"))

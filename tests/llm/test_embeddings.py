@@ -58,3 +58,21 @@ def test_forest():
     for a, b in ((0, 3), (3, 5), (1, 2)):
         m[a, b] = m[b, a] = True
     assert sorted(forest(m)) == [(2, 1), (3, 0), (5, 0)]
+
+
+def test_default_reach_on_uneven_spectra(spark):
+    """Partners at cosine 0.931, components falling off as 1/i: the query's own defaults."""
+    r = np.random.default_rng(4)
+    scale = 1 / np.arange(1, 65)
+    rows = []
+    for i in range(1500):
+        a, d = r.normal(size=64) * scale, r.normal(size=64) * scale
+        a /= np.linalg.norm(a)
+        d -= a * (a @ d)
+        for v in (a, 0.931 * a + (1 - 0.931 ** 2) ** 0.5 * d / np.linalg.norm(d)):
+            rows.append((len(rows), v.tolist(), 1))
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    links = (x @ x.T >= 0.93).sum(1) - 1
+    out = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)).collect()
+    assert {o.vec_id: o.n_links for o in out} == dict(enumerate(links.tolist()))
