@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from helixspark.llm.common import map_batches, table, texts_of, written
 from helixspark.llm.packing import pack_mixture
-from helixspark.llm.paragraphs import without_repeats
+from helixspark.llm.paragraphs import numbered, without_repeats
 from helixspark.llm.secrets import KINDS, find_secrets
 from helixspark.llm.setsketch import near_duplicates
 from helixspark.llm.spans import replaced
@@ -41,15 +41,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8)
-    stays: that of the smallest id. Rows without an id have no representative and stay."""
-    docs = _documents(docs)
-    gone = near_duplicates(docs, k=5).where("not kept").select("doc_id").distinct()
-    # only rows of repeated ids (found without their texts) are compared as whole rows
-    twice = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    rest = docs.join(gone, "doc_id", "left_anti")
-    once = rest.join(twice, "doc_id", "left_anti")
-    return once.unionByName(rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*COLUMNS)
+    """One row of each group of near-duplicates (five-word shingles, similarity 0.8) stays: that of
+    the smallest id, null ids last. Each row is judged by itself, whatever rows share its id."""
+    rows = numbered(_documents(docs))
+    place = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("d"), F.col("__row").alias("r"))
+    gone = near_duplicates(rows.select(place.alias("place"), "text"), k=5, id_col="place").where("not kept").select(F.col("place.r").alias("__row"))
+    return rows.join(gone, "__row", "left_anti").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,3 +42,11 @@ def test_repeats_and_secrets(spark):
     out = {r.doc_id: r for r in cp.mask_secrets(spark, cp.cut_repeats(spark, docs(spark, rows), ""), "").collect()}
     assert out[1].text == "own\n" + line and out[2].text == "mine" and out[2].n_chars == 4
     assert out[3].text == 'a [assign]" b' and out[4].text is None
+
+
+def test_near_duplicates_judge_rows_not_ids(spark):
+    words = lambda x: " ".join(f"{x}{i}" for i in range(60))
+    a, b, c, n = words("a"), words("b"), words("c"), words("n")
+    rows = [doc(3, a), doc(5, a), doc(5, b), doc(6, c), doc(6, c + " tail"), doc(None, n), doc(None, n), doc(None, n + " end"), doc(None, None)]
+    out = sorted((r.doc_id or 0, (r.text or "").split(" ")[0]) for r in cp.drop_near_duplicates(spark, docs(spark, rows), "").collect())
+    assert out == [(0, ""), (0, "n0"), (3, "a0"), (5, "b0"), (6, "c0")]
