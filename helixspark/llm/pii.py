@@ -1,13 +1,15 @@
 """Personal data: base patterns plus a linear-chain conditional random field.
 
-The field labels the tokens of every stretch of text around a digit or an at sign (each kind of
-span holds one), by features of token shapes. It is trained at the start from a small
-labelled table (``labelled_table``) and decoded by Viterbi, all stretches of a batch in lockstep
-in numpy. Spans it finds beside the base ones are added; base spans always stay.
+The field labels the tokens of every stretch of text around a digit, an at sign or a written cue
+such as ``(at)`` or ``[dot]`` (each kind of span holds one), by features of token shapes. Stretches
+end at word ends. The field is trained at the start from a small labelled table
+(``labelled_table``) and decoded by Viterbi, all stretches of a batch in lockstep in numpy. Spans it
+finds beside the base ones are added; base spans always stay.
 
 Cases: null text is empty; repeated rows give repeated rows; null ids stay null; whole texts
-are scanned; a stretch of more than ``LONGEST`` tokens is labelled in runs of that many; an
-empty table gives no rows.
+are scanned; a stretch of more than ``LONGEST`` tokens is labelled in runs of that many, each decoded
+with ``OVERLAP`` tokens of its neighbours, and spans go on from run to run; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -32,10 +34,13 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
-ANCHOR = re.compile(r"[0-9@]+")
+ANCHOR = re.compile(r"[0-9@]+|[(\[{<][\x20\t]*(?:at|dot)[\x20\t]*[)\]}>]", re.I | re.A)
+SPACE = re.compile(r"\s")
 #: Characters of context on either side of a stretch, and the gap that still joins anchors.
 CONTEXT = 24
 LONGEST = 256
+#: Tokens of the neighbouring runs that a run is decoded with.
+OVERLAP = 64
 
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 
@@ -64,6 +69,14 @@ def stretches(text: str) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for m in ANCHOR.finditer(text):
         a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+        if out and m.end() <= out[-1][1]:
+            a = m.start()
+        while a and not text[a - 1].isspace() and not (out and a <= out[-1][1]):
+            a -= 1
+        if out and b <= out[-1][1]:
+            b = out[-1][1]
+        elif b < len(text) and not text[b - 1].isspace():
+            b = e.start() if (e := SPACE.search(text, b)) else len(text)
         if out and a <= out[-1][1] and text.find("\n", out[-1][2], m.start()) < 0:
             out[-1][1:] = [b, m.end()]
         else:
@@ -117,7 +130,7 @@ def labelled_table(rows: int = 700, seed: int = 11) -> list[tuple[str, list[Span
     hexa = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
     forms = [
         (0, lambda: f"{low()}.{n(2)}@{low()}{n(1)}.example.com"), (0, lambda: f"{low()}@{low()}.org"),
-        (0, lambda: f"{low()}{n(2)} (at) {low()} (dot) com"), (0, lambda: f"{low()}{n(2)} [at] {low()}.net"), (0, lambda: f"{low()} @ {low()}.com"),
+        (0, lambda: f"{low()}{n(2)} (at) {low()} (dot) com"), (0, lambda: f"{low()}{n(2)} [at] {low()}.net"), (0, lambda: f"{low()} (at) {low()} (dot) com"), (0, lambda: f"{low()} [at] {low()} [dot] org"), (0, lambda: f"{low()} @ {low()}.com"),
         (1, ip4), (1, ip4), (1, lambda: f"{hexa(4)}:{hexa(4)}::{hexa(4)}:{n(2)}"),
         (2, lambda: " ".join(n(4) for _ in range(4))), (2, lambda: "-".join(n(4) for _ in range(4))), (2, lambda: f"{n(4)} {n(6)} {n(5)}"),
         (3, lambda: f"+{n(1)} ({n(3)}) {n(3)}-{n(4)}"), (3, lambda: f"({n(3)}) {n(3)}-{n(4)}"), (3, lambda: f"{n(3)}-{n(3)}-{n(4)}"),
@@ -260,17 +273,25 @@ def field_spans(texts: list[str], field: Field) -> list[list[Span]]:
     for i, text in enumerate(texts):
         for a, b in stretches(text):
             tokens, at, gaps = tokens_of(text[a:b])
-            for lo in range(0, len(tokens), LONGEST):
-                part = slice(lo, lo + LONGEST)
-                where.append((i, a, at[part]))
-                seqs.append(field.scores(token_features(tokens[part], gaps[part])))
+            scores = field.scores(token_features(tokens, gaps))
+            n = range(0, len(tokens), LONGEST)
+            where.append((i, a, at, len(n)))
+            seqs += [scores[max(0, lo - OVERLAP):lo + LONGEST + OVERLAP] for lo in n]
+    paths = iter(viterbi(seqs, field.move, field.first))
     out: list[list[Span]] = [[] for _ in texts]
-    for (i, a, at), path in zip(where, viterbi(seqs, field.move, field.first)):
+    for i, a, at, n in where:
+        path: list[int] = []
+        for run in range(n):
+            skip = min(OVERLAP, run * LONGEST)
+            path += next(paths)[skip:skip + LONGEST]
         for t, label in enumerate(path):
-            if label % 2:
-                out[i].append((a + at[t][0], a + at[t][1], label // 2))
-            elif label and out[i] and out[i][-1][2] == label // 2 - 1 and t and path[t - 1] in (label, label - 1):
+            if not label:
+                continue
+            goes_on = label % 2 == 0 and t and path[t - 1] in (label, label - 1)
+            if goes_on and out[i] and out[i][-1][2] == label // 2 - 1:
                 out[i][-1] = (out[i][-1][0], a + at[t][1], label // 2 - 1)
+            elif label % 2 or (t and t % LONGEST == 0):
+                out[i].append((a + at[t][0], a + at[t][1], (label - 1) // 2))
     return out
 
 

@@ -67,3 +67,24 @@ def test_rows(spark):
     out = scan_pii(spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, n_ip int"), default_field()).collect()
     assert sorted((x.doc_id or 0, x.n_email, x.n_ip) for x in out) == sorted((i or 0, *(sum(s[2] == k for s in plain_base(t or "")) for k in (0, 1))) for i, t in rows)
     assert scan_pii(spark.createDataFrame([], "doc_id long, text string"), default_field()).count() == 0
+
+
+def test_whole_spans_of_written_addresses():
+    def added(t):
+        return [(KINDS[k], t[a:b]) for a, b, k in find_pii([t], default_field())[0][1]]
+
+    for form in ("bob12 (at) verylongcompanyname (dot) org", "anna77 (at) longdomain (dot) com", "john (at) mail (dot) com",
+                 "mary [at] internationalcompany [dot] org"):
+        assert added(f"write to {form} please") == [("email", form)], form
+
+
+def test_stretches_end_at_words():
+    t = "abcdefghijklmnopqrstuvwxyzabcdefghijklm 7 " + "y" * 60 + " end"
+    assert [t[a:b] for a, b in stretches(t)] == [t[:-4]]
+
+
+def test_a_span_over_the_border_of_two_runs_is_whole():
+    for pad in range(250, 258):
+        t = "7 " * pad + "call (555) 123-4567 now"
+        a = t.index("(555)")
+        assert (a, a + 14, 3) in field_spans([t], default_field())[0], pad
