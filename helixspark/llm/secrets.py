@@ -3,8 +3,9 @@
 Candidates are maximal runs of key characters. Over each a window slides one character
 at a time; the class of its characters (hexadecimal or base64) has its own entropy
 bound, and the entropy follows from counts changed by the entering and the leaving
-character. Windows over the bound are joined to one ``entropy`` span; allow-listed
-candidates and spans inside a base span are left out.
+character. Placeholders are cut out of a candidate and what is left on either side is looked at by
+itself. Windows over the bound are joined to one ``entropy`` span; allow-listed candidates and
+rests, and spans inside a base span, are left out.
 
 Cases: null text is empty and has no spans; repeated rows give repeated rows; null ids
 stay null; the whole of a long text is scanned, a row at a time.
@@ -31,17 +32,21 @@ KEYWORDS = ("passw", "secret", "token", "api")
 #: A run of key characters, taken whole from its first character.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 
-#: Documented values, not secrets: UUIDs, digests with a named algorithm, words joined by
+#: Documented values, not secrets: UUIDs, digests with a named algorithm (whole or cut short, no longer), words joined by
 #: separators, paths, and runs without a digit or without a letter.
 ALLOW = (
     re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),
-    re.compile(r"(sha1|sha256|sha384|sha512|md5)[-_=].*", re.I | re.A),
+    *(re.compile(rf"{name}[-_=]([0-9a-f]{{1,{size // 4}}}|[A-Za-z0-9+/_-]{{1,{-(-size // 6)}}}={{0,2}})", re.I | re.A)
+      for name, size in (("md5", 128), ("sha1", 160), ("sha256", 256), ("sha384", 384), ("sha512", 512))),
     re.compile(r"/?([A-Za-z]+|[0-9]{1,8})([/_=+-]+([A-Za-z]+|[0-9]{1,8}))*[/_=+-]*"),
     re.compile(r"[^0-9]*"),
     re.compile(r"[^A-Za-z]*"),
-    re.compile(r".*(EXAMPLE|example|xxxxx|XXXXX|00000|12345678).*"),
 )
 
+#: Stand-ins within a run; they say nothing of the characters before and behind them. The first
+#: is the secret key of a vendor's manual, an example as a whole.
+PLACEHOLDER = re.compile(r"wJalrXUtnFEMI/K7MDENG/?bPxRfiCY[A-Za-z]{0,2}EXAMPLEKEY|EXAMPLE|example|x{5,}|X{5,}|0{5,}|12345678")
+
 WINDOW = 20
 #: Bits a character within a window: 16 letters reach 4.0, 64 letters at 20 places 4.32.
 BOUNDS = {"hex": 2.9, "base64": 3.6}
@@ -82,6 +87,12 @@ def allowed(s: str) -> bool:
     return any(p.fullmatch(s) for p in ALLOW)
 
 
+def rests(s: str) -> list[tuple[int, int]]:
+    """The parts of ``s`` between placeholders."""
+    cuts = [x for m in PLACEHOLDER.finditer(s) for x in m.span()]
+    return list(zip([0, *cuts[1::2]], [*cuts[::2], len(s)]))
+
+
 def base_spans(text: str) -> list[Span]:
     spans: list[Span] = []
     low = text.lower()
@@ -97,10 +108,13 @@ def entropy_spans(text: str, base: list[Span]) -> list[Span]:
     for m in CANDIDATE.finditer(text):
         if allowed(m[0]):
             continue
-        for a, b in entropy_windows(m[0]):
-            a, b = a + m.start(), b + m.start()
-            if not any(x <= a and b <= y for x, y, _ in base):
-                out.append((a, b, 3))
+        for lo, hi in rests(m[0]):
+            if allowed(m[0][lo:hi]):
+                continue
+            for a, b in entropy_windows(m[0][lo:hi]):
+                a, b = a + lo + m.start(), b + lo + m.start()
+                if not any(x <= a and b <= y for x, y, _ in base):
+                    out.append((a, b, 3))
     return out
 
 

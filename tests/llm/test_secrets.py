@@ -54,3 +54,18 @@ def test_rows(spark):
     out = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
     assert sorted((r.doc_id or 0, r.n_assign, r.n_hex) for r in out) == [(0, 1, 0), (1, 0, 0), (2, 0, 0), (2, 1, 1)]
     assert scan_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_allow_list_leaves_the_rest_of_a_run():
+    key = "q7Zt9KfWm2LbXr4VnH8sYc1JdPg6TuEa3RoQiB5y"
+
+    def found(t):
+        return [t[a:b] for a, b, k in find_secrets(t) if k == 3]
+
+    for t in (f"/example/app/{key}", f"example_cred={key}", f"services/T00000000/B00000000/{key}", f"{key[:20]}00000{key[20:]}",
+              f"md5-{key}", f"sha1_{key}", f"12345678{key}", f"{key}_EXAMPLE"):
+        assert set("".join(found(t))) >= set(key), t
+        assert key not in replaced(t, find_secrets(t), ("assign", "access", "hex", "entropy"))
+    for clean in ("md5-0123456789abcdef0123456789abcdef"[:30], "sha1=" + key[:27] + "=", "sha256-" + key + "abc=", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+                  "my-example-key-0000000000000000", "path/to/example/folder/12345678/file"):
+        assert found(clean) == [], clean
