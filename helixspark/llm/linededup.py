@@ -69,6 +69,15 @@ def suspects(keys: DataFrame, bits: int) -> DataFrame:
     return map_batches(keys, run, keys.schema)
 
 
+def _met(found: DataFrame, common: DataFrame) -> DataFrame:
+    """``found`` with the keeper of its key. Keys with over a thousandth of all rows, which are fewer
+    than a thousand, are broadcast, so that no task gathers the rows of a hot key."""
+    hot = (F.col("docs") * 1000) > found.count()
+    few, rest = common.where(hot).select("a", "b", "keeper"), common.where(~hot).select("a", "b", "keeper")
+    near = F.broadcast(few)
+    return found.join(near, ["a", "b"]).unionByName(found.join(near, ["a", "b"], "left_anti").join(rest, ["a", "b"]))
+
+
 def without_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
                          min_docs: int = MIN_DOCS, bits: int | None = None) -> DataFrame:
     """(id, n_lines, n_dropped, kept): one row per input row.
@@ -82,8 +91,8 @@ def without_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keys = written(_spread(rows, min_chars), "line-keys")
     found = written(suspects(keys, bits or bits_for(keys.count())), "line-suspects")
     common = (found.groupBy("a", "b").agg(F.count("*").alias("docs"), F.max("id").alias("keeper"))
-              .where(F.col("docs") >= min_docs).select("a", "b", "keeper"))
-    gone = (found.join(common, ["a", "b"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
+              .where(F.col("docs") >= min_docs))
+    gone = (_met(found, written(common, "common-lines")).where(~F.col("id").eqNullSafe(F.col("keeper")))
             .groupBy("id", "row").agg(F.flatten(F.collect_set("lines")).alias("gone"))
             .select(F.col("id").alias("__id"), F.col("row").alias("__row"), "gone"))
     met = rows.join(gone, F.col("id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row")), "left")

@@ -8,13 +8,13 @@ the border exactly; phrases of the border that are frequent after all join the k
 further pass counts what has become border or known by that, until nothing new is frequent. All
 parts of a frequent phrase are frequent, so nothing can be missed, whatever the sample.
 
+Texts are encoded once, in chunks of word numbers with their words, and the passes run over those.
 Known phrases are told to the tasks as a Bloom filter of at most 64 MB. A false hit only counts a
 phrase that need not be counted; phrases are counted by their text, so counts are exact.
 """
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +29,15 @@ from helixspark.llm.common import map_batches, table, written
 from helixspark.llm.topk import first_rows
 
 LONGEST = 5
-#: Words that a task remembers between batches.
-MEMO = 1 << 20
+#: Words of one chunk of encoded texts, about; a text is never divided.
+CHUNK_WORDS = 1 << 20
 _END = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 10 if c in _END else 32 if c == 9 else c for c in range(256))
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX = 0x9E3779B97F4A7C15
 _COUNTED = "lang string, phrase string, cnt long"
 _ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("cnt", pa.int64())])
+_CHUNK = "langs array<string>, words array<binary>, ids binary"
+_CHUNK_ARROW = pa.schema([("langs", pa.list_(pa.string())), ("words", pa.list_(pa.binary())), ("ids", pa.binary())])
 
 
 def _word_hash(lang: str, word: bytes) -> int:
@@ -44,66 +46,88 @@ def _word_hash(lang: str, word: bytes) -> int:
 
 def _longer(h: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hash of a phrase from those of all but its last word and of that word."""
-    x = (h ^ (h >> np.uint64(29))) * _MIX + last
+    x = (h ^ (h >> np.uint64(29))) * np.uint64(_MIX) + last
     return x ^ (x >> np.uint64(32))
 
 
 def phrase_hash(lang: str, phrase: str) -> int:
-    words = [np.array([_word_hash(lang, w)], np.uint64) for w in phrase.encode().split(b" ")]
-    h = words[0]
-    for w in words[1:]:
-        h = _longer(h, w)
-    return int(h.view(np.int64)[0])
-
-
-class _Words:
-    """Numbers, hashes and texts of the words a task has met; number 0 ends a piece."""
-
-    def __init__(self):
-        self.by_lang: dict[str, dict[bytes, int]] = {}
-        self.text, self.lang, self.hash = [b""], [""], array("Q", [0])
-
-    def numbers(self, lang: str, text: bytes, out: array) -> None:
-        memo = self.by_lang.setdefault(lang, {})
-        for piece in text.translate(_FOLD).split(b"\n"):
-            for w in piece.split(b" "):
-                if w:
-                    n = memo.get(w)
-                    if n is None:
-                        n = memo[w] = len(self.text)
-                        self.text.append(w)
-                        self.lang.append(lang)
-                        self.hash.append(_word_hash(lang, w))
-                    out.append(n)
-            out.append(0)
-
-
-def _counts(ids: np.ndarray, words: _Words, known, before, first: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, phrase, cnt) of the phrases to count in a run of word numbers."""
-    hashes = np.frombuffer(words.hash, np.uint64)
-    texts, langs = pa.array(words.text, pa.binary()), pa.array(words.lang, pa.string())
+    """The same for one phrase, as a signed number."""
+    first, *rest = (_word_hash(lang, w) for w in phrase.encode().split(b" "))
+    for last in rest:
+        first = ((first ^ (first >> 29)) * _MIX + last) & (2**64 - 1)
+        first ^= first >> 32
+    return first - 2**64 if first >= 2**63 else first
+
+
+class _Numbers(dict):
+    """Word -> its place among the words of the chunk; -1 is no word, 0 ends a piece."""
+
+    def __init__(self, lang: str, langs: list[str], words: list[bytes]):
+        super().__init__({b"": -1, b"\n": 0})
+        self.lang, self.langs, self.words = lang, langs, words
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.words)
+        self.words.append(word)
+        self.langs.append(self.lang)
+        return n
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    """``docs`` (lang, text) as chunks: the distinct words of some whole texts with their langs, and
+    the numbers of all their words in order as 32-bit integers, 0 where a piece ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chunk():
+            ids = np.concatenate(parts)
+            return pa.RecordBatch.from_arrays([pa.array([langs], _CHUNK_ARROW[0].type), pa.array([words], _CHUNK_ARROW[1].type),
+                                               pa.array([ids[ids >= 0].tobytes()], pa.binary())], schema=_CHUNK_ARROW)
+
+        langs, words, parts, size, by_lang = [""], [b""], [], 0, {}
+        for b in batches:
+            for lang, t in zip(b.column("lang").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
+                if t:
+                    numbers = by_lang.get(lang)
+                    if numbers is None:
+                        numbers = by_lang[lang] = _Numbers(lang, langs, words)
+                    found = (t.translate(_FOLD).replace(b"\n", b" \n ") + b" \n").split(b" ")
+                    parts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
+                    size += len(found)
+                    if size >= CHUNK_WORDS:
+                        yield chunk()
+                        langs, words, parts, size, by_lang = [""], [b""], [], 0, {}
+        if parts:
+            yield chunk()
+
+    return docs.select("lang", "text").mapInArrow(run, _CHUNK)
+
+
+def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, before) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, phrase, cnt) of the phrases to count in a chunk."""
+    hashes = np.array([_word_hash(*x) for x in zip(langs.to_pylist(), words.to_pylist())], np.uint64)
 
     def rows(at: np.ndarray, k: int, cnt: np.ndarray) -> pa.RecordBatch:
-        own = [texts.take(pa.array(ids[at + j])) for j in range(k)]
+        own = [words.take(pa.array(ids[at + j])) for j in range(k)]
         phrase = pc.binary_join_element_wise(*own, pa.scalar(b" ", pa.binary())) if k > 1 else own[0]
         return pa.RecordBatch.from_arrays([langs.take(pa.array(ids[at])), phrase.cast(pa.string()), pa.array(cnt, pa.int64())], schema=_ARROW)
 
-    one = hashes[ids]
-    real = ids != 0
-    if first:
-        u, at, cnt = np.unique(ids[real], return_index=True, return_counts=True)
-        if len(u):
-            yield rows(np.flatnonzero(real)[at], 1, cnt)
-            lang, of = np.unique(np.array(words.lang, object)[u].astype(str), return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.nulls(len(lang), pa.string()),
-                                              pa.array(np.bincount(of, cnt).astype(np.int64), pa.int64())], schema=_ARROW)
+    if before is None:
+        cnt = np.bincount(ids, minlength=len(words))
+        cnt[0] = 0
+        used = np.flatnonzero(cnt)
+        yield pa.RecordBatch.from_arrays([langs.take(pa.array(used)), words.take(pa.array(used)).cast(pa.string()), pa.array(cnt[used], pa.int64())], schema=_ARROW)
+        lang, of = np.unique(np.array(langs.to_pylist())[used], return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.nulls(len(lang), pa.string()),
+                                          pa.array(np.bincount(of, cnt[used], len(lang)).astype(np.int64), pa.int64())], schema=_ARROW)
     # Places where a known phrase (or one known before this pass) of k words begins.
-    now, h = np.flatnonzero(real), one
-    hit = has(known, one[now])
+    is_known = has(known, hashes)
+    is_known[0] = False
+    now, h, one = np.flatnonzero(is_known[ids]), hashes[ids], hashes[ids]
     old = np.zeros(len(ids) + 1, bool)
     if before is not None:
-        old[now] = has(before, one[now])
-    now = now[hit]
+        was_known = has(before, hashes)
+        was_known[0] = False
+        old[:-1] = was_known[ids]
     for k in range(2, LONGEST + 1):
         known_at = np.zeros(len(ids) + 1, bool)
         known_at[now] = True
@@ -122,25 +146,20 @@ def _counts(ids: np.ndarray, words: _Words, known, before, first: bool) -> Itera
         now = now[has(known, hk)]
 
 
-def count_pass(docs: DataFrame, known: np.ndarray, before: np.ndarray | None) -> DataFrame:
-    """(lang, phrase, cnt) over all of ``docs`` (lang, text): what is known or border by ``known``
-    but was not by ``before``; without ``before`` the single words and a row of all words of a lang
-    (phrase null) as well."""
-    told = docs.sparkSession.sparkContext.broadcast((known, before))
+def count_pass(chunks: DataFrame, known: np.ndarray, before: np.ndarray | None) -> DataFrame:
+    """(lang, phrase, cnt) over all of ``chunks``: what is known or border by ``known`` but was not
+    by ``before``; without ``before`` the single words and a row of all words of a lang (phrase
+    null) as well."""
+    told = chunks.sparkSession.sparkContext.broadcast((known, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, before = told.value
-        words = _Words()
         for b in batches:
-            ids = array("q")
-            for lang, t in zip(b.column("lang").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
-                words.numbers(lang, t or b"", ids)
-            if ids:
-                yield from _counts(np.frombuffer(ids, np.int64), words, known, before, before is None)
-            if len(words.text) > MEMO:
-                words = _Words()
+            for i in range(b.num_rows):
+                langs, words = (b.column(c)[i].values for c in ("langs", "words"))
+                yield from _counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), known, before)
 
-    return docs.select("lang", "text").mapInArrow(run, _COUNTED).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
+    return chunks.mapInArrow(run, _COUNTED).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
 
 
 def _fresh(counted: DataFrame, known: np.ndarray) -> DataFrame:
@@ -156,12 +175,12 @@ def _fresh(counted: DataFrame, known: np.ndarray) -> DataFrame:
     return map_batches(counted.where("phrase is not null").select("lang", "phrase"), run, "h long, words int")
 
 
-def mine(docs: DataFrame, least: int, bits: int, seed: np.ndarray | None = None) -> tuple[DataFrame, np.ndarray]:
-    """All phrases of ``docs`` (lang, text) with ``least`` occurrences or more (and the rows of all
-    words of a lang), and the filter of the known ones. ``seed`` holds phrases taken as known."""
+def mine(chunks: DataFrame, least: int, bits: int, seed: np.ndarray | None = None) -> tuple[DataFrame, np.ndarray]:
+    """All phrases of ``chunks`` with ``least`` occurrences or more (and the rows of all words of a
+    lang), and the filter of the known ones. ``seed`` holds phrases taken as known."""
     known, before, out = np.zeros(bits // 8, np.uint8) if seed is None else seed, None, None
     while True:
-        got = written(count_pass(docs, known, before).where((F.col("cnt") >= least) | F.col("phrase").isNull()), "phrases")
+        got = written(count_pass(chunks, known, before).where((F.col("cnt") >= least) | F.col("phrase").isNull()), "phrases")
         out = got if out is None else out.unionByName(got)
         fresh = written(_fresh(got, known), "fresh")
         if not fresh.where(F.col("words") < LONGEST).limit(1).count():
@@ -173,14 +192,14 @@ def frequent_phrases(docs: DataFrame, least: int = 100, share: int = 10) -> Data
     """(lang, phrase, cnt) of phrases of 1 to 5 words with ``least`` occurrences or more, and one
     row with a null phrase per lang that counts all words. ``docs`` has (id, lang, text). One
     document in ``share`` is the sample; the bound there lies two standard deviations below
-    ``least / share``."""
-    rows = docs.select("id", "lang", "text")
-    sample = written(rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(share)) == 0), "sample")
-    size = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = bits_for(size // 2, 1)
+    ``least / share``. Texts are read twice, to encode the sample and then all of them."""
+    sample = written(encoded(docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(share)) == 0)), "sample")
+    chunks = written(encoded(docs), "chunks")
+    size = sample.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    bits = bits_for(size // 4, 2)
     mean = least / share
     _, seed = mine(sample, max(2, round(mean - 2 * mean ** 0.5)), bits)
-    return mine(rows, least, bits, seed)[0]
+    return mine(chunks, least, bits, seed)[0]
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, share: int = 10, id_col: str = "doc_id",
