@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from helixspark.operators import expression as EX
 from helixspark.plans import exports as X
 from helixspark.plans.fixtures import fixture, with_views
 from helixspark.plans.registry import register
@@ -87,11 +86,12 @@ def q_quant_scan(spark, sf):
 select tx as feature, dense_rank() over (order by tx) as fid, sample as cell, dense_rank() over (order by sample) as cid,
   cast(n as bigint) as n from f3_counts""", "f3_counts"))
 def q_mtx_write(spark, sf):
-    t = fixture(spark, sf, "f3_counts").select(F.col("tx").alias("feature"), F.col("sample").alias("cell"),
-                                               F.col("n").cast("long").alias("n"))
-    f = EX.rank_within(t.select("feature").distinct(), [], ["feature"], "fid")
-    c = EX.rank_within(t.select("cell").distinct(), [], ["cell"], "cid")
-    return t.join(f, "feature").join(c, "cell").select("feature", "fid", "cell", "cid", "n")
+    t = fixture(spark, sf, "f3_counts").select(F.col("tx").alias("feature"), F.col("sample").alias("cell"), "n")
+    path = X.fresh_dir(spark, "mtx")
+    FM.write_mtx(t, path)
+    m = FM.mtx_entries(spark, f"{path}/matrix").select(F.col("row").alias("fid"), F.col("col").alias("cid"), F.col("value").cast("long").alias("n"))
+    f = FM.mtx_axis(spark, f"{path}/features", "feature", "fid")
+    return m.join(f, "fid").join(FM.mtx_axis(spark, f"{path}/barcodes", "cell", "cid"), "cid").select("feature", "fid", "cell", "cid", "n")
 
 
 @register("mtx_scan", with_views("""

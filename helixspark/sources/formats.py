@@ -3,11 +3,13 @@ tables, MatrixMarket triples and sample sheets."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixspark.operators.common import prefix_sum
 from helixspark.operators.expression import gtf_attributes
+from helixspark.operators.genomic_order import natural_key
+from helixspark.session import written_once
 
 
 def read_fasta(spark: SparkSession, paths):
@@ -65,11 +67,22 @@ def read_quants(spark: SparkSession, paths, sample_from: str = "dir") -> DataFra
     return q.withColumn("sample", sample)
 
 
-def line_index(df: DataFrame, name: str = "idx") -> DataFrame:
-    """1-based position of each line of a text DataFrame in file order
-    (``zipWithIndex``: one extra job counts the partitions, no single task)."""
-    schema = df.schema.add(name, "long")
-    return df.rdd.zipWithIndex().map(lambda t: (*t[0], t[1] + 1)).toDF(schema)
+def numbered_lines(spark: SparkSession, paths, name: str = "idx") -> DataFrame:
+    """(value, ``name``): the lines of text files with their 1-based position in file order.
+
+    Spark reads the splits of a folder in an order of its own (largest first, several in one
+    task), so positions come from the files themselves: files by name (numbers in names by value),
+    splits by byte offset, lines by their place in the split. The lines are written once with
+    their task's row number; per split the number of lines is counted, and a running sum over that
+    table (one row a split) is joined back. Lines are neither shuffled by file nor held by one task.
+    """
+    raw = spark.read.text(paths).select("value", natural_key(F.col("_metadata.file_path")).alias("_file"),
+                                        F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"))
+    lines = written_once(raw, "lines")
+    splits = lines.groupBy("_file", "_start").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return lines.join(splits, ["_file", "_start"]).select("value", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(name))
 
 
 def write_mtx(triples: DataFrame, path: str, feature: str = "feature", cell: str = "cell", value: str = "n") -> None:
@@ -90,12 +103,9 @@ def write_mtx(triples: DataFrame, path: str, feature: str = "feature", cell: str
         "append").text(f"{path}/matrix")
 
 
-def read_mtx(spark: SparkSession, matrix, barcodes, features, transpose: bool = False) -> DataFrame:
-    """MatrixMarket coordinate lines + axis files -> (feature, cell, value) triples.
-
-    ``transpose``: the matrix is stored cells x features (some aligners write it
-    that way). Comment (``%``) lines are skipped, and the size line: the first other line of each
-    file that begins with a banner; axis ids are line positions of the axis files."""
+def mtx_entries(spark: SparkSession, matrix) -> DataFrame:
+    """(row, col, value) of MatrixMarket coordinate lines. Comment (``%``) lines are skipped, and
+    the size line: the first other line of each file that begins with a banner."""
     lines = spark.read.text(matrix).select(
         F.trim("value").alias("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
     banner = lines.filter(F.col("value").startswith("%%MatrixMarket")).select("file").distinct()
@@ -105,11 +115,24 @@ def read_mtx(spark: SparkSession, matrix, barcodes, features, transpose: bool =
     alike = lines.join(size, ["file", "value"], "left_semi").groupBy("file", "value").agg(F.count("*").alias("n")).filter("n > 1")
     lines = lines.join(size, ["file", "value"], "left_anti").select("value").unionByName(alike.select("value"))
     parts = F.split(F.trim("value"), r"\s+")
-    t = lines.select(parts[0].cast("long").alias("a"), parts[1].cast("long").alias("b"),
-                     F.get(parts, 2).cast("double").alias("value")).filter(F.col("value").isNotNull())
-    fi, ci = ("b", "a") if transpose else ("a", "b")
-    f = line_index(spark.read.text(features).select(F.split("value", "\t")[0].alias("feature")), "fid")
-    c = line_index(spark.read.text(barcodes).select(F.col("value").alias("cell")), "cid")
+    return lines.select(parts[0].cast("long").alias("row"), parts[1].cast("long").alias("col"),
+                        F.get(parts, 2).cast("double").alias("value")).filter(F.col("value").isNotNull())
+
+
+def mtx_axis(spark: SparkSession, paths, name: str, idx: str) -> DataFrame:
+    """(``name``, ``idx``): the names of an axis file or folder (first tab field) with their line numbers."""
+    return numbered_lines(spark, paths, idx).select(F.split("value", "\t")[0].alias(name), idx)
+
+
+def read_mtx(spark: SparkSession, matrix, barcodes, features, transpose: bool = False) -> DataFrame:
+    """MatrixMarket coordinate lines + axis files -> (feature, cell, value) triples.
+
+    ``transpose``: the matrix is stored cells x features (some aligners write it
+    that way). Axis ids are line numbers in file order, over all parts of an axis folder."""
+    t = mtx_entries(spark, matrix)
+    fi, ci = ("col", "row") if transpose else ("row", "col")
+    f = mtx_axis(spark, features, "feature", "fid")
+    c = mtx_axis(spark, barcodes, "cell", "cid")
     return t.join(f, t[fi] == f["fid"]).join(c, t[ci] == c["cid"]).select("feature", "cell", "value")
 
 

@@ -9,35 +9,24 @@ records to their file's ``#CHROM`` sample list.
 
 from __future__ import annotations
 
-import gzip
-import io
-import itertools
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixspark.sources.bgzf import read_bgzf_lines
+
 
 def read_lines(spark: SparkSession, paths) -> DataFrame:
     """All lines of the VCF files with their file path (sub folders included).
 
-    Spark's text reader knows ``.gz`` but not the block-gzip ending ``.bgz``; those files are
-    read as binary (2 GB a file at most, else Spark raises) and unpacked block by block."""
+    Spark's text reader knows ``.gz`` but not the block-gzip ending ``.bgz``; those files are cut
+    into splits and unpacked member by member (``sources.bgzf``)."""
     df = spark.read.option("recursiveFileLookup", "true").text(paths)
     text = df.select(F.col("_metadata.file_path").alias("file_id"), F.col("value").alias("line")).filter(
         ~F.col("file_id").endswith(".bgz"))
     packed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.bgz").load(paths)
-    return text.unionByName(packed.select("path", "content").mapInArrow(_unpack, "file_id string, line string"))
-
-
-def _unpack(batches: Iterator[pa.RecordBatch], rows: int = 10_000) -> Iterator[pa.RecordBatch]:
-    """Lines of gzip members, in batches of ``rows``."""
-    for b in batches:
-        for path, content in zip(b.column(0).to_pylist(), b.column(1)):
-            with gzip.open(io.BytesIO(content.as_buffer()), "rt", encoding="utf-8", errors="replace", newline="\n") as f:
-                while lines := [x.rstrip("\r\n") for x in itertools.islice(f, rows)]:
-                    yield pa.RecordBatch.from_pydict({"file_id": [path] * len(lines), "line": lines})
+    if packed.select("path").isEmpty():
+        return text
+    return text.unionByName(read_bgzf_lines(spark, paths))
 
 
 def _from(arr, first: int):
