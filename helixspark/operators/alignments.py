@@ -62,19 +62,39 @@ def five_prime(strand: str = "strand") -> Column:
     return F.when(F.col(strand) == "-", F.col("end0") - 1).otherwise(F.col("start0"))
 
 
+def templates(reads: DataFrame) -> DataFrame:
+    """One row per (lib, name): the ends of a template. An end is (contig, 5' position, strand) of
+    its first primary mapped record: ``lo`` and ``hi`` are the two ends in coordinate order, a
+    template with one mapped end has ``hi`` null. ``qual`` sums both records, ``first_id`` is the
+    lowest read id."""
+    r = reads.filter(~has("flag", UNMAPPED) & ~has("flag", SECONDARY) & ~has("flag", SUPPLEMENTARY))
+    second = has("flag", PAIRED) & has("flag", READ2)
+    end = F.struct("contig", five_prime().alias("pos"), "strand")
+    pick = lambda which: F.min_by(F.struct(end.alias("e"), "qual_sum"), F.when(which, F.col("read_id")))
+    t = r.groupBy("lib", "name").agg(F.min("read_id").alias("first_id"), pick(~second).alias("a"), pick(second).alias("b"))
+    ends = F.array_compact(F.array("a.e", "b.e"))
+    return t.select("lib", "name", "first_id", (F.coalesce("a.qual_sum", F.lit(0)) + F.coalesce("b.qual_sum", F.lit(0))).alias("qual"),
+                    F.array_min(ends).alias("lo"), F.when(F.size(ends) > 1, F.array_max(ends)).alias("hi"))
+
+
 def mark_duplicates(reads: DataFrame, library: str | Column | None = None) -> DataFrame:
-    """Reads with the same (library, contig, 5' position, strand) are duplicates
-    of the one with the highest quality sum (ties: lowest read id). Unmapped reads
-    are never duplicates. The best read per key is a grouped ``max_by`` (partial
-    aggregation), joined back - a key holding many reads is combined map-side."""
+    """Templates (reads of one name) with both ends at the same places and strands are duplicates of
+    the one with the highest quality sum over the pair (ties: lowest read id); ends are compared in
+    coordinate order, so it does not matter which mate is read 1. Templates with one mapped end are
+    compared with each other only. The flag stands on the primary mapped reads of a template;
+    unmapped, secondary and supplementary records are never marked.
+
+    The best template per signature is a grouped ``max_by``, so a place that holds many templates
+    is combined before the shuffle, and only the chosen names are joined back, by name.
+    """
     lib = F.lit("lib") if library is None else F.col(library) if isinstance(library, str) else library
-    r = reads.withColumn("_lib", lib).withColumn("_5p", five_prime())
-    mapped = r.filter(~has("flag", UNMAPPED))
-    key = ["_lib", "contig", "_5p", "strand"]
-    best = mapped.groupBy(*key).agg(F.max_by("read_id", F.struct(F.col("qual_sum"), -F.col("read_id"))).alias("_best"))
-    m = r.join(best, key, "left")
-    return m.withColumn("is_duplicate", F.coalesce(F.col("_best") != F.col("read_id"), F.lit(False))).drop(
-        "_lib", "_5p", "_best")
+    r = reads.withColumn("lib_", lib)
+    t = templates(reads.withColumn("lib", lib))
+    best = t.groupBy("lib", "lo", "hi").agg(F.max_by("name", F.struct("qual", -F.col("first_id"))).alias("name"))
+    best = best.select(F.col("lib").alias("_lib"), F.col("name").alias("_name"))
+    m = r.join(best, F.col("lib_").eqNullSafe(F.col("_lib")) & F.col("name").eqNullSafe(F.col("_name")), "left")
+    marked = ~has("flag", UNMAPPED) & ~has("flag", SECONDARY) & ~has("flag", SUPPLEMENTARY) & F.col("_lib").isNull()
+    return m.withColumn("is_duplicate", marked).drop("lib_", "_lib", "_name")
 
 
 def umi_dedup(reads: DataFrame) -> DataFrame:

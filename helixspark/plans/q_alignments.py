@@ -71,15 +71,32 @@ def q_idx_stats(spark, sf):
     return AL.idx_stats(fixture(spark, sf, "f4_reads"), spark.sql(SIZES_VIEW)).select("contig", "size", "mapped", "unmapped")
 
 
-DUP_SQL = """dk as (select *, case when strand = '-' then end0 - 1 else start0 end as p5 from f4_reads),
-best as (select contig, p5, strand, arg_max(read_id, {'q': qual_sum, 'r': -read_id}) as best from dk where (flag & 4) = 0 group by 1, 2, 3),
-marked as (select dk.*, coalesce(best.best <> dk.read_id, false) as is_duplicate
-           from dk left join best on best.contig = dk.contig and best.p5 = dk.p5 and best.strand = dk.strand)"""
+#: f4 reads as templates of two ends: the first and second read of an order, the third and fourth, ..., a single last one.
+PAIRS_VIEW = """
+select concat(name, '/', cast(cast(floor((line - 1) / 2) as bigint) as string)) as name, cast(substr(name, 2) as bigint) * 1000 + line as read_id,
+  contig, start0 % 19400 as start0, start0 % 19400 + end0 - start0 as end0, strand,
+  case when flag = 4 then 4 when line % 2 = 1 then 67 else 131 end as flag, qual_sum, umi
+from (select *, row_number() over (partition by name order by read_id, contig, start0, strand, flag, qual_sum, umi) as line from f4_reads) x
+"""
+
+
+def pairs_of(spark, sf):
+    fixture(spark, sf, "f4_reads").createOrReplaceTempView("f4_reads")
+    return spark.sql(PAIRS_VIEW)
+
+
+DUP_SQL = f"""pairs as ({PAIRS_VIEW.strip()}),
+ends as (select name, read_id, qual_sum, (flag & 128) <> 0 as second, {{'c': contig, 'p': case when strand = '-' then end0 - 1 else start0 end, 's': strand}} as e
+         from pairs where (flag & 4) = 0
+         qualify row_number() over (partition by name, (flag & 128) <> 0 order by read_id) = 1),
+templates as (select name, min(read_id) as first_id, sum(qual_sum) as q, count(*) as n, min(e) as lo, max(e) as hi from ends group by name),
+chosen as (select name from templates qualify row_number() over (partition by n, lo, hi order by q desc, first_id) = 1),
+marked as (select *, (flag & 4) = 0 and name not in (select name from chosen) as is_duplicate from pairs)"""
 
 
 @register("mark_duplicates", with_views(f", {DUP_SQL}\nselect read_id, name, is_duplicate from marked", "f4_reads"))
 def q_mark_duplicates(spark, sf):
-    return AL.mark_duplicates(fixture(spark, sf, "f4_reads")).select("read_id", "name", "is_duplicate")
+    return AL.mark_duplicates(pairs_of(spark, sf)).select("read_id", "name", "is_duplicate")
 
 
 @register("umi_dedup", with_views("""
@@ -205,7 +222,7 @@ select distinct * from (
   from rr where r1
   union all
   select name, m.c_id, read_id, sec, sec or m.c_sec, coalesce(m.c_umi, umi) from rr where not r1)"""))
-def q_mate_pairs(spark, sf):
+def q_matepairs_of(spark, sf):
     pairs, _, _ = AL.pair_mates(_mates(spark, sf))
     return pairs.select("name", "read1_id", "read2_id", "read2_secondary", "read1_secondary", "read2_umi")
 
@@ -215,16 +232,20 @@ _FC_DEDUP = (FC_SQL.replace("from f4_reads", "from (select * from marked where n
              .replace("rr", "rr2").replace("ov", "ov2").replace("pr as", "pr2 as"))
 
 
-@register("dup_rate_genes", with_views(f""", {DUP_SQL}, {_FC_ALL}, {_FC_DEDUP},
+DUP_RATES_SQL = with_views(f""", {DUP_SQL}, {_FC_ALL}, {_FC_DEDUP},
 a as (select gene_id, cast(sum(w) as bigint) as all_reads from pr where n = 1 group by gene_id),
 d as (select gene_id, cast(sum(w) as bigint) as dedup_reads from pr2 where n = 1 group by gene_id),
-l as (select gene_id, sum(end1 - start1 + 1) as length from f5_exons group by gene_id)
-select l.gene_id, l.length, coalesce(a.all_reads, 0) as all_reads, coalesce(d.dedup_reads, 0) as dedup_reads,
-  round((coalesce(a.all_reads, 0) - coalesce(d.dedup_reads, 0)) / nullif(coalesce(a.all_reads, 0), 0), 6) as dup_rate,
-  round(coalesce(a.all_reads, 0) / (l.length / 1000.0), 6) as rpk
-from l left join a on a.gene_id = l.gene_id left join d on d.gene_id = l.gene_id""", "f4_reads", "f5_exons"))
+l as (select gene_id, sum(end1 - start1 + 1) as length from f5_exons group by gene_id),
+rates as (select l.gene_id, l.length, coalesce(a.all_reads, 0) as all_reads, coalesce(d.dedup_reads, 0) as dedup_reads,
+  (coalesce(a.all_reads, 0) - coalesce(d.dedup_reads, 0)) / nullif(coalesce(a.all_reads, 0), 0) as dup_rate,
+  coalesce(a.all_reads, 0) / (l.length / 1000.0) as rpk
+  from l left join a on a.gene_id = l.gene_id left join d on d.gene_id = l.gene_id)""", "f4_reads", "f5_exons")
+
+
+@register("dup_rate_genes", DUP_RATES_SQL + """
+select gene_id, length, all_reads, dedup_reads, round(dup_rate, 6) as dup_rate, round(rpk, 6) as rpk from rates""")
 def q_dup_rate_genes(spark, sf):
-    marked = AL.mark_duplicates(fixture(spark, sf, "f4_reads"))
+    marked = AL.mark_duplicates(pairs_of(spark, sf))
     t = AL.dup_rates(marked, fixture(spark, sf, "f5_exons"))
     return t.select("gene_id", "length", "all_reads", "dedup_reads", F.round("dup_rate", 6).alias("dup_rate"),
                     F.round("rpk", 6).alias("rpk"))

@@ -64,3 +64,22 @@ def test_flag_stats_and_duplicates(spark):
     assert fs["total_passed"] == 3 and fs["mapped_passed"] == 2 and fs["read1_passed"] == 2
     d = {r["read_id"]: r["is_duplicate"] for r in AL.mark_duplicates(df).collect()}
     assert d == {1: False, 2: True, 3: False}
+
+
+def test_duplicates_need_both_ends(spark):
+    def pair(name, rid, s1, s2, q, strands="+-", flags=(67, 131), contig="c"):
+        return [(name, rid, contig, s1, s1 + 50, strands[0], flags[0], q, "A", None, None),
+                (name, rid + 1, contig, s2, s2 + 50, strands[1], flags[1], q, "A", None, None)]
+
+    rows = [*pair("a", 1, 100, 400, 9), *pair("b", 3, 100, 1000, 3),      # one end shared only
+            *pair("c", 5, 100, 400, 5), *pair("d", 7, 100, 400, 20),       # same two ends, d is best
+            *pair("e", 9, 400, 100, 2, "-+"),                               # mates the other way round
+            *pair("f", 11, 100, 400, 1, "++"),                              # another strand
+            ("g", 13, "c", 100, 150, "+", 0, 50, "A", None, None), ("h", 14, "c", 100, 150, "+", 0, 40, "A", None, None),
+            *pair("i", 15, 100, 400, 99, flags=(4, 131)),                   # one mapped end: compared with single ends
+            ("d", 17, "c", 7, 57, "+", 67 + 256, 1, "A", None, None), ("x", 18, "c", 100, 150, "+", 4, 1, "A", None, None)]
+    d = {r["read_id"]: r["is_duplicate"] for r in AL.mark_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i for i, x in d.items() if x} == {1, 2, 5, 6, 9, 10, 14} and len(d) == len(rows)
+    lib = spark.createDataFrame([(*r, r[0] in "ac") for r in rows], SCHEMA + ", lib boolean")
+    d = {r["read_id"]: r["is_duplicate"] for r in AL.mark_duplicates(lib, "lib").collect()}
+    assert {i for i, x in d.items() if x} == {5, 6, 9, 10, 14}
