@@ -103,6 +103,47 @@ def neighbours(df: DataFrame, keys: list[str], order: list, cols: list[str], pre
     return s.drop("_first", "_last", "_prevpiece", "_nextpiece")
 
 
+#: Buckets that a round of ``exact_median`` cuts each range into.
+BUCKETS = 1024
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
+    """The exact median of ``value`` per key (mean of the two middle values), nulls left out.
+
+    No task holds the values of a key: the range that a middle value lies in is cut into
+    ``BUCKETS`` parts, the parts are counted with partial sums, and the part that holds the wanted
+    place becomes the next range (its real smallest and largest value), until a range is one
+    value. Each round reads the values once and keeps two rows a key; a range shrinks a
+    thousandfold a round, so doubles need a few rounds only. Null keys are a key of their own.
+    """
+    v = written_once(df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v")), "values")
+    size = F.col("_n")
+    state = v.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    state = state.withColumn("_place", F.explode(F.array(F.floor((size - 1) / 2), F.floor(size / 2)).cast("array<bigint>")))
+    state = written_once(state.select(*keys, "_place", F.monotonically_increasing_id().alias("_t"), "_lo", "_hi", F.lit(0).cast("bigint").alias("_below")), "median")
+    while not (open_ := state.filter("_lo < _hi")).isEmpty():
+        met = _shifted_on(v, open_, keys).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+        part = F.least(F.lit(BUCKETS - 1), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * BUCKETS))
+        # values next to each other may share a part for ever: the largest value is one of its own
+        part = F.when(F.col("_v") == F.col("_hi"), BUCKETS).otherwise(part)
+        counted = met.groupBy("_t", part.alias("_part")).agg(F.count("*").alias("_c"), F.min("_v").alias("_pl"), F.max("_v").alias("_ph"))
+        upto = F.sum("_c").over(Window.partitionBy("_t").orderBy("_part"))
+        counted = counted.withColumn("_upto", upto).join(open_.select("_t", *keys, "_place", "_below"), "_t")
+        chosen = counted.filter((F.col("_below") + F.col("_upto") > F.col("_place")) & (F.col("_below") + F.col("_upto") - F.col("_c") <= F.col("_place")))
+        chosen = chosen.select(*keys, "_place", "_t", F.col("_pl").alias("_lo"), F.col("_ph").alias("_hi"), (F.col("_below") + F.col("_upto") - F.col("_c")).alias("_below"))
+        state = written_once(chosen.unionByName(state.filter("not (_lo < _hi)")), "median")
+    return state.groupBy(*keys).agg(F.avg("_lo").alias(name))
+
+
+def _shifted_on(v: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """``v`` joined to the small ``state`` of its key, nulls equal."""
+    right = state.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], "_t", "_lo", "_hi")
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r{i}"))
+    return v.join(right, cond).select("_t", "_lo", "_hi", "_v")
+
+
 def first_true(rules: list[tuple[str, Column]]) -> Column:
     """Name of the first rule whose condition holds (null when none does)."""
     out = F.lit(None).cast("string")

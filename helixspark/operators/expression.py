@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixspark.operators.common import rank_within
+from helixspark.operators.common import exact_median, rank_within
 
 
 # --------------------------------------------------------------------------- GTF
@@ -23,35 +23,37 @@ def gtf_attributes(attr) -> Column:
     return F.map_from_arrays(F.regexp_extract_all(a, F.lit(pat), 1), F.regexp_extract_all(a, F.lit(pat), 2))
 
 
-def to_bed12(exons: DataFrame, tx: str = "tx", contig: str = "contig", start: str = "start1",
-             end: str = "end1", strand: str = "strand", codons: DataFrame | None = None) -> DataFrame:
-    """Transcript exons (1-based closed) -> BED12 rows.
+def to_bed12(features: DataFrame, tx: str = "tx", contig: str = "contig", feature: str = "feature", start: str = "start1",
+             end: str = "end1", strand: str = "strand", order: str = "ord") -> DataFrame:
+    """GTF features of transcripts (1-based closed) -> BED12 rows in order of (chrom, start).
 
-    Exons sorted by start; block sizes/starts as comma lists with a trailing comma.
-    Thick region from start/stop codons when given (``codons``: tx, cds_start,
-    cds_end); on the minus strand they swap and widen by 2. One group per
-    transcript (a handful of exons), sorted output by chrom, start.
+    ``exon`` and ``miRNA`` features are the blocks, sorted by start, with sizes and starts as comma
+    lists with a trailing comma. The last ``start_codon`` (its start) and ``stop_codon`` (its end) by
+    ``order`` bound the thick region; on the minus strand they swap and widen by 2; a missing bound
+    is that of the blocks. Chromosome and strand are those of the first block feature by ``order``,
+    and rows are sorted by chromosome and that feature's start, ties by name. Features without a
+    transcript are left out, and so are transcripts without blocks. One group per transcript (a
+    handful of features).
     """
-    g = exons.groupBy(tx).agg(
-        F.first(contig).alias("chrom"), F.first(strand).alias("strand"),
-        F.sort_array(F.collect_list(F.struct(F.col(start).alias("s"), F.col(end).alias("e")))).alias("ex"),
-    )
-    if codons is not None:
-        g = g.join(codons.select(tx, "cds_start", "cds_end"), tx, "left")
-    else:
-        g = g.withColumn("cds_start", F.lit(None).cast("long")).withColumn("cds_end", F.lit(None).cast("long"))
+    block = F.col(feature).isin("exon", "miRNA")
+    g = features.filter(F.col(tx).isNotNull() & (F.col(tx) != "")).groupBy(tx).agg(
+        F.min_by(F.struct(F.col(contig).alias("chrom"), F.col(strand).alias("strand"), F.col(start).alias("at")), F.when(block, F.col(order))).alias("f"),
+        F.sort_array(F.collect_list(F.when(block, F.struct(F.col(start).alias("s"), F.col(end).alias("e"))))).alias("ex"),
+        F.max_by(start, F.when(F.col(feature) == "start_codon", F.col(order))).alias("cds_start"),
+        F.max_by(end, F.when(F.col(feature) == "stop_codon", F.col(order))).alias("cds_end"),
+    ).filter(F.size("ex") > 0)
     beg = F.col("ex")[0]["s"]
     fin = F.element_at(F.col("ex"), -1)["e"]
-    minus = F.col("strand") == "-"
+    minus = F.col("f.strand") == "-"
     cds = F.when(minus, F.col("cds_end") - 2).otherwise(F.col("cds_start"))
     cde = F.when(minus, F.col("cds_start") + 2).otherwise(F.col("cds_end"))
-    out = g.select(
-        "chrom",
+    return g.orderBy("f.chrom", "f.at", tx).select(
+        "f.chrom",
         (beg - 1).alias("chromStart"),
         fin.alias("chromEnd"),
         F.col(tx).alias("name"),
         F.lit(0).alias("score"),
-        "strand",
+        "f.strand",
         (F.coalesce(cds, beg) - 1).alias("thickStart"),
         F.coalesce(cde, fin).alias("thickEnd"),
         F.lit(0).alias("itemRgb"),
@@ -59,7 +61,21 @@ def to_bed12(exons: DataFrame, tx: str = "tx", contig: str = "contig", start: st
         F.concat(F.array_join(F.transform("ex", lambda x: (x["e"] - x["s"] + 1).cast("string")), ","), F.lit(",")).alias("blockSizes"),
         F.concat(F.array_join(F.transform("ex", lambda x: (x["s"] - beg).cast("string")), ","), F.lit(",")).alias("blockStarts"),
     )
-    return out
+
+
+def trim_headers(fasta: DataFrame, sep: str = "|", col: str = "id") -> DataFrame:
+    """FASTA records with their header cut at the first ``sep``; headers without one stay."""
+    return fasta.withColumn(col, F.split_part(F.col(col), F.lit(sep), F.lit(1)))
+
+
+def append_reference(genome: DataFrame, extra: DataFrame, gtf: DataFrame | None = None, biotype: str | None = None):
+    """A genome (id, seq) with added sequences behind it, and, if ``gtf`` is given, its annotation with
+    one exon row per added sequence: (genome, gtf). Added ids that the genome holds already are an
+    error of the input, and raise."""
+    both = genome.select("id", "seq").unionByName(extra.select("id", "seq"))
+    if not extra.select("id").join(genome.select("id"), "id", "left_semi").isEmpty():
+        raise ValueError("an added sequence has the name of a genome sequence")
+    return both, None if gtf is None else gtf.unionByName(fasta_to_gtf(extra, biotype).select(*gtf.columns))
 
 
 def fasta_to_gtf(seqs: DataFrame, biotype: str | None = None) -> DataFrame:
@@ -190,7 +206,8 @@ def size_factors(counts: DataFrame, feature: str = "gene_id", sample: str = "sam
 
     Counts are rounded; genes with a zero (or missing) count in any sample are left
     out of the geometric means. Per sample: exp(median over genes of
-    ln(count) - mean ln(count of the gene)).
+    ln(count) - mean ln(count of the gene)). The median is exact and found by counting
+    (``exact_median``): no task holds the genes of a sample.
     """
     c = counts.groupBy(feature, sample).agg(F.round(F.sum(value)).alias("_c"))
     n_samples = c.select(sample).distinct().count()  # a scalar, not data through the driver
@@ -198,19 +215,20 @@ def size_factors(counts: DataFrame, feature: str = "gene_id", sample: str = "sam
         F.count("*").alias("_k"), F.avg(F.ln("_c")).alias("_lg"))
     g = g.filter(F.col("_k") == n_samples).select(feature, "_lg")
     r = c.join(g, feature).withColumn("_r", F.ln("_c") - F.col("_lg"))
-    return r.groupBy(sample).agg(F.exp(F.median("_r")).alias("size_factor"))
+    return exact_median(r, [sample], "_r").select(sample, F.exp("median").alias("size_factor"))
 
 
 def filter_normalise(triples: DataFrame, min_genes: int = 200, min_cells: int = 3, feature: str = "feature",
                      cell: str = "cell", value: str = "n", scale: float = 1e4) -> DataFrame:
-    """Keep genes seen in >= ``min_cells`` cells, then cells with >= ``min_genes`` of
-    those genes; value -> ln(1 + value / cell total * scale)."""
+    """Keep cells with >= ``min_genes`` genes, then genes seen in >= ``min_cells`` of those cells (the
+    order of the object constructor that the pipeline calls: features a cell first); value ->
+    ln(1 + value / cell total * scale), the total being over the genes that are left."""
     t = triples.filter(F.col(value) > 0)
+    cells = t.groupBy(cell).agg(F.count("*").alias("_ng")).filter(F.col("_ng") >= min_genes).select(cell)
+    t = t.join(cells, cell, "left_semi")
     genes = t.groupBy(feature).agg(F.count("*").alias("_nc")).filter(F.col("_nc") >= min_cells).select(feature)
     t = t.join(genes, feature, "left_semi")
-    cells = t.groupBy(cell).agg(F.count("*").alias("_ng"), F.sum(value).alias("_tot")).filter(
-        F.col("_ng") >= min_genes)
-    t = t.join(cells.select(cell, "_tot"), cell)
+    t = t.join(t.groupBy(cell).agg(F.sum(value).alias("_tot")), cell)
     return t.withColumn("norm", F.log1p(F.col(value) / F.col("_tot") * scale)).drop("_tot")
 
 
@@ -243,9 +261,17 @@ def variable_genes(norm: DataFrame, n_cells: int | None = None, lo: float = 0.01
     return m.select(feature, "exp_mean", "log_vmr", "bin", "disp_z", "variable")
 
 
-def top_variance(log_counts: DataFrame, n: int = 500, feature: str = "gene_id", value: str = "v") -> DataFrame:
-    """The ``n`` features of highest sample variance (ties by feature id)."""
-    v = log_counts.groupBy(feature).agg(F.var_samp(value).alias("variance"))
+def top_variance(log_counts: DataFrame, n: int = 500, feature: str = "gene_id", value: str = "v",
+                 sample: str = "sample") -> DataFrame:
+    """The ``n`` features of highest variance over all samples of the table (ties by feature id). A
+    feature that a sample lacks is 0 there: sums of the stored values and the number of samples
+    give the variance, so nothing is filled in."""
+    x = log_counts.groupBy(feature, sample).agg(F.sum(F.col(value).cast("double")).alias("_x"))
+    n_samples = float(log_counts.select(sample).distinct().count())
+    v = x.groupBy(feature).agg(F.sum("_x").alias("_s"), F.avg("_x").alias("_m"), F.count("_x").alias("_k"), F.coalesce(F.var_pop("_x"), F.lit(0.0)).alias("_v"))
+    # Variance of the k stored values and n - k zeros from the mean and variance of the stored ones.
+    both = F.col("_k") * F.col("_v") + F.col("_k") * (n_samples - F.col("_k")) / F.lit(n_samples) * F.col("_m") * F.col("_m")
+    v = v.select(feature, (both / F.lit(n_samples - 1) if n_samples > 1 else F.lit(None).cast("double")).alias("variance"))
     return v.orderBy(F.col("variance").desc(), F.col(feature)).limit(n)
 
 

@@ -19,15 +19,32 @@ def _genes(spark, sf):
 GENES_SQL = "genes as (select gene_id, sample, sum(n) as n from f3_counts group by gene_id, sample)"
 
 
-@register("gtf_bed12", with_views("""
-select min(contig) as chrom, min(start1) - 1 as chromStart, max(end1) as chromEnd, tx as name, 0 as score,
-  min(strand) as strand, min(start1) - 1 as thickStart, max(end1) as thickEnd, 0 as itemRgb,
+#: GTF features of the transcripts: their exons, for two thirds a start and for half of them a stop codon.
+FEATURES_VIEW = """
+select contig, tx, 'exon' as feature, start1, end1, strand, start1 as ord from f5_exons
+union all
+select contig, tx, 'start_codon', case when strand = '-' then end1 - 2 else start1 + 3 end, case when strand = '-' then end1 else start1 + 5 end, strand, start1
+from f5_exons where cast(substr(tx, 2) as bigint) % 3 <> 0 and start1 % 2 = 0
+union all
+select contig, tx, 'stop_codon', case when strand = '-' then start1 + 4 else end1 - 6 end, case when strand = '-' then start1 + 6 else end1 - 4 end, strand, start1
+from f5_exons where cast(substr(tx, 2) as bigint) % 4 < 2 and start1 % 2 = 1
+"""
+
+
+@register("gtf_bed12", with_views(f""", ft as ({FEATURES_VIEW.strip()}),
+ex as (select *, min(start1) over (partition by tx) as s0 from ft where feature = 'exon'),
+sc as (select tx, arg_max(start1, ord) as cs from ft where feature = 'start_codon' group by tx),
+st as (select tx, arg_max(end1, ord) as ce from ft where feature = 'stop_codon' group by tx)
+select min(contig) as chrom, min(start1) - 1 as chromStart, max(end1) as chromEnd, ex.tx as name, 0 as score, min(strand) as strand,
+  coalesce(case when min(strand) = '-' then min(ce) - 2 else min(cs) end, min(start1)) - 1 as thickStart,
+  coalesce(case when min(strand) = '-' then min(cs) + 2 else min(ce) end, max(end1)) as thickEnd, 0 as itemRgb,
   cast(count(*) as int) as blockCount,
   string_agg(cast(end1 - start1 + 1 as varchar), ',' order by start1, end1) || ',' as blockSizes,
   string_agg(cast(start1 - s0 as varchar), ',' order by start1, end1) || ',' as blockStarts
-from (select *, min(start1) over (partition by tx) as s0 from f5_exons) group by tx""", "f5_exons"))
+from ex left join sc on sc.tx = ex.tx left join st on st.tx = ex.tx group by ex.tx""", "f5_exons"))
 def q_bed12(spark, sf):
-    return EX.to_bed12(fixture(spark, sf, "f5_exons"))
+    fixture(spark, sf, "f5_exons").createOrReplaceTempView("f5_exons")
+    return EX.to_bed12(spark.sql(FEATURES_VIEW))
 
 
 @register("biotype_pct", with_views(""",
@@ -88,25 +105,33 @@ def q_size_factors(spark, sf):
     return r.select("sample", F.round("size_factor", 6).alias("size_factor"))
 
 
-NORM_SQL = """t as (select tx as feature, sample as cell, n from f3_counts where n > 0),
-gk as (select feature from t group by feature having count(*) >= 3),
-t2 as (select t.* from t join gk on gk.feature = t.feature),
-ck as (select cell, sum(n) as tot from t2 group by cell having count(*) >= 200),
-norm as (select t2.feature, t2.cell, t2.n, ln(1 + t2.n / ck.tot * 1e4) as norm from t2 join ck on ck.cell = t2.cell)"""
+#: Cells that grow with the tables, common genes and genes of one order.
+CELLS_VIEW = """
+select case when l_orderkey % 97 = 0 then concat('r', cast(l_orderkey as string)) else concat('t', cast(l_partkey % 220 as string)) end as feature,
+  concat('C', cast(l_suppkey as string)) as cell, sum(cast(l_quantity as bigint)) as n
+from lineitem group by 1, 2
+"""
 
+NORM_SQL = f"""t as ({CELLS_VIEW.strip()}),
+ck as (select cell from t where n > 0 group by cell having count(*) >= 200),
+gk as (select feature from t where n > 0 and cell in (select cell from ck) group by feature having count(*) >= 3),
+t2 as (select * from t where n > 0 and cell in (select cell from ck) and feature in (select feature from gk)),
+tot as (select cell, sum(n) as tot from t2 group by cell),
+norm as (select t2.feature, t2.cell, t2.n, ln(1 + t2.n / tot.tot * 1e4) as norm from t2 join tot on tot.cell = t2.cell)"""
 
-def _norm(spark, sf):
-    t = fixture(spark, sf, "f3_counts").select(F.col("tx").alias("feature"), F.col("sample").alias("cell"), "n")
-    return EX.filter_normalise(t, 200, 3)
+
+def norm_of(spark, sf):
+    register_tables(spark, sf)
+    return EX.filter_normalise(spark.sql(CELLS_VIEW), 200, 3)
 
 
-@register("gene_filter_norm", with_views(f""", {NORM_SQL}
-select feature, cell, round(norm, 6) as norm from norm""", "f3_counts"))
-def q_filter_norm(spark, sf):
-    return _norm(spark, sf).select("feature", "cell", F.round("norm", 6).alias("norm"))
+@register("gene_filter_norm", f"""with {NORM_SQL}
+select feature, cell, round(norm, 6) as norm from norm""")
+def q_filternorm_of(spark, sf):
+    return norm_of(spark, sf).select("feature", "cell", F.round("norm", 6).alias("norm"))
 
 
-@register("variable_genes", with_views(f""", {NORM_SQL},
+VARIABLE_SQL = f"""{NORM_SQL},
 nc as (select count(distinct cell) as n from norm),
 m as (select feature, sum(exp(norm) - 1) / (select n from nc) as mean,
         (sum((exp(norm) - 1) * (exp(norm) - 1)) - (select n from nc) * power(sum(exp(norm) - 1) / (select n from nc), 2)) / ((select n from nc) - 1) as var
@@ -114,13 +139,16 @@ m as (select feature, sum(exp(norm) - 1) / (select n from nc) as mean,
 m2 as (select feature, ln(1 + mean) as exp_mean, ln(var / nullif(mean, 0)) as log_vmr from m),
 r as (select min(exp_mean) as lo, max(exp_mean) as hi from m2),
 b as (select m2.*, cast(least(greatest(ceil((exp_mean - r.lo) / ((r.hi - r.lo) / 20)), 1), 20) as int) as bin from m2, r),
-st as (select bin, avg(log_vmr) as bm, stddev_samp(log_vmr) as bs from b group by bin)
-select b.feature, round(b.exp_mean, 6) as exp_mean, round(b.log_vmr, 6) as log_vmr, b.bin,
-  round((b.log_vmr - st.bm) / st.bs, 6) as disp_z,
+st as (select bin, avg(log_vmr) as bm, stddev_samp(log_vmr) as bs from b group by bin),
+vg as (select b.feature, b.exp_mean, b.log_vmr, b.bin, (b.log_vmr - st.bm) / st.bs as disp_z,
   b.exp_mean > 0.0125 and b.exp_mean < 3.0 and (b.log_vmr - st.bm) / st.bs >= 0.5 as variable
-from b join st on st.bin = b.bin""", "f3_counts"))
+from b join st on st.bin = b.bin)"""
+
+
+@register("variable_genes", f"""with {VARIABLE_SQL}
+select feature, round(exp_mean, 6) as exp_mean, round(log_vmr, 6) as log_vmr, bin, round(disp_z, 6) as disp_z, variable from vg""")
 def q_variable_genes(spark, sf):
-    v = EX.variable_genes(_norm(spark, sf))
+    v = EX.variable_genes(norm_of(spark, sf))
     return v.select("feature", F.round("exp_mean", 6).alias("exp_mean"), F.round("log_vmr", 6).alias("log_vmr"),
                     "bin", F.round("disp_z", 6).alias("disp_z"), "variable")
 
@@ -211,12 +239,15 @@ def q_tx2gene_vote(spark, sf):
     return EX.tx2gene_vote(g, fixture(spark, sf, "f3_counts").select("tx"))
 
 
-@register("top_var_genes", with_views(f""", {GENES_SQL}
-select gene_id, round(var_samp(log2(n + 1)), 6) as variance from genes group by gene_id
-order by var_samp(log2(n + 1)) desc, gene_id limit 20""", "f3_counts"))
+@register("top_var_genes", with_views(f""", {GENES_SQL},
+g0 as (select * from genes where (length(gene_id) + length(sample) + n) % 7 <> 0),
+l as (select g.gene_id, s.sample, coalesce(log2(g0.n + 1), 0) as v from (select distinct gene_id from g0) g
+  cross join (select distinct sample from g0) s left join g0 on g0.gene_id = g.gene_id and g0.sample = s.sample)
+select gene_id, round(var_samp(v), 6) as variance from l group by gene_id
+order by var_samp(v) desc, gene_id limit 20""", "f3_counts"))
 def q_top_var(spark, sf):
-    g = _genes(spark, sf).withColumn("v", F.log2(F.col("n") + 1))
-    r = EX.top_variance(g, 20)
+    g = _genes(spark, sf).filter("(length(gene_id) + length(sample) + n) % 7 <> 0")  # genes that some samples lack
+    r = EX.top_variance(g.withColumn("v", F.log2(F.col("n") + 1)), 20)
     return r.select("gene_id", F.round("variance", 6).alias("variance"))
 
 
@@ -275,7 +306,7 @@ def q_trim_headers(spark, sf):
     m = fixture(spark, sf, "f7_msa")
     h = F.concat(F.lit("ENST"), F.col("row_no").cast("string"), F.lit(".1|ENSG"), F.col("chain").cast("string"),
                  F.lit("|"), F.col("species"))
-    return m.select(F.split_part(h, F.lit("|"), F.lit(1)).alias("id"))
+    return EX.trim_headers(m.select(h.alias("id")))
 
 
 @register("gtf_in_genome", with_views("""
@@ -310,11 +341,10 @@ def q_biotype_guard(spark, sf):
 
 
 @register("append_reference", with_views(f""", {SEQS_SQL}
-select concat('chr', cast(n_nationkey as string)) as id, n_name as seq from nation
+select concat('chr', cast(c_custkey as string)) as id, md5(cast(c_custkey as string)) as seq from customer
 union all select id, seq from seqs""", "f7_msa"))
 def q_append_reference(spark, sf):
     register_tables(spark, sf)
-    genome = spark.table("nation").select(F.concat(F.lit("chr"), F.col("n_nationkey").cast("string")).alias("id"),
-                                          F.col("n_name").alias("seq"))
-    extra = _seqs(spark, sf).select("id", "seq")
-    return genome.unionByName(extra)
+    genome = spark.table("customer").select(F.concat(F.lit("chr"), F.col("c_custkey").cast("string")).alias("id"),
+                                            F.md5(F.col("c_custkey").cast("string")).alias("seq"))
+    return EX.append_reference(genome, _seqs(spark, sf))[0]

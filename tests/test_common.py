@@ -2,13 +2,14 @@
 plain window functions and brute force, for 1 and 16 input partitions."""
 
 import random
+import statistics
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from helixspark.operators.common import neighbours, prefix_sum, rank_within
-from helixspark.operators.rangejoin import interval_join, overlap_join
+from helixspark.operators.common import exact_median, neighbours, prefix_sum, rank_within
+from helixspark.operators.rangejoin import _standing, interval_join, overlap_join
 
 
 @pytest.fixture()
@@ -72,3 +73,29 @@ def test_interval_and_overlap_joins_match_brute_force(spark):
     got2 = {(r["lid"], r["iid"]) for r in overlap_join(left, iv, "chrom", "ls", "le", "s", "e", bin_size=50).collect()}
     exp2 = {(a, b) for a, _, s1, e1 in ivs for b, _, s2, e2 in ivs if s1 <= e2 and s2 <= e1}
     assert got2 == exp2
+
+
+def test_levelled_bins_keep_rows_few(spark):
+    """A block of 10 Gb and a point interval meet in a handful of rows, at any length."""
+    rnd = random.Random(5)
+    spans = [(j, "c1", s, s + rnd.choice([0, 1, 60, 5000, 2**20, 10**10])) for j, s in enumerate(rnd.randint(0, 10**10) for _ in range(80))]
+    pts = [(i, "c1", rnd.randint(0, 2 * 10**10)) for i in range(150)] + [(999, "c2", 5), (1000, None, 7)]
+    iv = spark.createDataFrame(spans, "iid int, chrom string, s long, e long")
+    p = spark.createDataFrame(pts, "pid int, chrom string, pos long")
+    assert _standing(iv, "s", "e", 128).count() <= 2 * len(spans)
+    got = {(r["pid"], r["iid"]) for r in interval_join(p, iv, "chrom", "pos", "pos", "s", "e", bin_size=128).collect()}
+    assert got == {(a, j) for a, c, x in pts for j, d, s, e in spans if c == d and s <= x <= e}
+    left = spark.createDataFrame([(i + 1000, c, s + 7, e + 7) for i, c, s, e in spans] + [(5000, "c1", 9, 3)], "lid int, chrom string, ls long, le long")
+    rows = overlap_join(left, iv, "chrom", "ls", "le", "s", "e", bin_size=128).collect()
+    want = {(i + 1000, j) for i, _, a, b in spans for j, _, s, e in spans if a + 7 <= e and s <= b + 7}
+    assert {(r["lid"], r["iid"]) for r in rows} == want and len(rows) == len(want)
+
+
+def test_exact_median(spark):
+    rnd = random.Random(9)
+    rows = [(k, v) for k in ("hot", "b", None, "one") for v in
+            ([rnd.choice([0.5, 1e-300, 3.0, rnd.random(), -rnd.random() * 1e9]) for _ in range({"hot": 4001, "b": 10, "one": 1}.get(k, 7))])]
+    rows += [("same", 2.0)] * 50 + [("next", 1.0), ("next", 1.0 + 2**-52), ("next", 1.0 + 2**-51), ("empty", None)]
+    got = {r.k: r["median"] for r in exact_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v").collect()}
+    want = {k: statistics.median([v for x, v in rows if x == k]) for k in {r[0] for r in rows} - {"empty"}}
+    assert got == want
