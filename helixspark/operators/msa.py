@@ -8,6 +8,10 @@ the rows is still spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +47,13 @@ def common_species(msa_rows: DataFrame, chain: str = "chain") -> DataFrame:
     return g.filter(F.col("n_chains") >= 2)
 
 
+def crowded_species(msa_rows: DataFrame, max_rows: int = 600, chain: str = "chain") -> DataFrame:
+    """(species, rows): the species that ``pair_species`` leaves out because a chain holds more than
+    ``max_rows`` of their rows, with the largest number of rows in one chain."""
+    per = msa_rows.filter((F.col("msa_row") > 0) & (F.col("species") != "")).groupBy("species", chain).agg(F.count("*").alias("_c"))
+    return per.groupBy("species").agg(F.max("_c").alias("rows")).filter(F.col("rows") > max_rows)
+
+
 def pair_species(msa_rows: DataFrame, max_rows: int = 600, chain: str = "chain") -> DataFrame:
     """Cross-chain pairing of alignment rows of the same species.
 
@@ -121,16 +132,11 @@ def project_to_query(msa_rows: DataFrame, chain: str = "chain") -> DataFrame:
     from every row; each kept column records how many residues were dropped
     right before it (deletion count)."""
     q = with_query(msa_rows).withColumn("_m", S.query_mask("query"))
-    z = F.arrays_zip(S.chars("seq").alias("c"), F.col("_m").alias("k"))
-    # deletions: residues (non-gap) in dropped columns since the previous kept column
-    acc = F.aggregate(
-        z, F.struct(F.array().cast("array<int>").alias("out"), F.lit(0).alias("run")),
-        lambda st, x: F.when(x["k"], F.struct(F.concat(st["out"], F.array(st["run"])).alias("out"),
-                                              F.lit(0).alias("run")))
-        .otherwise(F.struct(st["out"].alias("out"),
-                            (st["run"] + F.when(x["c"] != "-", 1).otherwise(0)).alias("run"))),
-        lambda st: st["out"])
-    return q.withColumn("deletions", acc).withColumn("seq", S.masked("seq", "_m")).drop("_m", "query")
+    # one mark per kept column and one per residue of a dropped one: the runs between kept marks
+    # are the deletions, the run after the last kept column belongs to none
+    marks = F.array_join(F.zip_with(S.chars("seq"), F.col("_m"), lambda c, k: F.when(k, "|").when(c != "-", "x").otherwise("")), "")
+    runs = F.transform(F.split(marks, r"\|"), lambda x: F.length(x))
+    return q.withColumn("deletions", F.slice(runs, F.lit(1), F.size(runs) - 1)).withColumn("seq", S.masked("seq", "_m")).drop("_m", "query")
 
 
 def sto_to_a3m(msa_rows: DataFrame, chain: str = "chain") -> DataFrame:
@@ -187,37 +193,81 @@ def sample_msa(msa_rows: DataFrame, n: int, seed: int = 0, chain: str = "chain")
     return kept, extra
 
 
+#: Rows of one block of an alignment: the blocks are multiplied with each other.
+BLOCK_ROWS = 512
+
+
+def _row_blocks(rows: DataFrame, chain: str, name: str) -> DataFrame:
+    """(chain, ``name``): blocks of at most ``BLOCK_ROWS`` rows with their sequences."""
+    block = F.floor(F.col("msa_row") / BLOCK_ROWS)
+    return rows.groupBy(chain, block.alias("_b")).agg(F.collect_list(F.struct("msa_row", "seq")).alias(name)).drop("_b")
+
+
+def _letters(rows: list[dict], width: int) -> np.ndarray:
+    """Code points of the sequences, a row each; shorter ones end in 0."""
+    out = np.zeros((len(rows), width), np.uint32)
+    for i, r in enumerate(rows):
+        x = np.frombuffer((r["seq"] or "").encode("utf-32-le"), np.uint32)[:width]
+        out[i, :len(x)] = x
+    return out
+
+
+def _best_of_blocks(gap_weight: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                extra, centers = b.column(1)[i].as_py(), sorted(b.column(2)[i].as_py(), key=lambda r: r["msa_row"])
+                width = max(len(r["seq"] or "") for r in extra + centers)
+                e, c = _letters(extra, width), _letters(centers, width)
+                score = np.zeros((len(e), len(c)), np.float64)
+                for x in np.intersect1d(e, c):
+                    if x:
+                        same = (e == x).astype(np.float32) @ (c == x).astype(np.float32).T
+                        score += same * (gap_weight if x == ord("-") else 1.0)
+                at = score.argmax(axis=1)  # the first of equals: the lowest centre row
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(b.column(0)[i], len(extra)), pa.array([r["msa_row"] for r in extra], pa.int64()),
+                     pa.array([centers[j]["msa_row"] for j in at], pa.int64()), pa.array(score[np.arange(len(at)), at])],
+                    names=[b.schema.names[0], "extra_row", "center_row", "score"])
+    return run
+
+
 def assign_centers(extra: DataFrame, centers: DataFrame, gap_weight: float = 0.0, chain: str = "chain") -> DataFrame:
     """Each extra row -> the cluster centre with the highest weighted agreement.
 
-    Agreement counts columns with the same residue (weight 1, gap matches weight
-    ``gap_weight``); the join is on (chain, column, residue), so work is
-    rows x columns x matching centres. Ties go to the lowest centre row.
+    Agreement counts columns with the same residue (weight 1, gap matches weight ``gap_weight``).
+    Extra rows and centres of a chain are packed in blocks of at most 512 rows; every block of one
+    side meets every block of the other, and their agreement is a few products of 0/1 matrices, one
+    per residue. No row per column or per pair is made: a block pair gives one row per extra row,
+    and the best of those is a grouped maximum. A chain that holds most rows is spread over its
+    block pairs. Ties go to the lowest centre row; chains without centres have no rows.
+    """
+    kind = extra.schema[chain].dataType.simpleString()
+    e, c = _row_blocks(extra, chain, "e"), _row_blocks(centers, chain, "c")
+    pairs = e.join(c, chain).select(chain, "e", "c").repartition(F.xxhash64(chain, F.col("e")[0]["msa_row"], F.col("c")[0]["msa_row"]))
+    got = pairs.mapInArrow(_best_of_blocks(gap_weight), f"{chain} {kind}, extra_row long, center_row long, score double")
+    best = got.groupBy(chain, "extra_row").agg(F.max_by("center_row", F.struct("score", -F.col("center_row"))).alias("center_row"), F.max("score").alias("score"))
+    return best.select(chain, "extra_row", "center_row", "score")
+
+
+def cluster_profiles(assigned: DataFrame, extra: DataFrame, centers: DataFrame, chain: str = "chain",
+                     deletions: str | None = None):
+    """Per centre and column over the centre plus its assigned extra rows: residue shares, and with
+    ``deletions`` (a column of per-column deletion counts) the mean deletions too, both divided by
+    1e-6 + count. Returns the shares (chain, center_row, pos, res, share), or with ``deletions`` the
+    pair (shares, (chain, center_row, pos, mean_deletions)). Missing deletions count as 0.
     """
-    ee = extra.select(chain, F.col("msa_row").alias("extra_row"), F.posexplode(S.chars("seq")).alias("pos", "res"))
-    ce = centers.select(chain, F.col("msa_row").alias("center_row"), F.posexplode(S.chars("seq")).alias("pos", "res"))
-    j = ee.join(ce, [chain, "pos", "res"])
-    w = F.when(F.col("res") == "-", F.lit(gap_weight)).otherwise(F.lit(1.0))
-    sc = j.groupBy(chain, "extra_row", "center_row").agg(F.sum(w).alias("score"))
-    best = sc.groupBy(chain, "extra_row").agg(
-        F.max_by(F.struct("center_row", "score"), F.struct(F.col("score"), -F.col("center_row"))).alias("b"))
-    allx = extra.select(chain, F.col("msa_row").alias("extra_row"))
-    out = allx.join(best, [chain, "extra_row"], "left")
-    lowest = centers.groupBy(chain).agg(F.min("msa_row").alias("_c0"))
-    return out.join(lowest, chain).select(
-        chain, "extra_row", F.coalesce(F.col("b.center_row"), F.col("_c0")).alias("center_row"),
-        F.coalesce(F.col("b.score"), F.lit(0.0)).alias("score"))
-
-
-def cluster_profiles(assigned: DataFrame, extra: DataFrame, centers: DataFrame, chain: str = "chain") -> DataFrame:
-    """Per centre and column: residue shares over the centre plus its assigned
-    extra rows (divided by 1e-6 + count)."""
-    ex = extra.select(chain, F.col("msa_row").alias("extra_row"), "seq").join(
-        assigned.select(chain, "extra_row", "center_row"), [chain, "extra_row"]).select(chain, "center_row", "seq")
-    ce = centers.select(chain, F.col("msa_row").alias("center_row"), "seq")
+    carried = [F.col(deletions).alias("_d")] if deletions else []
+    ex = extra.select(chain, F.col("msa_row").alias("extra_row"), "seq", *carried).join(
+        assigned.select(chain, "extra_row", "center_row"), [chain, "extra_row"]).drop("extra_row")
+    ce = centers.select(chain, F.col("msa_row").alias("center_row"), "seq", *carried)
     allr = ex.unionByName(ce)
-    n = allr.groupBy(chain, "center_row").agg(F.count("*").alias("_n"))
-    e = allr.select(chain, "center_row", F.posexplode(S.chars("seq")).alias("pos", "res"))
+    n = allr.groupBy(chain, "center_row").agg((F.lit(1e-6) + F.count("*")).alias("_n"))
+    e = allr.select(chain, "center_row", F.posexplode(S.chars("seq")).alias("pos", "res")).filter("res <> ''")
     c = e.groupBy(chain, "center_row", "pos", "res").agg(F.count("*").alias("_c"))
-    return c.join(n, [chain, "center_row"]).select(
-        chain, "center_row", "pos", "res", (F.col("_c") / (F.lit(1e-6) + F.col("_n"))).alias("share"))
+    shares = c.join(n, [chain, "center_row"]).select(chain, "center_row", "pos", "res", (F.col("_c") / F.col("_n")).alias("share"))
+    if not deletions:
+        return shares
+    d = allr.select(chain, "center_row", F.posexplode(F.slice("_d", F.lit(1), F.length("seq"))).alias("pos", "_x"))
+    d = d.groupBy(chain, "center_row", "pos").agg(F.coalesce(F.sum("_x"), F.lit(0)).alias("_s"))
+    return shares, d.join(n, [chain, "center_row"]).select(chain, "center_row", "pos", (F.col("_s") / F.col("_n")).alias("mean_deletions"))

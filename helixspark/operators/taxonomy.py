@@ -94,12 +94,30 @@ def ancestors(tax: DataFrame, node: str = "id", parent: str = "parent") -> DataF
 
 def clade_counts(counts: DataFrame, tax: DataFrame, taxon: str = "taxon", value: str = "n",
                  by: list[str] = ("sample",)) -> DataFrame:
-    """Reads of each node plus all its descendants (kraken-style clade count)."""
-    anc = ancestors(tax)
-    c = counts.join(anc.withColumnRenamed("id", taxon), taxon)
-    clade = c.groupBy(*by, F.col("anc").alias(taxon)).agg(F.sum(value).alias("clade_reads"))
-    own = counts.groupBy(*by, taxon).agg(F.sum(value).alias("taxon_reads"))
-    return clade.join(own, [*by, taxon], "left").fillna(0, ["taxon_reads"])
+    """Reads of each node plus all its descendants (kraken-style clade count).
+
+    After round k every node holds the reads of its descendants nearer than 2**k and a pointer to
+    its ancestor 2**k above; in the next round each node's sum goes to its pointer, and the pointer
+    becomes that of the pointer. So a tree of depth d takes log2(d) rounds over one row per node
+    (and ``by``), whatever its shape, and no list of ancestors is made. Rounds are written tables.
+    Counts of taxa that the taxonomy lacks are left out; a cycle raises.
+    """
+    own = counts.join(tax.select(F.col("id").alias(taxon)).distinct(), taxon, "left_semi").groupBy(*by, taxon).agg(F.sum(value).alias("taxon_reads"))
+    own = written_once(own, "clades")
+    held = own.withColumnRenamed("taxon_reads", "clade_reads")
+    up = tax.select(F.col("id"), F.col("parent").alias("anc")).filter(F.col("anc").isNotNull() & (F.col("anc") != F.col("id"))).distinct()
+    up = written_once(up, "pointers")
+    left, rounds = up.count(), 0
+    most = left.bit_length() + 1
+    while left:
+        if rounds > most:
+            raise ValueError("the taxonomy has a cycle")
+        sent = held.join(up, held[taxon] == up["id"]).select(*by, F.col("anc").alias(taxon), "clade_reads")
+        held = written_once(held.unionByName(sent).groupBy(*by, taxon).agg(F.sum("clade_reads").alias("clade_reads")), "clades")
+        further = up.select(F.col("id").alias("_mid"), F.col("anc").alias("_far"))
+        up = written_once(up.join(further, up["anc"] == further["_mid"]).select("id", F.col("_far").alias("anc")), "pointers")
+        left, rounds = up.count(), rounds + 1
+    return held.join(own, [*by, taxon], "left").fillna(0, ["taxon_reads"])
 
 
 def clean_lineage(c) -> Column:

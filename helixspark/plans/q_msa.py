@@ -181,8 +181,8 @@ def q_msa_sample(spark, sf):
 CENTER_SQL = SAMPLE_SQL + """,
 ex as (select chain, msa_row as extra_row, unnest(range(1, length(seq) + 1)) as pos, unnest(string_split(seq, '')) as res from h where k > 100),
 ce as (select chain, msa_row as center_row, unnest(range(1, length(seq) + 1)) as pos, unnest(string_split(seq, '')) as res from h where k <= 100),
-sc as (select ex.chain, ex.extra_row, ce.center_row, cast(sum(case when ex.res = '-' then 0.0 else 1.0 end) as double) as score
-       from ex join ce on ce.chain = ex.chain and ce.pos = ex.pos and ce.res = ex.res group by 1, 2, 3),
+sc as (select ex.chain, ex.extra_row, ce.center_row, cast(count(*) as double) as score
+       from ex join ce on ce.chain = ex.chain and ce.pos = ex.pos and ce.res = ex.res and ex.res <> '-' group by 1, 2, 3),
 best as (select chain, extra_row, arg_max(center_row, score * 1000000 - center_row) as center_row, max(score) as score from sc group by 1, 2),
 c0 as (select chain, min(msa_row) as c0 from h where k <= 100 group by chain),
 asg as (select h.chain, h.msa_row as extra_row, coalesce(b.center_row, c0.c0) as center_row, coalesce(b.score, cast(0 as double)) as score
@@ -195,18 +195,27 @@ def q_nearest_center(spark, sf):
     return M.assign_centers(extra, kept).select("chain", "extra_row", "center_row", "score")
 
 
+#: Deletion counts for the rows of the alignments, which have none of their own.
+DELETIONS = "transform(sequence(0, length(seq) - 1), i -> (row_no + i * 3) % 4)"
+
+
 @register("cluster_profile", sql(CENTER_SQL + """,
-allr as (select a.chain, a.center_row, h.seq from asg a join h on h.chain = a.chain and h.msa_row = a.extra_row
-         union all select chain, msa_row, seq from h where k <= 100),
+allr as (select a.chain, a.center_row, h.seq, h.row_no from asg a join h on h.chain = a.chain and h.msa_row = a.extra_row
+         union all select chain, msa_row, seq, row_no from h where k <= 100),
 n as (select chain, center_row, count(*) as n from allr group by 1, 2),
-e as (select chain, center_row, unnest(range(0, length(seq))) as pos, unnest(string_split(seq, '')) as res from allr)
-select e.chain, e.center_row, e.pos, e.res, round(count(*) / (1e-6 + min(n.n)), 6) as share
-from e join n on n.chain = e.chain and n.center_row = e.center_row group by 1, 2, 3, 4"""))
+e as (select chain, center_row, row_no, unnest(range(0, length(seq))) as pos, unnest(string_split(seq, '')) as res from allr),
+d as (select chain, center_row, pos, sum((row_no + pos * 3) % 4) as s from e group by 1, 2, 3)
+select e.chain, e.center_row, e.pos, e.res, round(count(*) / (1e-6 + min(n.n)), 6) as share,
+  round(min(d.s) / (1e-6 + min(n.n)), 6) as mean_deletions
+from e join n on n.chain = e.chain and n.center_row = e.center_row
+join d on d.chain = e.chain and d.center_row = e.center_row and d.pos = e.pos group by 1, 2, 3, 4"""))
 def q_cluster_profile(spark, sf):
-    kept, extra = _sample(spark, sf)
+    kept, extra = (x.withColumn("deletions", F.expr(DELETIONS)) for x in _sample(spark, sf))
     a = M.assign_centers(extra, kept)
-    p = M.cluster_profiles(a, extra, kept)
-    return p.select("chain", "center_row", F.col("pos").cast("long").alias("pos"), "res", F.round("share", 6).alias("share"))
+    shares, dels = M.cluster_profiles(a, extra, kept, deletions="deletions")
+    p = shares.join(dels, ["chain", "center_row", "pos"])
+    return p.select("chain", "center_row", F.col("pos").cast("long").alias("pos"), "res", F.round("share", 6).alias("share"),
+                    F.round("mean_deletions", 6).alias("mean_deletions"))
 
 
 DESC_SQL = """select doc_id, concat(case doc_id % 3 when 0 then 'tr' when 1 then 'sp' else 'xx' end, '|', upper(substr(md5(text), 1, 8)),

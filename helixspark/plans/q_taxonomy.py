@@ -104,23 +104,36 @@ def q_profile_merge(spark, sf):
     return TX.merge_profiles(p, PROFILE_SAMPLES)
 
 
-@register("clade_rollup", with_views("""
-, recursive anc(id, a) as (
-  select id, id from f8_taxa
-  union all select anc.id, t.parent from anc join f8_taxa t on t.id = anc.a where t.parent <> t.id),
-c as (select p.sample, anc.a as taxon, sum(p.n) as clade_reads from f8_profile p join anc on anc.id = p.taxon group by 1, 2),
-o as (select sample, taxon, sum(n) as taxon_reads from f8_profile group by 1, 2)
+#: A taxonomy that grows with the parts: short and longer chains below a branching tree.
+TAXA_VIEW = """
+select p_partkey as id, cast(case when p_partkey % 4 = 3 then p_partkey - 1 else floor(p_partkey / 3) end as bigint) as parent,
+  concat(p_name, '_', cast(p_partkey as string)) as name, p_brand as phylum, p_type as kingdom
+from part
+"""
+
+READ_TAXA_VIEW = """
+select l_partkey as taxon, concat('S', cast(l_suppkey % 4 as string)) as sample, cast(l_quantity as bigint) as n from lineitem
+"""
+
+TAXA_SQL = f"taxa as ({TAXA_VIEW.strip()}), reads as ({READ_TAXA_VIEW.strip()})"
+
+
+@register("clade_rollup", f"""with recursive {TAXA_SQL}, anc(id, a) as (
+  select id, id from taxa
+  union all select anc.id, t.parent from anc join taxa t on t.id = anc.a where t.parent <> t.id),
+c as (select p.sample, anc.a as taxon, sum(p.n) as clade_reads from reads p join anc on anc.id = p.taxon group by 1, 2),
+o as (select sample, taxon, sum(n) as taxon_reads from reads group by 1, 2)
 select c.sample, c.taxon, cast(c.clade_reads as bigint) as clade_reads, cast(coalesce(o.taxon_reads, 0) as bigint) as taxon_reads
-from c left join o on o.sample = c.sample and o.taxon = c.taxon""", "f8_taxa", "f8_profile").replace(
-    "with f8_taxa", "with recursive f8_taxa").replace(", recursive anc", ", anc"))
+from c left join o on o.sample = c.sample and o.taxon = c.taxon""")
 def q_clade(spark, sf):
-    r = TX.clade_counts(fixture(spark, sf, "f8_profile"), fixture(spark, sf, "f8_taxa"))
+    register_tables(spark, sf)
+    r = TX.clade_counts(spark.sql(READ_TAXA_VIEW), spark.sql(TAXA_VIEW))
     return r.select("sample", "taxon", F.col("clade_reads").cast("long").alias("clade_reads"),
                     F.col("taxon_reads").cast("long").alias("taxon_reads"))
 
 
-LINEAGE_SQL = """select n_nationkey as taxid, concat('d__', replace(r_name, ' ', '_'), ';p__', replace(n_name, ' ', '_'), ';s__', replace(n_name, ' ', '_'), '_sp') as lineage
-from nation join region on r_regionkey = n_regionkey"""
+LINEAGE_SQL = f"""select id as taxid, concat('d__', replace(kingdom, ' ', '_'), ';p__', replace(phylum, ' ', '_'), ';s__', replace(name, ' ', '_'), '_sp') as lineage
+from ({TAXA_VIEW.strip()}) t"""
 
 
 @register("krona_clean", f"""select taxid, replace(regexp_replace(lineage, '(d|k|p|c|o|f|g|s)__', '', 'g'), '_', ' ') as lineage
@@ -130,20 +143,15 @@ def q_krona(spark, sf):
     return spark.sql(LINEAGE_SQL).select("taxid", TX.clean_lineage("lineage").alias("lineage"))
 
 
-REPORT8_SQL = """with p as (select taxon, sum(n) as n from f8_profile group by taxon),
+@register("kraken_cols", f"""with {TAXA_SQL}, p as (select taxon, sum(n) as n from reads group by taxon),
 t as (select sum(n) as tot from p)
-select round(p.n * 100.0 / t.tot, 2) as pct, p.n as clade_reads, p.n as taxon_reads, p.n * 7 as minimizers,
-  p.n * 3 as distinct_minimizers, 'S' as rank_code, p.taxon as taxid, x.name from p, t, f8_taxa x where x.id = p.taxon"""
-
-
-@register("kraken_cols", with_views(""", p as (select taxon, sum(n) as n from f8_profile group by taxon),
-t as (select sum(n) as tot from p)
-select round(p.n * 100.0 / t.tot, 2) as pct, p.n as clade_reads, p.n as taxon_reads, 'S' as rank_code, p.taxon as taxid, x.name
-from p, t, f8_taxa x where x.id = p.taxon""", "f8_profile", "f8_taxa"))
+select round(p.n * 100.0 / t.tot, 2) as pct, p.n::bigint as clade_reads, p.n::bigint as taxon_reads, 'S' as rank_code, p.taxon as taxid, x.name
+from p, t, taxa x where x.id = p.taxon""")
 def q_kraken_cols(spark, sf):
-    p = fixture(spark, sf, "f8_profile").groupBy("taxon").agg(F.sum("n").alias("n"))
+    register_tables(spark, sf)
+    p = spark.sql(READ_TAXA_VIEW).groupBy("taxon").agg(F.sum("n").alias("n"))
     tot = p.agg(F.sum("n")).first()[0]  # one scalar
-    x = fixture(spark, sf, "f8_taxa")
+    x = spark.sql(TAXA_VIEW)
     r8 = p.join(x, x["id"] == p["taxon"]).select(
         F.round(F.col("n") * 100.0 / F.lit(tot), 2).alias("pct"), F.col("n").alias("clade_reads"),
         F.col("n").alias("taxon_reads"), (F.col("n") * 7).alias("minimizers"),
