@@ -208,15 +208,33 @@ def upsert(old: DataFrame, new: DataFrame, keys=LAYOUT3_KEY, version: str = "ver
 
 def upsert_layout3(spark: SparkSession, path: str, new: DataFrame, version: str = "version") -> None:
     """Merge ``new`` rows into the stored layout 3 under ``path``: only the (bucket, chromosome)
-    folders that the new rows touch are read and overwritten."""
-    parts = ["sample_bucket", "chrom"]
+    folders that the new rows touch are read and overwritten.
+
+    The touched folders are found first and named to the scan as a literal filter on the partition
+    columns, so the listing is pruned whatever ``new`` is. At most ``SAMPLE_BUCKETS`` buckets a
+    chromosome come to the driver, as one array per chromosome."""
+    new = written_once(new, "upsert-new")
+    touched = new.groupBy("chrom").agg(F.sort_array(F.collect_set("sample_bucket")).alias("b")).collect()
     stored = spark.read.parquet(f"{path}/layout3/genomic_variants")
-    touched = new.select(*parts).distinct()
-    old = stored.join(touched, parts, "left_semi").select(*new.columns)
+    old = stored.filter(touched_folders(touched)).select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in new.columns])
     merged = written_once(upsert(old, new, version=version), "upsert")  # not read while it is overwritten
     write_layout(merged, path, 3)
 
 
+def touched_folders(touched: list) -> Column:
+    """A filter on the partition columns: chromosomes with the same buckets are named together."""
+    by_buckets: dict[tuple, list] = {}
+    for r in touched:
+        by_buckets.setdefault(tuple(r["b"]), []).append(r["chrom"])
+    cond = F.lit(False)
+    for buckets, chroms in by_buckets.items():
+        named = F.col("chrom").isin([c for c in chroms if c is not None])
+        if None in chroms:
+            named = named | F.col("chrom").isNull()
+        cond = cond | (named & F.col("sample_bucket").isin(list(buckets)))
+    return cond
+
+
 def stored_layout(spark: SparkSession, tables: dict[str, DataFrame] | DataFrame, path: str, layout: int) -> dict[str, DataFrame]:
     """Write a layout and read its tables back with the written column types."""
     write_layout(tables, path, layout)
@@ -301,6 +319,56 @@ def typed_info(df: DataFrame, types: dict[str, str], col: str = "info") -> DataF
     return out
 
 
+def _expected(number, n_alt, ploidy):
+    """Number of values that a header's ``Number`` asks for; null where any number will do.
+    A: one per ALT, R: one per allele, G: one per genotype of the ploidy (1 or 2)."""
+    alleles = n_alt + 1
+    return (F.when(number.rlike("^[0-9]+$"), number.try_cast("int")).when(number == "A", n_alt).when(number == "R", alleles)
+            .when(number == "G", F.when(ploidy == 1, alleles).otherwise(F.floor(alleles * (alleles + 1) / 2).cast("int"))))
+
+
+def typed_fields(records: DataFrame, info_defs: DataFrame, format_defs: DataFrame) -> DataFrame:
+    """P9 for whole headers: every INFO and FORMAT value of VCF records with the type and number that
+    its own file declares.
+
+    ``records`` as of ``read_vcf``, the definitions as of ``vcf_header`` (file_id, id, number, type).
+    One row per record and INFO key, and per record, sample and FORMAT key: (file_id, chrom, pos,
+    ref, alt, scope, sample_name, key, type, number, ints, floats, strings, well_formed). The array
+    of the declared type (Integer, Float, or String and Character) holds the comma-separated values,
+    ``.`` and values that do not parse are null elements, the other two arrays are null; a Flag has
+    none and stands for itself. ``well_formed`` tells whether as many values stand as the header
+    asks for (a missing value ``.`` always may); it is null where any number may stand and for keys
+    that the header does not declare, which are strings. The first definition of an id counts.
+    """
+    n_alt = F.when(F.col("alt").isin("", "."), F.lit(0)).otherwise(F.size(F.split("alt", ","))).cast("int")
+    base = ["file_id", "chrom", "pos", "ref", "alt"]
+    info = records.select(*base, n_alt.alias("_n_alt"), F.lit("INFO").alias("scope"), F.lit(None).cast("string").alias("sample_name"),
+                          F.lit(2).alias("_ploidy"), F.explode(V.info_map("info")).alias("key", "_raw"))
+    zipped = F.transform("sample_names", lambda n, i: F.struct(n.alias("n"), F.get(F.col("sample_values"), i).alias("v")))
+    cells = records.select(*base, n_alt.alias("_n_alt"), "format", F.explode(zipped).alias("s"))
+    cells = cells.select(*base, "_n_alt", F.lit("FORMAT").alias("scope"), F.col("s.n").alias("sample_name"),
+                         V.format_map(F.col("format"), F.col("s.v")).alias("_m"))
+    ploidy = F.size(F.split(F.coalesce(F.try_element_at("_m", F.lit("GT")), F.lit("./.")), "[/|]")).alias("_ploidy")
+    cells = cells.select(*base, "_n_alt", "scope", "sample_name", ploidy, F.explode("_m").alias("key", "_raw"))
+
+    def declared(scope: str, defs: DataFrame) -> DataFrame:
+        d = defs.groupBy("file_id", F.col("id").alias("key")).agg(F.first("type").alias("type"), F.first("number").alias("number"))
+        return d.withColumn("scope", F.lit(scope))
+
+    defs = declared("INFO", info_defs).unionByName(declared("FORMAT", format_defs))
+    t = info.unionByName(cells).join(defs, ["file_id", "scope", "key"], "left")
+    values = F.when(F.col("type").eqNullSafe("Flag"), None).otherwise(F.transform(F.split("_raw", ","), lambda x: F.nullif(x, F.lit("."))))
+    t = t.withColumn("_v", values).withColumn("_want", _expected(F.col("number"), F.col("_n_alt"), F.col("_ploidy")))
+    kind = lambda types: F.coalesce(F.col("type"), F.lit("String")).isin(*types)
+    have = F.when(F.col("type") == "Flag", 0).otherwise(F.size("_v"))
+    return t.select(
+        *base, "scope", "sample_name", "key", "type", "number",
+        F.when(kind(["Integer"]), F.transform("_v", lambda x: x.try_cast("bigint"))).alias("ints"),
+        F.when(kind(["Float"]), F.transform("_v", lambda x: x.try_cast("double"))).alias("floats"),
+        F.when(kind(["String", "Character"]), F.col("_v")).alias("strings"),
+        F.when(F.col("_raw") == ".", F.lit(True)).otherwise(have == F.col("_want")).alias("well_formed"))
+
+
 def to_store(vcf: DataFrame) -> DataFrame:
     """Managed variant-store rows: (sampleid, referenceallele, alternatealleles, calls, filters)."""
     rows = genotype_rows(vcf)

@@ -30,11 +30,11 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"exports/{name}-{uuid.uuid4().hex}")
 
 
-def export_vcf(calls: DataFrame, path: str) -> str:
+def export_vcf(calls: DataFrame, path: str, more: tuple[str, ...] = ()) -> str:
     """f1-shaped calls -> one VCF per (sample, chromosome) under
-    ``path/sampleid=<s>/chrom=<c>/``; every file carries its own header."""
+    ``path/sampleid=<s>/chrom=<c>/``; every file carries its own header, with the lines of ``more``."""
     keys = calls.select("sampleid", "chrom").distinct()
-    tmpl = F.array(*[F.lit(h) for h in VCF_HEADER])
+    tmpl = F.array(*[F.lit(h) for h in (*VCF_HEADER, *more)])
     head = keys.select("sampleid", "chrom", F.posexplode(F.concat(
         tmpl,
         F.array(F.concat(F.lit("##contig=<ID="), F.col("chrom"), F.lit(f",length={CONTIG_LENGTH}>"))),

@@ -50,11 +50,11 @@ select cast(epoch(time_bucket(interval 1 hour, ts)) as bigint) as window_start,
 from f9_status group by 1, 2""", "f9_status"))
 def q_stream_status(spark, sf):
     out = _run_status(spark, sf)
-    return J.newest(spark, f"{out}/counts", ["window_start", "status"]).select("window_start", "status", "n")
+    return J.current_counts(spark, out).select("window_start", "status", "n")
 
 
 @register("stream_run_latest", with_views(f"""
 select run_id, arg_max({_CASE}, (ts, {_CASE})) as status, max(ts) as last_ts from f9_status group by run_id""", "f9_status"))
 def q_stream_latest(spark, sf):
     out = _run_status(spark, sf)
-    return J.latest_status(spark.read.parquet(f"{out}/latest")).select("run_id", "status", "last_ts")
+    return J.current_latest(spark, out).select("run_id", "status", "last_ts")

@@ -11,6 +11,7 @@ from helixspark.operators.rangejoin import interval_join
 from helixspark.plans import exports as X
 from helixspark.plans.fixtures import fixture, register_tables, with_views
 from helixspark.plans.registry import register
+from helixspark.sources import vcf as VS
 
 
 def f1_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -164,18 +165,58 @@ def q_region(spark, sf):
 
 
 # Header types of the fixture INFO keys (fixed values of the view's header).
-F1_INFO_TYPES = {"DP": "Integer", "END": "Integer", "DB": "Flag"}
+#: f1 calls with fields of every kind of Number; some AD lists are one value short.
+TYPED_VIEW = """
+select rec, sampleid, chrom, pos, ref, alt, filter,
+  concat('AF=0.', cast(rec % 7 as string), case when contains(alt, ',') then ',0.5' else '' end, ';', info, case when rec % 13 = 0 then ';XX=a,b' else '' end) as info,
+  'GT:DP:AD:PL' as format,
+  concat(split_part(sample, ':', 1), ':', case when rec % 5 = 0 then '.' else cast(rec % 40 as string) end, ':',
+         cast(rec % 30 as string), case when rec % 11 = 0 then '' else ',7' end, case when contains(alt, ',') then ',.' else '' end, ':',
+         '0,', cast(rec % 90 as string), case when contains(alt, ',') then ',1,2,3,4' else ',255' end) as sample
+from f1_calls
+"""
 
+#: Header lines of the fields that the exported header does not declare.
+TYPED_HEADER = (
+    '##INFO=<ID=AF,Number=A,Type=Float,Description="Allele frequency">',
+    '##FORMAT=<ID=AD,Number=R,Type=Integer,Description="Depth per allele">',
+    '##FORMAT=<ID=PL,Number=G,Type=Integer,Description="Likelihood per genotype">',
+)
 
-@register("typed_info", with_views("""
-select rec, sampleid,
-  try_cast(nullif(regexp_extract(info, '(^|;)DP=([^;]*)', 2), '') as bigint) as info_dp,
-  try_cast(nullif(regexp_extract(info, '(^|;)END=([^;]*)', 2), '') as bigint) as info_end,
-  info like '%;DB%' as info_db
-from f1_calls""", "f1_calls"))
+_TYPED_SQL = f"""
+, typed as ({TYPED_VIEW.strip()}),
+x as (select *, contains(alt, ',') as two, string_split(sample, ':') as s from typed),
+f as (
+  select chrom, pos, 'INFO' as scope, null as sample_name, 'AF' as key, 'Float' as type, 'A' as number, regexp_extract(info, 'AF=([^;]*)', 1) as raw, true as ok from x
+  union all select chrom, pos, 'INFO', null, 'DP', 'Integer', '1', regexp_extract(info, '(^|;)DP=([^;]*)', 2), true from x
+  union all select chrom, pos, 'INFO', null, 'END', 'Integer', '1', regexp_extract(info, '(^|;)END=([^;]*)', 2), true from x where contains(info, 'END=')
+  union all select chrom, pos, 'INFO', null, 'DB', 'Flag', '0', null, true from x where contains(info, ';DB')
+  union all select chrom, pos, 'INFO', null, 'XX', null, null, 'a,b', null from x where contains(info, 'XX=')
+  union all select chrom, pos, 'FORMAT', sampleid, 'GT', 'String', '1', s[1], true from x
+  union all select chrom, pos, 'FORMAT', sampleid, 'DP', 'Integer', '1', s[2], true from x
+  union all select chrom, pos, 'FORMAT', sampleid, 'AD', 'Integer', 'R', s[3], rec % 11 <> 0 from x
+  union all select chrom, pos, 'FORMAT', sampleid, 'PL', 'Integer', 'G', s[4], true from x),
+v as (select *, list_transform(string_split(raw, ','), lambda e: nullif(e, '.')) as e from f)
+select chrom, pos, scope, sample_name, key, type, number, ok as well_formed, len(e)::bigint as n_values,
+  case when type = 'Integer' then list_sum(list_transform(e, lambda t: try_cast(t as bigint)))::bigint end as int_sum,
+  case when type = 'Float' then round(list_sum(list_transform(e, lambda t: try_cast(t as double))), 6) end as float_sum,
+  case when coalesce(type, 'String') = 'String' then array_to_string(e, '|') end as text
+from v"""
+
+
+@register("typed_info", with_views(_TYPED_SQL, "f1_calls"))
 def q_typed_info(spark, sf):
-    f = fixture(spark, sf, "f1_calls")
-    return VA.typed_info(f, F1_INFO_TYPES).select("rec", "sampleid", "info_dp", "info_end", "info_db")
+    """All INFO and FORMAT values of the exported files, typed by the files' own headers."""
+    fixture(spark, sf, "f1_calls").createOrReplaceTempView("f1_calls")
+    lines = VS.read_lines(spark, X.export_vcf(spark.sql(TYPED_VIEW), X.fresh_dir(spark, "vcf"), TYPED_HEADER))
+    rec, _ = VS.read_vcf(spark, None, lines=lines)
+    _, info, fmt = VS.vcf_header(lines)
+    t = VA.typed_fields(rec, info, fmt)
+    values = F.coalesce(F.size("ints"), F.size("floats"), F.size("strings"))
+    total = lambda c, kind: F.aggregate(F.filter(c, lambda x: x.isNotNull()), F.lit(0).cast(kind), lambda a, x: a + x)
+    return t.select("chrom", "pos", "scope", "sample_name", "key", "type", "number", "well_formed", values.cast("long").alias("n_values"),
+                    F.when(F.exists("ints", lambda x: x.isNotNull()), total("ints", "bigint")).alias("int_sum"),
+                    F.round(total("floats", "double"), 6).alias("float_sum"), F.array_join("strings", "|").alias("text"))
 
 
 # --------------------------------------------------------------------------- layouts

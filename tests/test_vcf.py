@@ -125,3 +125,58 @@ def test_upsert_keeps_newest(spark):
                                 "chrom string, pos long, genotype string, version int")
     new = spark.createDataFrame([("a", ".", "chr1", 1, "1/1", 2)], old.schema)
     assert VA.upsert(old, new).first()["genotype"] == "1/1"
+
+
+def test_typed_fields_follow_each_file(spark, tmp_dir):
+    """Type and Number come from the record's own file; counts are checked per ALT, allele and genotype."""
+    def text(dp, body):
+        return (f'##fileformat=VCFv4.2\n##INFO=<ID=DP,Number=1,Type={dp},Description="d">\n##INFO=<ID=AF,Number=A,Type=Float,Description="f">\n'
+                '##INFO=<ID=DB,Number=0,Type=Flag,Description="m">\n##INFO=<ID=NS,Number=.,Type=String,Description="n">\n'
+                '##FORMAT=<ID=GT,Number=1,Type=String,Description="g">\n##FORMAT=<ID=AD,Number=R,Type=Integer,Description="a">\n'
+                '##FORMAT=<ID=PL,Number=G,Type=Integer,Description="p">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\n' + body)
+
+    _write(tmp_dir, "a.vcf", text("Integer", "1\t5\t.\tA\tC,G\t.\t.\tDP=3;AF=0.5,.;DB;NS=x,y;ZZ=1\tGT:AD:PL\t0/1:1,2,3:0,1,2,3,4,5\t1:7:1,2,3\n"
+                                   "1\t6\t.\tA\t.\t.\t.\tDP=many;AF=0.1\tGT:AD\t0/0:9\t.\n"))
+    _write(tmp_dir, "b.vcf", text("String", "1\t7\t.\tA\tC\t.\t.\tDP=3\tGT\t0/1\t0|1\n"))
+    lines = read_lines(spark, tmp_dir)
+    rec, _ = read_vcf(spark, None, lines=lines)
+    _, info, fmt = vcf_header(lines)
+    got = {(r.pos, r.scope, r.sample_name, r.key): (r.type, r.number, r.ints, r.floats, r.strings, r.well_formed)
+           for r in VA.typed_fields(rec, info, fmt).collect()}
+    assert got == {
+        (5, "INFO", None, "DP"): ("Integer", "1", [3], None, None, True),
+        (5, "INFO", None, "AF"): ("Float", "A", None, [0.5, None], None, True),
+        (5, "INFO", None, "DB"): ("Flag", "0", None, None, None, True),
+        (5, "INFO", None, "NS"): ("String", ".", None, None, ["x", "y"], None),
+        (5, "INFO", None, "ZZ"): (None, None, None, None, ["1"], None),
+        (5, "FORMAT", "s1", "GT"): ("String", "1", None, None, ["0/1"], True),
+        (5, "FORMAT", "s1", "AD"): ("Integer", "R", [1, 2, 3], None, None, True),
+        (5, "FORMAT", "s1", "PL"): ("Integer", "G", [0, 1, 2, 3, 4, 5], None, None, True),
+        (5, "FORMAT", "s2", "GT"): ("String", "1", None, None, ["1"], True),
+        (5, "FORMAT", "s2", "AD"): ("Integer", "R", [7], None, None, False),
+        (5, "FORMAT", "s2", "PL"): ("Integer", "G", [1, 2, 3], None, None, True),  # haploid: one per allele
+        (6, "INFO", None, "DP"): ("Integer", "1", [None], None, None, True),
+        (6, "INFO", None, "AF"): ("Float", "A", None, [0.1], None, False),
+        (6, "FORMAT", "s1", "GT"): ("String", "1", None, None, ["0/0"], True),
+        (6, "FORMAT", "s1", "AD"): ("Integer", "R", [9], None, None, True),
+        (7, "INFO", None, "DP"): ("String", "1", None, None, ["3"], True),  # b.vcf declares a string
+        (7, "FORMAT", "s1", "GT"): ("String", "1", None, None, ["0/1"], True),
+        (7, "FORMAT", "s2", "GT"): ("String", "1", None, None, ["0|1"], True),
+    }
+
+
+def test_upsert_reads_touched_folders_only(spark, tmp_dir):
+    schema = "sample_id string, variant_name string, chrom string, pos long, genotype string, version int, sample_bucket int"
+    rows = [(f"s{i % 9}", "v", f"chr{i % 5}", i, "0/0", 1, i % 9) for i in range(200)]
+    VA.write_layout(spark.createDataFrame(rows, schema), tmp_dir, 3)
+    new = [("s3", "v", "chr3", 3, "1/1", 2, 3), ("s4", "v", "chr4", 4, "1/1", 2, 4), ("s3", "w", "chr1", 3, "0/1", 2, 3)]
+    before = set(spark.read.parquet(f"{tmp_dir}/layout3/genomic_variants").inputFiles())
+    VA.upsert_layout3(spark, tmp_dir, spark.createDataFrame(new, schema))
+    stored = spark.read.parquet(f"{tmp_dir}/layout3/genomic_variants")
+    gone = {f.split("/genomic_variants/")[1].rsplit("/", 1)[0] for f in before - set(stored.inputFiles())}
+    assert gone == {"sample_bucket=3/chrom=chr3", "sample_bucket=4/chrom=chr4", "sample_bucket=3/chrom=chr1"} & {f"sample_bucket={i % 9}/chrom=chr{i % 5}" for i in range(200)}
+    want = {r[:4]: r[4] for r in rows} | {r[:4]: r[4] for r in new}
+    assert {(r.sample_id, r.variant_name, r.chrom, r.pos): r.genotype for r in stored.collect()} == want
+    named = spark.createDataFrame([("chr1", [3]), ("chr3", [3]), ("chr4", [4]), (None, [4])], "chrom string, b array<int>").collect()
+    plan = stored.filter(VA.touched_folders(named))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "sample_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
