@@ -8,19 +8,24 @@ dimension (bins of a logit vector, channels of an embedding).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixspark.operators.common import first_true, rank_within
+from helixspark.session import written_once
 
 # --------------------------------------------------------------------------- inputs
 
 
 def resource_tier(length, alg: str = "alphafold") -> Column:
-    """Sequence length -> compute tier (struct of cpu / memory GiB / gpu).
+    """Sequence length -> compute tier: a struct of vCPU and memory GiB per step.
 
-    AlphaFold: <= 750, <= 2000, > 2000 residues choose the database-search sizes
-    (bfd memory 32 / 128 / 192 GiB). ESMFold: <= 750 fits a GPU (4 vCPU, 16 GiB);
+    AlphaFold: the template, feature and prediction steps have one size; lengths of <= 750, <= 2000
+    and more residues choose those of the database searches. ESMFold: <= 750 fits a GPU (4 vCPU, 16 GiB);
     longer runs on CPU with memory ``round((9 + 0.009 L + 6e-6 L^2) * 1.1)`` GiB.
     """
     L = F.col(length) if isinstance(length, str) else length
@@ -28,14 +33,18 @@ def resource_tier(length, alg: str = "alphafold") -> Column:
         mem = F.round((F.lit(9.0) + 0.009 * L + 0.000006 * L * L) * 1.1).cast("int")
         return F.when(L <= 750, F.struct(F.lit(4).alias("cpu"), F.lit(16).alias("memory_gib"), F.lit(True).alias("gpu"))
                       ).otherwise(F.struct(F.lit(4).alias("cpu"), mem.alias("memory_gib"), F.lit(False).alias("gpu")))
-    small = L <= 750
-    mid = (L > 750) & (L <= 2000)
-    return F.struct(
-        F.when(small | mid, 8).otherwise(8).alias("uniref90_cpu"),
-        F.when(small | mid, 16).otherwise(32).alias("uniref90_memory_gib"),
-        F.when(small | mid, 16).otherwise(48).alias("bfd_cpu"),
-        F.when(small, 32).when(mid, 128).otherwise(192).alias("bfd_memory_gib"),
-    )
+    sizes = TIERS | {k: v * 3 for k, v in FIXED_TIERS.items()}
+    pick = lambda three: F.when(L <= 750, three[0]).when(L <= 2000, three[1]).otherwise(three[2])
+    return F.struct(*[pick(three).alias(name) for name, three in sizes.items()])
+
+
+# vCPU and memory GiB of the steps, for lengths <= 750, <= 2000 and above, and for any length.
+TIERS = {
+    "uniref90_cpu": (8, 8, 8), "uniref90_memory_gib": (16, 16, 32), "mgnify_cpu": (8, 8, 8), "mgnify_memory_gib": (16, 16, 32),
+    "bfd_cpu": (16, 16, 48), "bfd_memory_gib": (32, 128, 192)}
+FIXED_TIERS = {
+    "template_cpu": (2,), "template_memory_gib": (4,), "feature_cpu": (2,), "feature_memory_gib": (4,),
+    "predict_cpu": (8,), "predict_memory_gib": (32,)}
 
 
 def validate_fasta(seqs: DataFrame, max_seq: int = 1, max_len: int = 2000, file: str = "file",
@@ -57,13 +66,13 @@ def validate_fasta(seqs: DataFrame, max_seq: int = 1, max_len: int = 2000, file:
 def chain_filter(chains: DataFrame, max_resolution: float = 9.0, max_single_aa_prop: float = 0.8,
                  key: str = "chain_id") -> DataFrame:
     """Deterministic training filter: resolution <= max (null passes) and the most
-    common residue at most ``max_single_aa_prop`` of the sequence."""
-    e = chains.select(key, F.explode(F.split("seq", "")).alias("_aa"))
-    top = e.groupBy(key, "_aa").agg(F.count("*").alias("_n")).groupBy(key).agg(F.max("_n").alias("_top"))
-    j = chains.join(top, key, "left")
+    common residue at most ``max_single_aa_prop`` of the sequence. A row-wise expression: the count
+    of a letter is what the sequence loses in length without it."""
+    letters = F.array_distinct(F.split("seq", ""))
+    top = F.array_max(F.transform(letters, lambda a: F.length("seq") - F.length(F.replace(F.col("seq"), a, F.lit("")))))
     ok = (F.col("resolution").isNull() | (F.col("resolution") <= max_resolution)) & (
-        F.col("_top") / F.length("seq") <= max_single_aa_prop)
-    return j.withColumn("passed", F.coalesce(ok, F.lit(False))).drop("_top")
+        F.try_divide(top, F.length("seq")) <= max_single_aa_prop)
+    return chains.withColumn("passed", F.coalesce(ok, F.lit(False)))
 
 
 def uniform(seed: int, *cols) -> Column:
@@ -82,10 +91,14 @@ def sample_prob(cluster_size, length) -> Column:
     return p_cluster * (F.greatest(F.least(ln, F.lit(512)), F.lit(256)) / F.lit(512.0))
 
 
-def sample_chains(chains: DataFrame, seed: int, key: str = "chain_id") -> DataFrame:
-    """Keep each chain with its filter probability, decided by a seeded hash."""
-    return chains.withColumn("p", sample_prob("cluster_size", F.length("seq"))).withColumn(
-        "kept", uniform(seed, key) < F.col("p"))
+def sample_chains(chains: DataFrame, seed: int, key: str = "chain_id", cluster: str = "cluster",
+                  length: str | Column | None = None) -> DataFrame:
+    """Each chain with the size of its cluster, its filter probability ``p`` and ``kept``, decided by
+    a seeded hash of its id. Cluster sizes are counted with partial sums; a chain without a cluster
+    has size null and weight 1. ``length`` defaults to that of ``seq``."""
+    sizes = chains.filter(F.col(cluster).isNotNull()).groupBy(cluster).agg(F.count("*").alias("cluster_size"))
+    c = chains.join(sizes, cluster, "left").withColumn("p", sample_prob("cluster_size", F.length("seq") if length is None else length))
+    return c.withColumn("kept", uniform(seed, key) < F.col("p"))
 
 
 def mix(datasets: list[DataFrame], probs: list[float], n: int, seed: int, key: str = "chain_id") -> DataFrame:
@@ -182,47 +195,49 @@ def top_templates(hits: DataFrame, k: int, distinct_seq: bool = False, query: st
 # --------------------------------------------------------------------------- batching
 
 
+def _filled(budget: int):
+    """Rows (size, count) in ascending size -> the batch in which each size's sequences begin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled, batch = 0, -1  # sequences in the open batch, its number
+        for b in batches:
+            rows = []
+            for size, count in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                room = budget // size
+                if batch < 0 or filled >= room:  # the first sequence of this size begins a batch
+                    filled, batch = 0, batch + 1
+                rows.append((size, room, filled, batch))
+                full, rest = divmod(filled + count - 1, room)
+                filled, batch = rest + 1, batch + full
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)] if rows else [pa.array([], pa.int64())] * 4,
+                                             names=["_size", "_room", "_filled", "_batch"])
+    return run
+
+
 def pack_tokens(seqs: DataFrame, budget: int, extra: int = 0, key: str = "idx", length: str = "length") -> DataFrame:
     """Greedy length-sorted batching, exactly as the sequential rule: sequences
     sorted by (length, index); a batch is closed before a sequence when
     ``max_len * (n + 1) > budget``.
 
-    In sorted order the running maximum is the current length, so the greedy state
-    between two length groups is only the fill of the open batch. The state
-    machine runs over the per-length histogram (one row per distinct length, a
-    small aggregate), and each sequence's batch is then arithmetic on its rank
-    inside its length group - no sequential pass over the rows.
+    In sorted order the running maximum is the current length, so between two lengths the greedy
+    rule only remembers how full the open batch is. Sequences of more than half the budget stand
+    alone: their batch follows from their rank. For the others one task walks over the numbers of
+    sequences per length, at most ``budget / 2`` rows whatever the number of sequences; the batch of
+    each sequence is then arithmetic on its rank inside its length. Nothing comes to the driver but
+    one number. Sizes below 1 count as 1; null lengths are left out.
     """
-    s = seqs.withColumn("_sz", F.col(length) + extra)
-    hist = s.groupBy("_sz").agg(F.count("*").alias("_c")).orderBy("_sz").collect()
-    plan, next_id, b, open_id = [], 0, 0, -1
-    for row in hist:
-        sz, c = int(row["_sz"]), int(row["_c"])
-        k = max(budget // sz, 1)
-        if b > 0 and b >= k:  # the first sequence of this length closes the open batch
-            b = 0
-        if b == 0:
-            open_id = next_id
-            next_id += 1
-        first_take = min(c, k - b)
-        plan.append((sz, k, open_id, first_take))
-        rest = c - first_take
-        if rest == 0:
-            b = b + c
-        else:
-            nfull, r = divmod(rest, k)
-            if r == 0:
-                open_id, b = open_id + nfull, k
-            else:
-                open_id, b = open_id + nfull + 1, r
-            next_id = open_id + 1
-    spark = seqs.sparkSession
-    p = spark.createDataFrame(plan, "_sz long, _k long, _open long, _first long")
-    r = rank_within(s, ["_sz"], [key], "_t").withColumn("_t", F.col("_t") - 1)
-    r = r.join(F.broadcast(p), "_sz")  # one row per distinct length: bounded by the longest sequence
-    batch = F.when(F.col("_t") < F.col("_first"), F.col("_open")).otherwise(
-        F.col("_open") + 1 + F.floor((F.col("_t") - F.col("_first")) / F.col("_k")))
-    return r.withColumn("batch", batch.cast("long")).drop("_sz", "_k", "_open", "_first", "_t")
+    s = seqs.filter(F.col(length).isNotNull()).withColumn("_size", F.greatest(F.col(length) + F.lit(extra), F.lit(1)).cast("long"))
+    short = s.filter(F.col("_size") * 2 <= budget)
+    sizes = short.groupBy("_size").agg(F.count("*").alias("_count"))
+    walk = sizes.repartition(1).sortWithinPartitions("_size").mapInArrow(_filled(budget), "_size long, _room long, _filled long, _batch long")
+    plan = written_once(walk, "batch-plan")
+    r = rank_within(short, ["_size"], [key], "_t").join(plan, "_size")
+    out = r.withColumn("batch", (F.col("_batch") + F.floor((F.col("_filled") + F.col("_t") - 1) / F.col("_room"))).cast("long"))
+    out = out.drop("_size", "_room", "_filled", "_batch", "_t")
+    used = (out.agg(F.max("batch")).first()[0])
+    alone = rank_within(s.filter(F.col("_size") * 2 > budget), [], ["_size", key], "_t")
+    alone = alone.withColumn("batch", F.lit(-1 if used is None else used) + F.col("_t")).drop("_size", "_t")
+    return out.unionByName(alone)
 
 
 # --------------------------------------------------------------------------- embeddings / confidence
@@ -312,33 +327,41 @@ def gdt(pred: DataFrame, ref: DataFrame, cutoffs: list[float], structure: str =
     return j.groupBy(structure).agg((sum(shares) / len(cutoffs)).alias("gdt"))
 
 
+#: Residues of a structure that one block holds, about.
+BLOCK_RESIDUES = 512
+
+
+def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Squared differences of the pairwise distances of two residue blocks, summed."""
+    for b in batches:
+        sums = []
+        for one, two, twice in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+            x, y = (np.array([tuple(r.values()) for r in side], np.float64) for side in (one, two))
+            gap = np.zeros((len(x), len(y)))
+            for k, sign in ((0, 1.0), (3, -1.0)):
+                gap += sign * np.sqrt(sum((x[:, None, k + c] - y[None, :, k + c]) ** 2 for c in range(3)))
+            sums.append(float((gap ** 2).sum()) * (2 if twice else 1))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sums, pa.float64())], names=[b.schema.names[0], "_s"])
+
+
 def drmsd(pred: DataFrame, ref: DataFrame, structure: str = "structure", residue: str = "residue") -> DataFrame:
     """Distance RMSD between two structures of the same residues.
 
-    All residue pairs of one structure are needed, and a structure is one protein
-    (bounded size), so each structure is one pandas group: numpy computes the pair
-    distances blockwise without materialising the pairs as rows.
+    The residues of a structure are dealt to blocks of about 512 by hash; every pair of blocks of a
+    structure is a row of its own, whose pairwise distances are summed in numpy, and the sums of a
+    structure are added up. So a structure of any size is spread over many tasks and none holds
+    more than two blocks. Structures of one residue have 0.
     """
     a = pred.select(structure, residue, *[F.col(c).cast("double").alias(f"p_{c}") for c in "xyz"])
     b = ref.select(structure, residue, *[F.col(c).cast("double").alias(f"r_{c}") for c in "xyz"])
     j = a.join(b, [structure, residue])
-
-    def per_structure(pdf):
-        import numpy as np
-        import pandas as pd
-
-        pdf = pdf.sort_values(residue)
-        p = pdf[["p_x", "p_y", "p_z"]].to_numpy()
-        r = pdf[["r_x", "r_y", "r_z"]].to_numpy()
-        n = len(pdf)
-        total = 0.0
-        step = 2048
-        for s in range(0, n, step):
-            d1 = np.sqrt(((p[s:s + step, None, :] - p[None, :, :]) ** 2).sum(-1))
-            d2 = np.sqrt(((r[s:s + step, None, :] - r[None, :, :]) ** 2).sum(-1))
-            total += float(((d1 - d2) ** 2).sum())
-        val = float(np.sqrt(total / (n * (n - 1)))) if n > 1 else 0.0
-        return pd.DataFrame({structure: [pdf[structure].iloc[0]], "drmsd": [val]})
-
-    schema = f"{structure} {dict(j.dtypes)[structure]}, drmsd double"
-    return j.groupBy(structure).applyInPandas(per_structure, schema)
+    n = j.groupBy(structure).agg(F.count("*").alias("_n"))
+    dealt = j.join(n, structure).withColumn("_block", F.pmod(F.xxhash64(residue), F.ceil(F.col("_n") / BLOCK_RESIDUES)).cast("int"))
+    blocks = dealt.groupBy(structure, "_block").agg(F.collect_list(F.struct(*[f"{k}_{c}" for k in "pr" for c in "xyz"])).alias("_rows"))
+    blocks = written_once(blocks, "residue-blocks")
+    other = blocks.select(F.col(structure).alias("_other"), F.col("_block").alias("_block2"), F.col("_rows").alias("_rows2"))
+    pairs = blocks.join(other, (F.col(structure) == F.col("_other")) & (F.col("_block") <= F.col("_block2")))
+    pairs = pairs.repartition(structure, "_block", "_block2").select(structure, "_rows", "_rows2", (F.col("_block") < F.col("_block2")).alias("_twice"))
+    sums = pairs.mapInArrow(_pair_sums, f"{structure} {dict(j.dtypes)[structure]}, _s double")
+    total = sums.groupBy(structure).agg(F.sum("_s").alias("_s")).join(n, structure)
+    return total.select(structure, F.when(F.col("_n") > 1, F.sqrt(F.col("_s") / (F.col("_n") * (F.col("_n") - 1)))).otherwise(0.0).alias("drmsd"))

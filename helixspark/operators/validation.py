@@ -20,6 +20,8 @@ FASTQ_EXT = [".fastq.gz", ".fq.gz"]
 MESSAGES = {
     "populated_columns": "too few columns hold a value",
     "sample_missing": "the sample name is empty",
+    "unknown_column": "the sheet has a column that is not known",
+    "expected_cells": "the expected number of cells is not a whole number",
     "fastq_space": "there is a space in a FASTQ path",
     "fastq_extension": "a FASTQ path ends in neither .fastq.gz nor .fq.gz",
     "fastq_1_missing": "the first FASTQ path is empty",
@@ -111,25 +113,35 @@ def check_rnaseq(sheet: DataFrame):
     return _suffix(ok), rej
 
 
+#: Columns of the second single-cell sheet that may be there besides the three that must.
+SC_OPTIONAL = ("expected_cells", "seq_center")
+
+
 def check_scrnaseq(sheet: DataFrame, extra_cols: bool = False):
     """scRNA-seq sheet: duplicates allowed, no suffix, one read type per sample.
 
-    ``extra_cols``: second variant with optional ``expected_cells`` (integer) and
-    ``seq_center`` (spaces -> ``_``).
+    ``extra_cols``: the second variant. It may have ``expected_cells`` (a whole number in every row
+    once the column is there) and ``seq_center`` (spaces -> ``_``); a sheet with any other column is
+    rejected as a whole, row by row. Both optional columns are in its accepted rows, null where the
+    sheet lacks them.
     """
     cols = ["sample", "fastq_1", "fastq_2"]
-    s = _clean(sheet, cols)
-    filled = sum((~empty(c)).cast("int") for c in cols)
+    have = [c for c in SC_OPTIONAL if extra_cols and c in sheet.columns]
+    unknown = extra_cols and bool(set(sheet.columns) - {"ord", *cols, *SC_OPTIONAL})
+    s = _clean(sheet, [*cols, *have])
+    filled = sum((~empty(c)).cast("int") for c in [*cols, *have])
     s = s.withColumn("sample", F.regexp_replace("sample", " ", "_"))
-    rules = [("populated_columns", filled < 2), ("sample_missing", empty("sample"))]
+    rules = [("unknown_column", F.lit(unknown)), ("populated_columns", filled < 2), ("sample_missing", empty("sample"))]
+    if "expected_cells" in have:
+        rules.append(("expected_cells", ~F.col("expected_cells").rlike(r"^[+-]?[0-9]+(\.0*)?$")))
+    if "seq_center" in have:
+        s = s.withColumn("seq_center", F.regexp_replace("seq_center", " ", "_"))
     rules += _fastq_rules(["fastq_1", "fastq_2"])
     rules += [("invalid_combination", empty("fastq_1"))]
-    if extra_cols and "expected_cells" in s.columns:
-        rules.append(("expected_cells", ~empty("expected_cells") & ~F.col("expected_cells").rlike(r"^\d+$")))
-    if extra_cols and "seq_center" in s.columns:
-        s = s.withColumn("seq_center", F.regexp_replace("seq_center", " ", "_"))
     s = s.withColumn("rule", first_true(rules)).withColumn(
         "single_end", F.when(empty("fastq_2"), F.lit("1")).otherwise(F.lit("0")))
+    if extra_cols:
+        s = s.select("*", *[F.lit(None).cast("string").alias(c) for c in SC_OPTIONAL if c not in have])
     s = _sample_rules(s, [("mixed_datatype", "single_end")])
     return _split(s)
 

@@ -15,6 +15,8 @@ from helixspark.plans.registry import register
   case when n_chars <= 2000 then 16 else 32 end as uniref90_memory_gib,
   case when n_chars <= 2000 then 16 else 48 end as bfd_cpu,
   case when n_chars <= 750 then 32 when n_chars <= 2000 then 128 else 192 end as bfd_memory_gib,
+  case when n_chars <= 2000 then 16 else 32 end as mgnify_memory_gib, 8 as mgnify_cpu, 8 as uniref90_cpu,
+  2 as template_cpu, 4 as template_memory_gib, 2 as feature_cpu, 4 as feature_memory_gib, 8 as predict_cpu, 32 as predict_memory_gib,
   cast(case when n_chars <= 750 then 16 else round((9.0 + 0.009 * n_chars + 0.000006 * n_chars * n_chars) * 1.1) end as int) as esm_memory_gib,
   n_chars <= 750 as esm_gpu
 from documents""")
@@ -22,8 +24,7 @@ def q_resource_tier(spark, sf):
     register_tables(spark, sf)
     d = spark.table("documents")
     af, esm = ST.resource_tier("n_chars"), ST.resource_tier("n_chars", "esmfold")
-    return d.select("doc_id", "n_chars", af["uniref90_memory_gib"].alias("uniref90_memory_gib"),
-                    af["bfd_cpu"].alias("bfd_cpu"), af["bfd_memory_gib"].alias("bfd_memory_gib"),
+    return d.select("doc_id", "n_chars", *[af[c].alias(c) for c in (*ST.TIERS, *ST.FIXED_TIERS)],
                     esm["memory_gib"].alias("esm_memory_gib"), esm["gpu"].alias("esm_gpu"))
 
 
@@ -77,11 +78,7 @@ p as (select ch.chain_id, (1.0 / cs.cluster_size) * (greatest(least(length(ch.se
       from ch join cs on cs.species = ch.species)
 select chain_id, round(p, 6) as p, {_uniform_sql(11, 'cast(chain_id as varchar)')} < p as kept from p""", "f7_msa"))
 def q_weighted_sample(spark, sf):
-    c = _chains(spark, sf)
-    cs = c.groupBy("species").agg(F.count("*").alias("cluster_size"))
-    c = c.join(cs, "species")
-    r = c.withColumn("p", ST.sample_prob("cluster_size", F.length("seq") * 16)).withColumn(
-        "kept", ST.uniform(11, "chain_id") < F.col("p"))
+    r = ST.sample_chains(_chains(spark, sf), 11, cluster="species", length=F.length("seq") * 16)
     return r.select("chain_id", F.round("p", 6).alias("p"), "kept")
 
 
@@ -126,7 +123,7 @@ def q_entity_ids(spark, sf):
 
 HITS_VIEW = """
 select concat('Q', cast(o_custkey % 50 as string)) as query_id, o_orderkey as hit_idx,
-  lower(substr(md5(cast(o_orderkey % 300 as string)), 1, 4)) as pdb_id,
+  lower(substr(md5(cast(o_orderkey as string)), 1, 12)) as pdb_id,
   cast(floor(o_totalprice) as bigint) % 40 as aligned_cols,
   translate(md5(concat('Q', cast(o_custkey % 50 as string))), '0123456789abcdef', 'ARNDCQEGHILKMFPS') as query_sequence,
   case when o_orderkey % 7 = 0 then substr(translate(md5(concat('Q', cast(o_custkey % 50 as string))), '0123456789abcdef', 'ARNDCQEGHILKMFPS'), 2, 31)
@@ -136,12 +133,12 @@ select concat('Q', cast(o_custkey % 50 as string)) as query_id, o_orderkey as hi
 from orders
 """
 DATES_VIEW = """
-select lower(substr(md5(cast(o_orderkey % 300 as string)), 1, 4)) as pdb_id, min(o_orderdate) as release_date from orders group by 1
+select lower(substr(md5(cast(o_orderkey as string)), 1, 12)) as pdb_id, min(o_orderdate) as release_date from orders group by 1
 """
 OBSOLETE_VIEW = """
-select lower(substr(md5(cast(p_partkey as string)), 1, 4)) as from_id,
-  case when p_partkey % 62 = 0 then null else lower(substr(md5(cast(p_partkey + 1 as string)), 1, 4)) end as to_id
-from part where p_partkey < 300 and p_partkey % 31 = 0
+select lower(substr(md5(cast(p_partkey * 7 as string)), 1, 12)) as from_id,
+  case when p_partkey % 5 = 0 then null else lower(substr(md5(cast(p_partkey * 7 + 1 as string)), 1, 12)) end as to_id
+from part
 """
 
 PREFILTER_SQL = f"""with hits as ({HITS_VIEW.strip()}), dates as ({DATES_VIEW.strip()}), obs as ({OBSOLETE_VIEW.strip()}),
@@ -183,10 +180,18 @@ def q_topk(spark, sf):
 # --------------------------------------------------------------------------- batching
 
 
-@register("token_batches", None)
+@register("token_batches", """with recursive d as (
+  select doc_id as idx, n_chars::bigint as length, n_chars + 2 as size, row_number() over (order by n_chars, doc_id) as k from documents),
+walk(k, n, batch) as (
+  select 0::bigint, 0::bigint, -1::bigint
+  union all
+  select d.k, case when w.batch < 0 or d.size * (w.n + 1) > 50000 then 1 else w.n + 1 end,
+    case when w.batch < 0 or d.size * (w.n + 1) > 50000 then w.batch + 1 else w.batch end
+  from walk w join d on d.k = w.k + 1)
+select d.idx, d.length, w.batch from walk w join d on d.k = w.k""")
 def q_token_batches(spark, sf):
     register_tables(spark, sf)
-    d = spark.table("documents").select(F.col("doc_id").alias("idx"), F.col("n_chars").alias("length"))
+    d = spark.table("documents").select(F.col("doc_id").alias("idx"), F.col("n_chars").cast("long").alias("length"))
     return ST.pack_tokens(d, budget=50000, extra=2).select("idx", "length", "batch")
 
 

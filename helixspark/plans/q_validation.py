@@ -72,6 +72,38 @@ def q_sheet_scrnaseq(spark, sf):
     return _out(ok, rej)
 
 
+#: f11 sheet with the two optional columns.
+CELLS_SHEET_VIEW = """
+select ord, sample, fastq_1, fastq_2,
+  case when ord % 17 = 0 then 'many' when ord % 31 = 0 then '' when ord % 37 = 0 then '50.0' else cast(ord * 10 as string) end as expected_cells,
+  case when ord % 4 = 0 then '' else concat('centre ', cast(ord % 3 as string)) end as seq_center
+from f11_sheet
+"""
+
+
+@register("sheet_scrnaseq_cells", with_views(f""", {_CLEAN},
+x as ({CELLS_SHEET_VIEW.strip()}),
+r as (select s.*, x.expected_cells, replace(x.seq_center, ' ', '_') as seq_center, case
+    when ((s.sample <> '')::int + (s.fastq_1 <> '')::int + (s.fastq_2 <> '')::int + (x.expected_cells <> '')::int + (x.seq_center <> '')::int) < 2 then 'populated_columns'
+    when s.sample = '' then 'sample_missing'
+    when not regexp_full_match(x.expected_cells, '[+-]?[0-9]+(\\.0*)?') then 'expected_cells'
+    {_FQ.replace("fastq_1", "s.fastq_1").replace("fastq_2", "s.fastq_2")}
+    when s.fastq_1 = '' then 'invalid_combination' end as rule,
+  case when s.fastq_2 = '' then '1' else '0' end as single_end from s join x on x.ord = s.ord),
+p as (select sample, count(distinct single_end) as nse from r where rule is null group by sample),
+f as (select r.* exclude (rule), coalesce(r.rule, case when p.nse > 1 then 'mixed_datatype' end) as rule
+      from r left join p on r.sample = p.sample)
+select ord, case when rule is null then sample end as sample, case when rule is null then single_end end as single_end,
+  case when rule is null then expected_cells end as expected_cells, case when rule is null then seq_center end as seq_center, rule
+from f""", "f11_sheet"))
+def q_sheet_scrnaseq_cells(spark, sf):
+    fixture(spark, sf, "f11_sheet").createOrReplaceTempView("f11_sheet")
+    ok, rej = VL.check_scrnaseq(spark.sql(CELLS_SHEET_VIEW), extra_cols=True)
+    cols = ["sample", "single_end", "expected_cells", "seq_center"]
+    a = ok.select("ord", *cols, F.lit(None).cast("string").alias("rule"))
+    return a.unionByName(rej.select("ord", *[F.lit(None).cast("string").alias(c) for c in cols], "rule"))
+
+
 @register("sheet_fastqc", with_views(f""", {_CLEAN},
 r as (select *, case
     when sample = '' then 'sample_missing'

@@ -53,3 +53,19 @@ def test_fastqc_pair_suffix(spark):
     ok, rej = VL.check_fastqc(_sheet(spark, rows).drop("strandedness"))
     assert [r["rule"] for r in rej.collect()] == ["pair_extension"]
     assert [r["sample"] for r in ok.collect()] == ["G_T1"]
+
+
+def test_second_single_cell_sheet(spark):
+    cols = "ord long, sample string, fastq_1 string, fastq_2 string, expected_cells string, seq_center string"
+    rows = [(1, "s 1", "a_1.fastq.gz", "a_2.fastq.gz", "100", "my centre"), (2, "s2", "b.fq.gz", "", "", ""), (3, "s3", "c.fq.gz", "", "x", ""),
+            (4, "s 1", "a_1.fastq.gz", "a_2.fastq.gz", "100.0", ""), (5, "s5", "d.txt", "", "5", ""), (6, "", "d.fq.gz", "", "5", "c"), (7, "s7", "", "", "5", "")]
+    ok, rej = VL.check_scrnaseq(spark.createDataFrame(rows, cols), extra_cols=True)
+    assert sorted((r.ord, r.sample, r.expected_cells, r.seq_center, r.single_end) for r in ok.collect()) == [
+        (1, "s_1", "100", "my_centre", "0"), (4, "s_1", "100.0", "", "0")]
+    assert {r.ord: r.rule for r in rej.collect()} == {2: "expected_cells", 3: "expected_cells", 5: "fastq_extension", 6: "sample_missing", 7: "invalid_combination"}
+    bare = spark.createDataFrame([r[:4] for r in rows[:1]], "ord long, sample string, fastq_1 string, fastq_2 string")
+    assert [r.expected_cells for r in VL.check_scrnaseq(bare, extra_cols=True)[0].collect()] == [None]
+    odd = bare.selectExpr("*", "'x' as lane")
+    ok, rej = VL.check_scrnaseq(odd, extra_cols=True)
+    assert ok.count() == 0 and [r.rule for r in rej.collect()] == ["unknown_column"]
+    assert VL.check_scrnaseq(odd)[0].count() == 1
