@@ -13,17 +13,19 @@ def rank_within(df: DataFrame, keys: list[str], order: list, name: str = "rank")
     group into one task.
 
     A plain ``Window.partitionBy(keys)`` sends every row of a key to one task, so a key
-    holding a third of the data is sorted by a single core. Here the rows are first
-    range-partitioned on (keys, order), which splits a hot key over many pieces; ranks
-    are taken inside each (key, piece), written once, and shifted by the row counts of
-    the earlier pieces of the key (a small table: one row per key and piece).
-    Null keys are a group of their own.
+    holding a third of the data is sorted by a single core. Here the rows are range-partitioned
+    on (keys, order), which splits a hot key over many pieces, sorted inside each piece and
+    written once. A row's place in its file then tells its rank: the place, less that of the first
+    row of its key in the piece, plus the key's rows in earlier pieces (a small table: one row per
+    key and piece). The rows go through one exchange. Null keys are a group of their own.
     """
     order_cols = _columns(order)
-    local = Window.partitionBy(*keys, PIECE).orderBy(*order_cols)
-    s = written_once(_pieces(df, keys, order_cols).withColumn("_lr", F.row_number().over(local)), "ranks")
-    offs = _offsets(s, keys, F.count("*"))
-    return _shifted(s, offs, keys).withColumn(name, (F.col("_lr") + F.col("_off")).cast("long")).drop("_lr", "_off")
+    s = _pieces(df, keys, order_cols).sortWithinPartitions(*[F.col(k) for k in keys], *order_cols)
+    s = written_once(s, "ranks").select("*", F.col("_metadata.row_index").alias("_at"))
+    first = s.groupBy(*keys, PIECE).agg(F.count("*").alias("_t"), F.min("_at").alias("_first"))
+    before = _key_window(keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    first = first.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)) - F.col("_first")).drop("_t", "_first")
+    return _shifted(s, first, keys).withColumn(name, (F.col("_at") + F.col("_off") + 1).cast("long")).drop("_at", "_off")
 
 
 #: Column with the number of a row's range piece. It is data of a written table: it is computed
