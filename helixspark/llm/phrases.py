@@ -15,6 +15,7 @@ phrase that need not be counted; phrases are counted by their text, so counts ar
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,6 +103,25 @@ def encoded(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, _CHUNK)
 
 
+def sampled(chunks: DataFrame, share: int) -> DataFrame:
+    """Chunks with about one piece in ``share`` of each chunk, drawn by a generator that the chunk's
+    own content seeds. Pieces are drawn and not texts, as a text repeats its phrases."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                raw = b.column("ids")[i].as_buffer()
+                ids = np.frombuffer(raw, np.int32)
+                piece = np.cumsum(ids == 0) - (ids == 0)  # an end belongs to its piece
+                drawn = np.random.default_rng(zlib.crc32(raw)).integers(0, share, int(piece[-1]) + 1 if len(ids) else 0) == 0
+                used, ids = np.unique(np.append(0, ids[drawn[piece]]), return_inverse=True)
+                langs, words = (b.column(c)[i].values.take(pa.array(used)) for c in ("langs", "words"))
+                yield pa.RecordBatch.from_arrays([pa.array([langs.to_pylist()], _CHUNK_ARROW[0].type), pa.array([words.to_pylist()], _CHUNK_ARROW[1].type),
+                                                  pa.array([ids.astype(np.int32).tobytes()], pa.binary())], schema=_CHUNK_ARROW)
+
+    return chunks.mapInArrow(run, _CHUNK)
+
+
 def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, before) -> Iterator[pa.RecordBatch]:
     """Rows (lang, phrase, cnt) of the phrases to count in a chunk."""
     hashes = np.array([_word_hash(*x) for x in zip(langs.to_pylist(), words.to_pylist())], np.uint64)
@@ -190,11 +210,11 @@ def mine(chunks: DataFrame, least: int, bits: int, seed: np.ndarray | None = Non
 
 def frequent_phrases(docs: DataFrame, least: int = 100, share: int = 10) -> DataFrame:
     """(lang, phrase, cnt) of phrases of 1 to 5 words with ``least`` occurrences or more, and one
-    row with a null phrase per lang that counts all words. ``docs`` has (id, lang, text). One
-    document in ``share`` is the sample; the bound there lies two standard deviations below
-    ``least / share``. Texts are read twice, to encode the sample and then all of them."""
-    sample = written(encoded(docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(share)) == 0)), "sample")
+    row with a null phrase per lang that counts all words. ``docs`` has (lang, text). One piece in
+    ``share`` is the sample; the bound there lies two standard deviations below ``least / share``.
+    Texts are read once."""
     chunks = written(encoded(docs), "chunks")
+    sample = written(sampled(chunks, share), "sample")
     size = sample.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     bits = bits_for(size // 4, 2)
     mean = least / share
@@ -202,7 +222,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, share: int = 10) -> Data
     return mine(chunks, least, bits, seed)[0]
 
 
-def collocations(docs: DataFrame, least: int = 100, top: int = 2000, share: int = 10, id_col: str = "doc_id",
+def collocations(docs: DataFrame, least: int = 100, top: int = 2000, share: int = 10,
                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best phrases of 2 to 5 words of each lang.
 
@@ -211,7 +231,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, share: int
     are empty, each row counts as it is, repeated ones too; a lang without frequent phrases has no
     rows; other columns are ignored; texts are taken whole whatever their length.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
+    rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     found = written(frequent_phrases(rows, least, share), "frequent")
     total = found.where("phrase is null").select("lang", F.col("cnt").alias("n"))
     known = found.where("phrase is not null")
