@@ -7,9 +7,10 @@ border meets in one cell (the lower-numbered of its two). ``reach`` is the sine
 angle (0.368 at cosine 0.93): of a linked pair on either side of a border, no vector is farther from
 it, so no pair can be missed, however the vectors are spread.
 
-Cells are cut into blocks and block pairs are multiplied, whatever a cell's size. A block
-reports link counts and a spanning forest of its links, never all pairs. Equal vectors of one
-label are one class with a multiplicity.
+A pair is looked at in one cell, where one of the two is at home: the home vectors of a cell meet
+each other and the vectors lent to it, and lent vectors do not meet. Both are cut into blocks, and
+block pairs are multiplied, whatever a cell's size. A block pair reports link counts and a spanning
+forest of its links, never all pairs. Equal vectors of one label are one class with a multiplicity.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components, and null
 labels, link with nothing; vectors of other lengths are never compared; repeated rows count as
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from helixspark.llm.common import map_batches, table, to_batch, written
+from helixspark.llm.common import map_batches, table, written
 from helixspark.llm.graph import components
 
 
@@ -78,36 +79,57 @@ def cells_of(x: np.ndarray, c: np.ndarray, reach: float) -> tuple[np.ndarray, li
     return home, out
 
 
-def forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """(member, first member) of each component of a symmetric boolean matrix."""
-    todo, edges = linked.any(1), []
+def forest(linked: np.ndarray, across: bool = False) -> list[tuple[int, int]]:
+    """(member, first member) of each component of a symmetric boolean matrix. ``across``: the matrix
+    links rows to columns, and column ``j`` is member ``len(linked) + j``."""
+    n, edges = len(linked), []
+    todo = linked.any(1)
     for i in np.flatnonzero(todo):
         if not todo[i]:
             continue
-        seen = np.zeros(len(linked), bool)
-        seen[i] = True
-        edge = seen
+        rows, cols = np.zeros(n, bool), np.zeros(linked.shape[1], bool)
+        edge = np.zeros(n, bool)
+        edge[i] = True
         while edge.any():
-            nxt = linked[edge].any(0) & ~seen
-            seen |= nxt
-            edge = nxt
-        todo &= ~seen
-        edges += [(int(j), int(i)) for j in np.flatnonzero(seen) if j != i]
+            rows |= edge
+            new = linked[edge].any(0) & ~cols
+            cols |= new
+            edge = (linked[:, new].any(1) if across else new) & ~rows
+        todo &= ~rows
+        edges += [(int(j), int(i)) for j in np.flatnonzero(rows) if j != i]
+        if across:
+            edges += [(n + int(j), int(i)) for j in np.flatnonzero(cols)]
     return edges
 
 
-def block_links(group: list[tuple], threshold: float, kind: str = "<f8") -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Links of one block pair. Rows: (x, y, g, home, mult, vector). Left and right rows are
-    compared if one of them is at home here; returns weighted counts and a spanning forest."""
-    x, y = group[0][:2]
-    v = stacked([r[5] for r in group], kind)
-    g, home, mult = (np.array([r[i] for r in group]) for i in (2, 3, 4))
-    hit = v @ v.T >= threshold
-    hit &= home[:, None] | home[None, :]
-    if x != y:
-        hit &= g[:, None] != g[None, :]
-    np.fill_diagonal(hit, False)
-    return hit @ mult, forest(hit)
+#: A cosine in single precision may be off by this much; nearer ones are computed again in double.
+SLACK = 1e-5
+
+
+def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which unit rows of ``a`` and ``b`` have a cosine of ``threshold`` or more, as doubles tell."""
+    s = a.astype(np.float32) @ b.astype(np.float32).T
+    hit = s >= threshold
+    i, j = np.nonzero(np.abs(s - np.float32(threshold)) < SLACK)
+    for k in range(0, len(i), 1 << 16):
+        x, y = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
+        hit[x, y] = np.einsum("ij,ij->i", a[x], b[y]) >= threshold
+    return hit
+
+
+def block_links(v: np.ndarray, mult: np.ndarray, left: np.ndarray, same: bool, threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links of one block pair: weighted counts of all rows and a spanning forest. ``left`` marks the
+    rows of the first block, whose partners are the others, or, if ``same``, all rows."""
+    if same:
+        hit = linked(v, v, threshold)
+        np.fill_diagonal(hit, False)
+        return hit @ mult, forest(hit)
+    a, b = np.flatnonzero(left), np.flatnonzero(~left)
+    hit = linked(v[a], v[b], threshold)
+    n = np.zeros(len(v), np.int64)
+    n[a], n[b] = hit @ mult[b], hit.T @ mult[a]
+    at = np.concatenate([a, b])
+    return n, [(int(at[x]), int(at[y])) for x, y in forest(hit, True)]
 
 
 def reach_of(threshold: float) -> float:
@@ -117,7 +139,7 @@ def reach_of(threshold: float) -> float:
 
 
 def link_vectors(df: DataFrame, threshold: float = 0.93, reach: float | None = None, sample: int = 20_000, max_cells: int = 2048,
-                 block: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
+                 block: int = 1024, lent_block: int = 4096, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Per input row: id, ``n_links``, ``component_id``, ``kept``. ``sample`` rows at most reach the
     driver for the fit; every row is assigned and compared. ``reach`` is ``reach_of`` the threshold
     if it is not given; a smaller one may miss links."""
@@ -160,28 +182,49 @@ def link_vectors(df: DataFrame, threshold: float = 0.93, reach: float | None = N
     at = ["dim", "label", "cell"]
     placed = map_batches(classes.select("key", "label", "mult", "v"), place,
                          f"key binary, label {kinds[label_col]}, mult long, v binary, dim int, cell int, home boolean")
-    blocks = placed.groupBy(*at).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    m = placed.join(blocks, at).withColumn("g", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
-    m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select(*at, F.least("g", "o").alias("x"), F.greatest("g", "o").alias("y"), "g", "home", "mult", "v", "key")
+    placed = written(placed, "placed")
+    sizes = placed.groupBy(*at).agg(F.ceil(F.count_if("home") / block).cast("int").alias("homes"), F.ceil(F.count_if(~F.col("home")) / lent_block).cast("int").alias("lents"))
+    m = placed.join(sizes.where("homes > 0"), at)
+    g = F.pmod(F.xxhash64("key"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("lents"))).cast("int")
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    # Block pairs (x, y): of home blocks with x <= y, and of home block x with lent block -1 - y.
+    own = F.transform(upto(F.col("homes")), lambda o: F.struct(F.least(F.col("g"), o).alias("x"), F.greatest(F.col("g"), o).alias("y"), (F.col("g") <= o).alias("left")))
+    lent = F.transform(upto(F.col("lents")), lambda z: F.struct(F.col("g").alias("x"), (-1 - z).alias("y"), F.lit(True).alias("left")))
+    borrowed = F.transform(upto(F.col("homes")), lambda x: F.struct(x.alias("x"), (-1 - F.col("g")).alias("y"), F.lit(False).alias("left")))
+    m = m.withColumn("g", g).select(*at, "key", "mult", "v", F.explode(F.when(F.col("home"), F.concat(own, lent)).otherwise(borrowed)).alias("p"))
+    m = m.select(*at, "p.x", "p.y", "p.left", "mult", "v", "key")
     m = m.repartition(*at, "x", "y").sortWithinPartitions(*at, "x", "y")
     st = StructType.fromDDL("a binary, n long, b binary")
     arrow = to_arrow_schema(st)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(group):
-            n, edges = block_links([r[3:9] for r in group], threshold, kind)
-            keys = [r[9] for r in group]
-            out = [(keys[i], int(n[i]), None) for i in np.flatnonzero(n)] + [(keys[i], 0, keys[j]) for i, j in edges]
-            return to_batch(dict(zip(("a", "n", "b"), map(list, zip(*out)))) if out else {"a": [], "n": [], "b": []}, arrow)
-
-        group: list[tuple] = []
+        def close(parts: list[pa.RecordBatch]):
+            t = pa.Table.from_batches(parts)
+            v = stacked(t["v"].to_pylist(), kind)
+            x, y = t["x"][0].as_py(), t["y"][0].as_py()
+            n, edges = block_links(v, t["mult"].to_numpy(), t["left"].to_numpy(), x == y, threshold)
+            hit = np.flatnonzero(n)
+            a, b = (pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1))
+            keys = t["key"].combine_chunks()
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([keys.take(pa.array(hit)), keys.take(a)]),
+                                               pa.array(np.concatenate([n[hit], np.zeros(len(edges), np.int64)])),
+                                               pa.concat_arrays([pa.nulls(len(hit), pa.binary()), keys.take(b)])], schema=arrow)
+
+        group: list[pa.RecordBatch] = []
         for batch in batches:
-            for r in zip(*[c.to_pylist() for c in batch.columns]):
-                if group and group[0][:5] != r[:5]:
+            pair = [batch.column(c) for c in (*at, "x", "y")]
+            new = np.zeros(batch.num_rows, bool)
+            for c in pair:
+                new[1:] |= pa.compute.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+            if group:
+                last = group[-1]
+                new[0] = any(last.column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in (*at, "x", "y"))
+            cuts = [0, *[int(i) for i in np.flatnonzero(new) if i], batch.num_rows]
+            for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+                if group and (i or new[0]):
                     yield close(group)
                     group = []
-                group.append(r)
+                group.append(batch.slice(lo, hi - lo))
         if group:
             yield close(group)
 

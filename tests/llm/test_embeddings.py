@@ -1,6 +1,6 @@
 import numpy as np
 
-from helixspark.llm.embeddings import forest, link_vectors
+from helixspark.llm.embeddings import forest, link_vectors, linked
 
 
 def brute(rows, t=0.93):
@@ -40,7 +40,7 @@ def test_against_all_pairs(spark):
              (at + 5, [float("nan")] * 16, 1), (at + 6, [float("inf")] + [0.0] * 15, 1), (at + 7, [None] + [1.0] * 15, 1), (at + 8, [1.0, 2.0], 1), (at + 9, [2.0, 4.0], 1)]
     rows += [(5, rows[5][1], rows[5][2])]
     df = spark.createDataFrame([(*x, b"clash", 1) for x in rows], "vec_id long, embedding array<float>, label int, key binary, n_links int").repartition(4)
-    for options in ({"reach": 0.37}, {"reach": 0.37, "block": 7}):
+    for options in ({}, {"block": 7, "lent_block": 5}):
         out = link_vectors(df, **options).collect()
         assert sorted((x.vec_id, x.n_links, x.component_id) for x in out) == sorted(brute(rows))
     assert all(x.kept == (x.vec_id == x.component_id) for x in out)
@@ -58,6 +58,18 @@ def test_forest():
     for a, b in ((0, 3), (3, 5), (1, 2)):
         m[a, b] = m[b, a] = True
     assert sorted(forest(m)) == [(2, 1), (3, 0), (5, 0)]
+    assert sorted(forest(m[:3, 2:], True)) == [(4, 0), (3, 1)] or sorted(forest(m[:3, 2:], True)) == [(3, 1), (4, 0)]
+
+
+def test_borderline_cosines_as_doubles_tell():
+    r = np.random.default_rng(6)
+    a, d = r.normal(size=(400, 64)), r.normal(size=(400, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    d -= a * (a * d).sum(1, keepdims=True)
+    d /= np.linalg.norm(d, axis=1, keepdims=True)
+    c = 0.93 + r.choice([-1e-9, 1e-9, -1e-6, 1e-6, 0.01], 400)
+    b = a * c[:, None] + d * np.sqrt(1 - c * c)[:, None]
+    assert (linked(a, b, 0.93) == (a @ b.T >= 0.93)).all()
 
 
 def test_default_reach_on_uneven_spectra(spark):
