@@ -28,8 +28,10 @@ from helixspark.llm.spans import Span, listed, replaced
 
 KINDS = ("email", "ip", "card", "phone")
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: What may stand before an at sign, and what must follow it.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -50,10 +52,23 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, odd)) + sum(sum(divmod(2 * int(c), 10)) for c in even)) % 10 == 0
 
 
+def emails(text: str) -> list[Span]:
+    """Leftmost non-overlapping addresses, from their at signs: no character is looked at twice, as
+    neither side of an address holds an at sign."""
+    out, end, at = [], 0, text.find("@")
+    while at >= 0:
+        begin = at
+        while begin > end and text[begin - 1] in LOCAL:
+            begin -= 1
+        if begin < at and (m := DOMAIN.match(text, at + 1)):
+            end = m.end()
+            out.append((begin, end, 0))
+        at = text.find("@", max(at + 1, end))
+    return out
+
+
 def base_spans(text: str) -> list[Span]:
-    out: list[Span] = []
-    if "@" in text:
-        out += [(m.start(), m.end(), 0) for m in EMAIL.finditer(text)]
+    out: list[Span] = emails(text)
     out += [(m.start(), m.end(), 1) for m in IP.finditer(text) if all(len(x.lstrip("0")) < 4 and int(x) <= 255 for x in m[0].split("."))]
     for m in CARD.finditer(text):
         d = m[0].replace(" ", "").replace("-", "")

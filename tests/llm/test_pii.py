@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -27,6 +28,15 @@ def test_base_against_plain_patterns(t):
     assert sorted(base_spans(t)) == sorted(plain_base(t))
 
 
+def test_base_is_linear_in_long_runs():
+    begun = time.perf_counter()
+    for t in ("7" * 1_000_000, "a" * 1_000_000 + "@", "a@" * 300_000, "@" + "b" * 1_000_000, "1.2.3" * 200_000, "a.b" * 300_000 + "@x.y"):
+        base_spans(t)
+    assert time.perf_counter() - begun < 12
+    for t in ("a@b@c.d@e.f-@g.h", "a@b.c_d@e.f", "1.2.3.4.5.6.7.8 01.2.3.4", "@", "a@b..c", "x@y.z@"):
+        assert sorted(base_spans(t)) == sorted(plain_base(t))
+
+
 def test_viterbi_against_all_paths():
     r = np.random.default_rng(2)
     k = len(LABELS)
