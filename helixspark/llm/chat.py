@@ -91,7 +91,8 @@ def format_chat(df: DataFrame, tokenizer_path: str, trained: tuple[str, ...] = (
     """One row per conversation part: the formatted text, ids, flattened offsets, loss flags
     per token and the flattened character spans under the loss."""
     kind = df.schema["conv_id"].dataType.simpleString()
-    d = df.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    # Ids pass through pandas as text: numbers beside a null would become doubles there.
+    d = df.select(F.col("conv_id").cast("string").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     d = d.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def emit(conv, part, pieces, spans):
@@ -101,7 +102,7 @@ def format_chat(df: DataFrame, tokenizer_path: str, trained: tuple[str, ...] = (
         return (conv, part, text, len(e.ids), e.ids, [x for o in e.offsets for x in o], flags, [x for s in under for x in s])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = PART.format(kind=kind).replace(",", "").split()[::2]
+        names = PART.format(kind="string").replace(",", "").split()[::2]
         conv, part, pieces, spans, size, begun = None, 0, [], [], 0, False
         for f in frames:
             out = []
@@ -121,14 +122,14 @@ def format_chat(df: DataFrame, tokenizer_path: str, trained: tuple[str, ...] = (
         if begun:
             yield pd.DataFrame([emit(conv, part, pieces, spans)], columns=names).astype({"conv_id": object})
 
-    return d.mapInPandas(run, PART.format(kind=kind))
+    return d.mapInPandas(run, PART.format(kind="string")).withColumn("conv_id", F.col("conv_id").cast(kind))
 
 
 def read_back(parts: DataFrame) -> DataFrame:
     """Digests per conversation, from the formatted text and the loss spans alone. Parts of a
     conversation are met in order; hashes run on, so no whole conversation is joined."""
     kind = parts.schema["conv_id"].dataType.simpleString()
-    p = parts.select("conv_id", "part", "formatted", "loss_spans", "n_tokens").repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    p = parts.select(F.col("conv_id").cast("string").alias("conv_id"), "part", "formatted", "loss_spans", "n_tokens").repartition("conv_id").sortWithinPartitions("conv_id", "part")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,8 +159,9 @@ def read_back(parts: DataFrame) -> DataFrame:
     def close(x):
         return [x[0], x[1], x[2].hexdigest(), x[3], x[4].hexdigest(), x[5], x[6]]
 
-    return p.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string,"
-                              " formatted_chars long, n_tokens long")
+    out = p.mapInPandas(run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string,"
+                             " formatted_chars long, n_tokens long")
+    return out.withColumn("conv_id", F.col("conv_id").cast(kind))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ def expect(turns):
 
 def test_conversations(spark):
     rows = [(1, 1, "assistant", "hi <|end|>\n"), (1, 0, "user", "x\\n"), (2, 0, "assistant", None), (2, 0, "assistant", None), (None, 5, None, "é語👍🏽" * 50),
-            (3, 0, "ass\nistant", "q")] + [(4, i, "assistant" if i % 2 else "user", f"語 {i}<|turn|> " * 20) for i in range(400)]
+            (3, 0, "ass\nistant", "q"), (2**53 + 1, 0, "user", "large ids beside a null one"), (2**53, 0, "user", "b")] + [(4, i, "assistant" if i % 2 else "user", f"語 {i}<|turn|> " * 20) for i in range(400)]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, part string")
     for size in (4_000_000, 500):
         parts = format_chat(df, PATH, max_chars=size)
