@@ -5,10 +5,10 @@ falls into one bucket per band. Work never grows with the square of a bucket:
 
 1. every class of a bucket is compared with the bucket's smallest class (a star);
 2. components of the confirmed links are taken;
-3. only buckets that still hold several components are searched further, in blocks of
-   classes, and only across components: first the likeliest pairs that would join all
-   components of a block, round by round as long as some are joined, then all pairs that are
-   left, so no link is lost.
+3. only buckets that still hold several components are searched further, in pairs of blocks
+   of classes, and only across components. A pair of blocks compares sketches, gets the texts of
+   the classes that have a likely partner, compares their full sets and gives a spanning forest of
+   the links, so no link between components is lost and no list of pairs is made.
 
 Candidate pairs are first judged by a finer sketch, taken of the classes that share a bucket,
 then confirmed on the full shingle sets of the whole texts.
@@ -121,16 +121,6 @@ def set_key(s: np.ndarray) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(s.tobytes()), "little", signed=True)
 
 
-#: Up to so many rows (some tens of bytes each) a table of bucket or class numbers is broadcast;
-#: beyond, it is joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
-
-
-def _sized(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast only if its counted rows are few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 @dataclass(frozen=True)
 class Banding:
     """``rows`` registers a band; ``threshold`` is the similarity to link at, in hundredths."""
@@ -213,7 +203,7 @@ def first_texts(df: DataFrame, k: int, cut: Callable[[str], list[str]] = lambda
 def candidates(buckets: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
     """(key, text, n, fine) of each class that shares a bucket: its text, set size and fine sketch,
     whose first registers are the banded ones; written, as it is all that the searches read."""
-    some = _sized(written(buckets.select("key").distinct(), "keys"))
+    some = written(buckets.select("key").distinct(), "keys")
     have = texts.join(some, "key").dropDuplicates(["key"]).select("key", "text")
 
     def run(c):
@@ -281,66 +271,51 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: Banding, share: int = 128)
     return rows.mapInArrow(run, st)
 
 
-def across(members: DataFrame, p: Banding, best: bool, block: int = 512) -> DataFrame:
-    """Likely pairs that share a bucket but lie in different components, each given once; with
-    ``best`` only those that would join the components of a pair of blocks, the likeliest first.
-
-    ``members``: band, nth, key, n, fine, comp of buckets with several components. Buckets are
-    cut into blocks; each pair of blocks is one group, compared by array operations: first all
-    pairs by the banded registers (of a pair that meets in several bands only the first counts),
-    then the rest by the fine sketch."""
-    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    m = members.join(sizes, "band").withColumn("g", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
-    m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("band", F.least("g", "o").alias("x"), F.greatest("g", "o").alias("y"), "g", "key", "n", "fine", "comp", "nth")
-    names = ["band", "x", "y"]
-    rows = _dealt(m, *names).sortWithinPartitions(*names)
-    st = StructType.fromDDL("a long, b long")
+#: Classes of one block of a bucket.
+BLOCK = 256
+
+
+def _pairs_in(group: list[tuple], p: Banding) -> tuple[list, list, np.ndarray, np.ndarray, np.ndarray, list, list]:
+    """Likely pairs of a block pair whose classes lie in different components: the left and right
+    rows, and the pairs' rows and estimates; then the components of both sides as small numbers.
+
+    Rows: (band, x, y, g, key, n, fine, comp, nth). All pairs are compared by the banded registers (of
+    a pair that meets in several bands only the first counts), those that pass by the fine sketch."""
+    x, y = group[0][1:3]
+    left = [r for r in group if r[3] == x]
+    right = left if x == y else [r for r in group if r[3] == y]
+    none = np.zeros(0, np.int64)
+    if not left or not right:
+        return left, right, none, none, none, [], []
+    fine = [np.frombuffer(b"".join(r[6] for r in s), p.kind).reshape(len(s), -1) for s in (left, right)]
+    regs = [f[:, :p.m] for f in fine]
+    n = [np.array([r[5] for r in s]) for s in (left, right)]
+    code: dict = {}
+    comp = [np.array([code.setdefault(r[7], len(code)) for r in s]) for s in (left, right)]
+    same = np.zeros((len(left), len(right)), np.int32)
+    for i in range(p.m):
+        same += regs[0][:, i, None] == regs[1][None, :, i]
+    ok = (same >= p.m * (p.doubt(p.m) - 0.1)) & (comp[0][:, None] != comp[1][None, :])
+    ok &= np.minimum.outer(n[0], n[1]) * 100 >= np.maximum.outer(n[0], n[1]) * p.threshold
+    i, j = np.nonzero(np.triu(ok, 1) if x == y else ok)
+    us, vs, likelihood = [none], [none], [np.zeros(0)]
+    for lo in range(0, len(i), 8192):
+        u, v = i[lo:lo + 8192], j[lo:lo + 8192]
+        meet = (regs[0][u] == regs[1][v]).reshape(len(u), p.bands, p.rows).all(2).argmax(1)
+        u, v = u[meet == group[0][8]], v[meet == group[0][8]]
+        if len(u):
+            est = p.estimate(fine[0][u], fine[1][v], n[0][u], n[1][v])
+            near = est >= p.doubt(p.fine)
+            us.append(u[near])
+            vs.append(v[near])
+            likelihood.append(est[near])
+    return left, right, np.concatenate(us), np.concatenate(vs), np.concatenate(likelihood), comp[0].tolist(), comp[1].tolist()
+
+
+def _grouped(rows: DataFrame, close: Callable[[list[tuple]], dict], schema: str) -> DataFrame:
+    """``close`` on the rows of each (band, x, y), which stand together."""
+    st = StructType.fromDDL(schema)
     arrow = to_arrow_schema(st)
-    coarse, sharp = p.doubt(p.m) - 0.1, p.doubt(p.fine)
-
-    def close(group: list[tuple]) -> dict:
-        x, y = group[0][1:3]
-        left = [r for r in group if r[3] == x]
-        right = left if x == y else [r for r in group if r[3] == y]
-        if not left or not right:
-            return {"a": [], "b": []}
-        fine = [np.frombuffer(b"".join(r[6] for r in s), p.kind).reshape(len(s), -1) for s in (left, right)]
-        regs = [f[:, :p.m] for f in fine]
-        n = [np.array([r[5] for r in s]) for s in (left, right)]
-        code = {c: i for i, c in enumerate({r[7] for r in group})}
-        comp = [np.array([code[r[7]] for r in s]) for s in (left, right)]
-        same = np.zeros((len(left), len(right)), np.int32)
-        for i in range(p.m):
-            same += regs[0][:, i, None] == regs[1][None, :, i]
-        ok = (same >= p.m * coarse) & (comp[0][:, None] != comp[1][None, :])
-        ok &= np.minimum.outer(n[0], n[1]) * 100 >= np.maximum.outer(n[0], n[1]) * p.threshold
-        i, j = np.nonzero(np.triu(ok, 1) if x == y else ok)
-        keep, likelihood = [], []
-        for lo in range(0, len(i), 8192):
-            u, v = i[lo:lo + 8192], j[lo:lo + 8192]
-            meet = (regs[0][u] == regs[1][v]).reshape(len(u), p.bands, p.rows).all(2).argmax(1)
-            u, v = u[meet == group[0][8]], v[meet == group[0][8]]
-            if len(u):
-                est = p.estimate(fine[0][u], fine[1][v], n[0][u], n[1][v])
-                near = est >= sharp
-                keep += zip(u[near].tolist(), v[near].tolist())
-                likelihood += est[near].tolist()
-        if best:
-            root = list(range(len(code)))
-            tree = []
-            for at in sorted(range(len(keep)), key=lambda k: -likelihood[k]):
-                a, b = int(comp[0][keep[at][0]]), int(comp[1][keep[at][1]])
-                while root[a] != a:
-                    root[a] = a = root[root[a]]
-                while root[b] != b:
-                    root[b] = b = root[root[b]]
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-                    tree.append(keep[at])
-            keep = tree
-        pairs = [sorted((left[u][4], right[v][4])) for u, v in keep]
-        return {"a": [a for a, _ in pairs], "b": [b for _, b in pairs]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
@@ -353,7 +328,57 @@ def across(members: DataFrame, p: Banding, best: bool, block: int = 512) -> Data
         if group:
             yield to_batch(close(group), arrow)
 
-    return rows.mapInArrow(run, st)
+    names = ["band", "x", "y"]
+    return _dealt(rows, *names).sortWithinPartitions(*names).mapInArrow(run, st)
+
+
+def across(members: DataFrame, texts: DataFrame, p: Banding, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between classes that share a bucket but lie in different components: of each
+    pair of blocks a spanning forest of the linked classes, so all components come out right and no
+    list of pairs is made.
+
+    ``members``: band, nth, key, n, fine, comp of buckets with several components; ``texts``: (key,
+    text). Buckets are cut into blocks. Each pair of blocks is compared by sketches and gives the
+    classes that have a likely partner in it; their texts are sent to that pair of blocks, which
+    finds the pairs again and compares full sets, the likeliest first, skipping classes that are
+    joined already."""
+    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    m = members.join(sizes, "band").withColumn("g", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    m = m.select("band", F.least("g", "o").alias("x"), F.greatest("g", "o").alias("y"), "g", "key", "n", "fine", "comp", "nth")
+
+    def named(group):
+        left, right, u, v, *_ = _pairs_in(group, p)
+        rows = {r[4]: r for r in [*(left[i] for i in u.tolist()), *(right[i] for i in v.tolist())]}.values()
+        return {k: [r[i] for r in rows] for i, k in enumerate(("band", "x", "y", "g", "key", "n", "fine", "comp", "nth"))}
+
+    some = written(_grouped(m, named, "band long, x int, y int, g int, key long, n long, fine binary, comp long, nth int"), "members")
+    full = some.join(texts, "key").select("band", "x", "y", "g", "key", "n", "fine", "comp", "nth", "text")
+
+    def confirm(group):
+        left, right, u, v, est, cl, cr = _pairs_in(group, p)
+        sets = dict(zip([r[4] for r in group], all_sets([r[9] for r in group], p.k)))
+        root: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while root.get(c, c) != c:
+                root[c] = c = root.get(root[c], root[c])
+            return c
+
+        out: dict = {"a": [], "b": []}
+        for at in np.argsort(-est, kind="stable").tolist():
+            i, j = int(u[at]), int(v[at])
+            a, b = top(cl[i]), top(cr[j])
+            if a != b:
+                s, t = sets[left[i][4]], sets[right[j][4]]
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= p.threshold * (len(s) + len(t) - both):
+                    root[max(a, b)] = min(a, b)
+                    out["a"].append(left[i][4])
+                    out["b"].append(right[j][4])
+        return out
+
+    return _grouped(full, confirm, "a long, b long")
 
 
 def near_classes(sketches: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
@@ -361,24 +386,18 @@ def near_classes(sketches: DataFrame, texts: DataFrame, p: Banding) -> DataFrame
     ``texts``: (key, text), read only for classes that share a bucket."""
     spread = sketches.select("key", F.posexplode("bands").alias("nth", "band"))
     star = spread.groupBy("band").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select("band", "a")
-    buckets = written(spread.join(_sized(written(star, "stars")), "band").distinct(), "buckets")
+    buckets = written(spread.join(written(star, "stars"), "band").distinct(), "buckets")
     pairs = buckets.where("key != a").select("a", F.col("key").alias("b")).distinct()
     have = candidates(buckets, texts, p)
     side = have.select("key", "text")
-    comp = components(written(confirmed(likely(pairs, have, p), side, p), "links"))
-    tested, best = pairs, True
-    while True:
-        placed = (buckets.select("band", "nth", "key").join(comp.withColumnRenamed("node", "key"), "key", "left")
-                  .select("band", "nth", "key", F.coalesce("root", "key").alias("comp")))
-        # a bucket of two has had its only pair compared
-        split = (placed.groupBy("band").agg(F.min("comp").alias("u"), F.max("comp").alias("v"), F.count("*").alias("c"))
-                 .where("u < v and c > 2").select("band"))
-        rest = placed.join(split, "band").join(have.select("key", "n", "fine"), "key")
-        again = written(across(rest, p, best).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        late = written(confirmed(again, side, p), "links")
-        found = not late.isEmpty()
-        if found:
-            comp = components(comp.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))
-        if not best:
-            return comp
-        tested, best = tested.union(again), found
+    comp = written(components(written(confirmed(likely(pairs, have, p), side, p), "links")), "components")
+    placed = (buckets.select("band", "nth", "key").join(comp.withColumnRenamed("node", "key"), "key", "left")
+              .select("band", "nth", "key", F.coalesce("root", "key").alias("comp")))
+    # a bucket of two has had its only pair compared
+    split = (placed.groupBy("band").agg(F.min("comp").alias("u"), F.max("comp").alias("v"), F.count("*").alias("c"))
+             .where("u < v and c > 2").select("band"))
+    rest = placed.join(split, "band").join(have.select("key", "n", "fine"), "key")
+    late = written(across(rest, side, p), "links")
+    if late.isEmpty():
+        return comp
+    return components(comp.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))

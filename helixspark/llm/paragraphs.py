@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from helixspark.llm.common import map_batches, table, to_batch, written
-from helixspark.llm.neardup import Banding, _sized, blocks, first_texts, mix, near_classes, run_hashes, signatures, word_hashes
+from helixspark.llm.neardup import Banding, blocks, first_texts, mix, near_classes, run_hashes, signatures, word_hashes
 
 MIN_WORDS = 40
 #: Words of a window, and of the runs within it that name it.
@@ -180,7 +180,7 @@ def _named_again(df: DataFrame) -> DataFrame:
     names = written(map_batches(df.select("__row", "text"), run, f"__row {ROW}, name array<long>, twice array<boolean>"), "names")
     each = names.select("__row", F.explode(F.arrays_zip("name", "twice")).alias("z")).select("__row", "z.name", "z.twice")
     again = each.groupBy("name").agg(F.count("*").alias("c"), F.max("twice").alias("t")).where("c > 1 or t").select("name")
-    return written(each.join(_sized(written(again, "again")), "name").groupBy("__row").agg(F.collect_list("name").alias("names")), "hits")
+    return written(each.join(written(again, "again"), "name").groupBy("__row").agg(F.collect_list("name").alias("names")), "hits")
 
 
 def _runs(df: DataFrame, lines: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def _runs(df: DataFrame, lines: DataFrame) -> DataFrame:
     kind = df.schema["doc_id"].dataType.simpleString()
     hits = _named_again(df)
     spans = lines.groupBy("__row").agg(F.collect_list(F.struct("start", "end", "kept")).alias("spans"))
-    some = df.select("__row", "doc_id", "text").join(_sized(written(hits.select("__row"), "hit-rows")), "__row", "left_semi")
+    some = df.select("__row", "doc_id", "text").join(written(hits.select("__row"), "hit-rows"), "__row", "left_semi")
     some = some.join(hits, "__row").join(spans, "__row", "left")
     st = f"__row {ROW}, doc_id {kind}, pos int, start long, `end` long, h long, g long, dead boolean, listed int"
     other = 0xD1342543DE82EF95
