@@ -122,6 +122,6 @@ def collected(blocks: DataFrame, which: str, bits: int) -> np.ndarray:
     """One filter on the driver: ``bits / 8`` bytes, 64 MB at most."""
     out = np.zeros(bits // 8, np.uint8)
     empty = bytes(BLOCK // 8)
-    for r in blocks.select("block", which).where(F.col(which) != F.lit(empty)).toLocalIterator():
+    for r in blocks.select("block", which).where(F.col(which) != F.lit(empty)).collect():
         out[r[0] * (BLOCK // 8):(r[0] + 1) * (BLOCK // 8)] = np.frombuffer(r[1], np.uint8)
     return out
