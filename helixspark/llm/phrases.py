@@ -2,11 +2,12 @@
 
 ``known`` is a set of phrases with all their parts. A pass over texts counts every single word and
 every phrase of which both parts one word shorter are known: the known phrases and their negative
-border at once, without listing the border. The sample is mined by such passes, starting from the
-empty set and with a lowered bound. A pass over all texts then counts what the sample proposes and
-the border exactly; phrases of the border that are frequent after all join the known ones, and a
-further pass counts what has become border or known by that, until nothing new is frequent. All
-parts of a frequent phrase are frequent, so nothing can be missed, whatever the sample.
+border at once, without listing the border. The sample is mined by such passes, length by length, with a
+lowered bound. A pass over all texts then counts what the sample proposes and the border exactly.
+If phrases of the border are frequent after all, a further pass counts every longer phrase that
+holds one of them, which closes the search: all parts of a frequent phrase are frequent, so one
+that was not counted holds a smallest part that was not proposed, and that part is border and
+frequent. Nothing can be missed, whatever the sample.
 
 Texts are encoded once, in chunks of word numbers with their words, and the passes run over those.
 Known phrases are told to the tasks as a Bloom filter of at most 64 MB. A false hit only counts a
@@ -122,16 +123,27 @@ def sampled(chunks: DataFrame, share: int) -> DataFrame:
     return chunks.mapInArrow(run, _CHUNK)
 
 
-def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, before) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, phrase, cnt) of the phrases to count in a chunk."""
+def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, phrase, cnt) of the phrases to count in a chunk (see ``count_pass``)."""
     hashes = np.array([_word_hash(*x) for x in zip(langs.to_pylist(), words.to_pylist())], np.uint64)
 
-    def rows(at: np.ndarray, k: int, cnt: np.ndarray) -> pa.RecordBatch:
-        own = [words.take(pa.array(ids[at + j])) for j in range(k)]
+    def rows(at: np.ndarray, k: int, h: np.ndarray) -> pa.RecordBatch:
+        _, first, cnt = np.unique(h, return_index=True, return_counts=True)
+        own = [words.take(pa.array(ids[at[first] + j])) for j in range(k)]
         phrase = pc.binary_join_element_wise(*own, pa.scalar(b" ", pa.binary())) if k > 1 else own[0]
-        return pa.RecordBatch.from_arrays([langs.take(pa.array(ids[at])), phrase.cast(pa.string()), pa.array(cnt, pa.int64())], schema=_ARROW)
+        return pa.RecordBatch.from_arrays([langs.take(pa.array(ids[at[first]])), phrase.cast(pa.string()), pa.array(cnt, pa.int64())], schema=_ARROW)
 
-    if before is None:
+    def marked(at: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(ids) + LONGEST, bool)
+        out[at] = True
+        return out
+
+    def member(filter_: np.ndarray) -> np.ndarray:
+        ok = has(filter_, hashes)
+        ok[0] = False
+        return ok
+
+    if late is None:
         cnt = np.bincount(ids, minlength=len(words))
         cnt[0] = 0
         used = np.flatnonzero(cnt)
@@ -139,45 +151,49 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, before) ->
         lang, of = np.unique(np.array(langs.to_pylist())[used], return_inverse=True)
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.nulls(len(lang), pa.string()),
                                           pa.array(np.bincount(of, cnt[used], len(lang)).astype(np.int64), pa.int64())], schema=_ARROW)
-    # Places where a known phrase (or one known before this pass) of k words begins.
-    is_known = has(known, hashes)
-    is_known[0] = False
-    now, h, one = np.flatnonzero(is_known[ids]), hashes[ids], hashes[ids]
-    old = np.zeros(len(ids) + 1, bool)
-    if before is not None:
-        was_known = has(before, hashes)
-        was_known[0] = False
-        old[:-1] = was_known[ids]
+    one, is_known = hashes[ids], member(known)
+    now = np.flatnonzero(is_known[ids])  # where a known phrase of k - 1 words begins
+    h = np.zeros(len(ids), np.uint64)
+    h[now] = one[now]
+    if late is not None:
+        is_late = member(late) & ~is_known
+        usable = np.flatnonzero((is_known | is_late)[ids])  # where all of k words may be frequent
+        full = one.copy()
+        holds = marked(np.flatnonzero(is_late[ids]))  # where k - 1 words hold a late phrase
     for k in range(2, LONGEST + 1):
-        known_at = np.zeros(len(ids) + 1, bool)
-        known_at[now] = True
-        now = now[known_at[now + 1]]
+        begins = marked(now)
+        now = now[begins[now + 1]]
         hk = _longer(h[now], one[now + k - 1])
-        old_now = old[now] & old[now + 1]
-        fresh = ~old_now
-        if fresh.any():
-            u, at, cnt = np.unique(hk[fresh], return_index=True, return_counts=True)
-            yield rows(now[fresh][at], k, cnt)
+        if late is None:
+            if len(now):
+                yield rows(now, k, hk)
+        else:
+            border = marked(now)
+            begins = marked(usable)
+            usable = usable[begins[usable + 1]]
+            full[usable] = _longer(full[usable], one[usable + k - 1])
+            new = usable[(holds[usable] | holds[usable + 1]) & ~border[usable]]
+            if len(new):
+                yield rows(new, k, full[new])
+            holds = marked(np.concatenate([usable[holds[usable] | holds[usable + 1]], now[has(late, hk) & ~has(known, hk)]]))
         h = np.zeros(len(ids), np.uint64)
         h[now] = hk
-        old = np.zeros(len(ids) + 1, bool)
-        if before is not None:
-            old[now] = old_now & has(before, hk)
         now = now[has(known, hk)]
 
 
-def count_pass(chunks: DataFrame, known: np.ndarray, before: np.ndarray | None) -> DataFrame:
-    """(lang, phrase, cnt) over all of ``chunks``: what is known or border by ``known`` but was not
-    by ``before``; without ``before`` the single words and a row of all words of a lang (phrase
-    null) as well."""
-    told = chunks.sparkSession.sparkContext.broadcast((known, before))
+def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = None) -> DataFrame:
+    """(lang, phrase, cnt) over all of ``chunks``: the known phrases and their border, the single words
+    and a row of all words of a lang (phrase null). With ``late``, phrases of the border that turned
+    out to be frequent, the longer phrases instead that hold a late one, whose words are all known
+    or late, and that are neither known nor border themselves."""
+    told = chunks.sparkSession.sparkContext.broadcast((known, late))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, before = told.value
+        known, late = told.value
         for b in batches:
             for i in range(b.num_rows):
                 langs, words = (b.column(c)[i].values for c in ("langs", "words"))
-                yield from _counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), known, before)
+                yield from _counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), known, late)
 
     return chunks.mapInArrow(run, _COUNTED).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
 
@@ -195,17 +211,32 @@ def _fresh(counted: DataFrame, known: np.ndarray) -> DataFrame:
     return map_batches(counted.where("phrase is not null").select("lang", "phrase"), run, "h long, words int")
 
 
-def mine(chunks: DataFrame, least: int, bits: int, seed: np.ndarray | None = None) -> tuple[DataFrame, np.ndarray]:
-    """All phrases of ``chunks`` with ``least`` occurrences or more (and the rows of all words of a
-    lang), and the filter of the known ones. ``seed`` holds phrases taken as known."""
-    known, before, out = np.zeros(bits // 8, np.uint8) if seed is None else seed, None, None
-    while True:
-        got = written(count_pass(chunks, known, before).where((F.col("cnt") >= least) | F.col("phrase").isNull()), "phrases")
-        out = got if out is None else out.unionByName(got)
+def mine(chunks: DataFrame, least: int, bits: int, seed: np.ndarray) -> DataFrame:
+    """All phrases of ``chunks`` with ``least`` occurrences or more, and the rows of all words of a
+    lang. ``seed`` holds the proposed phrases. If phrases of the border are frequent, a further
+    pass counts all longer phrases that hold one of them; a frequent phrase that the first pass did
+    not count holds a smallest part that was not proposed, which is border and frequent, so with
+    that pass the search is closed."""
+    enough = (F.col("cnt") >= least) | F.col("phrase").isNull()
+    got = written(count_pass(chunks, seed).where(enough), "phrases")
+    fresh = written(_fresh(got, seed), "fresh")
+    if not fresh.where(F.col("words") < LONGEST).limit(1).count():
+        return got
+    late = collected(filter_blocks(fresh.select("h"), bits), "once", bits)
+    return got.unionByName(written(count_pass(chunks, seed, late).where(enough), "phrases"))
+
+
+def proposed(chunks: DataFrame, least: int, bits: int) -> np.ndarray:
+    """The filter of the phrases with ``least`` occurrences or more in a sample, found length by
+    length: a pass counts the phrases whose parts are frequent."""
+    known = np.zeros(bits // 8, np.uint8)
+    for length in range(1, LONGEST + 1):
+        got = count_pass(chunks, known).where((F.col("cnt") >= least) & F.col("phrase").isNotNull())
         fresh = written(_fresh(got, known), "fresh")
-        if not fresh.where(F.col("words") < LONGEST).limit(1).count():
-            return out, known
-        known, before = known | collected(filter_blocks(fresh.select("h"), bits), "once", bits), known
+        if not fresh.where(F.col("words") == length).limit(1).count():
+            break
+        known = known | collected(filter_blocks(fresh.select("h"), bits), "once", bits)
+    return known
 
 
 def frequent_phrases(docs: DataFrame, least: int = 100, share: int = 10) -> DataFrame:
@@ -218,8 +249,8 @@ def frequent_phrases(docs: DataFrame, least: int = 100, share: int = 10) -> Data
     size = sample.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     bits = bits_for(size // 4, 2)
     mean = least / share
-    _, seed = mine(sample, max(2, round(mean - 2 * mean ** 0.5)), bits)
-    return mine(chunks, least, bits, seed)[0]
+    seed = proposed(sample, max(2, round(mean - 2 * mean ** 0.5)), bits)
+    return mine(chunks, least, bits, seed)
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, share: int = 10,

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 
 from helixspark.llm import phrases as P
+from helixspark.llm.bloom import add
 from helixspark.llm.phrases import collocations, encoded, frequent_phrases, mine, phrase_hash
 
 FOLD = {c: c + 32 for c in range(65, 91)}
@@ -73,16 +74,17 @@ def test_random_against_brute_force(spark):
 
 
 def test_border_failures_are_expanded(spark):
-    """A phrase that the sample lacks altogether is found, at each of its lengths."""
+    """Phrases that the sample lacks altogether are found, at each of their lengths."""
     rows = [(i, "en", "p q r s t" if i >= 100 else "a b") for i in range(140)]
     df = encoded(spark.createDataFrame(rows, "id long, lang string, text string"))
-    got, _ = mine(df, 20, 1 << 18, None)
-    seeded, _ = mine(df, 20, 1 << 18, np.zeros((1 << 18) // 8, np.uint8))
     f, n = counts(rows)
     want = {(g, " ".join(p), c) for (g, p), c in f.items() if c >= 20} | {(g, None, c) for g, c in n.items()}
-    assert {tuple(r) for r in got.collect()} == want == {tuple(r) for r in seeded.collect()}
-    all_known = np.full((1 << 18) // 8, 255, np.uint8)  # a filter that is full
-    assert {tuple(r) for r in mine(df, 20, 1 << 18, all_known)[0].collect()} == want
+    bits = 1 << 18
+    part = np.zeros(bits // 8, np.uint8)
+    add(part, np.array([phrase_hash("en", x) for x in ("p", "q", "r", "p q", "s", "a")]).view(np.uint64))
+    for seed in (np.zeros(bits // 8, np.uint8), part, np.full(bits // 8, 255, np.uint8)):  # none, some, all are known
+        got = [tuple(r) for r in mine(df, 20, bits, seed).collect()]
+        assert set(got) == want and len(got) == len(want)
 
 
 def test_frequent_counts_hot_phrase(spark):
