@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from helixspark.llm.bloom import bits_for, collected, filter_blocks, has
 from helixspark.llm.common import map_batches, to_batch, written
 from helixspark.llm.graph import components
 
@@ -204,7 +205,16 @@ def candidates(buckets: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
     """(key, text, n, fine) of each class that shares a bucket: its text, set size and fine sketch,
     whose first registers are the banded ones; written, as it is all that the searches read."""
     some = written(buckets.select("key").distinct(), "keys")
-    have = texts.join(some, "key").dropDuplicates(["key"]).select("key", "text")
+    bits = bits_for(some.count())
+    told = buckets.sparkSession.sparkContext.broadcast(collected(filter_blocks(some, bits), "once", bits))
+
+    def asked(c):
+        ok = pa.array(has(told.value, c["key"].to_numpy(zero_copy_only=False)))
+        return {x: v.filter(ok) for x, v in c.items()}
+
+    # a filter of 64 MB at most keeps the other texts out of the shuffle
+    near = map_batches(texts.select("key", "text"), asked, "key long, text string")
+    have = near.join(some, "key").dropDuplicates(["key"]).select("key", "text")
 
     def run(c):
         n, fine = [], []
