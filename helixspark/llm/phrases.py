@@ -123,7 +123,7 @@ def sampled(chunks: DataFrame, share: int) -> DataFrame:
     return chunks.mapInArrow(run, _CHUNK)
 
 
-def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late) -> Iterator[pa.RecordBatch]:
+def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only: int | None) -> Iterator[pa.RecordBatch]:
     """Rows (lang, phrase, cnt) of the phrases to count in a chunk (see ``count_pass``)."""
     hashes = np.array([_word_hash(*x) for x in zip(langs.to_pylist(), words.to_pylist())], np.uint64)
 
@@ -143,7 +143,7 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late) -> I
         ok[0] = False
         return ok
 
-    if late is None:
+    if late is None and only in (None, 1):
         cnt = np.bincount(ids, minlength=len(words))
         cnt[0] = 0
         used = np.flatnonzero(cnt)
@@ -160,12 +160,12 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late) -> I
         usable = np.flatnonzero((is_known | is_late)[ids])  # where all of k words may be frequent
         full = one.copy()
         holds = marked(np.flatnonzero(is_late[ids]))  # where k - 1 words hold a late phrase
-    for k in range(2, LONGEST + 1):
+    for k in range(2, (only or LONGEST) + 1):
         begins = marked(now)
         now = now[begins[now + 1]]
         hk = _longer(h[now], one[now + k - 1])
         if late is None:
-            if len(now):
+            if len(now) and only in (None, k):
                 yield rows(now, k, hk)
         else:
             border = marked(now)
@@ -181,11 +181,11 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late) -> I
         now = now[has(known, hk)]
 
 
-def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = None) -> DataFrame:
+def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = None, only: int | None = None) -> DataFrame:
     """(lang, phrase, cnt) over all of ``chunks``: the known phrases and their border, the single words
     and a row of all words of a lang (phrase null). With ``late``, phrases of the border that turned
     out to be frequent, the longer phrases instead that hold a late one, whose words are all known
-    or late, and that are neither known nor border themselves."""
+    or late, and that are neither known nor border themselves. ``only`` counts one length."""
     told = chunks.sparkSession.sparkContext.broadcast((known, late))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +193,7 @@ def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = N
         for b in batches:
             for i in range(b.num_rows):
                 langs, words = (b.column(c)[i].values for c in ("langs", "words"))
-                yield from _counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), known, late)
+                yield from _counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), known, late, only)
 
     return chunks.mapInArrow(run, _COUNTED).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
 
@@ -231,7 +231,7 @@ def proposed(chunks: DataFrame, least: int, bits: int) -> np.ndarray:
     length: a pass counts the phrases whose parts are frequent."""
     known = np.zeros(bits // 8, np.uint8)
     for length in range(1, LONGEST + 1):
-        got = count_pass(chunks, known).where((F.col("cnt") >= least) & F.col("phrase").isNotNull())
+        got = count_pass(chunks, known, only=length).where((F.col("cnt") >= least) & F.col("phrase").isNotNull())
         fresh = written(_fresh(got, known), "fresh")
         if not fresh.where(F.col("words") == length).limit(1).count():
             break
