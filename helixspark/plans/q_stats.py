@@ -17,6 +17,7 @@ from helixspark.plans.q_alignments import DUP_RATES_SQL, pairs_of
 from helixspark.plans.q_expression import VARIABLE_SQL, norm_of
 from helixspark.plans.q_variants import f1_records
 from helixspark.plans.registry import register
+from helixspark.session import written_once
 
 
 def _rebuilt(scores, loadings, pct, row: str, col: str, k: int):
@@ -60,7 +61,8 @@ from used cross join (values ('intercept'), ('slope')) e(equation) group by 1"""
 def q_dup_rate_fit(spark, sf):
     """The two score equations of the fit: sums of weight * (rate - fitted) and the same times log10(rpk),
     as a share of all reads. Both vanish at the maximum of the likelihood and only there."""
-    rates = AL.dup_rates(AL.mark_duplicates(pairs_of(spark, sf)), fixture(spark, sf, "f5_exons"))
+    # a row per gene: the fit's rounds and both equations read it again
+    rates = written_once(AL.dup_rates(AL.mark_duplicates(pairs_of(spark, sf)), fixture(spark, sf, "f5_exons")), "dup-rates")
     b0, b1 = STT.fit_dup_rate(rates)
     d = rates.filter((F.col("rpk") > 0) & F.col("dup_rate").isNotNull()).withColumn("x", F.log10("rpk"))
     gap = F.col("all_reads") * (F.col("dup_rate") - 1 / (1 + F.exp(-(F.lit(b0) + F.lit(b1) * F.col("x")))))

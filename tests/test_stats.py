@@ -72,3 +72,24 @@ def test_size_factors_against_plain_median(spark):
     want = np.exp(np.median(np.log(x[:, ok]) - np.log(x[:, ok]).mean(0), axis=1))
     got = [r.size_factor for r in size_factors(df).orderBy("sample").collect()]
     assert np.allclose(got, want, atol=1e-12)
+
+
+def test_dup_rate_fit_works_out_the_rates_once(spark, monkeypatch):
+    from helixspark.plans import q_stats as Q
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    schema = "gene_id string, all_reads long, dup_rate double, rpk double"
+    rates = spark.createDataFrame([(f"g{i}", 10 + i, (i % 7 + 1) / 10, 1.5 * i) for i in range(1, 40)], schema).mapInArrow(run, schema)
+    monkeypatch.setattr(Q, "pairs_of", lambda *a: rates)
+    monkeypatch.setattr(Q, "fixture", lambda *a: rates)
+    monkeypatch.setattr(Q.AL, "mark_duplicates", lambda df: df)
+    monkeypatch.setattr(Q.AL, "dup_rates", lambda df, exons: df)
+    got = {r["equation"]: (r["residual"], r["genes"]) for r in Q.q_dup_rate_fit(spark, "").collect()}
+    assert got == {"intercept": (0.0, 39), "slope": (0.0, 39)}
+    assert seen.value == 39
