@@ -23,14 +23,8 @@ def info_map(info) -> Column:
     (needs ``spark.sql.mapKeyDedupPolicy=LAST_WIN``).
     """
     info = _c(info)
-    entries = F.transform(
-        F.split(info, ";"),
-        lambda e: F.struct(
-            F.substring_index(e, "=", 1).alias("key"),
-            F.when(F.instr(e, "=") > 0, F.substr(e, F.instr(e, "=") + 1)).otherwise(F.lit("true")).alias("value"),
-        ),
-    )
-    return F.when(info.isNull() | (info == "."), _empty_map()).otherwise(F.map_from_entries(entries))
+    pairs = F.transform_values(F.str_to_map(info, F.lit(";"), F.lit("=")), lambda k, v: F.coalesce(v, F.lit("true")))
+    return F.when(info.isNull() | (info == "."), _empty_map()).otherwise(pairs)
 
 
 def format_map(fmt, value) -> Column:
@@ -41,7 +35,7 @@ def format_map(fmt, value) -> Column:
     fmt, value = _c(fmt), _c(value)
     keys = F.split(fmt, ":")
     vals = F.split(value, ":")
-    padded = F.transform(keys, lambda k, i: F.coalesce(F.get(vals, i), F.lit(".")))
+    padded = F.zip_with(keys, F.slice(vals, F.lit(1), F.size(keys)), lambda k, v: F.coalesce(v, F.lit(".")))
     return F.when(
         fmt.isNull() | value.isNull() | (fmt == ".") | (value == "."), _empty_map()
     ).otherwise(F.map_from_arrays(keys, padded))

@@ -66,15 +66,22 @@ def genotype_rows(vcf: DataFrame) -> DataFrame:
     A record with FORMAT but fewer sample columns than names gets ``./.`` and an
     empty map for the missing samples (no error).
     """
+    return _with_calls(_sample_rows(vcf)).withColumn("sample_id", F.md5(F.col("sample_name")))
+
+
+def _sample_rows(vcf: DataFrame) -> DataFrame:
+    """One row per (record, sample) with the sample's text as ``sample_value``."""
     v = _sample_axis(vcf)
     v = v.select("*", F.posexplode("sample_names").alias("sample_idx", "sample_name"))
-    attrs = V.format_map(F.col("format"), F.get(F.col("sample_values"), F.col("sample_idx")))
+    return v.withColumn("sample_value", F.get(F.col("sample_values"), F.col("sample_idx"))).drop("sample_names", "sample_values")
+
+
+def _with_calls(rows: DataFrame) -> DataFrame:
+    """FORMAT map and GT of ``sample_value`` in its place."""
     return (
-        v.drop("sample_names")
-        .withColumn("attributes", attrs)
+        rows.withColumn("attributes", V.format_map("format", "sample_value"))
         .withColumn("genotype", V.genotype("attributes"))
-        .withColumn("sample_id", F.md5(F.col("sample_name")))
-        .drop("sample_values")
+        .drop("sample_value")
     )
 
 
@@ -96,6 +103,35 @@ def select_samples(rows: DataFrame, name: str | None) -> DataFrame:
 
 # --------------------------------------------------------------------------- layouts
 
+#: (partition columns, sort columns) of each stored table.
+STORED_ORDER = {
+    (1, "variants"): (["chrom"], ["pos"]),
+    (1, "samples"): ([], ["sample_id"]),
+    (1, "variant_samples"): (["variant_id_bucket"], ["sample_id"]),
+    (2, "variant_regions"): (["chrom", "pos_bin"], ["pos"]),
+    (3, "genomic_variants"): (["sample_bucket", "chrom"], ["chrom", "pos"]),
+    (4, "variants"): (["chrom", "pos_bin"], ["pos"]),
+    (4, "samples"): ([], ["sample_id"]),
+    (4, "variant_samples"): (["chrom", "pos_bin"], ["pos"]),
+}
+
+
+def in_stored_order(df: DataFrame, layout: int, name: str) -> DataFrame:
+    """``df`` range-partitioned and sorted as the table stands in its files.
+
+    Ranges on (partition columns, sort columns): a large chromosome or bucket is split over many
+    tasks, each writing files with disjoint, sorted position ranges (tight Parquet min/max for
+    region scans)."""
+    parts, order = STORED_ORDER[(layout, name)]
+    return df.repartitionByRange(*parts, *order).sortWithinPartitions(*parts, *order)
+
+
+def _placed(rows: DataFrame, layout: int, name: str, ordered: bool) -> DataFrame:
+    """Raw rows of a table, in its stored order if asked. The maps are made behind this step: finding
+    the ranges takes a pass of its own, and raw text is smaller in the shuffle than maps."""
+    return in_stored_order(rows, layout, name) if ordered else rows
+
+
 def variant_id(alt_col: str = "alt") -> Column:
     return V.stable_id("file_id", "chrom", "pos", "ref", alt_col)
 
@@ -110,25 +146,33 @@ def samples_table(vcf: DataFrame) -> DataFrame:
     )
 
 
-def to_layout1(vcf: DataFrame) -> dict[str, DataFrame]:
-    """Normalised layout: variants, samples, variant_samples."""
-    v = normalise_missing(vcf).withColumn("variant_id", variant_id()).withColumn("info_m", V.info_map("info"))
-    variants = v.select(
-        "variant_id", "chrom", "pos", "vcf_id", "ref", "alt", "qual", "filter", F.col("info_m").alias("info")
+def to_layout1(vcf: DataFrame, ordered: bool = False) -> dict[str, DataFrame]:
+    """Normalised layout: variants, samples, variant_samples. ``ordered`` (here and in the other
+    layouts): the big tables come in their stored order, for ``write_layout(..., ordered=True)``."""
+    v = normalise_missing(vcf)
+    variants = v.select("file_id", "chrom", "pos", "vcf_id", "ref", "alt", "qual", "filter", "info")
+    variants = _placed(variants, 1, "variants", ordered).select(
+        variant_id().alias("variant_id"), "chrom", "pos", "vcf_id", "ref", "alt", "qual", "filter", V.info_map("info").alias("info")
     )
-    links = genotype_rows(v).select(
+    links = _sample_rows(v.withColumn("variant_id", variant_id())).select(
+        "variant_id", F.md5("sample_name").alias("sample_id"), "format", "sample_value", "info",
+        bucket(F.col("variant_id"), LINK_BUCKETS).alias("variant_id_bucket"))
+    links = _with_calls(_placed(links, 1, "variant_samples", ordered)).select(
         "variant_id",
         "sample_id",
         "genotype",
         "attributes",
-        V.is_ref_block("info_m").alias("is_reference_block"),
-    ).withColumn("variant_id_bucket", bucket(F.col("variant_id"), LINK_BUCKETS))
+        V.is_ref_block(V.info_map("info")).alias("is_reference_block"),
+        "variant_id_bucket",
+    )
     return {"variants": variants, "samples": samples_table(vcf), "variant_samples": links}
 
 
-def to_layout2(vcf: DataFrame) -> DataFrame:
+def to_layout2(vcf: DataFrame, bin_size: int = POS_BIN, ordered: bool = False) -> DataFrame:
     """Regions: one row per record, sample ids -> names and ids -> GT as maps."""
-    v = _sample_axis(normalise_missing(vcf)).withColumn("info_m", V.info_map("info"))
+    v = _sample_axis(normalise_missing(vcf)).select(
+        "chrom", "pos", "ref", "alt", "qual", "filter", "info", "format", "sample_names", "sample_values", V.pos_bin("pos", bin_size).alias("pos_bin"))
+    v = _placed(v, 2, "variant_regions", ordered).withColumn("info_m", V.info_map("info"))
     ids = F.transform("sample_names", lambda n: F.md5(n))
     gts = F.transform(
         "sample_names",
@@ -145,14 +189,16 @@ def to_layout2(vcf: DataFrame) -> DataFrame:
         F.map_from_arrays(ids, F.col("sample_names")).alias("sample_ids"),
         F.map_from_arrays(ids, gts).alias("sample_genotypes"),
         V.is_ref_block("info_m").alias("is_reference_block"),
-        V.pos_bin("pos", POS_BIN).alias("pos_bin"),
+        "pos_bin",
     )
 
 
-def to_layout3(vcf: DataFrame, sample: str | None = None) -> DataFrame:
+def to_layout3(vcf: DataFrame, sample: str | None = None, ordered: bool = False) -> DataFrame:
     """Denormalised: one row per (record, sample); ALT kept as a list; ``.`` id kept."""
-    v = vcf.withColumn("info_m", V.info_map("info"))
-    rows = select_samples(genotype_rows(v), sample)
+    rows = select_samples(_sample_rows(vcf), sample).select(
+        F.md5("sample_name").alias("sample_id"), "sample_name", "vcf_id", "chrom", "pos", "ref", "alt", "qual", "filter", "info", "format", "sample_value")
+    rows = rows.withColumn("sample_bucket", bucket(F.col("sample_id"), SAMPLE_BUCKETS))
+    rows = _with_calls(_placed(rows, 3, "genomic_variants", ordered)).withColumn("info_m", V.info_map("info"))
     return rows.select(
         "sample_id",
         "sample_name",
@@ -167,7 +213,8 @@ def to_layout3(vcf: DataFrame, sample: str | None = None) -> DataFrame:
         F.col("info_m").alias("info"),
         "attributes",
         V.is_ref_block("info_m").alias("is_reference_block"),
-    ).withColumn("sample_bucket", bucket(F.col("sample_id"), SAMPLE_BUCKETS))
+        "sample_bucket",
+    )
 
 
 LAYOUT3_KEY = ("sample_id", "variant_name", "chrom", "pos")
@@ -180,18 +227,17 @@ def explode_alts(vcf: DataFrame) -> DataFrame:
     ).withColumn("alt", V.alt_or_empty("_alt")).drop("_alt")
 
 
-def to_layout4(vcf: DataFrame) -> dict[str, DataFrame]:
+def to_layout4(vcf: DataFrame, ordered: bool = False) -> dict[str, DataFrame]:
     """Row per ALT, an id per ALT (so a 3-ALT record joins to 3 link rows, not 9)."""
-    v = explode_alts(normalise_missing(vcf.withColumn("alt", F.col("alt"))))
-    v = v.withColumn("variant_id", variant_id()).withColumn("info_m", V.info_map("info"))
-    variants = v.select(
-        "variant_id", "chrom", "pos", "vcf_id", "ref", "alt", "qual", "filter", F.col("info_m").alias("info"),
-        V.pos_bin("pos", POS_BIN).alias("pos_bin"),
+    v = explode_alts(normalise_missing(vcf)).withColumn("pos_bin", V.pos_bin("pos", POS_BIN))
+    variants = v.select("file_id", "chrom", "pos", "vcf_id", "ref", "alt", "qual", "filter", "info", "pos_bin")
+    variants = _placed(variants, 4, "variants", ordered).select(
+        variant_id().alias("variant_id"), "chrom", "pos", "vcf_id", "ref", "alt", "qual", "filter", V.info_map("info").alias("info"), "pos_bin",
     )
-    links = genotype_rows(v).select(
-        "variant_id", "sample_id", "chrom", "pos", "genotype", "attributes",
-        V.is_ref_block("info_m").alias("is_reference_block"),
-        V.pos_bin("pos", POS_BIN).alias("pos_bin"),
+    links = _sample_rows(v).select("file_id", "chrom", "pos", "ref", "alt", "sample_name", "format", "sample_value", "info", "pos_bin")
+    links = _with_calls(_placed(links, 4, "variant_samples", ordered)).select(
+        variant_id().alias("variant_id"), F.md5("sample_name").alias("sample_id"), "chrom", "pos", "genotype", "attributes",
+        V.is_ref_block(V.info_map("info")).alias("is_reference_block"), "pos_bin",
     )
     return {"variants": variants, "samples": samples_table(vcf), "variant_samples": links}
 
@@ -199,7 +245,10 @@ def to_layout4(vcf: DataFrame) -> dict[str, DataFrame]:
 def upsert(old: DataFrame, new: DataFrame, keys=LAYOUT3_KEY, version: str = "version") -> DataFrame:
     """Keep the newest row per key (highest ``version``; ties broken by all other columns that
     can be ordered). A grouped ``max_by``: rows of a key are reduced before the shuffle."""
-    u = old.unionByName(new)
+    return _newest(old.unionByName(new), keys, version)
+
+
+def _newest(u: DataFrame, keys, version: str) -> DataFrame:
     rest = [c for c in u.columns if c not in keys]
     tie = [c for c in rest if c != version and not isinstance(u.schema[c].dataType, MapType)]
     g = u.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(version, *tie)).alias("_r"))
@@ -212,13 +261,18 @@ def upsert_layout3(spark: SparkSession, path: str, new: DataFrame, version: str
 
     The touched folders are found first and named to the scan as a literal filter on the partition
     columns, so the listing is pruned whatever ``new`` is. At most ``SAMPLE_BUCKETS`` buckets a
-    chromosome come to the driver, as one array per chromosome."""
+    chromosome come to the driver, as one array per chromosome.
+
+    All rows go through one exchange: in the stored order the rows of a key stand together, as its
+    folder and position are part of it, so they are merged there and written as they come. Folders
+    are replaced at the end of the write only, so the old rows can be read until then."""
     new = written_once(new, "upsert-new")
     touched = new.groupBy("chrom").agg(F.sort_array(F.collect_set("sample_bucket")).alias("b")).collect()
     stored = spark.read.parquet(f"{path}/layout3/genomic_variants")
     old = stored.filter(touched_folders(touched)).select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in new.columns])
-    merged = written_once(upsert(old, new, version=version), "upsert")  # not read while it is overwritten
-    write_layout(merged, path, 3)
+    u = old.unionByName(new).repartitionByRange("sample_bucket", "chrom", "pos")
+    merged = _newest(u, ("sample_bucket", "chrom", "pos", *[k for k in LAYOUT3_KEY if k not in ("chrom", "pos")]), version)
+    write_layout(merged, path, 3, ordered=True)
 
 
 def touched_folders(touched: list) -> Column:
@@ -235,9 +289,9 @@ def touched_folders(touched: list) -> Column:
     return cond
 
 
-def stored_layout(spark: SparkSession, tables: dict[str, DataFrame] | DataFrame, path: str, layout: int) -> dict[str, DataFrame]:
+def stored_layout(spark: SparkSession, tables: dict[str, DataFrame] | DataFrame, path: str, layout: int, ordered: bool = False) -> dict[str, DataFrame]:
     """Write a layout and read its tables back with the written column types."""
-    write_layout(tables, path, layout)
+    write_layout(tables, path, layout, ordered=ordered)
     if isinstance(tables, DataFrame):
         tables = {"variant_regions" if layout == 2 else "genomic_variants": tables}
     out = {}
@@ -249,32 +303,21 @@ def stored_layout(spark: SparkSession, tables: dict[str, DataFrame] | DataFrame,
     return out
 
 
-def write_layout(tables: dict[str, DataFrame] | DataFrame, path: str, layout: int, mode: str = "overwrite") -> None:
-    """Write a layout as partitioned Parquet (dynamic partition overwrite).
-
-    Clustering: rows are range-partitioned on (partition columns, sort columns) and
-    sorted inside each file, so files hold disjoint position ranges for min/max
-    skipping and no chromosome or bucket is written by a single task.
+def write_layout(tables: dict[str, DataFrame] | DataFrame, path: str, layout: int, mode: str = "overwrite", ordered: bool = False) -> None:
+    """Write a layout as partitioned Parquet (dynamic partition overwrite), each table in its stored
+    order (see ``in_stored_order``). ``ordered``: the tables come from a layout function that was
+    asked for that order, so only the samples are arranged here.
     """
     if isinstance(tables, DataFrame):
         tables = {"variant_regions" if layout == 2 else "genomic_variants": tables}
-    spec = {
-        (1, "variants"): (["chrom"], ["pos"]),
-        (1, "samples"): ([], ["sample_id"]),
-        (1, "variant_samples"): (["variant_id_bucket"], ["sample_id"]),
-        (2, "variant_regions"): (["chrom", "pos_bin"], ["pos"]),
-        (3, "genomic_variants"): (["sample_bucket", "chrom"], ["chrom", "pos"]),
-        (4, "variants"): (["chrom", "pos_bin"], ["pos"]),
-        (4, "samples"): ([], ["sample_id"]),
-        (4, "variant_samples"): (["chrom", "pos_bin"], ["pos"]),
-    }
     for name, df in tables.items():
-        parts, order = spec[(layout, name)]
-        # range partitioning on (partition columns, sort columns): a large chromosome
-        # or bucket is split over many tasks, each writing files with disjoint,
-        # sorted position ranges (tight Parquet min/max for region scans)
-        out = df.repartitionByRange(*parts, *order).sortWithinPartitions(*parts, *order)
+        parts, _ = STORED_ORDER[(layout, name)]
+        out = df if ordered and parts else in_stored_order(df, layout, name)
         w = out.write.mode(mode).option("maxRecordsPerFile", 5_000_000).option("partitionOverwriteMode", "dynamic")
+        if parts and mode == "overwrite":
+            # folders are staged until the job's end anyway, so tasks may move their files there
+            # themselves: the driver then moves whole folders only
+            w = w.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(f"{path}/layout{layout}/{name}")

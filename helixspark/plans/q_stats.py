@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from helixspark.functions import vcf as V
 from helixspark.operators import alignments as AL
 from helixspark.operators import expression as EX
 from helixspark.operators import genomic_order as GO
@@ -96,8 +95,7 @@ select chrom, pos, ref, alt, md5(sampleid) as sample_id from f1_calls
 where chrom = 'chr5' and pos between 20000 and 300000""", "f1_calls"))
 def q_region_scan(spark, sf):
     path = X.fresh_dir(spark, "layout2")
-    regions = VA.to_layout2(f1_records(spark, sf)).withColumn("pos_bin", V.pos_bin("pos", 100_000))
-    VA.write_layout(regions, path, 2)
+    VA.write_layout(VA.to_layout2(f1_records(spark, sf), bin_size=100_000, ordered=True), path, 2, ordered=True)
     stored = spark.read.parquet(f"{path}/layout2/variant_regions")
     hit = VA.in_region(stored, "chr5", 20000, 300000, bin_size=100_000)
     return hit.select("chrom", "pos", "ref", "alt", F.explode(F.map_keys("sample_ids")).alias("sample_id"))

@@ -226,7 +226,7 @@ select md5(concat_ws(':', 'f1', chrom, cast(pos as varchar), ref, alt)) as varia
   split_part(sample, ':', 1) as genotype, regexp_matches(info, '(^|;)END=') as is_reference_block
 from f1_calls""", "f1_calls"))
 def q_layout1(spark, sf):
-    t = VA.stored_layout(spark, VA.to_layout1(f1_records(spark, sf)), X.fresh_dir(spark, "layout1"), 1)
+    t = VA.stored_layout(spark, VA.to_layout1(f1_records(spark, sf), ordered=True), X.fresh_dir(spark, "layout1"), 1, ordered=True)
     links = t["variant_samples"].join(t["samples"], "sample_id")  # every link has its sample
     return links.select("variant_id", "sample_id", "genotype", "is_reference_block")
 
@@ -237,7 +237,7 @@ select chrom, pos, ref, alt, nullif(filter, '.') as filter, md5(sampleid) as sam
   regexp_matches(info, '(^|;)END=') as is_reference_block
 from f1_calls""", "f1_calls"))
 def q_layout2(spark, sf):
-    r = VA.stored_layout(spark, VA.to_layout2(f1_records(spark, sf)), X.fresh_dir(spark, "layout2"), 2)["variant_regions"]
+    r = VA.stored_layout(spark, VA.to_layout2(f1_records(spark, sf), ordered=True), X.fresh_dir(spark, "layout2"), 2, ordered=True)["variant_regions"]
     e = r.select("*", F.explode("sample_ids").alias("sample_id", "sample_name"))
     return e.select(
         "chrom", "pos", "ref", "alt", "filter", "sample_id", "sample_name",
@@ -251,7 +251,7 @@ select md5(sampleid) as sample_id, '.' as variant_name, chrom, pos, ref, alt as
   nullif(filter, '.') as filter
 from f1_calls""", "f1_calls"))
 def q_layout3(spark, sf):
-    r = VA.stored_layout(spark, VA.to_layout3(f1_records(spark, sf)), X.fresh_dir(spark, "layout3"), 3)["genomic_variants"]
+    r = VA.stored_layout(spark, VA.to_layout3(f1_records(spark, sf), ordered=True), X.fresh_dir(spark, "layout3"), 3, ordered=True)["genomic_variants"]
     return r.select(
         "sample_id", "variant_name", "chrom", "pos", "ref", F.array_join("alt", ",").alias("alt_list"),
         F.size("alt").alias("n_alts"), "genotype", "filter",
@@ -263,7 +263,7 @@ select md5(concat_ws(':', 'f1', chrom, cast(pos as varchar), ref, a)) as variant
   chrom, pos, a as alt, split_part(sample, ':', 1) as genotype
 from (select *, unnest(string_split(alt, ',')) as a from f1_calls)""", "f1_calls"))
 def q_layout4(spark, sf):
-    t = VA.stored_layout(spark, VA.to_layout4(f1_records(spark, sf)), X.fresh_dir(spark, "layout4"), 4)
+    t = VA.stored_layout(spark, VA.to_layout4(f1_records(spark, sf), ordered=True), X.fresh_dir(spark, "layout4"), 4, ordered=True)
     v = t["variants"].dropDuplicates(["variant_id"]).select("variant_id", "alt")
     links = t["variant_samples"]
     return links.join(v, "variant_id").select("variant_id", "sample_id", "chrom", "pos", "alt", "genotype")
@@ -279,7 +279,7 @@ select sample_id, chrom, pos, genotype, version from r where rn = 1""", "f1_call
 def q_upsert(spark, sf):
     rec = f1_records(spark, sf)
     path = X.fresh_dir(spark, "layout3")
-    VA.write_layout(VA.to_layout3(rec).withColumn("version", F.lit(1)), path, 3)
+    VA.write_layout(VA.to_layout3(rec, ordered=True).withColumn("version", F.lit(1)), path, 3, ordered=True)
     new = VA.to_layout3(rec.filter(F.col("filter") == ".")).withColumn("genotype", F.lit("./.")).withColumn(
         "version", F.lit(2))
     VA.upsert_layout3(spark, path, new)
