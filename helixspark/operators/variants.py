@@ -398,7 +398,8 @@ def typed_fields(records: DataFrame, info_defs: DataFrame, format_defs: DataFram
         d = defs.groupBy("file_id", F.col("id").alias("key")).agg(F.first("type").alias("type"), F.first("number").alias("number"))
         return d.withColumn("scope", F.lit(scope))
 
-    defs = declared("INFO", info_defs).unionByName(declared("FORMAT", format_defs))
+    # a row per file and key, written: its size is known, so while it is small no value is shuffled
+    defs = written_once(declared("INFO", info_defs).unionByName(declared("FORMAT", format_defs)), "vcf-fields")
     t = info.unionByName(cells).join(defs, ["file_id", "scope", "key"], "left")
     values = F.when(F.col("type").eqNullSafe("Flag"), None).otherwise(F.transform(F.split("_raw", ","), lambda x: F.nullif(x, F.lit("."))))
     t = t.withColumn("_v", values).withColumn("_want", _expected(F.col("number"), F.col("_n_alt"), F.col("_ploidy")))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixspark.session import written_once
 from helixspark.sources.bgzf import read_bgzf_lines
 
 
@@ -46,8 +47,9 @@ def read_vcf(spark: SparkSession, paths, repartition: int | None = None, lines:
     f = data.select("file_id", "line", F.split(F.regexp_replace("line", r"[\r\n]+$", ""), "\t").alias("f"))
     good = f.filter(F.size("f") >= 8)
     rejects = f.filter(F.size("f") < 8).select("file_id", "line", F.lit("fewer than 8 fields").alias("reason"))
-    hdr = ln.filter(F.col("line").startswith("#CHROM")).select(
-        "file_id", _from(F.split(F.regexp_replace("line", r"[\r\n]+$", ""), "\t"), 10).alias("sample_names"))
+    # one header row per file, written: its size is known, so while it is small no record is shuffled
+    hdr = written_once(ln.filter(F.col("line").startswith("#CHROM")).select(
+        "file_id", _from(F.split(F.regexp_replace("line", r"[\r\n]+$", ""), "\t"), 10).alias("sample_names")), "vcf-samples")
     rec = good.select(
         "file_id",
         F.col("f")[0].alias("chrom"),
@@ -61,7 +63,6 @@ def read_vcf(spark: SparkSession, paths, repartition: int | None = None, lines:
         F.get(F.col("f"), 8).alias("format"),
         _from(F.col("f"), 10).alias("sample_values"),
     )
-    # one header row per file: a small side, broadcast when AQE measures it small
     rec = rec.join(hdr, "file_id", "left").withColumn(
         "sample_names", F.coalesce("sample_names", F.array().cast("array<string>")))
     if repartition:

@@ -1,5 +1,6 @@
 """VCF parsing, layouts and Ti/Tv on literal records (edge rules of the loaders)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from helixspark.functions import vcf as V
@@ -180,3 +181,73 @@ def test_upsert_reads_touched_folders_only(spark, tmp_dir):
     named = spark.createDataFrame([("chr1", [3]), ("chr3", [3]), ("chr4", [4]), (None, [4])], "chrom string, b array<int>").collect()
     plan = stored.filter(VA.touched_folders(named))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "sample_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("layout", [1, 2, 3, 4])
+def test_ordered_layouts_shuffle_raw_text(spark, layout):
+    """Asked for their stored order, the layouts give the same rows, and maps are made behind the shuffle."""
+    schema = ("file_id string, chrom string, pos long, vcf_id string, ref string, alt string, qual string, filter string, info string, "
+              "format string, sample_names array<string>, sample_values array<string>")
+    rec = spark.createDataFrame([
+        ("f", "chr2", 5, ".", "A", "C,T", "3.5", "PASS", "DP=1;DB", "GT:DP", ["a", "b"], ["0/1:3"]),
+        ("f", None, None, "x", "A", ".", ".", ".", ".", ".", ["a"], ["."]),
+        ("g", "chr1", 9, ".", "A", "G", "bad", None, "END=9;X=1=2;X=3", "GT:GT", [], []),
+        ("g", "chr1", 9, ".", "A", "G", "bad", None, None, None, ["a"], None)], schema)
+    to = {1: VA.to_layout1, 2: VA.to_layout2, 3: VA.to_layout3, 4: VA.to_layout4}[layout]
+    plain, ordered = to(rec), to(rec, ordered=True)
+    if layout in (2, 3):
+        plain, ordered = {"t": plain}, {"t": ordered}
+    for name, df in ordered.items():
+        assert df.schema == plain[name].schema
+        assert sorted(map(str, df.collect())) == sorted(map(str, plain[name].collect()))
+        if name != "samples":
+            below = _plan(df).split("RepartitionByExpression", 1)[1]
+            assert "str_to_map" not in below and "map_from_arrays" not in below
+
+
+def test_maps_keep_their_rules(spark):
+    f = spark.createDataFrame([(x,) for x in ("DP=1;DB;END=5", ".", None, "", "A=1=2;;B=", "=x", "A=1;B=2;A=3")], "i string")
+    got = [r[0] for r in f.select(V.info_map("i")).collect()]
+    assert got == [{"DP": "1", "DB": "true", "END": "5"}, {}, {}, {"": "true"}, {"A": "1=2", "": "true", "B": ""}, {"": "x"}, {"A": "3", "B": "2"}]
+    m = spark.createDataFrame([("GT:DP", "0/1:3:4"), ("GT:DP", "0/1"), ("GT", "."), (None, "1"), ("GT:GT", "a:b"), ("GT:DP", "")], "f string, v string")
+    got = [r[0] for r in m.select(V.format_map("f", "v")).collect()]
+    assert got == [{"GT": "0/1", "DP": "3"}, {"GT": "0/1", "DP": "."}, {}, {}, {"GT": "b"}, {"GT": "", "DP": "."}]
+
+
+def test_upsert_layout3_takes_one_exchange(spark, tmp_dir, monkeypatch):
+    """The merged rows come from one range shuffle of old and new rows, in the order of their files."""
+    schema = "sample_id string, variant_name string, chrom string, pos long, genotype string, info map<string,string>, sample_bucket int, version int"
+    old = [("s", ".", "chr1", p % 7, "0/1", {"A": "1"}, 3, 1) for p in range(20)] + [("s", ".", "chr2", 1, "0/0", {}, 3, 1)]
+    new = [("s", ".", "chr1", 3, "1/1", {"B": "2"}, 3, 2), ("s", None, "chr1", 3, "1/1", None, 3, 2)]
+    VA.write_layout(spark.createDataFrame(old, schema), tmp_dir, 3)
+    plans = []
+    write = VA.write_layout
+    monkeypatch.setattr(VA, "write_layout", lambda df, *a, **k: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a, **k)))
+    VA.upsert_layout3(spark, tmp_dir, spark.createDataFrame(new, schema))
+    assert plans[0].count("Exchange") == 1
+    got = spark.read.parquet(f"{tmp_dir}/layout3/genomic_variants").collect()
+    assert sorted((r["chrom"], r["pos"], r["variant_name"] or "", r["genotype"], r["version"]) for r in got) == sorted(
+        [("chr1", p, ".", "0/1", 1) for p in range(7) if p != 3] + [("chr1", 3, ".", "1/1", 2), ("chr1", 3, "", "1/1", 2), ("chr2", 1, ".", "0/0", 1)])
+
+
+def test_records_and_values_are_not_shuffled_for_headers(spark, tmp_dir):
+    """Sample names and declared types stand in small written tables: records meet them by broadcast."""
+    lines = ["##INFO=<ID=DP,Number=1,Type=Integer,Description=\"d\">", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1"]
+    lines += [f"chr1\t{i}\t.\tA\tC\t.\tPASS\tDP={i}\tGT\t0/1" for i in range(3000)]
+    (spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_dir}/v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "30000")
+    try:
+        rec, _ = read_vcf(spark, f"{tmp_dir}/v")
+        _, info, fmt = vcf_header(read_lines(spark, f"{tmp_dir}/v"))
+        t = VA.typed_fields(rec, info, fmt)
+        for df in (rec, t):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert t.filter("key = 'DP'").agg({"ints": "count"}).first()[0] == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
