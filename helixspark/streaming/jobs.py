@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixspark.operators import variants as VA
+from helixspark.session import written_once
 from helixspark.sources.vcf import read_vcf
 
 LAYOUTS = {1: VA.to_layout1, 2: VA.to_layout2, 3: VA.to_layout3, 4: VA.to_layout4}
@@ -33,11 +34,10 @@ def append_stream(spark: SparkSession, src: str, out: str, ckpt: str, layout: in
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rec, rejects = read_vcf(batch.sparkSession, None, lines=batch)
-        rec = rec.persist()  # read once for all tables of the layout
+        rec = written_once(rec, "stream-records")  # text is parsed once for all tables of the layout
         target = f"{out}/batch_id={batch_id}"
-        VA.write_layout(LAYOUTS[layout](rec), target, layout)
+        VA.write_layout(LAYOUTS[layout](rec, ordered=True), target, layout, ordered=True)
         rejects.write.mode("overwrite").parquet(f"{target}/rejects")
-        rec.unpersist()
         batch.sparkSession.range(1).write.mode("overwrite").parquet(f"{out}/commits/batch_id={batch_id}")
 
     w = lines.writeStream.foreachBatch(load).option("checkpointLocation", ckpt)
