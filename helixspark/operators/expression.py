@@ -24,7 +24,7 @@ def gtf_attributes(attr) -> Column:
 
 
 def to_bed12(features: DataFrame, tx: str = "tx", contig: str = "contig", feature: str = "feature", start: str = "start1",
-             end: str = "end1", strand: str = "strand", order: str = "ord") -> DataFrame:
+             end: str = "end1", strand: str = "strand", order: str = "ord", codons: DataFrame | None = None) -> DataFrame:
     """GTF features of transcripts (1-based closed) -> BED12 rows in order of (chrom, start).
 
     ``exon`` and ``miRNA`` features are the blocks, sorted by start, with sizes and starts as comma
@@ -34,7 +34,13 @@ def to_bed12(features: DataFrame, tx: str = "tx", contig: str = "contig", featur
     and rows are sorted by chromosome and that feature's start, ties by name. Features without a
     transcript are left out, and so are transcripts without blocks. One group per transcript (a
     handful of features).
+
+    ``codons`` (transcript, cds_start, cds_end; one row a transcript) stands for the codon features;
+    ``features`` may then be plain exons without the feature and order columns.
     """
+    if codons is not None:
+        have = {feature: F.lit("exon"), order: F.col(start)}
+        features = features.withColumns({c: v for c, v in have.items() if c not in features.columns})
     block = F.col(feature).isin("exon", "miRNA")
     g = features.filter(F.col(tx).isNotNull() & (F.col(tx) != "")).groupBy(tx).agg(
         F.min_by(F.struct(F.col(contig).alias("chrom"), F.col(strand).alias("strand"), F.col(start).alias("at")), F.when(block, F.col(order))).alias("f"),
@@ -42,6 +48,8 @@ def to_bed12(features: DataFrame, tx: str = "tx", contig: str = "contig", featur
         F.max_by(start, F.when(F.col(feature) == "start_codon", F.col(order))).alias("cds_start"),
         F.max_by(end, F.when(F.col(feature) == "stop_codon", F.col(order))).alias("cds_end"),
     ).filter(F.size("ex") > 0)
+    if codons is not None:
+        g = g.drop("cds_start", "cds_end").join(codons.select(tx, "cds_start", "cds_end"), tx, "left")
     beg = F.col("ex")[0]["s"]
     fin = F.element_at(F.col("ex"), -1)["e"]
     minus = F.col("f.strand") == "-"
