@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from helixspark.functions import sequence as S
 from helixspark.operators.common import rank_within
+from helixspark.session import written_once
 
 
 def with_msa_row(msa: DataFrame, chain: str = "chain", order: str = "row_no") -> DataFrame:
@@ -198,9 +199,11 @@ BLOCK_ROWS = 512
 
 
 def _row_blocks(rows: DataFrame, chain: str, name: str) -> DataFrame:
-    """(chain, ``name``): blocks of at most ``BLOCK_ROWS`` rows with their sequences."""
-    block = F.floor(F.col("msa_row") / BLOCK_ROWS)
-    return rows.groupBy(chain, block.alias("_b")).agg(F.collect_list(F.struct("msa_row", "seq")).alias(name)).drop("_b")
+    """(chain, ``name``): blocks of at most ``BLOCK_ROWS`` rows with their sequences. Rows are counted
+    within their own side: centres drawn from all over an alignment still fill whole blocks."""
+    placed = rank_within(rows.select(chain, "msa_row", "seq"), [chain], ["msa_row"], "_nth")
+    block = F.floor((F.col("_nth") - 1) / BLOCK_ROWS)
+    return placed.groupBy(chain, block.alias("_b")).agg(F.collect_list(F.struct("msa_row", "seq")).alias(name)).drop("_b")
 
 
 def _letters(rows: list[dict], width: int) -> np.ndarray:
@@ -261,13 +264,22 @@ def cluster_profiles(assigned: DataFrame, extra: DataFrame, centers: DataFrame,
     ex = extra.select(chain, F.col("msa_row").alias("extra_row"), "seq", *carried).join(
         assigned.select(chain, "extra_row", "center_row"), [chain, "extra_row"]).drop("extra_row")
     ce = centers.select(chain, F.col("msa_row").alias("center_row"), "seq", *carried)
-    allr = ex.unionByName(ce)
+    # written, so the assignment runs once and not for each reader
+    allr = written_once(ex.unionByName(ce), "members")
     n = allr.groupBy(chain, "center_row").agg((F.lit(1e-6) + F.count("*")).alias("_n"))
-    e = allr.select(chain, "center_row", F.posexplode(S.chars("seq")).alias("pos", "res")).filter("res <> ''")
-    c = e.groupBy(chain, "center_row", "pos", "res").agg(F.count("*").alias("_c"))
-    shares = c.join(n, [chain, "center_row"]).select(chain, "center_row", "pos", "res", (F.col("_c") / F.col("_n")).alias("share"))
+    own = [chain, "center_row"]
     if not deletions:
-        return shares
-    d = allr.select(chain, "center_row", F.posexplode(F.slice("_d", F.lit(1), F.length("seq"))).alias("pos", "_x"))
-    d = d.groupBy(chain, "center_row", "pos").agg(F.coalesce(F.sum("_x"), F.lit(0)).alias("_s"))
-    return shares, d.join(n, [chain, "center_row"]).select(chain, "center_row", "pos", (F.col("_s") / F.col("_n")).alias("mean_deletions"))
+        c = allr.select(*own, F.posexplode(S.chars("seq")).alias("pos", "res")).filter("res <> ''").groupBy(*own, "pos", "res").agg(F.count("*").alias("_c"))
+        return _shares(c, n, own)
+    # residues and deletions of a column in one pass; ``_m`` columns of a row have a deletion count
+    d = F.coalesce(F.slice("_d", F.lit(1), F.length("seq")), F.array().cast(allr.schema["_d"].dataType))
+    e = allr.select(*own, F.size(d).alias("_m"), F.posexplode(F.arrays_zip(S.chars("seq").alias("res"), d.alias("x"))).alias("pos", "_z"))
+    e = e.select(*own, "pos", "_z.res", "_z.x", (F.col("pos") < F.col("_m")).alias("has")).filter("res <> ''")
+    c = e.groupBy(*own, "pos", "res").agg(F.count("*").alias("_c"), F.sum("x").alias("_s"), F.max("has").alias("_has"))
+    c = written_once(c, "columns")
+    d = c.groupBy(*own, "pos").agg(F.coalesce(F.sum("_s"), F.lit(0)).alias("_s"), F.max("_has").alias("_has")).filter("_has")
+    return _shares(c, n, own), d.join(n, own).select(*own, "pos", (F.col("_s") / F.col("_n")).alias("mean_deletions"))
+
+
+def _shares(counts: DataFrame, n: DataFrame, own: list[str]) -> DataFrame:
+    return counts.join(n, own).select(*own, "pos", "res", (F.col("_c") / F.col("_n")).alias("share"))

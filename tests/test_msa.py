@@ -54,3 +54,9 @@ def test_hot_chain_is_spread(spark):
     rows = spark.createDataFrame([(0, i, "ARND" if i % 2 else "-RND", None) for i in range(3000)], SCHEMA)
     got = M.assign_centers(rows.filter("msa_row >= 1000"), rows.filter("msa_row < 1000"))
     assert got.groupBy("center_row").count().orderBy("center_row").collect() == [(0, 1000), (1, 1000)]
+
+
+def test_scattered_centres_share_blocks(spark):
+    """Few centres spread over a long alignment are one block, however far apart their rows are."""
+    rows = spark.createDataFrame([(0, i * 1000, "ARND" if i % 2 else "-RND", None) for i in range(40)], SCHEMA)
+    assert [len(r.c) for r in M._row_blocks(rows, "chain", "c").collect()] == [40]
