@@ -17,6 +17,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,13 +25,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from helixspark.llm.common import crc_mod, map_batches, table, texts_of
+from helixspark.llm.common import crc_mod, map_batches, table, texts_of, to_batch
 
 BUCKETS = 1 << 20
 WORD = re.compile(r"\w+")
 #: Lengths of the word beginnings used as features beside whole words.
 BEGINNINGS = (4, 5)
+#: Texts scored at a time, and words whose features a task keeps.
+SLICE, KNOWN_WORDS = 256, 100_000
 
 # Identity terms that may stand for one another.
 IDENTITY_GROUPS = (
@@ -183,17 +188,27 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", t
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """The id, ``score`` and the columns of ``keep``, one row per input row."""
 
-    def run(cols):
-        known: dict[str, list[int]] = {}
-        score = []
-        for t in texts_of(cols["__text"]):
-            if len(known) > 1_000_000:
-                known.clear()
-            score.append(model.score(words_of(t), known))
-        return {k: cols[k] for k in (id_col, *keep)} | {"score": score}
-
     fields = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in (id_col, *keep)]
-    return map_batches(docs.select(F.col(text_col).alias("__text"), id_col, *keep), run, ", ".join([*fields, "score double"]))
+    st = StructType.fromDDL(", ".join([*fields, "score double"]))
+    arrow = to_arrow_schema(st)
+    at = (id_col, *keep).index(text_col) if text_col in (id_col, *keep) else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[int]] = {}
+        for b in batches:
+            # a few texts at a time: no second copy of a whole batch in Python objects
+            for lo in range(0, b.num_rows, SLICE):
+                c = b.slice(lo, SLICE)
+                score = []
+                for t in texts_of(c.column(c.num_columns - 1 if at is None else at)):
+                    if len(known) > KNOWN_WORDS:
+                        known.clear()
+                    score.append(model.score(words_of(t), known))
+                yield to_batch({k: c.column(i) for i, k in enumerate((id_col, *keep))} | {"score": score}, arrow)
+
+    # a text that is kept anyway is sent once
+    own = [] if at is not None else [F.col(text_col).alias("__text")]
+    return docs.select(id_col, *keep, *own).mapInArrow(run, st)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 import numpy as np
 
-from helixspark.llm.toxicity import PEERS, Sparse, fit, learn, score_toxicity, swapped, vector, words_of
+from helixspark.llm.toxicity import PEERS, Sparse, ToxicModel, fit, learn, score_toxicity, swapped, vector, words_of
 
 
 def corpus(n):
@@ -62,3 +62,17 @@ def test_no_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert score_toxicity(docs, learn(docs, none)).first().score < 0.5
     assert score_toxicity(docs.limit(0), learn(docs.limit(0), none)).count() == 0
+
+
+def test_kept_text_is_sent_once_in_small_parts(spark, capsys):
+    """A text among the kept columns is not sent a second time; slices join to the same rows."""
+    docs = spark.createDataFrame([(i, None if i % 7 == 0 else f"w{i % 5} vile idiot w{i}", "en") for i in range(700)], "doc_id long, text string, lang string").coalesce(1)
+    model = ToxicModel(-1.0, {f: 0.5 for f in vector(["idiot", "w3"])})
+    both = score_toxicity(docs, model, keep=("text", "lang"))
+    both.explain(True)
+    assert "__text" not in capsys.readouterr().out
+    got = {r.doc_id: r for r in both.collect()}
+    want = {r.doc_id: r.score for r in score_toxicity(docs, model).collect()}
+    assert {i: r.score for i, r in got.items()} == want and len(want) == 700
+    assert all(r.text == (None if i % 7 == 0 else f"w{i % 5} vile idiot w{i}") and r.lang == "en" for i, r in got.items())
+    assert want[3] == model.score(words_of("w3 vile idiot w3"), {})
