@@ -9,6 +9,11 @@ holds one of them, which closes the search: all parts of a frequent phrase are f
 that was not counted holds a smallest part that was not proposed, and that part is border and
 frequent. Nothing can be missed, whatever the sample.
 
+A full pass counts twice, as most phrases are rare: first by hash, where a task sends sorted 32-bit
+parts of its hashes and their counts in blocks of the hash range, and the sums of a block tell the
+hashes with enough occurrences; then only phrases with such a hash are listed by their text. Two
+phrases of one hash only let a phrase be listed that need not be.
+
 Texts are encoded once, in chunks of word numbers with their words, and the passes run over those.
 Known phrases are told to the tasks as a Bloom filter of at most 64 MB. A false hit only counts a
 phrase that need not be counted; phrases are counted by their text, so counts are exact.
@@ -33,6 +38,8 @@ from helixspark.llm.topk import first_rows
 LONGEST = 5
 #: Words of one chunk of encoded texts, about; a text is never divided.
 CHUNK_WORDS = 1 << 20
+#: Hashes that a task counts before it sends them, and words per block of the hash range, about.
+HELD, BLOCK_WORDS = 1 << 21, 1 << 19
 _END = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 10 if c in _END else 32 if c == 9 else c for c in range(256))
 _MIX = 0x9E3779B97F4A7C15
@@ -123,11 +130,19 @@ def sampled(chunks: DataFrame, share: int) -> DataFrame:
     return chunks.mapInArrow(run, _CHUNK)
 
 
-def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only: int | None) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, phrase, cnt) of the phrases to count in a chunk (see ``count_pass``)."""
+def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only: int | None, likely: tuple | None = None,
+            hashed: bool = False) -> Iterator:
+    """Rows (lang, phrase, cnt) of the phrases to count in a chunk (see ``count_pass``), or with
+    ``hashed`` the hashes of all occurrences of those of two words or more. ``likely`` is a shift
+    and a filter of the hashes to list."""
     hashes = np.array([_word_hash(*x) for x in zip(langs.to_pylist(), words.to_pylist())], np.uint64)
 
-    def rows(at: np.ndarray, k: int, h: np.ndarray) -> pa.RecordBatch:
+    def rows(at: np.ndarray, k: int, h: np.ndarray):
+        if hashed:
+            return h
+        if likely is not None:
+            ok = has(likely[1], h >> likely[0])
+            at, h = at[ok], h[ok]
         _, first, cnt = np.unique(h, return_index=True, return_counts=True)
         own = [words.take(pa.array(ids[at[first] + j])) for j in range(k)]
         phrase = pc.binary_join_element_wise(*own, pa.scalar(b" ", pa.binary())) if k > 1 else own[0]
@@ -143,7 +158,7 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only
         ok[0] = False
         return ok
 
-    if late is None and only in (None, 1):
+    if late is None and only in (None, 1) and not hashed:
         cnt = np.bincount(ids, minlength=len(words))
         cnt[0] = 0
         used = np.flatnonzero(cnt)
@@ -181,21 +196,94 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only
         now = now[has(known, hk)]
 
 
-def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = None, only: int | None = None) -> DataFrame:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
+    for b in batches:
+        for i in range(b.num_rows):
+            langs, words = (b.column(c)[i].values for c in ("langs", "words"))
+            yield langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32)
+
+
+def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = None, only: int | None = None,
+               likely: tuple | None = None) -> DataFrame:
     """(lang, phrase, cnt) over all of ``chunks``: the known phrases and their border, the single words
     and a row of all words of a lang (phrase null). With ``late``, phrases of the border that turned
     out to be frequent, the longer phrases instead that hold a late one, whose words are all known
-    or late, and that are neither known nor border themselves. ``only`` counts one length."""
-    told = chunks.sparkSession.sparkContext.broadcast((known, late))
+    or late, and that are neither known nor border themselves. ``only`` counts one length, ``likely``
+    (of ``likely_phrases``) leaves out phrases of two words or more that are rare."""
+    told = chunks.sparkSession.sparkContext.broadcast((known, late, likely))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, late, likely = told.value
+        for chunk in _chunks(batches):
+            yield from _counts(*chunk, known, late, only, likely)
+
+    return chunks.mapInArrow(run, _COUNTED).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
+
+
+_HASHED = pa.schema([("block", pa.int32()), ("h", pa.binary()), ("cnt", pa.binary())])
+
+
+def _summed(h: np.ndarray, cnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order and the sums of their counts."""
+    if not len(h):
+        return h, cnt.astype(np.int64)
+    order = np.argsort(h)
+    h = h[order]
+    begin = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    return h[begin], np.add.reduceat(cnt[order].astype(np.int64), begin)
+
+
+def likely_phrases(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None, least: int, bits: int, words: int) -> tuple:
+    """A shift and a filter of shifted hashes: those of all phrases of two words or more that
+    ``count_pass`` would count ``least`` times or more. ``words`` sets the number of blocks."""
+    wide = max(4, min(24, (max(1, words) // BLOCK_WORDS).bit_length()))
+    shift, low = np.uint64(32 - wide), np.uint64(2**32 - 1)
+    kind = np.uint8 if least < 256 else np.uint32  # counts need not pass ``least``
+    told = chunks.sparkSession.sparkContext.broadcast((known, late))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, late = told.value
+
+        def sent():
+            h, cnt = _summed(*(np.concatenate(x) for x in zip(*held)))
+            cnt = np.minimum(cnt, least).astype(kind)
+            block = (h >> np.uint64(32)).astype(np.int32)
+            begin = np.flatnonzero(np.concatenate((np.ones(min(1, len(h)), bool), block[1:] != block[:-1])))
+            part = (h & low).astype(np.uint32)
+            cuts = list(zip(begin, [*begin[1:], len(h)]))
+            return pa.RecordBatch.from_arrays([pa.array(block[begin]), pa.array([part[x:y].tobytes() for x, y in cuts], pa.binary()),
+                                               pa.array([cnt[x:y].tobytes() for x, y in cuts], pa.binary())], schema=_HASHED)
+
+        held, size = [], 0
+        for chunk in _chunks(batches):
+            for h in _counts(*chunk, known, late, None, hashed=True):
+                h, cnt = np.unique(h >> shift, return_counts=True)
+                held.append((h, cnt.astype(np.uint32)))
+                size += len(h)
+                if size >= HELD:
+                    yield sent()
+                    held, size = [], 0
+        if held:
+            yield sent()
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done():
+            h, cnt = _summed(*(np.concatenate(x) for x in zip(*held)))
+            return pa.RecordBatch.from_arrays([pa.array((h[cnt >= least].astype(np.uint64) | np.uint64(at) << np.uint64(32)).view(np.int64))], names=["h"])
+
+        at, held = None, []
         for b in batches:
-            for i in range(b.num_rows):
-                langs, words = (b.column(c)[i].values for c in ("langs", "words"))
-                yield from _counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), known, late, only)
+            for block, h, cnt in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if block != at and held:
+                    yield done()
+                    held = []
+                at = block
+                held.append((np.frombuffer(h, np.uint32), np.frombuffer(cnt, kind)))
+        if held:
+            yield done()
 
-    return chunks.mapInArrow(run, _COUNTED).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
+    found = chunks.mapInArrow(partial, "block int, h binary, cnt binary").repartition("block").sortWithinPartitions("block").mapInArrow(merged, "h long")
+    return shift, collected(filter_blocks(written(found, "likely"), bits), "once", bits)
 
 
 def _fresh(counted: DataFrame, known: np.ndarray) -> DataFrame:
@@ -211,19 +299,19 @@ def _fresh(counted: DataFrame, known: np.ndarray) -> DataFrame:
     return map_batches(counted.where("phrase is not null").select("lang", "phrase"), run, "h long, words int")
 
 
-def mine(chunks: DataFrame, least: int, bits: int, seed: np.ndarray) -> DataFrame:
+def mine(chunks: DataFrame, least: int, bits: int, seed: np.ndarray, words: int = 0) -> DataFrame:
     """All phrases of ``chunks`` with ``least`` occurrences or more, and the rows of all words of a
-    lang. ``seed`` holds the proposed phrases. If phrases of the border are frequent, a further
+    lang. ``seed`` holds the proposed phrases, ``words`` is about the number of all words. If phrases of the border are frequent, a further
     pass counts all longer phrases that hold one of them; a frequent phrase that the first pass did
     not count holds a smallest part that was not proposed, which is border and frequent, so with
     that pass the search is closed."""
     enough = (F.col("cnt") >= least) | F.col("phrase").isNull()
-    got = written(count_pass(chunks, seed).where(enough), "phrases")
+    got = written(count_pass(chunks, seed, likely=likely_phrases(chunks, seed, None, least, bits, words)).where(enough), "phrases")
     fresh = written(_fresh(got, seed), "fresh")
     if not fresh.where(F.col("words") < LONGEST).limit(1).count():
         return got
     late = collected(filter_blocks(fresh.select("h"), bits), "once", bits)
-    return got.unionByName(written(count_pass(chunks, seed, late).where(enough), "phrases"))
+    return got.unionByName(written(count_pass(chunks, seed, late, likely=likely_phrases(chunks, seed, late, least, bits, words)).where(enough), "phrases"))
 
 
 def proposed(chunks: DataFrame, least: int, bits: int) -> np.ndarray:
@@ -250,7 +338,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, share: int = 10) -> Data
     bits = bits_for(size // 4, 2)
     mean = least / share
     seed = proposed(sample, max(2, round(mean - 2 * mean ** 0.5)), bits)
-    return mine(chunks, least, bits, seed)
+    return mine(chunks, least, bits, seed, size // 4 * share)
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, share: int = 10,
