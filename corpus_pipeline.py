@@ -22,9 +22,13 @@ from helixspark.llm.spans import replaced
 from helixspark.llm.toxicity import learn, score_toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+BATCH_BYTES = 2 << 20
 
 
 def _documents(docs: DataFrame) -> DataFrame:
+    """The columns of a stage. Texts go to and from Python in batches of about ``BATCH_BYTES``, so a
+    task's memory does not follow the length of texts (by default a batch is 10,000 rows)."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return docs.select(*COLUMNS)
 
 

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import corpus_pipeline as cp
+import pyarrow as pa
 
 
 def docs(spark, rows):
@@ -50,3 +51,15 @@ def test_near_duplicates_judge_rows_not_ids(spark):
     rows = [doc(3, a), doc(5, a), doc(5, b), doc(6, c), doc(6, c + " tail"), doc(None, n), doc(None, n), doc(None, n + " end"), doc(None, None)]
     out = sorted((r.doc_id or 0, (r.text or "").split(" ")[0]) for r in cp.drop_near_duplicates(spark, docs(spark, rows), "").collect())
     assert out == [(0, ""), (0, "n0"), (3, "a0"), (5, "b0"), (6, "c0")]
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat('word ', 1000) as text", "'en' as lang", "'web' as source", "5000L as n_chars")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], ["bytes", "rows"])
+
+    got = cp._documents(docs).select("text").mapInArrow(sizes, "bytes long, rows long").collect()
+    assert sum(x.rows for x in got) == 3000 and max(x.bytes for x in got) < 2 * cp.BATCH_BYTES
