@@ -9,6 +9,10 @@ holds one of them, which closes the search: all parts of a frequent phrase are f
 that was not counted holds a smallest part that was not proposed, and that part is border and
 frequent. Nothing can be missed, whatever the sample.
 
+Most of the border is rare. So a first pass over all texts only counts by slot, a part of a phrase's
+hash, and sends sorted slots with their counts; the phrases of a slot that occur too rarely together
+are too rare each, and the next pass counts the others by their text.
+
 Texts are encoded once, in chunks of word numbers with their words, and the passes run over those.
 Known phrases are told to the tasks as a Bloom filter of at most 64 MB. A false hit only counts a
 phrase that need not be counted; phrases are counted by their text, so counts are exact.
@@ -38,6 +42,10 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else 10 if c in _END else 32 if c == 9 els
 _MIX = 0x9E3779B97F4A7C15
 _COUNTED = "lang string, phrase string, cnt long"
 _ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("cnt", pa.int64())])
+#: Slots of one block of counts, and counts that a task keeps before it sends blocks.
+BLOCK, FLUSH = 1 << 16, 1 << 21
+_SLOTS = "block int, slots binary, cnt binary"
+_SLOTS_ARROW = pa.schema([("block", pa.int32()), ("slots", pa.binary()), ("cnt", pa.binary())])
 _CHUNK = "langs array<string>, words array<binary>, ids binary"
 _CHUNK_ARROW = pa.schema([("langs", pa.list_(pa.string())), ("words", pa.list_(pa.binary())), ("ids", pa.binary())])
 
@@ -123,7 +131,89 @@ def sampled(chunks: DataFrame, share: int) -> DataFrame:
     return chunks.mapInArrow(run, _CHUNK)
 
 
-def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only: int | None) -> Iterator[pa.RecordBatch]:
+def _in_slots(often: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the slot of each hash is set in ``often`` (an array of bytes)."""
+    p = h & np.uint64(len(often) * 8 - 1)
+    return (often[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _slot_counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the known phrases of a chunk and their border, and their occurrences; a slot of a
+    single word may come a second time."""
+    hashes = np.array([_word_hash(*x) for x in zip(langs.to_pylist(), words.to_pylist())], np.uint64)
+    low = np.uint64(slots - 1)
+    cnt = np.bincount(ids, minlength=len(words))
+    cnt[0] = 0
+    used = np.flatnonzero(cnt)
+    is_known = has(known, hashes)
+    is_known[0] = False
+    one, found = hashes[ids], []
+    now = np.flatnonzero(is_known[ids])
+    h = np.zeros(len(ids), np.uint64)
+    h[now] = one[now]
+    for k in range(2, LONGEST + 1):
+        begins = np.zeros(len(ids) + LONGEST, bool)
+        begins[now] = True
+        now = now[begins[now + 1]]
+        hk = _longer(h[now], one[now + k - 1])
+        found.append((hk & low).astype(np.uint32))
+        h[now] = hk
+        now = now[has(known, hk)]
+    u, n = np.unique(np.concatenate(found), return_counts=True)
+    return np.concatenate([u, (hashes[used] & low).astype(np.uint32)]), np.concatenate([n, cnt[used]])
+
+
+def often_slots(chunks: DataFrame, known: np.ndarray, least: int, slots: int) -> np.ndarray:
+    """A bit for each slot: whether its known phrases and those of their border (single words too)
+    occur ``least`` times or more together."""
+    told = chunks.sparkSession.sparkContext.broadcast(known)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent():
+            slot, cnt = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(slot, kind="stable")
+            slot = slot[order]
+            first = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
+            cnt, slot = np.add.reduceat(cnt[order], first).astype(np.int64), slot[first]
+            at = np.unique(slot // BLOCK)
+            cut = np.append(np.searchsorted(slot, at * np.uint32(BLOCK)), len(slot))
+            slot = (slot % BLOCK).astype(np.uint16)
+            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array([x[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())
+                                                                           for x in (slot, cnt))], schema=_SLOTS_ARROW)
+
+        held, size = [], 0
+        for b in batches:
+            for i in range(b.num_rows):
+                langs, words = (b.column(c)[i].values for c in ("langs", "words"))
+                held.append(_slot_counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), told.value, slots))
+                size += len(held[-1][0])
+                if size >= FLUSH:
+                    yield sent()
+                    held, size = [], 0
+        if size:
+            yield sent()
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, np.zeros(BLOCK, np.int64)
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.packbits(total >= least, bitorder="little").tobytes()], pa.binary())], ["block", "often"])
+        for b in batches:
+            for block, slot, cnt in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if block != at:
+                    if at is not None:
+                        yield done()
+                    at, total = block, np.zeros(BLOCK, np.int64)
+                total[np.frombuffer(slot, np.uint16)] += np.frombuffer(cnt, np.int64)
+        if at is not None:
+            yield done()
+
+    found = chunks.mapInArrow(partial, _SLOTS).repartition("block").sortWithinPartitions("block").mapInArrow(merged, "block int, often binary")
+    out = np.zeros(slots // 8, np.uint8)
+    for r in found.where(F.col("often") != F.lit(bytes(BLOCK // 8))).collect():
+        out[r.block * (BLOCK // 8):(r.block + 1) * (BLOCK // 8)] = np.frombuffer(r.often, np.uint8)
+    return out
+
+
+def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only: int | None, often=None) -> Iterator[pa.RecordBatch]:
     """Rows (lang, phrase, cnt) of the phrases to count in a chunk (see ``count_pass``)."""
     hashes = np.array([_word_hash(*x) for x in zip(langs.to_pylist(), words.to_pylist())], np.uint64)
 
@@ -147,7 +237,8 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only
         cnt = np.bincount(ids, minlength=len(words))
         cnt[0] = 0
         used = np.flatnonzero(cnt)
-        yield pa.RecordBatch.from_arrays([langs.take(pa.array(used)), words.take(pa.array(used)).cast(pa.string()), pa.array(cnt[used], pa.int64())], schema=_ARROW)
+        some = used if often is None else used[_in_slots(often, hashes[used])]
+        yield pa.RecordBatch.from_arrays([langs.take(pa.array(some)), words.take(pa.array(some)).cast(pa.string()), pa.array(cnt[some], pa.int64())], schema=_ARROW)
         lang, of = np.unique(np.array(langs.to_pylist())[used], return_inverse=True)
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.nulls(len(lang), pa.string()),
                                           pa.array(np.bincount(of, cnt[used], len(lang)).astype(np.int64), pa.int64())], schema=_ARROW)
@@ -165,6 +256,9 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only
         now = now[begins[now + 1]]
         hk = _longer(h[now], one[now + k - 1])
         if late is None:
+            if often is not None:  # what holds a rare phrase is rare too
+                ok = _in_slots(often, hk)
+                now, hk = now[ok], hk[ok]
             if len(now) and only in (None, k):
                 yield rows(now, k, hk)
         else:
@@ -181,19 +275,21 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only
         now = now[has(known, hk)]
 
 
-def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = None, only: int | None = None) -> DataFrame:
+def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = None, only: int | None = None,
+               often: np.ndarray | None = None) -> DataFrame:
     """(lang, phrase, cnt) over all of ``chunks``: the known phrases and their border, the single words
     and a row of all words of a lang (phrase null). With ``late``, phrases of the border that turned
     out to be frequent, the longer phrases instead that hold a late one, whose words are all known
-    or late, and that are neither known nor border themselves. ``only`` counts one length."""
-    told = chunks.sparkSession.sparkContext.broadcast((known, late))
+    or late, and that are neither known nor border themselves. ``only`` counts one length; ``often``
+    leaves out phrases whose slot, or that of a part, it does not hold."""
+    told = chunks.sparkSession.sparkContext.broadcast((known, late, often))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, late = told.value
+        known, late, often = told.value
         for b in batches:
             for i in range(b.num_rows):
                 langs, words = (b.column(c)[i].values for c in ("langs", "words"))
-                yield from _counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), known, late, only)
+                yield from _counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), known, late, only, often)
 
     return chunks.mapInArrow(run, _COUNTED).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
 
@@ -218,7 +314,8 @@ def mine(chunks: DataFrame, least: int, bits: int, seed: np.ndarray) -> DataFram
     not count holds a smallest part that was not proposed, which is border and frequent, so with
     that pass the search is closed."""
     enough = (F.col("cnt") >= least) | F.col("phrase").isNull()
-    got = written(count_pass(chunks, seed).where(enough), "phrases")
+    often = often_slots(chunks, seed, least, bits)
+    got = written(count_pass(chunks, seed, often=often).where(enough), "phrases")
     fresh = written(_fresh(got, seed), "fresh")
     if not fresh.where(F.col("words") < LONGEST).limit(1).count():
         return got

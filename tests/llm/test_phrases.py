@@ -104,3 +104,19 @@ def test_hash_is_that_of_the_tasks():
 def test_small_chunks(spark, monkeypatch):
     monkeypatch.setattr(P, "CHUNK_WORDS", 20)
     run(spark, corpus(8), 12, top=40)
+
+
+def test_rare_border_is_not_listed(spark):
+    r = random.Random(9)
+    rows = [(i, "en", " ".join(f"w{r.randint(0, 300)}" for _ in range(300)) + ". same two words") for i in range(200)]
+    chunks = encoded(spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4))
+    known = np.zeros(1 << 15, np.uint8)
+    add(known, np.array([phrase_hash("en", w) for w in [f"w{i}" for i in range(301)] + ["same", "two", "words"]]))
+    counted = lambda often: {(x.lang, x.phrase): x.cnt for x in P.count_pass(chunks, known, often=often).collect()}
+    every = counted(None)
+    want = {p: c for p, c in every.items() if c >= 100}
+    assert ("en", "same two") in want and ("en", None) in want
+    for slots in (1 << 16, 1 << 22):  # however many phrases share a slot, none that is frequent is lost
+        some = counted(P.often_slots(chunks, known, 100, slots))
+        assert want.items() <= some.items()
+    assert len(some) < len(every) / 20
