@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,12 +49,15 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-@lru_cache(maxsize=16)
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, bits: int) -> np.ndarray:
-    """The first 2 ** bits powers of an odd number, modulo 2 ** 64."""
-    out = np.ones(1, np.uint64)
+    """At least the first 2 ** bits powers of an odd number, modulo 2 ** 64. One array a base is kept."""
+    out = _POWERS.get(base, np.ones(1, np.uint64))
     while len(out) < 1 << bits:
         out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
+    _POWERS[base] = out
     return out
 
 
@@ -180,9 +182,10 @@ def signatures(texts: list[str], p: Banding) -> tuple[list, list, list]:
     return size, key, bands
 
 
-def first_texts(df: DataFrame, k: int, cut: Callable[[str], list[str]] = lambda t: [t]) -> DataFrame:
+def first_texts(df: DataFrame, k: int, cut: Callable[[str], list[str]] = lambda t: [t], told=None) -> DataFrame:
     """(key, text) of the parts that ``cut`` makes of each text of column ``text``; within a
-    task a key is given once, so a large group of copies leaves one row a task."""
+    task a key is given once, so a large group of copies leaves one row a task. ``told``: a broadcast
+    Bloom filter of the keys wanted; others may come too."""
     st = StructType.fromDDL("key long, text string")
     arrow = to_arrow_schema(st)
 
@@ -196,25 +199,22 @@ def first_texts(df: DataFrame, k: int, cut: Callable[[str], list[str]] = lambda
                     seen.add(key)
                     keys.append(key)
                     texts.append(part)
-            yield to_batch({"key": keys, "text": texts}, arrow)
+            out = to_batch({"key": keys, "text": texts}, arrow)
+            yield out if told is None else out.filter(pa.array(has(told.value, np.array(keys, np.int64))))
 
     return df.select("text").mapInArrow(run, st)
 
 
-def candidates(buckets: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
+def candidates(buckets: DataFrame, texts: Callable[..., DataFrame], p: Banding) -> DataFrame:
     """(key, text, n, fine) of each class that shares a bucket: its text, set size and fine sketch,
     whose first registers are the banded ones; written, as it is all that the searches read."""
     some = written(buckets.select("key").distinct(), "keys")
     bits = bits_for(some.count())
     told = buckets.sparkSession.sparkContext.broadcast(collected(filter_blocks(some, bits), "once", bits))
 
-    def asked(c):
-        ok = pa.array(has(told.value, c["key"].to_numpy(zero_copy_only=False)))
-        return {x: v.filter(ok) for x, v in c.items()}
-
-    # a filter of 64 MB at most keeps the other texts out of the shuffle
-    near = map_batches(texts.select("key", "text"), asked, "key long, text string")
-    have = near.join(some, "key").dropDuplicates(["key"]).select("key", "text")
+    # a filter of 64 MB at most keeps the other texts out of the shuffle; it is applied where texts are
+    # cut, as a second Python step in the stage would double the workers of an executor
+    have = texts(told=told).join(some, "key").dropDuplicates(["key"]).select("key", "text")
 
     def run(c):
         n, fine = [], []
@@ -391,9 +391,10 @@ def across(members: DataFrame, texts: DataFrame, p: Banding, block: int = BLOCK)
     return _grouped(full, confirm, "a long, b long")
 
 
-def near_classes(sketches: DataFrame, texts: DataFrame, p: Banding) -> DataFrame:
+def near_classes(sketches: DataFrame, texts: Callable[..., DataFrame], p: Banding) -> DataFrame:
     """(node, root) of classes that are linked. ``sketches``: (key, bands), keys may repeat;
-    ``texts``: (key, text), read only for classes that share a bucket."""
+    ``texts(told=)``: (key, text) as ``first_texts`` gives them, read only for classes that share a
+    bucket."""
     spread = sketches.select("key", F.posexplode("bands").alias("nth", "band"))
     star = spread.groupBy("band").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select("band", "a")
     buckets = written(spread.join(written(star, "stars"), "band").distinct(), "buckets")

@@ -21,6 +21,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from helixspark.llm.neardup import Banding, blocks, first_texts, mix, near_class
 MIN_WORDS = 40
 #: Words of a window, and of the runs within it that name it.
 WINDOW, GRAM = 50, 12
+#: Bytes of a batch that Python gets: by default its size follows the number of rows.
+BATCH_BYTES = 2 << 20
 
 
 def tuned(threshold: float, recall: float, most: int = 128) -> tuple[int, int]:
@@ -120,7 +123,7 @@ def _paragraphs(df: DataFrame, min_words: int, k: int, threshold: int) -> DataFr
                     "end": [w[2] for w in where], "n_words": [w[3] for w in where], "key": key, "bands": bands}, arrow)
 
     found = written(df.select("__row", "doc_id", "text").mapInArrow(run, st), "paragraphs")
-    comp = near_classes(found.where("bands is not null").select("key", "bands"), first_texts(df, k, lambda t: cut(t, min_words)), p)
+    comp = near_classes(found.where("bands is not null").select("key", "bands"), partial(first_texts, df, k, lambda t: cut(t, min_words)), p)
     place = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("d"), F.col("__row").alias("r"), F.col("start").alias("s"))
     per_key = found.groupBy("key").agg(F.count("*").alias("c"), F.min(place).alias("first"))
     placed = per_key.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -232,6 +235,7 @@ def _runs(df: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _passages(df: DataFrame) -> DataFrame:
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     lines = written(_paragraphs(df, MIN_WORDS, 5, 80), "lines")
     return lines.unionByName(_runs(df, lines))
 

@@ -15,6 +15,7 @@ unless all are null; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -82,7 +83,7 @@ def near_duplicates(df: DataFrame, k: int = 4, threshold: int = 80, id_col: str
     sig = written(map_batches(d, run, f"id {kind}, n long, key long, bands array<long>"), "sketches")
     some = sig.where("n > 0")
     first = some.groupBy("key").agg(F.min("id").alias("first"))
-    comp = near_classes(some.select("key", "bands"), first_texts(d, k), p)
+    comp = near_classes(some.select("key", "bands"), partial(first_texts, d, k), p)
     placed = first.join(comp.withColumnRenamed("node", "key"), "key", "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     home = placed.join(least, "root").select("key", "component_id")

@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from helixspark.llm import paragraphs
 from helixspark.llm.paragraphs import numbered, repeated_paragraphs, repeated_passages, without_repeats
 
 W = 50
@@ -128,3 +129,8 @@ def test_row_names_are_stable(spark, tmp_dir):
     joined = df.join(df.select("doc_id").distinct().crossJoin(spark.range(2)), "doc_id")
     assert numbered(joined).select("__row").distinct().count() == 2000
 
+
+def test_passages_reach_python_in_small_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    repeated_passages(frame(spark, [(1, "a")])).collect()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == paragraphs.BATCH_BYTES

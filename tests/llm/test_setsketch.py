@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from helixspark.llm import neardup
 from helixspark.llm.graph import components
 from helixspark.llm.neardup import minima, shingle_sets
 from helixspark.llm.setsketch import joint_similarity, merged, near_duplicates, registers
@@ -99,3 +100,17 @@ def test_components(spark):
         for a, b in rows:
             root[a] = root[b] = min(root[a], root[b])
     assert got == {x: y for x, y in root.items() if x != y}
+
+
+def test_candidates_take_one_python_step_a_stage(spark, monkeypatch):
+    plans, real = {}, neardup.written
+
+    def kept(df, name, *a):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name, *a)
+
+    monkeypatch.setattr(neardup, "written", kept)
+    text = " ".join(f"w{i}" for i in range(60))
+    near_duplicates(spark.createDataFrame([(1, text), (2, text + " tail")], "doc_id long, text string")).collect()
+    # one cuts the texts, one sketches them behind the shuffle; workers of an executor follow their number
+    assert plans["candidates"].count("MapInArrow") == 2
