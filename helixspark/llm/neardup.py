@@ -84,6 +84,13 @@ def run_hashes(words: np.ndarray, n: int, base: int = _ODD) -> np.ndarray:
     return mix((total[n:] - total[:-n]) * _powers(pow(base, -1, 1 << 64), bits)[:max(0, len(words) - n + 1)])
 
 
+def span_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int = _ODD) -> np.ndarray:
+    """The hash of the words from each of ``begin`` up to ``end``."""
+    bits = max(16, len(words).bit_length())
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers(base, bits)[:len(words)])])
+    return mix(mix((total[end] - total[begin]) * _powers(pow(base, -1, 1 << 64), bits)[begin]) + (end - begin).astype(np.uint64))
+
+
 def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
     """Per text the sorted distinct 64-bit hashes of its ``k``-word shingles. Fewer words: the whole
     sequence; none: empty."""

@@ -7,8 +7,10 @@ smallest (document, place) stays and the others are removed.
 
 Whatever the lines, every run of ``WINDOW`` equal words at two disjoint places is found too.
 A window of that many words is named by the smallest hash of its runs of ``GRAM`` words, so equal
-windows have equal names; only windows of a name that occurs again are hashed whole (128 bits) and
-counted. The first occurrence of a window stays, the words of all others are removed, and
+windows have equal names. Neighbouring windows of one name are a segment, and equal segments (name
+and a 64-bit hash of all words) a class. Where a name that occurs again has one class, its windows
+are decided together; only the classes of other names are opened, once each, and their windows met
+by a hash of 128 bits. The first occurrence of a window stays, the words of all others are removed, and
 neighbouring windows of one outcome are joined, which gives the whole repeated run. An occurrence
 that meets a line removed by the other rule is the one that stays only if there is no other.
 
@@ -31,8 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from helixspark.llm.bloom import bits_for, collected, filter_blocks, has
 from helixspark.llm.common import map_batches, table, to_batch, written
-from helixspark.llm.neardup import Banding, blocks, first_texts, mix, near_classes, run_hashes, signatures, word_hashes
+from helixspark.llm.neardup import Banding, blocks, first_texts, mix, near_classes, run_hashes, signatures, span_hashes, word_hashes
 
 MIN_WORDS = 40
 #: Words of a window, and of the runs within it that name it.
@@ -151,7 +154,7 @@ def _slide(x: np.ndarray, n: int, op) -> np.ndarray:
 
 
 def _windows(texts: list[str]) -> Iterator[tuple]:
-    """Per text: the names of its windows in order, and what their places follow from."""
+    """Per text: the names of its windows in order, its words, and where these begin and end."""
     for lo, hi in blocks(texts):
         words, begin, end, b, first = word_hashes(texts[lo:hi])
         names = _slide(run_hashes(words, GRAM), WINDOW - GRAM + 1, np.minimum).view(np.int64) if len(words) >= WINDOW else np.zeros(0, np.int64)
@@ -163,75 +166,236 @@ def _windows(texts: list[str]) -> Iterator[tuple]:
             left += len(t.encode("utf-8", "surrogatepass")) + 1
 
 
-def _named_again(df: DataFrame) -> DataFrame:
-    """(__row, names): the names of windows of each row that occur in another one or at disjoint
-    places of it."""
+_OTHER = 0xD1342543DE82EF95
 
-    def run(c):
-        out: dict = {"at": [], "name": [], "twice": []}
-        for i, (m, *_) in enumerate(_windows([t or "" for t in c["text"].to_pylist()])):
-            if len(m):
-                begin = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
-                end = np.append(begin[1:], len(m)) - 1
-                name, x = np.unique(m[begin], return_index=True)
-                _, y = np.unique(m[begin][::-1], return_index=True)
-                out["at"].append(i)
-                out["name"].append(name)
-                out["twice"].append(end[len(begin) - 1 - y] - begin[x] >= WINDOW)
-        return {"__row": c["__row"].take(pa.array(out["at"], pa.int64())), "name": out["name"], "twice": out["twice"]}
-
-    names = written(map_batches(df.select("__row", "text"), run, f"__row {ROW}, name array<long>, twice array<boolean>"), "names")
-    each = names.select("__row", F.explode(F.arrays_zip("name", "twice")).alias("z")).select("__row", "z.name", "z.twice")
-    again = each.groupBy("name").agg(F.count("*").alias("c"), F.max("twice").alias("t")).where("c > 1 or t").select("name")
-    return written(each.join(written(again, "again"), "name").groupBy("__row").agg(F.collect_list("name").alias("names")), "hits")
 
+def _segments(names: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First windows, numbers of windows and content hashes of the segments: neighbouring windows of
+    one name. The content is all words of the windows."""
+    pos = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+    n = np.diff(np.append(pos, len(names)))
+    return pos, n, span_hashes(words, pos, pos + n + WINDOW - 1).view(np.int64)
 
-def _runs(df: DataFrame, lines: DataFrame) -> DataFrame:
-    """One row per repeated run of numbered rows, as ``_paragraphs`` gives them; ``lines`` is its
-    result, whose spans are not listed again."""
-    kind = df.schema["doc_id"].dataType.simpleString()
-    hits = _named_again(df)
-    spans = lines.groupBy("__row").agg(F.collect_list(F.struct("start", "end", "kept")).alias("spans"))
-    some = df.select("__row", "doc_id", "text").join(written(hits.select("__row"), "hit-rows"), "__row", "left_semi")
-    some = some.join(hits, "__row").join(spans, "__row", "left")
-    st = f"__row {ROW}, doc_id {kind}, pos int, start long, `end` long, h long, g long, dead boolean, listed int"
-    other = 0xD1342543DE82EF95
+
+def _lists(flat: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    """An Arrow list per array."""
+    at = np.cumsum([0] + [len(x) for x in flat])
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(flat) if flat else [], kind))
+
+
+_LISTS = {"name": pa.int64(), "c": pa.int64(), "pos": pa.int32(), "n": pa.int32(), "lead": pa.int8(), "again": pa.bool_()}
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """A row for each text that has a window: the lists of its segments, and of the gaps before and
+    the lengths of its words in code points. ``lead``: 1 for the first segment of a name, 2 if the
+    last one is disjoint from it, else 0. ``again``: a window stands twice in the segment."""
 
     def run(c):
-        out: dict = {k: [] for k in ("at", "pos", "start", "end", "h", "g", "dead", "listed")}
-        names, lists = c["names"].to_pylist(), c["spans"].to_pylist()
+        rows: list[int] = []
+        out: dict = {k: [] for k in (*_LISTS, "gap", "size")}
         for i, (m, w, a, z) in enumerate(_windows([t or "" for t in c["text"].to_pylist()])):
-            pos = np.flatnonzero(np.isin(m, np.array(names[i], np.int64)))
-            start, end = a[pos], z[pos + WINDOW - 1]
-            dead, listed = np.zeros(len(pos), bool), np.zeros(len(pos), np.int32)
-            for s in lists[i] or []:
-                # windows start in order, so those that meet a line or lie in it are neighbours
-                x, y = np.searchsorted(end, s["start"], "right"), np.searchsorted(start, s["end"])
-                dead[x:y] |= not s["kept"]
-                x, y = np.searchsorted(start, s["start"]), np.searchsorted(end, s["end"], "right")
-                if x < y:
-                    listed[x:y] = 2 if s["kept"] else 1
-            for k, v in (("at", np.full(len(pos), i)), ("pos", pos), ("start", start), ("end", end), ("dead", dead), ("listed", listed),
-                         ("h", run_hashes(w, WINDOW).view(np.int64)[pos]), ("g", run_hashes(mix(w + np.uint64(other)), WINDOW, other).view(np.int64)[pos])):
+            if not len(m):
+                continue
+            pos, n, content = _segments(m, w)
+            name = m[pos]
+            lead, again = np.zeros(len(pos), np.int8), np.zeros(len(pos), bool)
+            _, x = np.unique(name, return_index=True)
+            _, y = np.unique(name[::-1], return_index=True)
+            y = len(pos) - 1 - y
+            lead[x] = 1 + (pos[y] + n[y] - 1 - pos[x] >= WINDOW)
+            h = run_hashes(w, WINDOW)
+            if len(np.unique(h)) < len(h):
+                for j in np.flatnonzero(n > 1).tolist():
+                    again[j] = len(np.unique(h[pos[j]:pos[j] + n[j]])) < n[j]
+            rows.append(i)
+            for k, v in (("name", name), ("c", content), ("pos", pos), ("n", n), ("lead", lead), ("again", again),
+                         ("gap", a - np.concatenate(([0], z[:-1]))), ("size", z - a)):
+                out[k].append(v)
+        take = pa.array(rows, pa.int64())
+        return {"__row": c["__row"].take(take), "doc_id": c["doc_id"].take(take)} | {k: _lists(v, _LISTS.get(k, pa.int32())) for k, v in out.items()}
+
+    st = (f"__row {ROW}, doc_id {df.schema['doc_id'].dataType.simpleString()}, name array<long>, c array<long>, pos array<int>, n array<int>, "
+          "lead array<byte>, again array<boolean>, gap array<int>, size array<int>")
+    return written(map_batches(df.select("__row", "doc_id", "text"), run, st), "segments")
+
+
+def _told(keys: DataFrame):
+    """A broadcast Bloom filter of the only column of ``keys``, a written table: 64 MB at most, beyond
+    which only more passes."""
+    bits = bits_for(keys.count())
+    return keys.sparkSession.sparkContext.broadcast(collected(filter_blocks(keys, bits), "once", bits))
+
+
+def _pieces(named: DataFrame, lines: DataFrame) -> DataFrame:
+    """One row per piece of a segment whose name occurs again: ``n`` windows from ``off`` of the
+    segment on, that begin with word ``pos`` and meet the lines in one way: ``dead`` if one meets a
+    removed line, ``listed`` 2 if it lies in a line that stays, 1 in a removed one."""
+    each = named.select(F.explode(F.arrays_zip("name", "lead")).alias("z")).select("z.name", "z.lead").where("lead > 0")
+    again = written(each.groupBy("name").agg(F.sum("lead").alias("c")).where("c > 1").select("name"), "names")
+    told = _told(again)
+
+    def some(c):
+        flat = {k: c[k].flatten() for k in _LISTS if k != "lead"}
+        ok = has(told.value, flat["name"].to_numpy(zero_copy_only=False))
+        at = c["name"].offsets.to_numpy().astype(np.int64)
+        at = np.concatenate(([0], np.cumsum(ok)))[at - at[0]]
+        rows = pa.array(at[1:] > at[:-1])
+        keep = pa.array(np.append(0, at[1:][at[1:] > at[:-1]]), pa.int32())
+        return ({k: c[k].filter(rows) for k in ("__row", "doc_id", "gap", "size")}
+                | {k: pa.ListArray.from_arrays(keep, v.filter(pa.array(ok))) for k, v in flat.items()})
+
+    few = named.drop("lead")
+    few = map_batches(few, some, few.schema)
+    spans = lines.groupBy("__row").agg(F.collect_list(F.struct("start", "end", "kept")).alias("spans"))
+    st = f"__row {ROW}, doc_id {few.schema['doc_id'].dataType.simpleString()}, name long, c long, off int, n int, pos int, dead boolean, listed int, again boolean"
+
+    def run(c):
+        out: dict = {k: [] for k in ("at", "name", "c", "off", "n", "pos", "dead", "listed", "again")}
+        lists = {k: (c[k].flatten().to_numpy(zero_copy_only=False), c[k].offsets.to_numpy() - c[k].offsets[0].as_py())
+                 for k in ("name", "c", "pos", "n", "again", "gap", "size")}
+        for i, found in enumerate(c["spans"].to_pylist()):
+            name, content, pos, n, again, gap, size = (v[at[i]:at[i + 1]] for v, at in lists.values())
+            off, dead, listed = np.zeros(len(pos), np.int64), np.zeros(len(pos), bool), np.zeros(len(pos), np.int64)
+            if found:
+                start, end = _places(gap, size)
+                start, end = start[:len(start) - WINDOW + 1], end[WINDOW - 1:]
+                met, lies = np.zeros(len(start), bool), np.zeros(len(start), np.int64)
+                for s in found:
+                    # windows start in order, so those that meet a line or lie in it are neighbours
+                    x, y = np.searchsorted(end, s["start"], "right"), np.searchsorted(start, s["end"])
+                    met[x:y] |= not s["kept"]
+                    x, y = np.searchsorted(start, s["start"]), np.searchsorted(end, s["end"], "right")
+                    if x < y:
+                        lies[x:y] = 2 if s["kept"] else 1
+                turn = np.flatnonzero((met[1:] != met[:-1]) | (lies[1:] != lies[:-1])) + 1
+                cuts = turn[(of := np.searchsorted(pos, turn, "right") - 1) >= 0]
+                of = of[of >= 0]
+                inner = (cuts > pos[of]) & (cuts < pos[of] + n[of])
+                begin = np.concatenate((pos, cuts[inner]))
+                of = np.concatenate((np.arange(len(pos)), of[inner]))
+                order = np.argsort(begin)
+                begin, of = begin[order], of[order]
+                until = np.minimum(np.append(begin[1:], len(start)), pos[of] + n[of])
+                name, content, again, off, n, pos = name[of], content[of], again[of], begin - pos[of], until - begin, begin
+                dead, listed = met[pos], lies[pos]
+            for k, v in (("at", np.full(len(pos), i)), ("name", name), ("c", content), ("off", off), ("n", n), ("pos", pos),
+                         ("dead", dead), ("listed", listed), ("again", again)):
                 out[k].append(v)
         out = {k: np.concatenate(v) for k, v in out.items()}
         take = pa.array(out.pop("at"), pa.int64())
         return out | {"__row": c["__row"].take(take), "doc_id": c["doc_id"].take(take)}
 
-    seen = written(map_batches(some, run, st), "windows")
+    return written(map_batches(few.join(spans, "__row", "left"), run, st), "pieces")
+
+
+def _places(gap: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of words from the gaps before them and their lengths."""
+    end = np.cumsum(gap.astype(np.int64) + size)
+    return end - size, end
+
+
+def _hashed(df: DataFrame, classes: DataFrame) -> DataFrame:
+    """(__row, c, h, g): the 128-bit hashes of the windows of the segments that are the first of
+    ``classes`` (and some others)."""
+    told = _told(written(classes.select(F.expr("c ^ first.r.f ^ first.r.i").alias("key")).distinct(), "keys"))
+
+    def run(c):
+        rows: list[int] = []
+        out: dict = {k: [] for k in ("c", "h", "g")}
+        f, i = (c["__row"].field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        for r, (m, w, *_) in enumerate(_windows([t or "" for t in c["text"].to_pylist()])):
+            if not len(m):
+                continue
+            pos, n, content = _segments(m, w)
+            at = np.flatnonzero(has(told.value, content ^ f[r] ^ i[r]))
+            if len(at):
+                at = at[np.unique(content[at], return_index=True)[1]]
+                h, g = run_hashes(w, WINDOW).view(np.int64), run_hashes(mix(w + np.uint64(_OTHER)), WINDOW, _OTHER).view(np.int64)
+                for x, k, one in zip(pos[at].tolist(), n[at].tolist(), content[at].tolist()):
+                    rows.append(r)
+                    out["c"].append(one)
+                    out["h"].append(h[x:x + k])
+                    out["g"].append(g[x:x + k])
+        return {"__row": c["__row"].take(pa.array(rows, pa.int64())), "c": out["c"], "h": _lists(out["h"], pa.int64()), "g": _lists(out["g"], pa.int64())}
+
+    return map_batches(df.select("__row", "text"), run, f"__row {ROW}, c long, h array<long>, g array<long>")
+
+
+AGAIN = f"r != s or first.p - p >= {WINDOW} or q - first.p >= {WINDOW}"
+
+
+def _shared(df: DataFrame, classes: DataFrame) -> DataFrame:
+    """(k, at, m, first): the first places of the windows of ``classes`` by their hashes, as runs of
+    ``m`` windows from ``at`` of the class on, whose first places are neighbours of one row."""
+    hashed = _hashed(df, classes).withColumnRenamed("__row", "w")
+    each = classes.join(hashed, (classes["c"] == hashed["c"]) & (F.col("first.r") == F.col("w")))
+    each = each.select("k", "first", "r", "s", "p", "q", F.posexplode(F.expr("arrays_zip(slice(h, off + 1, n), slice(g, off + 1, n))")).alias("i", "z"))
+    each = written(each.select("k", "i", F.col("z.0").alias("h"), F.col("z.1").alias("g"), "first", "r", "s", "p", "q"), "windows")
+    place = F.col("first").withField("p", F.col("first.p") + F.col("i"))
+    first = each.groupBy("h", "g").agg(F.min(place).alias("first"), F.min("r").alias("r"), F.max("s").alias("s"),
+                                       F.min(F.expr("p + i")).alias("p"), F.max(F.expr("q + i")).alias("q")).where(AGAIN).select("h", "g", "first")
+    at = each.select("h", "g", "k", "i").join(first, ["h", "g"]).select("k", "i", "first.d", "first.r", (F.col("first.p") - F.col("i")).alias("delta"))
+    # a window function's group is bounded by the segment
+    same = ["k", "d", "r", "delta"]
+    at = at.repartition("k").withColumn("run", F.col("i") - F.row_number().over(Window.partitionBy(*same).orderBy("i")))
+    runs = at.groupBy(*same, "run").agg(F.min("i").alias("at"), F.count("*").cast("int").alias("m"))
+    return runs.select("k", "at", "m", "d", "r", (F.col("delta") + F.col("at")).alias("p"))
+
+
+def _runs(df: DataFrame, lines: DataFrame) -> DataFrame:
+    """One row per repeated run of numbered rows, as ``_paragraphs`` gives them; ``lines`` is its
+    result, whose spans are not listed again."""
+    named = _named(df)
+    pieces = _pieces(named, lines)
+    key = ["name", "c", "off", "n"]
     place = F.struct("dead", F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("d"), F.col("__row").alias("r"), F.col("pos").alias("p"))
-    first = seen.groupBy("h", "g").agg(F.min(place).alias("first"), F.min("__row").alias("r"), F.max("__row").alias("s"),
-                                       F.min("pos").alias("p"), F.max("pos").alias("q"))
-    first = first.where(f"r != s or first.p - p >= {WINDOW} or q - first.p >= {WINDOW}").select("h", "g", "first")
-    own = F.col("__row") == F.col("first.r")
-    each = seen.join(first, ["h", "g"]).withColumn("kept", own & (F.col("pos") == F.col("first.p")))
-    each = each.where(F.expr("if(kept, not dead and listed != 2, listed != 1)") & (F.col("kept") | ~own | (F.abs(F.col("pos") - F.col("first.p")) >= WINDOW)))
-    each = each.select("__row", "doc_id", "pos", "start", "end", "kept", F.col("first.d").alias("component_id"))
-    same = ["__row", "doc_id", "kept", "component_id"]
-    # neighbours of one outcome; a window function's group is bounded by its text
-    each = each.withColumn("run", F.col("pos") - F.row_number().over(Window.partitionBy(*same).orderBy("pos")))
-    out = each.groupBy(*same, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.count("*") + WINDOW - 1).alias("n_words"))
-    return out.select("__row", "doc_id", "start", "end", "n_words", "component_id", "kept")
+    classes = pieces.groupBy(*key).agg(F.min(place).alias("first"), F.min("__row").alias("r"), F.max("__row").alias("s"),
+                                       F.min("pos").alias("p"), F.max("pos").alias("q"), F.max("again").alias("again"))
+    classes = written(classes.withColumn("k", F.monotonically_increasing_id()), "classes")
+    # windows of a name can only meet within a class if it is the name's only one
+    mixed = written(classes.groupBy("name").agg(F.count("*").alias("c"), F.max("again").alias("a")).where("c > 1 or a").select("name"), "mixed")
+    alone = classes.where(AGAIN).join(mixed, "name", "left_anti").select(*key, F.lit(0).alias("at"), F.col("n").alias("m"), "first.d", "first.r", "first.p")
+    several = written(classes.join(mixed, "name", "left_semi"), "several")
+    shared = _shared(df, several).join(several.select("k", *key), "k").select(*key, "at", "m", "d", "r", "p")
+    own = F.col("__row") == F.col("r")
+    each = pieces.select(*key, "__row", "pos", "dead", "listed").join(alone.unionByName(shared), key)
+    each = each.withColumn("pos", F.col("pos") + F.col("at")).withColumn("kept", own & (F.col("pos") == F.col("p")))
+    each = each.where(F.expr("if(kept, not dead and listed != 2, listed != 1)") & (F.col("kept") | ~own | (F.abs(F.col("pos") - F.col("p")) >= WINDOW)))
+    found = each.groupBy("__row").agg(F.collect_list(F.struct("pos", "m", "kept", F.col("d").alias("component_id"))).alias("found"))
+    kind = df.schema["doc_id"].dataType.simpleString()
+
+    def run(c):
+        out: dict = {k: [] for k in ("start", "end", "n_words", "component_id", "kept")}
+        rows = []
+        for i, found in enumerate(c["found"].to_pylist()):
+            start, end = _places(*(np.array(c[k][i].values) for k in ("gap", "size")))
+            open_: dict = {}  # the last run of each outcome; neighbours of one outcome are joined
+            for x in sorted(found, key=lambda x: x["pos"]):
+                same = (x["kept"], x["component_id"])
+                last = open_.get(same)
+                if last and last[1] == x["pos"]:
+                    last[1] += x["m"]
+                    continue
+                if last:
+                    _close(out, start, end, same, last)
+                    rows.append(i)
+                open_[same] = [x["pos"], x["pos"] + x["m"]]
+            for same, last in open_.items():
+                _close(out, start, end, same, last)
+                rows.append(i)
+        take = pa.array(rows, pa.int64())
+        return out | {"__row": c["__row"].take(take), "doc_id": c["doc_id"].take(take)}
+
+    st = f"__row {ROW}, doc_id {kind}, start long, `end` long, n_words long, component_id {kind}, kept boolean"
+    return map_batches(named.select("__row", "doc_id", "gap", "size").join(found, "__row"), run, st)
+
+
+def _close(out: dict, start: np.ndarray, end: np.ndarray, same: tuple, run: list[int]) -> None:
+    """The run of windows ``run[0]`` up to ``run[1]`` as a span."""
+    n = run[1] - run[0] + WINDOW - 1
+    for k, v in (("start", int(start[run[0]])), ("end", int(end[run[0] + n - 1])), ("n_words", n), ("kept", same[0]), ("component_id", same[1])):
+        out[k].append(v)
 
 
 def _passages(df: DataFrame) -> DataFrame:

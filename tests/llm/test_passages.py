@@ -130,6 +130,42 @@ def test_row_names_are_stable(spark, tmp_dir):
     assert numbered(joined).select("__row").distinct().count() == 2000
 
 
+
+def test_windows_of_copies_are_not_listed_one_by_one(spark, monkeypatch):
+    r = random.Random(11)
+    text = lambda n: " ".join(f"w{r.randint(0, 10**6)}" for _ in range(n))
+    wrap = lambda t: t.replace(" ", "\n")
+    a, b = text(300), text(200)
+    # b's copies differ in a word, so the names around it have several segments
+    rows = [(i, wrap(a)) for i in range(30)] + [(i, wrap(b)) for i in range(40, 60)] + [(60, wrap(b.replace(b.split(" ")[100], "other")))]
+    listed, real = {}, paragraphs.written
+
+    def counted(df, name, *a):
+        listed[name] = (out := real(df, name, *a)).count()
+        return out
+
+    monkeypatch.setattr(paragraphs, "written", counted)
+    found = repeated_passages(frame(spark, rows)).collect()
+    gone, _ = brute(rows)
+    assert cut_words(rows, found) == gone
+    # 30 * 251 and 20 * 151 windows occur again; a distinct one of a name with several segments is listed once
+    assert listed["windows"] < 251 and listed["pieces"] < 21 * 80 + 30 * 80
+
+
+def test_segments_are_cut_where_a_line_changes_the_outcome(spark):
+    r = random.Random(12)
+    word = lambda: f"w{r.randint(0, 10**6)}"
+    text = lambda n: [word() for _ in range(n)]
+    head, line, tail = text(90), text(80), text(90)
+    whole = "\n".join([wrapped(r, head), " ".join(line), wrapped(r, tail)])
+    flat = wrapped(r, head + line + tail)
+    rows = [(1, " ".join(line)), (2, whole), (3, flat), (4, whole), (5, flat), (6, wrapped(r, text(9) + line[30:] + tail))]
+    clean = {x.doc_id: x.text for x in without_repeats(frame(spark, rows)).collect()}
+    at, _ = windows(sorted(clean.items()))
+    assert all(len(p) == 1 for p in at.values())
+    assert clean[1] == rows[0][1]
+
+
 def test_passages_reach_python_in_small_batches(spark):
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
     repeated_passages(frame(spark, [(1, "a")])).collect()
