@@ -227,10 +227,8 @@ def _told(keys: DataFrame):
     return keys.sparkSession.sparkContext.broadcast(collected(filter_blocks(keys, bits), "once", bits))
 
 
-def _pieces(named: DataFrame, lines: DataFrame) -> DataFrame:
-    """One row per piece of a segment whose name occurs again: ``n`` windows from ``off`` of the
-    segment on, that begin with word ``pos`` and meet the lines in one way: ``dead`` if one meets a
-    removed line, ``listed`` 2 if it lies in a line that stays, 1 in a removed one."""
+def _again(named: DataFrame) -> DataFrame:
+    """``_named`` with the segments whose names occur again (and some others); texts without one go."""
     each = named.select(F.explode(F.arrays_zip("name", "lead")).alias("z")).select("z.name", "z.lead").where("lead > 0")
     again = written(each.groupBy("name").agg(F.sum("lead").alias("c")).where("c > 1").select("name"), "names")
     told = _told(again)
@@ -246,7 +244,14 @@ def _pieces(named: DataFrame, lines: DataFrame) -> DataFrame:
                 | {k: pa.ListArray.from_arrays(keep, v.filter(pa.array(ok))) for k, v in flat.items()})
 
     few = named.drop("lead")
-    few = map_batches(few, some, few.schema)
+    # written, as a join that broadcasts would put the next Python step into the same stage
+    return written(map_batches(few, some, few.schema), "again")
+
+
+def _pieces(few: DataFrame, lines: DataFrame) -> DataFrame:
+    """One row per piece of a segment of ``few``: ``n`` windows from ``off`` of the segment on, that
+    begin with word ``pos`` and meet the lines in one way: ``dead`` if one meets a removed line,
+    ``listed`` 2 if it lies in a line that stays, 1 in a removed one."""
     spans = lines.groupBy("__row").agg(F.collect_list(F.struct("start", "end", "kept")).alias("spans"))
     st = f"__row {ROW}, doc_id {few.schema['doc_id'].dataType.simpleString()}, name long, c long, off int, n int, pos int, dead boolean, listed int, again boolean"
 
@@ -346,7 +351,7 @@ def _shared(df: DataFrame, classes: DataFrame) -> DataFrame:
 def _runs(df: DataFrame, lines: DataFrame) -> DataFrame:
     """One row per repeated run of numbered rows, as ``_paragraphs`` gives them; ``lines`` is its
     result, whose spans are not listed again."""
-    named = _named(df)
+    named = _again(_named(df))
     pieces = _pieces(named, lines)
     key = ["name", "c", "off", "n"]
     place = F.struct("dead", F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("d"), F.col("__row").alias("r"), F.col("pos").alias("p"))
