@@ -8,11 +8,14 @@ more, never less. What a task sends grows with its own hashes, not with the size
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of one block: the unit of merging.
@@ -125,3 +128,21 @@ def collected(blocks: DataFrame, which: str, bits: int) -> np.ndarray:
     for r in blocks.select("block", which).where(F.col(which) != F.lit(empty)).collect():
         out[r[0] * (BLOCK // 8):(r[0] + 1) * (BLOCK // 8)] = np.frombuffer(r[1], np.uint8)
     return out
+
+
+def handed_out(spark: SparkSession, filter_: np.ndarray | str) -> str:
+    """The name of a file of the filter that Spark copies to every executor, for ``mapped``; the name
+    of such a file is returned as it is. A broadcast would be read into each Python worker."""
+    if isinstance(filter_, str):
+        return filter_
+    name = f"filter-{os.urandom(8).hex()}.bin"
+    path = os.path.join(SparkFiles.getRootDirectory(), name)
+    filter_.tofile(path)
+    spark.sparkContext.addFile(path)
+    return name
+
+
+@lru_cache(maxsize=3)
+def mapped(name: str) -> np.ndarray:
+    """The filter of that name, mapped into memory: the workers of a machine share its pages."""
+    return np.asarray(np.memmap(SparkFiles.get(name), np.uint8, "r"))

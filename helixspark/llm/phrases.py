@@ -14,14 +14,17 @@ hash, and sends sorted slots with their counts; the phrases of a slot that occur
 are too rare each, and the next pass counts the others by their text.
 
 Texts are encoded once, in chunks of word numbers with their words, and the passes run over those.
-Known phrases are told to the tasks as a Bloom filter of at most 64 MB. A false hit only counts a
-phrase that need not be counted; phrases are counted by their text, so counts are exact.
+Known phrases are told to the tasks as a Bloom filter of at most 64 MB, a file that the workers of an
+executor map into memory together. A false hit only counts a phrase that need not be counted;
+phrases are counted by their text, so counts are exact. A task holds one chunk at a time: each is a
+row group of its own, and goes to Python in a batch of its own.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixspark.llm.bloom import bits_for, collected, filter_blocks, has
+from helixspark.llm.bloom import bits_for, collected, filter_blocks, handed_out, has, mapped
 from helixspark.llm.common import map_batches, table, written
 from helixspark.llm.topk import first_rows
 
 LONGEST = 5
 #: Words of one chunk of encoded texts, about; a text is never divided.
 CHUNK_WORDS = 1 << 20
+#: Bytes of a batch that goes to Python, about; a larger row goes alone. Rows of a batch of counts or
+#: of blocks that comes back.
+BATCH_BYTES, BATCH_ROWS, BATCH_BLOCKS = 2 << 20, 1 << 16, 1 << 10
+#: Each chunk in a row group of its own, so that it is written and read alone.
+_ALONE = {"parquet.block.row.count.limit": 1}
 _END = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 10 if c in _END else 32 if c == 9 else c for c in range(256))
 _MIX = 0x9E3779B97F4A7C15
@@ -163,10 +171,10 @@ def _slot_counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, slots
     return np.concatenate([u, (hashes[used] & low).astype(np.uint32)]), np.concatenate([n, cnt[used]])
 
 
-def often_slots(chunks: DataFrame, known: np.ndarray, least: int, slots: int) -> np.ndarray:
+def often_slots(chunks: DataFrame, known: np.ndarray | str, least: int, slots: int) -> np.ndarray:
     """A bit for each slot: whether its known phrases and those of their border (single words too)
     occur ``least`` times or more together."""
-    told = chunks.sparkSession.sparkContext.broadcast(known)
+    name = handed_out(chunks.sparkSession, known)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sent():
@@ -178,20 +186,22 @@ def often_slots(chunks: DataFrame, known: np.ndarray, least: int, slots: int) ->
             at = np.unique(slot // BLOCK)
             cut = np.append(np.searchsorted(slot, at * np.uint32(BLOCK)), len(slot))
             slot = (slot % BLOCK).astype(np.uint16)
-            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array([x[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())
-                                                                           for x in (slot, cnt))], schema=_SLOTS_ARROW)
+            for i in range(0, len(at), BATCH_BLOCKS):
+                ends = cut[i:i + BATCH_BLOCKS + 1]
+                yield pa.RecordBatch.from_arrays([pa.array(at[i:i + BATCH_BLOCKS], pa.int32()), *(pa.array([x[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())
+                                                                                                  for x in (slot, cnt))], schema=_SLOTS_ARROW)
 
-        held, size = [], 0
+        known, held, size = mapped(name), [], 0
         for b in batches:
             for i in range(b.num_rows):
                 langs, words = (b.column(c)[i].values for c in ("langs", "words"))
-                held.append(_slot_counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), told.value, slots))
+                held.append(_slot_counts(langs, words, np.frombuffer(b.column("ids")[i].as_buffer(), np.int32), known, slots))
                 size += len(held[-1][0])
                 if size >= FLUSH:
-                    yield sent()
+                    yield from sent()
                     held, size = [], 0
         if size:
-            yield sent()
+            yield from sent()
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, np.zeros(BLOCK, np.int64)
@@ -217,11 +227,13 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only
     """Rows (lang, phrase, cnt) of the phrases to count in a chunk (see ``count_pass``)."""
     hashes = np.array([_word_hash(*x) for x in zip(langs.to_pylist(), words.to_pylist())], np.uint64)
 
-    def rows(at: np.ndarray, k: int, h: np.ndarray) -> pa.RecordBatch:
+    def rows(at: np.ndarray, k: int, h: np.ndarray) -> Iterator[pa.RecordBatch]:
         _, first, cnt = np.unique(h, return_index=True, return_counts=True)
-        own = [words.take(pa.array(ids[at[first] + j])) for j in range(k)]
-        phrase = pc.binary_join_element_wise(*own, pa.scalar(b" ", pa.binary())) if k > 1 else own[0]
-        return pa.RecordBatch.from_arrays([langs.take(pa.array(ids[at[first]])), phrase.cast(pa.string()), pa.array(cnt, pa.int64())], schema=_ARROW)
+        for i in range(0, len(first), BATCH_ROWS):
+            begin = at[first[i:i + BATCH_ROWS]]
+            own = [words.take(pa.array(ids[begin + j])) for j in range(k)]
+            phrase = pc.binary_join_element_wise(*own, pa.scalar(b" ", pa.binary()))
+            yield pa.RecordBatch.from_arrays([langs.take(pa.array(ids[begin])), phrase.cast(pa.string()), pa.array(cnt[i:i + BATCH_ROWS], pa.int64())], schema=_ARROW)
 
     def marked(at: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ids) + LONGEST, bool)
@@ -238,7 +250,9 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only
         cnt[0] = 0
         used = np.flatnonzero(cnt)
         some = used if often is None else used[_in_slots(often, hashes[used])]
-        yield pa.RecordBatch.from_arrays([langs.take(pa.array(some)), words.take(pa.array(some)).cast(pa.string()), pa.array(cnt[some], pa.int64())], schema=_ARROW)
+        for i in range(0, len(some), BATCH_ROWS):
+            at = pa.array(some[i:i + BATCH_ROWS])
+            yield pa.RecordBatch.from_arrays([langs.take(at), words.take(at).cast(pa.string()), pa.array(cnt[some[i:i + BATCH_ROWS]], pa.int64())], schema=_ARROW)
         lang, of = np.unique(np.array(langs.to_pylist())[used], return_inverse=True)
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.nulls(len(lang), pa.string()),
                                           pa.array(np.bincount(of, cnt[used], len(lang)).astype(np.int64), pa.int64())], schema=_ARROW)
@@ -260,7 +274,7 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only
                 ok = _in_slots(often, hk)
                 now, hk = now[ok], hk[ok]
             if len(now) and only in (None, k):
-                yield rows(now, k, hk)
+                yield from rows(now, k, hk)
         else:
             border = marked(now)
             begins = marked(usable)
@@ -268,24 +282,24 @@ def _counts(langs: pa.Array, words: pa.Array, ids: np.ndarray, known, late, only
             full[usable] = _longer(full[usable], one[usable + k - 1])
             new = usable[(holds[usable] | holds[usable + 1]) & ~border[usable]]
             if len(new):
-                yield rows(new, k, full[new])
+                yield from rows(new, k, full[new])
             holds = marked(np.concatenate([usable[holds[usable] | holds[usable + 1]], now[has(late, hk) & ~has(known, hk)]]))
         h = np.zeros(len(ids), np.uint64)
         h[now] = hk
         now = now[has(known, hk)]
 
 
-def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = None, only: int | None = None,
-               often: np.ndarray | None = None) -> DataFrame:
+def count_pass(chunks: DataFrame, known: np.ndarray | str, late: np.ndarray | str | None = None, only: int | None = None,
+               often: np.ndarray | str | None = None) -> DataFrame:
     """(lang, phrase, cnt) over all of ``chunks``: the known phrases and their border, the single words
     and a row of all words of a lang (phrase null). With ``late``, phrases of the border that turned
     out to be frequent, the longer phrases instead that hold a late one, whose words are all known
     or late, and that are neither known nor border themselves. ``only`` counts one length; ``often``
     leaves out phrases whose slot, or that of a part, it does not hold."""
-    told = chunks.sparkSession.sparkContext.broadcast((known, late, often))
+    names = [None if x is None else handed_out(chunks.sparkSession, x) for x in (known, late, often)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, late, often = told.value
+        known, late, often = (None if x is None else mapped(x) for x in names)
         for b in batches:
             for i in range(b.num_rows):
                 langs, words = (b.column(c)[i].values for c in ("langs", "words"))
@@ -294,14 +308,14 @@ def count_pass(chunks: DataFrame, known: np.ndarray, late: np.ndarray | None = N
     return chunks.mapInArrow(run, _COUNTED).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
 
 
-def _fresh(counted: DataFrame, known: np.ndarray) -> DataFrame:
+def _fresh(counted: DataFrame, known: np.ndarray | str) -> DataFrame:
     """(h, words) of the phrases of ``counted`` that are not in ``known``."""
-    told = counted.sparkSession.sparkContext.broadcast(known)
+    name = handed_out(counted.sparkSession, known)
 
     def run(cols):
         phrases = cols["phrase"].to_pylist()
         h = np.array([phrase_hash(*x) for x in zip(cols["lang"].to_pylist(), phrases)], np.int64)
-        ok = ~has(told.value, h)
+        ok = ~has(mapped(name), h)
         return {"h": h[ok], "words": [p.count(" ") + 1 for p, o in zip(phrases, ok) if o]}
 
     return map_batches(counted.where("phrase is not null").select("lang", "phrase"), run, "h long, words int")
@@ -314,12 +328,13 @@ def mine(chunks: DataFrame, least: int, bits: int, seed: np.ndarray) -> DataFram
     not count holds a smallest part that was not proposed, which is border and frequent, so with
     that pass the search is closed."""
     enough = (F.col("cnt") >= least) | F.col("phrase").isNull()
-    often = often_slots(chunks, seed, least, bits)
+    seed = handed_out(chunks.sparkSession, seed)
+    often = handed_out(chunks.sparkSession, often_slots(chunks, seed, least, bits))
     got = written(count_pass(chunks, seed, often=often).where(enough), "phrases")
     fresh = written(_fresh(got, seed), "fresh")
     if not fresh.where(F.col("words") < LONGEST).limit(1).count():
         return got
-    late = collected(filter_blocks(fresh.select("h"), bits), "once", bits)
+    late = handed_out(chunks.sparkSession, collected(filter_blocks(fresh.select("h"), bits), "once", bits))
     return got.unionByName(written(count_pass(chunks, seed, late).where(enough), "phrases"))
 
 
@@ -328,26 +343,39 @@ def proposed(chunks: DataFrame, least: int, bits: int) -> np.ndarray:
     length: a pass counts the phrases whose parts are frequent."""
     known = np.zeros(bits // 8, np.uint8)
     for length in range(1, LONGEST + 1):
-        got = count_pass(chunks, known, only=length).where((F.col("cnt") >= least) & F.col("phrase").isNotNull())
-        fresh = written(_fresh(got, known), "fresh")
+        told = handed_out(chunks.sparkSession, known if length > 1 else np.zeros(1 << 10, np.uint8))
+        got = count_pass(chunks, told, only=length).where((F.col("cnt") >= least) & F.col("phrase").isNotNull())
+        fresh = written(_fresh(got, told), "fresh")
         if not fresh.where(F.col("words") == length).limit(1).count():
             break
-        known = known | collected(filter_blocks(fresh.select("h"), bits), "once", bits)
+        known |= collected(filter_blocks(fresh.select("h"), bits), "once", bits)
     return known
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """What is run inside sends batches of about ``BATCH_BYTES`` to Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def frequent_phrases(docs: DataFrame, least: int = 100, share: int = 10) -> DataFrame:
     """(lang, phrase, cnt) of phrases of 1 to 5 words with ``least`` occurrences or more, and one
     row with a null phrase per lang that counts all words. ``docs`` has (lang, text). One piece in
     ``share`` is the sample; the bound there lies two standard deviations below ``least / share``.
     Texts are read once."""
-    chunks = written(encoded(docs), "chunks")
-    sample = written(sampled(chunks, share), "sample")
-    size = sample.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    bits = bits_for(size // 4, 2)
-    mean = least / share
-    seed = proposed(sample, max(2, round(mean - 2 * mean ** 0.5)), bits)
-    return mine(chunks, least, bits, seed)
+    with _small_batches(docs.sparkSession):
+        chunks = written(encoded(docs), "chunks", **_ALONE)
+        sample = written(sampled(chunks, share), "sample", **_ALONE)
+        size = sample.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+        bits = bits_for(size // 4, 2)
+        mean = least / share
+        return mine(chunks, least, bits, proposed(sample, max(2, round(mean - 2 * mean ** 0.5)), bits))
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, share: int = 10,

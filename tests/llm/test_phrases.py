@@ -1,8 +1,11 @@
 import random
 import re
 from collections import Counter
+from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 from helixspark.llm import phrases as P
 from helixspark.llm.bloom import add
@@ -120,3 +123,37 @@ def test_rare_border_is_not_listed(spark):
         some = counted(P.often_slots(chunks, known, 100, slots))
         assert want.items() <= some.items()
     assert len(some) < len(every) / 20
+
+
+def test_a_task_holds_one_chunk_and_no_filter_of_its_own(spark, monkeypatch):
+    """Chunks are written in row groups of their own, filters reach the workers as mapped files and not
+    as broadcasts, and the batch size of the session is as before."""
+    monkeypatch.setattr(P, "CHUNK_WORDS", 20)
+    tables, write, key = {}, P.written, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def kept(df, name, *a, **kw):
+        tables[name] = write(df, name, *a, **kw)
+        return tables[name]
+
+    def no_broadcast(*a):
+        raise AssertionError("a filter is read into each worker")
+
+    monkeypatch.setattr(P, "written", kept)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", no_broadcast)
+    before = spark.conf.get(key)
+    run(spark, corpus(3), 12, top=40)
+    assert spark.conf.get(key) == before
+    for name in ("chunks", "sample"):
+        files = [pq.ParquetFile(unquote(urlparse(f).path)).metadata for f in tables[name].inputFiles()]
+        assert max(m.num_rows for m in files) > 1 and all(m.row_group(i).num_rows == 1 for m in files for i in range(m.num_row_groups))
+
+
+def test_counts_leave_in_batches(monkeypatch):
+    monkeypatch.setattr(P, "BATCH_ROWS", 3, raising=False)
+    words = [b""] + [f"w{i}".encode() for i in range(10)]
+    ids = np.array([*range(1, 11), 0, 1, 2, 0], np.int32)
+    got = list(P._counts(pa.array([""] + ["en"] * 10), pa.array(words, pa.binary()), ids, np.full(1 << 10, 255, np.uint8), None, None))
+    assert max(b.num_rows for b in got) <= 3
+    rows = [tuple(r.values()) for b in got for r in b.to_pylist()]
+    f, n = counts([(1, "en", " ".join(f"w{i}" for i in range(10)) + ". w0 w1")])
+    assert sorted(r for r in rows if r[1]) == sorted((g, " ".join(p), c) for (g, p), c in f.items()) and ("en", None, n["en"]) in rows
